@@ -1265,3 +1265,169 @@ def json_documents(spark, d):
 def provenance_rows(spark, d):
     out = curate_standard(spark, d)
     return PUB.provenance_with_count(out, "Survey", ["survey", "excluded", "withdrew"], "curate_standard")
+
+
+# --------------------------------------------------------------------------
+# Baseline characteristics on stand-in demographics and profiles
+# --------------------------------------------------------------------------
+
+_FLAG_COLS = ", ".join(
+    f"o.o_orderpriority = '{p}' AS `race.json.answer.{lbl}`" for p, lbl in zip(PRIORITIES, RACE_FLAG_LABELS)
+)
+DEMOG_SQL = f"""
+SELECT CAST(o.o_custkey AS STRING) AS healthCode,
+       CASE WHEN c.c_nationkey IN (2, 9) THEN concat('EX', CAST(c.c_custkey AS STRING)) END AS externalId,
+       CASE c.c_mktsegment WHEN 'BUILDING' THEN 'control' WHEN 'AUTOMOBILE' THEN 'other' ELSE 'ms_patient' END AS dataGroups,
+       CASE o.o_orderstatus WHEN 'O' THEN 'SPONSORS_AND_PARTNERS' ELSE 'ALL_QUALIFIED_RESEARCHERS' END AS userSharingScope,
+       o.o_orderdate AS `metadata.json.startDate`,
+       'g' AS `metadata.json.dataGroups`,
+       CAST(NULL AS STRING) AS substudyMemberships,
+       CAST(o.o_orderkey AS STRING) AS recordId,
+       CAST(NULL AS INT) AS dayInStudy,
+       CASE WHEN o.o_totalprice > 200000 THEN 'Female' ELSE 'Male' END AS `gender.json.answer`,
+       150.0 + CAST(o.o_orderkey AS DOUBLE) / 8.0 AS `height.json.answer`,
+       (c.c_acctbal + 1000.0) / 10.0 AS `weight.json.answer`,
+       concat(CAST(100 + c.c_nationkey AS STRING), CAST(o.o_orderkey AS STRING)) AS `zipcode.json.answer`,
+       CASE o.o_orderpriority {' '.join(f"WHEN '{p}' THEN '{e}'" for p, e in zip(PRIORITIES, EDU_VALUES))} END AS `education.json.answer`,
+       CASE o.o_orderpriority {' '.join(f"WHEN '{p}' THEN '{i}'" for p, i in zip(PRIORITIES, INS_VALUES))} END AS `health_insurance.json.answer`,
+       o.o_orderstatus AS `employment.json.answer`,
+       {_FLAG_COLS},
+       o.o_orderkey AS __seq
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+PROFILES_SQL = """
+SELECT CAST(o.o_custkey AS STRING) AS healthCode,
+       CASE WHEN c.c_nationkey IN (2, 9) THEN concat('EX', CAST(c.c_custkey AS STRING)) END AS externalId,
+       CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'control' WHEN 'BUILDING' THEN NULL ELSE 'ms_patient' END AS dataGroups,
+       CASE o.o_orderstatus WHEN 'P' THEN 'sponsors_and_partners' ELSE 'all_qualified_researchers' END AS userSharingScope,
+       CASE WHEN o.o_totalprice > 250000 THEN 'Female' END AS `demographics.gender`,
+       160.0 + CAST(o.o_orderkey AS DOUBLE) / 4.0 AS `demographics.height`,
+       (c.c_acctbal + 1200.0) / 10.0 AS `demographics.weight`,
+       concat(CAST(100 + c.c_nationkey AS STRING), '77') AS `demographics.zipcode`,
+       CASE WHEN o.o_orderstatus = 'F' THEN 'some_college' ELSE 'masters' END AS `demographics.education`,
+       CASE WHEN c.c_acctbal > 4000 THEN 'Medicaid' ELSE 'employer' END AS `demographics.health_insurance`,
+       o.o_orderpriority AS `demographics.employment`,
+       concat('["', CASE WHEN o.o_totalprice > 300000 THEN 'asian","pacific_islander' ELSE 'caucasian' END, '"]') AS race,
+       o.o_orderdate AS createdOn,
+       CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 20 + year(o.o_orderdate) - 1995 END AS age,
+       CAST(o.o_orderkey AS STRING) AS recordId,
+       concat('raw', CAST(o.o_orderkey AS STRING)) AS rawData,
+       CASE WHEN o.o_orderstatus = 'F' THEN 'RRMS' END AS initialDiagnosis,
+       CASE WHEN o.o_orderstatus = 'F' THEN '2001' END AS initialDiagnosisYear,
+       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Yes' WHEN '2-HIGH' THEN 'No' WHEN '3-MEDIUM' THEN 'NotSure' END AS currentDiagnosis,
+       CASE WHEN o.o_orderstatus = 'F' THEN CAST(1990 + c.c_nationkey AS STRING) WHEN c.c_nationkey = 20 THEN 'abc' END AS currentDiagnosisYear,
+       CASE WHEN o.o_totalprice > 350000 THEN 'DMT-A' END AS currentDMT,
+       CASE WHEN o.o_totalprice > 350000 THEN CAST(2000 + c.c_nationkey AS STRING) END AS firstDMTYear,
+       CASE WHEN c.c_acctbal > 5000 THEN 'Yes' ELSE 'No' END AS msFamilyHistory,
+       CASE WHEN o.o_orderstatus = 'O' AND c.c_acctbal < 0 THEN 'Mild' END AS overallPhysicalAbility,
+       o.o_orderkey AS __seq
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+ZIPS_SQL = """
+SELECT concat(CAST(100 + s.s_nationkey AS STRING), CAST(s.s_suppkey AS STRING)) AS zip,
+       CASE WHEN s.s_acctbal > 5000 THEN CAST(n.n_regionkey AS STRING) ELSE CAST(4 - n.n_regionkey AS STRING) END AS state
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+"""
+EXT_IDS_SQL = "SELECT concat('ex-', CAST(s_suppkey AS STRING)) AS id FROM supplier"
+BASELINE_START = ORDERS_START
+
+_DEMOG_FEATS = ["externalId", "dataGroups", "userSharingScope", "gender", "height", "weight", "zipcode",
+                "education", "health_insurance", "employment", "race"]
+_DIS_COLS = ["initialDiagnosis", "initialDiagnosisYear", "currentDiagnosis", "currentDiagnosisYear", "currentDMT",
+             "firstDMTYear", "msFamilyHistory", "overallPhysicalAbility"]
+
+
+def _baseline_oracle() -> str:
+    race_case = "CASE " + " ".join(f"WHEN regexp_matches(race, '{p}') THEN '{v}'" for p, v in R.RACE_RULES) + " ELSE race END"
+    flags = ", ".join(
+        f"CASE WHEN bool_or(\"race.json.answer.{lbl}\") THEN '{lbl}' END" for lbl in RACE_FLAG_LABELS
+    )
+    latest_demo = ", ".join(
+        f"arg_max({f}, (date_of_entry, src, __seq)) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in _DEMOG_FEATS
+    )
+    latest_dis = ", ".join(
+        f"arg_max({f}, (date_of_entry, __seq)) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in _DIS_COLS[2:]
+    )
+    demog_keys = ", ".join(["healthCode", *_DEMOG_FEATS])
+    dis_keys = ", ".join(["healthCode", *_DIS_COLS])
+    lowered = ", ".join(f"lower({c}) AS {c}" for c in ["externalId", "dataGroups", "userSharingScope", "gender",
+                                                        "zipcode", "education", "health_insurance", "employment", "race"])
+    return f"""
+WITH demog0 AS ({duck(DEMOG_SQL)}),
+d1 AS (SELECT healthCode, externalId, dataGroups, userSharingScope, "gender.json.answer" AS gender,
+              "height.json.answer" AS height, "weight.json.answer" AS weight, "zipcode.json.answer" AS zipcode,
+              "education.json.answer" AS education, "health_insurance.json.answer" AS health_insurance,
+              "employment.json.answer" AS employment, CAST("metadata.json.startDate" AS DATE) AS date_of_entry, __seq,
+              {", ".join(f'"race.json.answer.{lbl}"' for lbl in RACE_FLAG_LABELS)}
+       FROM demog0 WHERE dataGroups IN ('control', 'ms_patient')
+         AND CAST("metadata.json.startDate" AS DATE) >= DATE '{BASELINE_START}'),
+race AS (SELECT * FROM (SELECT healthCode, concat_ws(',', {flags}) AS race FROM d1 GROUP BY healthCode) WHERE race <> ''),
+d2 AS (SELECT d1.healthCode, externalId, dataGroups, userSharingScope, gender, height, weight / 2.2 AS weight, zipcode,
+              education, health_insurance, employment, date_of_entry, {race_case} AS race, __seq
+       FROM d1 JOIN race ON d1.healthCode IS NOT DISTINCT FROM race.healthCode),
+p0 AS ({duck(PROFILES_SQL)}),
+p1 AS (SELECT healthCode, externalId, dataGroups, userSharingScope, "demographics.gender" AS gender,
+              "demographics.height" AS height, "demographics.weight" AS weight, "demographics.zipcode" AS zipcode,
+              "demographics.education" AS education, "demographics.health_insurance" AS health_insurance,
+              "demographics.employment" AS employment, regexp_replace(race, '[\\["\\]]', '', 'g') AS race,
+              CAST(createdOn AS DATE) AS date_of_entry, age, {", ".join(_DIS_COLS)}, __seq
+       FROM p0 WHERE CAST(createdOn AS DATE) >= DATE '{BASELINE_START}'),
+u AS (SELECT healthCode, externalId, dataGroups, userSharingScope, gender, height, weight, zipcode, education,
+             health_insurance, employment, date_of_entry, race, __seq, 0 AS src FROM d2
+      UNION ALL
+      SELECT healthCode, externalId, dataGroups, userSharingScope, gender, height, weight, zipcode, education,
+             health_insurance, employment, date_of_entry, race, __seq, 1 AS src FROM p1),
+u2 AS (SELECT lower(healthCode) AS healthCode, {lowered}, round_even(height, 1) AS height, round_even(weight, 1) AS weight,
+              date_of_entry, __seq, src FROM u),
+kf AS (SELECT * FROM u2 QUALIFY row_number() OVER (PARTITION BY {demog_keys} ORDER BY src, __seq) = 1),
+demo AS (SELECT healthCode, {latest_demo} FROM kf GROUP BY healthCode),
+demo2 AS (SELECT *, coalesce(externalId IN (SELECT replace(id, '-', '') FROM ({duck(EXT_IDS_SQL)})), false) AS referred_by_clinician
+          FROM demo WHERE dataGroups IN ('ms_patient', 'control')),
+dis0 AS (SELECT lower(healthCode) AS healthCode, {", ".join(f"lower(CAST({c} AS VARCHAR)) AS {c}" for c in _DIS_COLS)},
+                date_of_entry, __seq FROM p1),
+dis1 AS (SELECT * FROM dis0 QUALIFY row_number() OVER (PARTITION BY {dis_keys} ORDER BY __seq) = 1),
+dis AS (SELECT healthCode, {latest_dis} FROM dis1 GROUP BY healthCode),
+age AS (SELECT healthCode, arg_max(age, (date_of_entry, s)) AS age FROM (
+          SELECT healthCode, date_of_entry, age, min(__seq) AS s FROM p1 WHERE age IS NOT NULL GROUP BY ALL) GROUP BY healthCode),
+j1 AS (SELECT coalesce(a.healthCode, b.healthCode) AS healthCode, a.* EXCLUDE (healthCode), b.* EXCLUDE (healthCode)
+       FROM demo2 a FULL OUTER JOIN dis b ON a.healthCode IS NOT DISTINCT FROM b.healthCode),
+j2 AS (SELECT coalesce(j1.healthCode, g.healthCode) AS healthCode, j1.* EXCLUDE (healthCode), g.age
+       FROM j1 FULL OUTER JOIN age g ON j1.healthCode IS NOT DISTINCT FROM g.healthCode),
+r1 AS (SELECT * REPLACE (
+          CASE WHEN education IN ('some_high_school', 'high_school_diploma_ged') THEN 'high_school_diploma_ged'
+               WHEN education IN ('some_college') THEN 'college_degree' ELSE education END AS education,
+          TRY_CAST(height AS DOUBLE) AS height, TRY_CAST(weight AS DOUBLE) AS weight)
+       FROM j2
+       WHERE NOT EXISTS (SELECT 1 FROM ({_EXC}) x WHERE x.healthCode IS NOT DISTINCT FROM j2.healthCode)
+         AND NOT EXISTS (SELECT 1 FROM ({_WD}) w WHERE w.healthCode IS NOT DISTINCT FROM j2.healthCode)),
+r2 AS (SELECT *, {ERROR_CASE_SQL} AS error FROM r1),
+r3 AS (SELECT * REPLACE ({REASSIGN_SQL} AS dataGroups,
+          CASE WHEN health_insurance IN ('government insurance', 'medicare', 'medicaid') THEN 'government insurance'
+               WHEN health_insurance IN ('other', 'rather not say') THEN 'other' ELSE health_insurance END AS health_insurance),
+          year(DATE '{AS_OF}') - TRY_CAST(currentDiagnosisYear AS DOUBLE) AS YearsSinceDiagnosis,
+          year(DATE '{AS_OF}') - TRY_CAST(firstDMTYear AS DOUBLE) AS YearsSinceFirstDMT
+       FROM r2),
+zd2 AS (SELECT z.zip, z.state, s."state.name" FROM ({duck(ZIPS_SQL)}) z JOIN ({duck(STATES_SQL)}) s ON z.state = s.state),
+pre AS (SELECT substring(zip, 1, 3) AS zipcode_firstThree, arg_min("state.name", zip) AS state FROM zd2 GROUP BY 1)
+SELECT r3.* EXCLUDE (zipcode, externalId, userSharingScope, error), substring(r3.zipcode, 1, 3) AS zipcode, pre.state
+FROM r3 LEFT JOIN pre ON substring(r3.zipcode, 1, 3) = pre.zipcode_firstThree
+WHERE r3.userSharingScope = 'all_qualified_researchers'
+"""
+
+
+@query("baseline_characteristics", _baseline_oracle())
+def baseline_characteristics(spark, d):
+    from curatio.plans.baseline import baseline_characteristics as job
+
+    return job(
+        standin(spark, d, DEMOG_SQL),
+        standin(spark, d, PROFILES_SQL),
+        standin(spark, d, EXT_IDS_SQL),
+        standin(spark, d, EXCLUDED_SQL),
+        standin(spark, d, WITHDREW_SQL),
+        standin(spark, d, ZIPS_SQL),
+        standin(spark, d, STATES_SQL),
+        order="__seq",
+        start=BASELINE_START,
+        as_of=AS_OF,
+    )
