@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import c
 
-# Rows allowed on a broadcast side.  Side lists and dimensions stay far
-# below; anything above falls back to a shuffle join (AQE may still convert
-# it to a broadcast at runtime from the measured shuffle size).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Broadcast policy.  By default no hint is given: Spark broadcasts a side only
+# when its size estimate is below ``spark.sql.autoBroadcastJoinThreshold``,
+# and AQE re-plans a shuffle join as a broadcast at runtime when the measured
+# shuffle output of a side is small.  Both are size-checked by the engine
+# and cost no extra job.  Pass ``broadcast_rows=N`` to force a hint after an
+# explicit, bounded row count instead.
+DEFAULT_BROADCAST_ROWS: int | None = None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast hint only when the side is proven to hold at most ``max_rows`` rows.
 
     The check runs ``limit(max_rows + 1).count()``: it stops reading once the

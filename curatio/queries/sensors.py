@@ -414,10 +414,9 @@ JOIN ({sql_order_stats(TAP_SERIES_DUCK, 'record_id, series', 'ts, event_id')}) o
 def tap_basic_stats(spark, d):
     s = tap_series(spark, d)
     keys = ["record_id", "series"]
-    m = FT.moment_stats(s, keys).drop("energy", "rmsmag")
-    q = FT.quantile_stats(s, keys).select(*keys, "median", "iqr")
-    o = FT.order_stats(s, keys, TAP_ORDER).select(*keys, "mad")
-    return rounded(m.join(q, keys).join(o, keys), keys)
+    st = FT.series_stats(s, keys, TAP_ORDER)
+    cols = ["n", "mean", "sd", "skew", "kur", "min", "max", "range", "cv", "median", "iqr", "mad"]
+    return rounded(st.select(*keys, *cols), keys)
 
 
 @query(
@@ -566,15 +565,13 @@ JOIN ({sql_lomb(AA_DUCK, 'record_id', *LS_GRID)}) ls USING (record_id)
 def rest_features(spark, d):
     aa = walk_axes(spark, d).select("record_id", *WALK_ORDER, "t", F.col("AA").alias("v"))
     k = ["record_id"]
-    m = FT.moment_stats(aa, k)
-    q = FT.quantile_stats(aa, k)
-    o = FT.order_stats(aa, k, WALK_ORDER)
+    st = FT.series_stats(aa, k, WALK_ORDER)
     f = dfa(aa, k, WALK_ORDER)
     tt = aa.groupBy("record_id").agg(
         (F.max_by("t", F.struct(F.col("v"), -F.col("t"))) - F.min("t")).alias("turningTime"))
     ls = lomb_scargle_peak(aa, k, "t", "v", *LS_GRID)
     out = (
-        m.join(q, k).join(o, k).join(f, k, "left").join(tt, k).join(ls, k)
+        st.join(f, k, "left").join(tt, k).join(ls, k)
         .select(
             "record_id", F.col("mean").alias("meanAA"), F.col("sd").alias("sdAA"), F.col("mode").alias("modeAA"),
             F.col("skew").alias("skewAA"), F.col("kur").alias("kurAA"), F.col("q1").alias("q1AA"),
@@ -643,10 +640,7 @@ JOIN ({sql_quantiles(TREMOR_LONG_DUCK, T_KEYS_SQL)}) q USING ({T_KEYS_SQL})
 """,
 )
 def tremor_time(spark, d):
-    long = tremor_long(spark, d)
-    m = FT.moment_stats(long, T_KEYS)
-    q = FT.quantile_stats(long, T_KEYS)
-    out = m.join(q, T_KEYS).select(
+    out = FT.series_stats(tremor_long(spark, d), T_KEYS, groups=("moments", "quantiles")).select(
         *T_KEYS, "mean", F.col("median").alias("md"), F.col("min").alias("mn"), F.col("max").alias("mx"), "sd",
         F.col("skew").alias("skewness"), F.col("kur").alias("kurtosis"), F.col("q1").alias("Q25"),
         F.col("q3").alias("Q75"), F.col("iqr").alias("IQR"), "range", "rmsmag", "energy", "mode",

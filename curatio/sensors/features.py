@@ -26,12 +26,13 @@ def _keys(keys: Sequence[str]) -> list[Column]:
     return [as_col(k) for k in keys]
 
 
-def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
-    """mean, sd, skew (population), kur (excess, population), min, max, range,
-    cv, energy, rmsmag, n (T1, T4-T8, T10, T11, W1, W2, W4, W5, W10, W14, X4, X12,
-    X14, X15, X20, X22, X23, X26, X30)."""
-    x = as_col(v)
-    return df.groupBy(*_keys(keys)).agg(
+MOMENTS = ["n", "mean", "sd", "skew", "kur", "min", "max", "range", "cv", "energy", "rmsmag"]
+QUANTILES = ["q1", "median", "q3", "iqr", "mode"]
+ORDERED = ["acf1", "acf2", "zcr", "tkeo", "mad", "mobility", "complexity", "rough", "rugo"]
+
+
+def _moment_aggs(x: Column) -> list[Column]:
+    return [
         F.count(x).alias("n"),
         F.avg(x).alias("mean"),
         F.stddev_samp(x).alias("sd"),
@@ -43,46 +44,27 @@ def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
         F.try_divide(F.stddev_samp(x), F.avg(x)).alias("cv"),
         F.sum(x * x).alias("energy"),
         F.sqrt(F.avg(x * x)).alias("rmsmag"),
-    )
+    ]
 
 
-def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
-    """q1, median, q3, iqr (type-7 quantiles) and mode (smallest on a tie)
-    (T2, T3, W3, W6-W9, X11, X13, X17, X21)."""
-    x = as_col(v)
-    q = F.percentile(x, [0.25, 0.5, 0.75])
-    agg = df.groupBy(*_keys(keys)).agg(q.alias("__q"), F.mode(x, True).alias("mode"))
-    return agg.select(
-        *_keys(keys),
-        F.col("__q")[0].alias("q1"),
-        F.col("__q")[1].alias("median"),
-        F.col("__q")[2].alias("q3"),
-        (F.col("__q")[2] - F.col("__q")[0]).alias("iqr"),
-        "mode",
-    )
+def _quantile_aggs(x: Column) -> list[Column]:
+    return [F.percentile(x, [0.25, 0.5, 0.75]).alias("__q"), F.mode(x, True).alias("mode")]
 
 
-def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
-                fs: float = 1.0) -> DataFrame:
-    """Order-dependent statistics in one window pass + one aggregate.
-
-    * ``acf1``/``acf2``: autocorrelation at lags 1, 2 about the series mean (T13, W11);
-    * ``zcr``: share of successive pairs whose mean-centred values have
-      opposite signs (W12; a zero never counts as a crossing);
-    * ``tkeo``: mean of ``x_i^2 - x_{i-1} x_{i+1}`` over interior samples (T12, W15, X19);
-    * ``mad``: mean absolute deviation from the mean (T9, as written);
-    * ``mobility`` = sqrt(var(dx*fs)/var(x)), ``complexity`` =
-      sqrt(var(d(dx*fs)*fs)/var(dx*fs)) (X16, X2);
-    * ``rough``: sum of squared second differences (X24, our convention);
-    * ``rugo``: sqrt(mean of squared first differences) (X25, our convention).
-    """
+def _quantile_cols() -> list[Column]:
+    q = F.col("__q")
+    return [q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), (q[2] - q[0]).alias("iqr")]
+
+
+def _ordered_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str, fs: float) -> DataFrame:
+    """Per-sample lag/lead terms; one window pass (one exchange + sort)."""
     part = Window.partitionBy(*_keys(keys))
     w = part.orderBy(*[as_col(o) for o in order])
     x = as_col(v)
     m = F.avg(x).over(part)
     prev, nxt, nxt2 = F.lag(x).over(w), F.lead(x).over(w), F.lead(x, 2).over(w)
     prev2 = F.lag(x, 2).over(w)
-    base = df.select(
+    return df.select(
         *_keys(keys),
         (x - m).alias("c"),
         (prev - m).alias("cp"),
@@ -94,21 +76,84 @@ def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str
         (x - prev).alias("dx"),
         x.alias("x"),
     )
+
+
+def _ordered_aggs(fs: float) -> list[Column]:
     c = F.col("c")
     s0 = F.sum(c * c)
-    agg = base.groupBy(*_keys(keys)).agg(
+    return [
         F.try_divide(F.sum(c * F.col("c1")), s0).alias("acf1"),
         F.try_divide(F.sum(c * F.col("c2")), s0).alias("acf2"),
-        F.try_divide(F.sum(F.when(c * F.col("cp") < 0, 1.0).otherwise(0.0)),
-                     F.count(F.col("cp"))).alias("zcr"),
+        F.try_divide(F.sum(F.when(c * F.col("cp") < 0, 1.0).otherwise(0.0)), F.count(F.col("cp"))).alias("zcr"),
         F.avg("tk").alias("tkeo"),
         F.avg(F.abs(c)).alias("mad"),
         F.sqrt(F.try_divide(F.var_samp("d1"), F.var_samp("x"))).alias("mobility"),
         F.sqrt(F.try_divide(F.var_samp("d2"), F.var_samp("d1"))).alias("complexity"),
         F.sum(F.col("d2") * F.col("d2") / F.lit(fs ** 4)).alias("rough"),
         F.sqrt(F.avg(F.col("dx") * F.col("dx"))).alias("rugo"),
-    )
-    return agg
+    ]
+
+
+def series_stats(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | None = None,
+    v: str = "v",
+    fs: float = 1.0,
+    groups: Sequence[str] = ("moments", "quantiles", "ordered"),
+) -> DataFrame:
+    """All requested statistics of every series in one aggregation.
+
+    * ``moments``: n, mean, sd, skew (population), kur (excess, population),
+      min, max, range, cv, energy, rmsmag (T1, T4-T8, T10, T11, W1, W2, W4, W5,
+      W10, W14, X4, X12, X14, X15, X20, X22, X23, X26, X30);
+    * ``quantiles``: q1, median, q3, iqr (type-7) and mode, smallest on a tie
+      (T2, T3, W3, W6-W9, X11, X13, X17, X21) - exact, one count per distinct
+      value of a group in the aggregation buffer;
+    * ``ordered`` (needs ``order``): acf1/acf2 about the series mean (T13,
+      W11); zcr, the share of successive pairs whose mean-centred values have
+      opposite signs (W12; a zero is never a crossing); tkeo, mean of
+      ``x_i^2 - x_{i-1} x_{i+1}`` over interior samples (T12, W15, X19); mad,
+      mean absolute deviation from the mean (T9, as written); mobility
+      sqrt(var(dx*fs)/var(x)) and complexity sqrt(var(d(dx*fs)*fs)/var(dx*fs))
+      (X16, X2); rough, sum of squared second differences (X24, our
+      convention); rugo, sqrt(mean squared first difference) (X25, ours).
+
+    With ``ordered``, the lag terms come from one window pass over the record
+    and feed the same aggregate as the other statistics (no join).
+    """
+    want = set(groups)
+    if "ordered" in want:
+        if not order:
+            raise ValueError("ordered statistics need an order")
+        base, x = _ordered_frame(df, keys, order, v, fs), F.col("x")
+    else:
+        base, x = df, as_col(v)
+    aggs: list[Column] = []
+    if "moments" in want:
+        aggs += _moment_aggs(x)
+    if "quantiles" in want:
+        aggs += _quantile_aggs(x)
+    if "ordered" in want:
+        aggs += _ordered_aggs(fs)
+    out = base.groupBy(*_keys(keys)).agg(*aggs)
+    if "quantiles" in want:
+        cols = [n for n in out.columns if n != "__q"]
+        out = out.select(*[F.col(n) for n in cols], *_quantile_cols())
+    return out
+
+
+def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
+    return series_stats(df, keys, v=v, groups=("moments",))
+
+
+def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
+    return series_stats(df, keys, v=v, groups=("quantiles",)).select(*keys, *QUANTILES)
+
+
+def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
+                fs: float = 1.0) -> DataFrame:
+    return series_stats(df, keys, order, v, fs, groups=("ordered",))
 
 
 def fatigue(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",

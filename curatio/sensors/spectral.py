@@ -29,10 +29,35 @@ def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
     return [T.StructField(k, df.schema[k].dataType) for k in keys]
 
 
-def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float) -> DataFrame:
-    """One-sided power spectrum of the mean-centred series per group.
+def _bucketed(df: DataFrame, keys: Sequence[str], order: str, v: str, buckets: int | None):
+    """Group many windows per pandas call: bucket = hash(window keys) mod B.
+
+    A window is bounded by construction (fixed length), so hashing on the
+    full window key spreads even a very long recording's windows across all
+    buckets; B defaults to the shuffle partition count.
+    """
+    spark = df.sparkSession
+    n_b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = df.where(F.col(v).isNotNull()).select(*keys, order, v)
+    return data.withColumn("__bucket", F.pmod(F.xxhash64(*[as_col(k) for k in keys]), F.lit(n_b)))
+
+
+def _runs(pdf: pd.DataFrame, keys: Sequence[str], order: str):
+    """Sort a bucket and return (sorted frame, run starts, run lengths) per window key."""
+    pdf = pdf.sort_values([*keys, order], kind="stable").reset_index(drop=True)
+    codes = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.array([], dtype=int)
+    lens = np.diff(np.r_[starts, len(codes)])
+    return pdf, starts, lens
+
+
+def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float,
+             buckets: int | None = None) -> DataFrame:
+    """One-sided power spectrum of the mean-centred series per window.
 
     Rows ``(keys..., bin, freq, power)``, ``power = |rfft|^2 / n``; bin 0 is DC.
+    Windows of equal length in a bucket are transformed in one 2-D
+    ``numpy.fft.rfft`` call.
     """
     schema = T.StructType(_key_fields(df, keys) + [
         T.StructField("bin", T.IntegerType()), T.StructField("freq", T.DoubleType()),
@@ -40,21 +65,27 @@ def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float)
     ])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+        pdf, starts, lens = _runs(pdf, keys, order)
         x = pdf[v].to_numpy(dtype=float)
-        x = x[~np.isnan(x)]
-        n = len(x)
-        if n < 2:
-            return pd.DataFrame(columns=schema.names)
-        spec = np.fft.rfft(x - x.mean())
-        power = (spec.real ** 2 + spec.imag ** 2) / n
-        freq = np.fft.rfftfreq(n, d=1.0 / fs)
-        out = pd.DataFrame({"bin": np.arange(len(power), dtype=np.int32), "freq": freq, "power": power})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[schema.names]
+        frames = []
+        for n in np.unique(lens):
+            if n < 2:
+                continue
+            sel = starts[lens == n]
+            block = x[sel[:, None] + np.arange(n)[None, :]]
+            spec = np.fft.rfft(block - block.mean(axis=1, keepdims=True), axis=1)
+            power = (spec.real ** 2 + spec.imag ** 2) / n
+            nb = power.shape[1]
+            out = pdf.loc[np.repeat(sel, nb), list(keys)].reset_index(drop=True)
+            out["bin"] = np.tile(np.arange(nb, dtype=np.int32), len(sel))
+            out["freq"] = np.tile(np.fft.rfftfreq(int(n), d=1.0 / fs), len(sel))
+            out["power"] = power.reshape(-1)
+            frames.append(out)
+        if not frames:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
+        return pd.concat(frames, ignore_index=True)[schema.names]
 
-    return df.select(*keys, order, v).groupBy(*keys).applyInPandas(fn, schema)
+    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
 
 def spectral_stats(spec: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -164,28 +195,29 @@ def emd_imfs(x: np.ndarray, max_imf: int = 10, tol: float = 0.3, max_sift: int =
     return imfs
 
 
-def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int = 10) -> DataFrame:
-    """EMD per group (N10): rows ``(keys..., imf, i, value)``; ``imf`` is 1-based."""
+def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int = 10,
+        buckets: int | None = None) -> DataFrame:
+    """EMD per window (N10): rows ``(keys..., imf, i, value)``; ``imf`` is 1-based."""
     schema = T.StructType(_key_fields(df, keys) + [
         T.StructField("imf", T.IntegerType()), T.StructField("i", T.IntegerType()),
         T.StructField("value", T.DoubleType()),
     ])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+        pdf, starts, lens = _runs(pdf, keys, order)
         x = pdf[v].to_numpy(dtype=float)
-        x = x[~np.isnan(x)]
         frames = []
-        for j, imf in enumerate(emd_imfs(x, max_imf), start=1):
-            frames.append(pd.DataFrame({"imf": np.int32(j), "i": np.arange(len(imf), dtype=np.int32), "value": imf}))
+        for st, n in zip(starts, lens):
+            for j, imf in enumerate(emd_imfs(x[st:st + n], max_imf), start=1):
+                out = pd.DataFrame({"imf": np.int32(j), "i": np.arange(n, dtype=np.int32), "value": imf})
+                for k in keys:
+                    out[k] = pdf[k].iloc[st]
+                frames.append(out)
         if not frames:
-            return pd.DataFrame(columns=schema.names)
-        out = pd.concat(frames, ignore_index=True)
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[schema.names]
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
+        return pd.concat(frames, ignore_index=True)[schema.names]
 
-    return df.select(*keys, order, v).groupBy(*keys).applyInPandas(fn, schema)
+    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
 
 # --------------------------------------------------------------------------
@@ -214,25 +246,30 @@ def ewt_band_energies_np(x: np.ndarray, n_bands: int = 5) -> np.ndarray:
     return np.array([p[a:b].sum() for a, b in zip(bounds[:-1], bounds[1:])])
 
 
-def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5) -> DataFrame:
-    """Rows ``(keys..., band, energy)`` per group."""
+def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5,
+                 buckets: int | None = None) -> DataFrame:
+    """Rows ``(keys..., band, energy)`` per window."""
     schema = T.StructType(_key_fields(df, keys) + [
         T.StructField("band", T.IntegerType()), T.StructField("energy", T.DoubleType()),
     ])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+        pdf, starts, lens = _runs(pdf, keys, order)
         x = pdf[v].to_numpy(dtype=float)
-        x = x[~np.isnan(x)]
-        if len(x) < 2:
-            return pd.DataFrame(columns=schema.names)
-        e = ewt_band_energies_np(x, n_bands)
-        out = pd.DataFrame({"band": np.arange(len(e), dtype=np.int32), "energy": e})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[schema.names]
-
-    return df.select(*keys, order, v).groupBy(*keys).applyInPandas(fn, schema)
+        frames = []
+        for st, n in zip(starts, lens):
+            if n < 2:
+                continue
+            e = ewt_band_energies_np(x[st:st + n], n_bands)
+            out = pd.DataFrame({"band": np.arange(len(e), dtype=np.int32), "energy": e})
+            for k in keys:
+                out[k] = pdf[k].iloc[st]
+            frames.append(out)
+        if not frames:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
+        return pd.concat(frames, ignore_index=True)[schema.names]
+
+    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
 
 def energy_entropies(energies: DataFrame, keys: Sequence[str], q: float = 2.0, perm_order: int = 3) -> DataFrame:
