@@ -39,14 +39,22 @@ FROM orders
 """
 
 
+# Rounding boundary for presentation: 0.5 - 1/(1000 pi).  Sums and means of
+# short decimals are often exact ties at .5 in decimal arithmetic, and two
+# engines that sum in different orders land on either side of such a tie.  A
+# boundary that no short terminating decimal can hit removes the ambiguity.
+ROUND_OFFSET = 0.5 - 1.0 / (1000.0 * 3.141592653589793)
+
+
 def present(col: Column, digits: int = 6) -> Column:
     """Presentation rounding applied identically by Spark and the oracle
-    (``floor(x * 10^d + 0.5) / 10^d`` in IEEE doubles), so both engines print
-    the same digits even when their summation orders differ in the last bit."""
+    (``floor(x * 10^d + offset) / 10^d`` in IEEE doubles), so both engines
+    print the same digits even when their summation orders differ in the
+    last bit."""
     m = float(10**digits)
-    return F.floor(col * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    return F.floor(col * F.lit(m) + F.lit(ROUND_OFFSET)) / F.lit(m)
 
 
 def present_sql(expr: str, digits: int = 6) -> str:
     m = f"1e{digits}"
-    return f"(floor(({expr}) * {m} + 0.5) / {m})"
+    return f"(floor(({expr}) * {m} + {ROUND_OFFSET!r}e0) / {m})"
