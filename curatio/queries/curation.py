@@ -1431,3 +1431,21 @@ def baseline_characteristics(spark, d):
         start=BASELINE_START,
         as_of=AS_OF,
     )
+
+
+@query("curate_standard_stream", _curate_oracle(_S, ORDERS_START))
+def curate_standard_stream(spark, d):
+    """The standard curate steps run as a Structured Streaming query over
+    survey files (written by Spark from the test tables), into a Parquet sink."""
+    from curatio.streaming.curate_stream import start_curate_stream
+
+    base = scratch(spark, "stream")
+    src = standin(spark, d, SURVEY_SQL)
+    src.repartition(4).write.parquet(f"{base}/source")
+    q = start_curate_stream(
+        spark, f"{base}/source", src.schema, SURVEY_SPEC,
+        standin(spark, d, EXCLUDED_SQL), standin(spark, d, WITHDREW_SQL),
+        f"{base}/sink", f"{base}/checkpoint", start=ORDERS_START,
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink")
