@@ -1,9 +1,10 @@
 """Ordered-series operators inside one entity (a recording, a participant).
 
-All windows of one series share the same ``partitionBy``/``orderBy``, so
-Spark plans a single exchange + sort and evaluates every window function in
-one pass.  A series is one recording, so a partition holds one recording's
-samples; Spark's window buffer spills to disk if a recording is very long.
+Each operator takes a chunk ``width`` (units of the leading order column;
+seconds for timestamps).  With a width, the work runs per (entity, chunk)
+through ``curatio.operators.segmented`` - exact results, and an entity
+with a huge share of the rows is spread over many tasks.  ``width=None``
+keeps each entity in one window partition.
 """
 
 from __future__ import annotations
@@ -14,45 +15,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.segmented import segmented
 
 
 def series_window(part: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*[as_col(p) for p in part]).orderBy(*[as_col(o) for o in order])
 
 
-def lag_diff(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, lag: int = 1) -> DataFrame:
+def lag_diff(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, lag: int = 1,
+             width: float | None = None) -> DataFrame:
     """``diff(x)``: x_i - x_{i-lag}; NULL for the first ``lag`` samples (H3)."""
-    w = series_window(part, order)
-    return df.withColumn(out, as_col(col) - F.lag(as_col(col), lag).over(w))
+    s = segmented(df, part, order, width, lags={col: [lag]})
+    return s.withColumn(out, as_col(col) - F.col(f"lag{lag}_{col}")).drop(f"lag{lag}_{col}")
 
 
 def running_sum(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, scale: Column | float | None = None
+    df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, scale: Column | float | None = None,
+    width: float | None = None,
 ) -> DataFrame:
     """Cumulative sum (rectangle-rule integration when ``scale`` = 1/fs) (H4)."""
-    w = series_window(part, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    v = F.sum(as_col(col)).over(w)
+    s = segmented(df, part, order, width, running={col: "cum__"})
+    v = F.col("cum__")
     if scale is not None:
         v = v * (scale if isinstance(scale, Column) else F.lit(scale))
-    return df.withColumn(out, v)
+    return s.withColumn(out, v).drop("cum__")
 
 
-def with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], pos: str = "i", n: str = "n") -> DataFrame:
+def with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], pos: str = "i", n: str = "n",
+                  width: float | None = None) -> DataFrame:
     """1-based sample position and series length."""
-    w = series_window(part, order)
-    return df.withColumn(pos, F.row_number().over(w)).withColumn(
-        n, F.count(F.lit(1)).over(Window.partitionBy(*[as_col(p) for p in part]))
-    )
+    s = segmented(df, part, order, width, position="p0__", length=n)
+    return s.withColumn(pos, F.col("p0__") + 1).drop("p0__")
 
 
 def percent_slice_means(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, fractions: Sequence[float]
+    df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, fractions: Sequence[float],
+    width: float | None = None,
 ) -> DataFrame:
     """Mean of the first and last ``ceil(n * p)`` samples for every fraction p (H5).
 
     Output per entity: ``first_<pct>``, ``last_<pct>`` columns.
     """
-    pos = with_position(df.where(as_col(col).isNotNull()), part, order, "__i", "__n")
+    pos = with_position(df.where(as_col(col).isNotNull()), part, order, "__i", "__n", width)
     aggs = []
     for p in fractions:
         k = F.ceil(F.col("__n") * F.lit(p))
@@ -63,7 +67,8 @@ def percent_slice_means(
 
 
 def fixed_windows(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], size: int, step: int | None = None, out: str = "window_id"
+    df: DataFrame, part: Sequence[str], order: Sequence[str], size: int, step: int | None = None, out: str = "window_id",
+    width: float | None = None,
 ) -> DataFrame:
     """Assign samples to fixed-length windows within a series.
 
@@ -72,7 +77,7 @@ def fixed_windows(
     shorter than ``size`` forms a single window 0.
     """
     step = step or size
-    pos = with_position(df, part, order, "__i", "__n")
+    pos = with_position(df, part, order, "__i", "__n", width)
     i0 = F.col("__i") - 1
     # windows w with w*step <= i0 < w*step + size, limited to full windows
     # (the last full window starts at n - size); short series -> window 0.

@@ -662,13 +662,17 @@ def map_to_rows(spark, d):
 # H. ordered series on events (participant = user)
 # --------------------------------------------------------------------------
 
+# Chunk width (seconds) of the segmented series: a user's events are
+# processed in 2-day chunks, exact and spread over tasks.
+EVENT_WIDTH = 2 * 86400.0
+
 @query(
     "lag_diff",
     "SELECT event_id, user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d_value FROM events",
 )
 def lag_diff(spark, d):
     ev = table(spark, d, "events")
-    out = H.lag_diff(ev, ["user_id"], ["ts", "event_id"], "value", "d_value")
+    out = H.lag_diff(ev, ["user_id"], ["ts", "event_id"], "value", "d_value", width=EVENT_WIDTH)
     return out.select("event_id", "user_id", present(F.col("d_value")).alias("d_value"))
 
 
@@ -686,7 +690,8 @@ ORACLE["lag_diff"] = (
     + " AS integral FROM events",
 )
 def running_integral(spark, d):
-    out = H.running_sum(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "integral", 0.5)
+    out = H.running_sum(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "integral", 0.5,
+                        width=EVENT_WIDTH)
     return out.select("event_id", "user_id", present(F.col("integral"), 4).alias("integral"))
 
 
@@ -704,7 +709,8 @@ SELECT user_id, """
     + " FROM p GROUP BY user_id",
 )
 def percent_slices(spark, d):
-    out = H.percent_slice_means(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", [0.1, 0.25, 0.5])
+    out = H.percent_slice_means(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", [0.1, 0.25, 0.5],
+                                width=EVENT_WIDTH)
     return out.select("user_id", *[present(F.col(c)).alias(c) for c in out.columns if c != "user_id"])
 
 
@@ -720,7 +726,7 @@ GROUP BY user_id, window_id
 """,
 )
 def fixed_windows(spark, d):
-    out = H.fixed_windows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 16, 8)
+    out = H.fixed_windows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 16, 8, width=EVENT_WIDTH)
     return out.groupBy("user_id", "window_id").agg(F.count(F.lit(1)).alias("n_samples"))
 
 

@@ -59,6 +59,13 @@ def rsql(expr: str, alias: str, digits: int = 6) -> str:
 # stand-in series
 # --------------------------------------------------------------------------
 
+# Chunk widths of the segmented series (units of the leading order column):
+# records are processed chunk by chunk, so one very long recording is spread
+# over many tasks.  Results do not depend on the width.
+TAP_WIDTH = 2 * 86400.0     # seconds of tapping time
+WALK_WIDTH = 60 * 86400.0   # seconds of ship date
+TREMOR_WIDTH = 16.0         # samples
+
 BUTTON = "CASE event_type WHEN 'click' THEN 'left' WHEN 'view' THEN 'right' ELSE 'none' END"
 
 
@@ -95,9 +102,9 @@ TAP_SERIES_DUCK = (
 def tap_series(spark, d) -> DataFrame:
     """Long frame (record_id, series, event_id, ts, v) of TapInter, DriftLeft, DriftRight."""
     tp = taps(spark, d)
-    inter = SR.tap_intervals(tp, ["record_id"], TAP_ORDER, "t", "v").select(
+    inter = SR.tap_intervals(tp, ["record_id"], TAP_ORDER, "t", "v", width=TAP_WIDTH).select(
         "record_id", F.lit("TapInter").alias("series"), "event_id", "ts", "v")
-    drift = SR.button_drift(tp, ["record_id"], TAP_ORDER, "button", "x", "y", "v").select(
+    drift = SR.button_drift(tp, ["record_id"], TAP_ORDER, "button", "x", "y", "v", width=TAP_WIDTH).select(
         "record_id",
         F.when(F.col("button") == "left", "DriftLeft").otherwise("DriftRight").alias("series"),
         "event_id", "ts", "v",
@@ -134,7 +141,7 @@ WALK_LONG_DUCK = (
 
 def walk_axes(spark, d) -> DataFrame:
     w = walk(spark, d).withColumn("AA", SR.magnitude(["X", "Y", "Z"]))
-    return SR.with_jerk(w, ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ")
+    return SR.with_jerk(w, ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ", width=WALK_WIDTH)
 
 
 def walk_long(spark, d) -> DataFrame:
@@ -174,12 +181,12 @@ TREMOR_LONG_DUCK = (
 
 
 def tremor_axes(spark, d) -> DataFrame:
-    return SR.derived_axes(tremor(spark, d), ["vec_id"], ["i"], "ua", FS)
+    return SR.derived_axes(tremor(spark, d), ["vec_id"], ["i"], "ua", FS, width=TREMOR_WIDTH)
 
 
 def tremor_long(spark, d) -> DataFrame:
     """(vec_id, label, window_id, i, axis, v): derived axes cut into 32-sample windows, 50 % overlap."""
-    win = fixed_windows(tremor_axes(spark, d), ["vec_id"], ["i"], WIN, STEP)
+    win = fixed_windows(tremor_axes(spark, d), ["vec_id"], ["i"], WIN, STEP, width=TREMOR_WIDTH)
     long = unpivot(win, ["vec_id", "label", "window_id", "i"], ["ua", "uv", "ud", "uj"], "axis", "v")
     return long.where(F.col("v").isNotNull())
 
@@ -299,19 +306,19 @@ def avg_acceleration(spark, d):
     f"SELECT record_id, l_orderkey, l_linenumber, l_partkey, {rsql('AJ', 'AJ')} FROM ({WALK_AXES_DUCK})",
 )
 def avg_jerk(spark, d):
-    w = SR.with_jerk(walk(spark, d), ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ")
+    w = SR.with_jerk(walk(spark, d), ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ", width=WALK_WIDTH)
     return rounded(w.select("record_id", "l_orderkey", "l_linenumber", "l_partkey", "AJ"), ["record_id"])
 
 
 @query("tap_interval", f"SELECT record_id, event_id, {rsql('v', 'interval', 4)} FROM ({TAPINTER_DUCK})")
 def tap_interval(spark, d):
-    out = SR.tap_intervals(taps(spark, d), ["record_id"], TAP_ORDER, "t", "interval")
+    out = SR.tap_intervals(taps(spark, d), ["record_id"], TAP_ORDER, "t", "interval", width=TAP_WIDTH)
     return rounded(out.select("record_id", "event_id", "interval"), ["record_id"], 4)
 
 
 @query("button_drift", f"SELECT record_id, event_id, button, {rsql('v', 'drift')} FROM ({DRIFT_DUCK})")
 def button_drift(spark, d):
-    out = SR.button_drift(taps(spark, d), ["record_id"], TAP_ORDER, "button", "x", "y", "drift")
+    out = SR.button_drift(taps(spark, d), ["record_id"], TAP_ORDER, "button", "x", "y", "drift", width=TAP_WIDTH)
     return rounded(out.select("record_id", "event_id", "button", "drift"), ["record_id"])
 
 
@@ -338,7 +345,7 @@ SELECT record_id, lag, {rsql('CASE WHEN s0 <> 0 THEN s / s0 END', 'acf')} FROM (
 """,
 )
 def acf_series(spark, d):
-    out = SR.acf_series(taps(spark, d), ["record_id"], TAP_ORDER, "x", 3)
+    out = SR.acf_series(taps(spark, d), ["record_id"], TAP_ORDER, "x", 3, width=TAP_WIDTH)
     return out.select("record_id", F.col("lag").cast("bigint").alias("lag"), present(F.col("acf")).alias("acf"))
 
 
@@ -414,7 +421,7 @@ JOIN ({sql_order_stats(TAP_SERIES_DUCK, 'record_id, series', 'ts, event_id')}) o
 def tap_basic_stats(spark, d):
     s = tap_series(spark, d)
     keys = ["record_id", "series"]
-    st = FT.series_stats(s, keys, TAP_ORDER)
+    st = FT.series_stats(s, keys, TAP_ORDER, width=TAP_WIDTH)
     cols = ["n", "mean", "sd", "skew", "kur", "min", "max", "range", "cv", "median", "iqr", "mad"]
     return rounded(st.select(*keys, *cols), keys)
 
@@ -426,7 +433,7 @@ def tap_basic_stats(spark, d):
 )
 def tap_tkeo(spark, d):
     s = tap_series(spark, d).where(F.col("series") == "TapInter")
-    return rounded(FT.order_stats(s, ["record_id"], TAP_ORDER).select("record_id", "tkeo"), ["record_id"])
+    return rounded(FT.order_stats(s, ["record_id"], TAP_ORDER, width=TAP_WIDTH).select("record_id", "tkeo"), ["record_id"])
 
 
 @query(
@@ -436,7 +443,7 @@ def tap_tkeo(spark, d):
 )
 def tap_autocorr(spark, d):
     s = tap_series(spark, d).where(F.col("series") == "TapInter")
-    o = FT.order_stats(s, ["record_id"], TAP_ORDER)
+    o = FT.order_stats(s, ["record_id"], TAP_ORDER, width=TAP_WIDTH)
     return rounded(o.select("record_id", F.col("acf1").alias("ar1"), F.col("acf2").alias("ar2")), ["record_id"])
 
 
@@ -454,7 +461,7 @@ SELECT record_id, """
 )
 def tap_fatigue(spark, d):
     s = tap_series(spark, d).where(F.col("series") == "TapInter")
-    return rounded(FT.fatigue(s, ["record_id"], TAP_ORDER), ["record_id"], 4)
+    return rounded(FT.fatigue(s, ["record_id"], TAP_ORDER, width=TAP_WIDTH), ["record_id"], 4)
 
 
 @query(
@@ -508,13 +515,13 @@ def walk_quantiles(spark, d):
     f"SELECT record_id, axis, acf1 AS acf, zcr, tkeo FROM ({sql_order_stats(WALK_LONG_DUCK + ' WHERE v IS NOT NULL', W_KEYS_SQL, WALK_ORDER_SQL)})",
 )
 def walk_acf_zcr(spark, d):
-    o = FT.order_stats(walk_long(spark, d), W_KEYS, WALK_ORDER)
+    o = FT.order_stats(walk_long(spark, d), W_KEYS, WALK_ORDER, width=WALK_WIDTH)
     return rounded(o.select(*W_KEYS, F.col("acf1").alias("acf"), "zcr", "tkeo"), W_KEYS)
 
 
 @query("walk_dfa", sql_dfa(WALK_LONG_DUCK + " WHERE v IS NOT NULL", W_KEYS_SQL, WALK_ORDER_SQL))
 def walk_dfa(spark, d):
-    return rounded(dfa(walk_long(spark, d), W_KEYS, WALK_ORDER), W_KEYS)
+    return rounded(dfa(walk_long(spark, d), W_KEYS, WALK_ORDER, width=WALK_WIDTH), W_KEYS)
 
 
 LS_GRID = (0.01, 0.5, 50)
@@ -565,8 +572,8 @@ JOIN ({sql_lomb(AA_DUCK, 'record_id', *LS_GRID)}) ls USING (record_id)
 def rest_features(spark, d):
     aa = walk_axes(spark, d).select("record_id", *WALK_ORDER, "t", F.col("AA").alias("v"))
     k = ["record_id"]
-    st = FT.series_stats(aa, k, WALK_ORDER)
-    f = dfa(aa, k, WALK_ORDER)
+    st = FT.series_stats(aa, k, WALK_ORDER, width=WALK_WIDTH)
+    f = dfa(aa, k, WALK_ORDER, width=WALK_WIDTH)
     tt = aa.groupBy("record_id").agg(
         (F.max_by("t", F.struct(F.col("v"), -F.col("t"))) - F.min("t")).alias("turningTime"))
     ls = lomb_scargle_peak(aa, k, "t", "v", *LS_GRID)
@@ -603,10 +610,15 @@ FROM dd GROUP BY record_id
 )
 def rest_displacement(spark, d):
     """Box volume of the double-integrated X/Y/Z (dVol) and of its first differences (ddVol)."""
-    w = walk(spark, d)
-    for a in ("X", "Y", "Z"):
-        w = SR.derived_axes(w.withColumnRenamed(a, f"{a}_a"), ["record_id"], WALK_ORDER, f"{a}_a", 1.0, prefix=f"{a}_")
-        w = w.withColumn(f"{a}_dd", F.col(f"{a}_d") - F.lag(f"{a}_d").over(SR._w(["record_id"], WALK_ORDER)))
+    from curatio.operators.segmented import segmented
+
+    # displacement = double running sum / fs^2; its first difference is the
+    # velocity / fs (NULL at the first sample), so one segmented pass serves both
+    axes = ("X", "Y", "Z")
+    w = segmented(walk(spark, d), ["record_id"], WALK_ORDER, WALK_WIDTH, position="pos",
+                  running={a: f"{a}_v" for a in axes}, running2={a: f"{a}_d" for a in axes})
+    for a in axes:
+        w = w.withColumn(f"{a}_dd", F.when(F.col("pos") > 0, F.col(f"{a}_v")))
 
     def vol(suffix):
         out = None

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.segmented import segmented
 
 
 def _keys(keys: Sequence[str]) -> list[Column]:
@@ -56,15 +57,14 @@ def _quantile_cols() -> list[Column]:
     return [q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), (q[2] - q[0]).alias("iqr")]
 
 
-def _ordered_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str, fs: float) -> DataFrame:
-    """Per-sample lag/lead terms; one window pass (one exchange + sort)."""
-    part = Window.partitionBy(*_keys(keys))
-    w = part.orderBy(*[as_col(o) for o in order])
+def _ordered_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str, fs: float,
+                   width: float | None = None) -> DataFrame:
+    """Per-sample lag/lead terms from one segmented pass (skew-safe with a width)."""
+    s = segmented(df, keys, order, width, means={v: "m__"}, lags={v: [1, 2]}, leads={v: [1, 2]})
     x = as_col(v)
-    m = F.avg(x).over(part)
-    prev, nxt, nxt2 = F.lag(x).over(w), F.lead(x).over(w), F.lead(x, 2).over(w)
-    prev2 = F.lag(x, 2).over(w)
-    return df.select(
+    m = F.col("m__")
+    prev, nxt, nxt2, prev2 = F.col(f"lag1_{v}"), F.col(f"lead1_{v}"), F.col(f"lead2_{v}"), F.col(f"lag2_{v}")
+    return s.select(
         *_keys(keys),
         (x - m).alias("c"),
         (prev - m).alias("cp"),
@@ -101,6 +101,7 @@ def series_stats(
     v: str = "v",
     fs: float = 1.0,
     groups: Sequence[str] = ("moments", "quantiles", "ordered"),
+    width: float | None = None,
 ) -> DataFrame:
     """All requested statistics of every series in one aggregation.
 
@@ -126,7 +127,7 @@ def series_stats(
     if "ordered" in want:
         if not order:
             raise ValueError("ordered statistics need an order")
-        base, x = _ordered_frame(df, keys, order, v, fs), F.col("x")
+        base, x = _ordered_frame(df, keys, order, v, fs, width), F.col("x")
     else:
         base, x = df, as_col(v)
     aggs: list[Column] = []
@@ -152,16 +153,16 @@ def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFram
 
 
 def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
-                fs: float = 1.0) -> DataFrame:
-    return series_stats(df, keys, order, v, fs, groups=("ordered",))
+                fs: float = 1.0, width: float | None = None) -> DataFrame:
+    return series_stats(df, keys, order, v, fs, groups=("ordered",), width=width)
 
 
 def fatigue(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
-            fractions: Sequence[float] = (0.1, 0.25, 0.5)) -> DataFrame:
+            fractions: Sequence[float] = (0.1, 0.25, 0.5), width: float | None = None) -> DataFrame:
     """mean(first p%) - mean(last p%) with ``ceil(n p)`` samples each."""
     from curatio.operators.windows import percent_slice_means
 
-    s = percent_slice_means(df, keys, order, v, fractions)
+    s = percent_slice_means(df, keys, order, v, fractions, width)
     cols = []
     for p in fractions:
         tag = int(round(p * 100))

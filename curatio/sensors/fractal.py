@@ -4,7 +4,8 @@ Peng et al. (1994): integrate the mean-centred series, cut it into boxes
 of size n, remove a least-squares line per box, take the RMS residual F(n);
 the scaling exponent is the slope of log F(n) against log n.
 
-Plan: running sum over the record window (one sort) -> explode the box
+Plan: positions and the running sum from the segmented series primitive
+(skew-safe with a chunk width) -> explode the box
 sizes (at most log2(N/8) copies per sample) -> per (record, n, box)
 ``regr_syy - regr_sxy^2 / regr_sxx`` (algebraic, partial aggregation) ->
 per (record, n) F(n) -> ``regr_slope`` per record.
@@ -22,22 +23,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.segmented import segmented
 
 
 def dfa(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v", min_box: int = 4,
-        out: str = "dfa") -> DataFrame:
-    part = Window.partitionBy(*[as_col(k) for k in keys])
-    w = part.orderBy(*[as_col(o) for o in order])
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out: str = "dfa", width: float | None = None) -> DataFrame:
     x = as_col(v)
-    prof = df.where(x.isNotNull()).select(
-        *[as_col(k) for k in keys],
-        (F.row_number().over(w) - 1).alias("k"),
-        F.count(F.lit(1)).over(part).alias("__len"),
-        (x - F.avg(x).over(part)).alias("__c"),
-        *[as_col(o) for o in order],
-    )
-    prof = prof.withColumn("y", F.sum("__c").over(run))
+    seg = segmented(df.where(x.isNotNull()), keys, order, width, position="k", length="len__",
+                    means={v: "m__"}, running={v: "cum__"})
+    # profile y_k = sum_{j<=k} (x_j - m) = cumsum(x)_k - (k + 1) m
+    prof = seg.select(*[as_col(k) for k in keys], "k", F.col("len__").alias("__len"),
+                      (F.col("cum__") - (F.col("k") + 1) * F.col("m__")).alias("y"))
     # box sizes 2^j with min_box <= 2^j <= N/4
     j_lo = int(min_box).bit_length() - 1
     sizes = F.expr(

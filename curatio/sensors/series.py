@@ -1,8 +1,9 @@
 """Series derivation per recording.
 
-A series is a long frame ``(record keys..., order, value columns)``.  All
-window functions of one record share ``partitionBy(record).orderBy(order)``
-so Spark plans one exchange + sort for the whole derivation.
+A series is a long frame ``(record keys..., order, value columns)``.  Every
+derivation goes through ``curatio.operators.segmented``: with a chunk
+``width`` the record is processed chunk by chunk (exact, skew-safe); with
+``width=None`` each record is one window partition.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.segmented import segmented
 
 
 def _w(keys: Sequence[str], order: Sequence[str]):
@@ -28,63 +30,64 @@ def magnitude(cols: Sequence[str | Column]) -> Column:
     return F.sqrt(total)
 
 
-def with_jerk(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], out: str = "AJ") -> DataFrame:
+def with_jerk(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], out: str = "AJ",
+              width: float | None = None) -> DataFrame:
     """Average jerk ``AJ = sqrt(dX^2 + dY^2 + dZ^2)``; NULL at the first sample."""
-    w = _w(keys, order)
-    diffs = [as_col(c) - F.lag(as_col(c)).over(w) for c in cols]
-    return df.withColumn(out, magnitude(diffs))
+    s = segmented(df, keys, order, width, lags={c: [1] for c in cols})
+    diffs = [as_col(c) - F.col(f"lag1_{c}") for c in cols]
+    return s.withColumn(out, magnitude(diffs)).drop(*[f"lag1_{c}" for c in cols])
 
 
 def tap_intervals(taps: DataFrame, keys: Sequence[str], order: Sequence[str], t: str = "t",
-                  out: str = "interval") -> DataFrame:
+                  out: str = "interval", width: float | None = None) -> DataFrame:
     """Time between successive taps of a record (N3); the first tap has none."""
-    w = _w(keys, order)
-    return taps.withColumn(out, as_col(t) - F.lag(as_col(t)).over(w)).where(F.col(out).isNotNull())
+    s = segmented(taps, keys, order, width, lags={t: [1]})
+    return s.withColumn(out, as_col(t) - F.col(f"lag1_{t}")).drop(f"lag1_{t}").where(F.col(out).isNotNull())
 
 
 def button_drift(taps: DataFrame, keys: Sequence[str], order: Sequence[str], button: str = "button",
-                 x: str = "x", y: str = "y", out: str = "drift") -> DataFrame:
+                 x: str = "x", y: str = "y", out: str = "drift", width: float | None = None) -> DataFrame:
     """Distance between successive hits on the same button (N4, our convention).
 
     Rows: one per hit after the first on each button; hits with no button
     (``'none'``) are not part of any drift series.
     """
-    w = _w([*keys, button], order)
-    dx = as_col(x) - F.lag(as_col(x)).over(w)
-    dy = as_col(y) - F.lag(as_col(y)).over(w)
-    return (
-        taps.where(as_col(button) != F.lit("none"))
-        .withColumn(out, F.sqrt(dx * dx + dy * dy))
-        .where(F.col(out).isNotNull())
-    )
+    hits = taps.where(as_col(button) != F.lit("none"))
+    s = segmented(hits, [*keys, button], order, width, lags={x: [1], y: [1]})
+    dx = as_col(x) - F.col(f"lag1_{x}")
+    dy = as_col(y) - F.col(f"lag1_{y}")
+    return s.withColumn(out, F.sqrt(dx * dx + dy * dy)).drop(f"lag1_{x}", f"lag1_{y}").where(F.col(out).isNotNull())
 
 
 def derived_axes(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, fs: float,
-                 prefix: str = "u") -> DataFrame:
+                 prefix: str = "u", width: float | None = None) -> DataFrame:
     """From acceleration ``ua``: velocity ``uv`` and displacement ``ud`` by running
     sums / fs, jerk ``uj`` = diff x fs (N5).  For a gyroscope series the same
     three give rotational displacement/acceleration (``uad``, ``uaa``)."""
-    w = _w(keys, order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inv = 1.0 / fs
-    out = df.withColumn(f"{prefix}v", F.sum(as_col(value)).over(run) * F.lit(inv))
-    out = out.withColumn(f"{prefix}d", F.sum(F.col(f"{prefix}v")).over(run) * F.lit(inv))
-    return out.withColumn(f"{prefix}j", (as_col(value) - F.lag(as_col(value)).over(w)) * F.lit(fs))
+    s = segmented(df, keys, order, width, running={value: "cum__"}, running2={value: "cum2__"}, lags={value: [1]})
+    return s.select(
+        *[n for n in s.columns if n not in ("cum__", "cum2__", f"lag1_{value}")],
+        (F.col("cum__") * F.lit(inv)).alias(f"{prefix}v"),
+        (F.col("cum2__") * F.lit(inv * inv)).alias(f"{prefix}d"),
+        ((as_col(value) - F.col(f"lag1_{value}")) * F.lit(fs)).alias(f"{prefix}j"),
+    )
 
 
 def acf_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, max_lag: int,
-               out: str = "acf") -> DataFrame:
+               out: str = "acf", width: float | None = None) -> DataFrame:
     """Autocorrelation function for lags 0..max_lag.
 
     ``acf(k) = sum_i (x_i - m)(x_{i+k} - m) / sum_i (x_i - m)^2`` with the
     series mean ``m`` (biased estimator).  Rows ``(keys..., lag, acf)``.
     NULL for a constant series.
     """
-    w = _w(keys, order)
-    m = F.avg(as_col(value)).over(Window.partitionBy(*[as_col(k) for k in keys]))
-    base = df.select(*[as_col(k) for k in keys], (as_col(value) - m).alias("__c"), *[as_col(o) for o in order])
-    leads = [F.lead("__c", k).over(w).alias(f"__l{k}") for k in range(1, max_lag + 1)]
-    wide = base.select(*[as_col(k) for k in keys], "__c", *leads)
+    s = segmented(df, keys, order, width, means={value: "m__"}, leads={value: list(range(1, max_lag + 1))})
+    m = F.col("m__")
+    wide = s.select(
+        *[as_col(k) for k in keys], (as_col(value) - m).alias("__c"),
+        *[(F.col(f"lead{k}_{value}") - m).alias(f"__l{k}") for k in range(1, max_lag + 1)],
+    )
     sums = [F.sum(F.col("__c") * F.col("__c")).alias("__s0")] + [
         F.sum(F.col("__c") * F.col(f"__l{k}")).alias(f"__s{k}") for k in range(1, max_lag + 1)
     ]
