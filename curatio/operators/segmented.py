@@ -84,11 +84,13 @@ def segmented(
     L = max([max(v) for v in leads.values() if v] or [0])
     halo_cols = sorted(set(lags) | set(leads))
     kc = [as_col(k) for k in keys]
-    reserved = {"__chunk", "__ic", "__cn", "__off", "__len", "__before", "__after", "__bnd"}
+    reserved = {"__chunk", "__ic", "__cn", "__off", "__len", "__halo", "__bnd"}
     clash = reserved & set(df.columns)
     if clash:
         raise ValueError(f"input uses reserved column names {sorted(clash)}")
     sums = sorted(set(running) | set(running2))
+    if width is None:
+        return _whole_record(df, kc, order, position, length, lags, leads, running, running2, means)
 
     d = df.withColumn("__chunk", chunk_of(df, order[0], width))
     wc = Window.partitionBy(*kc, "__chunk").orderBy(*[as_col(o) for o in order])
@@ -108,7 +110,8 @@ def segmented(
     for col in running2:
         d = d.withColumn(f"__wq_{col}", F.sum(ic * F.coalesce(as_col(col), F.lit(0.0))).over(run))
 
-    # one aggregation per chunk: counts, sums, and the chunk's boundary rows
+    # one aggregation per chunk (same partitioning as the window, no exchange):
+    # counts, sums, and the chunk's first L / last K rows
     aggs = [F.count(F.lit(1)).alias("__n_c")]
     for col in sums:
         aggs += [F.sum(as_col(col)).alias(f"__s_{col}"), F.count(as_col(col)).alias(f"__sn_{col}")]
@@ -121,6 +124,8 @@ def segmented(
         row = F.struct(ic.alias("ic"), *[as_col(c).alias(c) for c in halo_cols])
         aggs.append(F.collect_list(F.when(edge, row)).alias("__bnd"))
     summ = d.groupBy(*kc, "__chunk").agg(*aggs)
+
+    # windows over the chunks of a record (small table, one exchange)
     wr = Window.partitionBy(*kc).orderBy("__chunk")
     before = wr.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*kc)
@@ -138,51 +143,34 @@ def segmented(
         summ = summ.withColumn(out, F.try_divide(F.sum(f"__ms_{col}").over(whole), F.sum(f"__mn_{col}").over(whole)))
     info_cols = ["__off", "__len", *[f"__so_{c}" for c in sums], *[f"__son_{c}" for c in sums],
                  *[f"__qo_{c}" for c in running2], *means.values()]
-    info = summ.select(*kc, "__chunk", *info_cols)
-
-    # halo: the K rows before and L rows after every chunk, found by global position
     if halo_cols and (K or L):
-        boundary = summ.select(*kc, "__off", F.explode("__bnd").alias("__b")).select(
-            *kc, (F.col("__off") + F.col("__b.ic")).alias("__p"),
-            *[F.col("__b")[c].alias(f"__h_{c}") for c in halo_cols],
-        )
-        need = []
-        if K:
-            need.append(
-                summ.select(*kc, "__chunk", F.lit("b").alias("__side"),
-                            F.explode(F.sequence(F.lit(1), F.lit(K))).alias("__r"), "__off")
-                .withColumn("__p", F.col("__off") - F.col("__r"))
-                .where(F.col("__p") >= 0)
-                .drop("__off")
-            )
-        if L:
-            need.append(
-                summ.select(*kc, "__chunk", F.lit("a").alias("__side"),
-                            F.explode(F.sequence(F.lit(1), F.lit(L))).alias("__r"), "__off", "__n_c", "__len")
-                .withColumn("__p", F.col("__off") + F.col("__n_c") + F.col("__r") - 1)
-                .where(F.col("__p") < F.col("__len"))
-                .drop("__off", "__n_c", "__len")
-            )
-        wanted = need[0] if len(need) == 1 else need[0].unionByName(need[1])
-        halo_rows = wanted.join(boundary, [*keys, "__p"])
-        val = F.struct(*[F.col(f"__h_{c}").alias(c) for c in halo_cols])
-        halo = halo_rows.groupBy(*kc, "__chunk").agg(
-            F.map_from_entries(F.collect_list(F.when(F.col("__side") == "b", F.struct("__r", val)))).alias("__before"),
-            F.map_from_entries(F.collect_list(F.when(F.col("__side") == "a", F.struct("__r", val)))).alias("__after"),
+        # Halo: the K rows before a chunk lie in its K preceding non-empty
+        # chunks (each holds >= 1 row) and are among their last K rows; the L
+        # rows after it likewise among the first L rows of the next L chunks.
+        # Boundary rows carry their global position; one map per chunk.
+        glob = F.transform("__bnd", lambda r: F.struct((r["ic"] + F.col("__off")).alias("p"), r.alias("r")))
+        summ = summ.withColumn("__bnd", glob)
+        near = wr.rowsBetween(-K if K else 0, L if L else 0)
+        summ = summ.withColumn(
+            "__halo",
+            F.map_from_entries(F.transform(F.flatten(F.collect_list("__bnd").over(near)),
+                                           lambda e: F.struct(e["p"], e["r"]))),
         )
-        info = info.join(halo, [*keys, "__chunk"], "left")
+        info_cols.append("__halo")
+    info = summ.select(*kc, "__chunk", *info_cols)
 
+    # back onto the rows: join on (record, chunk), the window's partitioning
     d = d.join(info, [*keys, "__chunk"], "left")
     new: dict[str, Column] = {}
+    pos = F.col("__off") + ic
     for col, ks in lags.items():
         for k in ks:
-            far = F.col("__before")[(F.lit(k) - ic).cast("int")][col] if (halo_cols and K) else F.lit(None)
+            far = F.col("__halo")[pos - F.lit(k)][col]
             new[f"lag{k}_{col}"] = F.when(ic >= F.lit(k), F.col(f"__wl{k}_{col}")).otherwise(far)
     for col, ks in leads.items():
         for k in ks:
-            far = F.col("__after")[(ic + F.lit(k) - F.col("__cn") + 1).cast("int")][col] if (halo_cols and L) else F.lit(None)
+            far = F.col("__halo")[pos + F.lit(k)][col]
             new[f"lead{k}_{col}"] = F.when(ic + F.lit(k) < F.col("__cn"), F.col(f"__wd{k}_{col}")).otherwise(far)
-    pos = F.col("__off") + ic
     for col in sums:
         total = F.coalesce(F.col(f"__wr_{col}"), F.lit(0.0)) + F.col(f"__so_{col}")
         seen = F.col(f"__wrn_{col}") + F.col(f"__son_{col}")
@@ -201,3 +189,32 @@ def segmented(
                                                                   "__son_", "__qo_"))}
     keep_out = set(new) | set(means.values())
     return d.drop(*[n for n in d.columns if n in internal and n not in keep_out and n not in df.columns])
+
+
+def _whole_record(df, kc, order, position, length, lags, leads, running, running2, means) -> DataFrame:
+    """``width=None``: every record is one window partition (one exchange + sort)."""
+    w = Window.partitionBy(*kc).orderBy(*[as_col(o) for o in order])
+    part = Window.partitionBy(*kc)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new: dict[str, Column] = {}
+    for col, ks in lags.items():
+        for k in ks:
+            new[f"lag{k}_{col}"] = F.lag(as_col(col), k).over(w)
+    for col, ks in leads.items():
+        for k in ks:
+            new[f"lead{k}_{col}"] = F.lead(as_col(col), k).over(w)
+    for col, out in running.items():
+        new[out] = F.sum(as_col(col)).over(run)
+    for col, out in means.items():
+        new[out] = F.avg(as_col(col)).over(part)
+    if position:
+        new[position] = F.row_number().over(w) - 1
+    if length:
+        new[length] = F.count(F.lit(1)).over(part)
+    out = df.withColumns(new) if new else df
+    if running2:
+        tmp = {col: f"__r1_{col}" for col in running2}
+        out = out.withColumns({t: F.sum(F.coalesce(as_col(c), F.lit(0.0))).over(run) for c, t in tmp.items()})
+        out = out.withColumns({o: F.sum(F.col(tmp[c])).over(run) for c, o in running2.items()})
+        out = out.drop(*tmp.values())
+    return out

@@ -11,6 +11,7 @@ them to double quotes for DuckDB.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +25,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_REGISTERED: dict[tuple[str, str], str] = {}
+
+
 def register(spark: SparkSession, sf_dir: str, names=None) -> None:
-    """Register test tables as temp views (names as the oracle sees them)."""
+    """Register test tables as temp views (names as the oracle sees them).
+
+    A view is re-created only when it points at another folder, so repeated
+    stand-ins do not re-read Parquet footers.
+    """
+    app = spark.sparkContext.applicationId
     for n in names or TABLES:
+        if _REGISTERED.get((app, n)) == sf_dir and spark.catalog.tableExists(n):
+            continue
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+        _REGISTERED[(app, n)] = sf_dir
+
+
+def referenced(sql: str) -> list[str]:
+    """Test tables named in a SQL text."""
+    return [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
 
 
 def standin(spark: SparkSession, sf_dir: str, sql: str, names=None) -> DataFrame:
-    register(spark, sf_dir, names)
+    register(spark, sf_dir, names or referenced(sql))
     return spark.sql(sql)
 
 
