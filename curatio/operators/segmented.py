@@ -60,6 +60,7 @@ def segmented(
     running: Mapping[str, str] | None = None,
     running2: Mapping[str, str] | None = None,
     means: Mapping[str, str] | None = None,
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add series columns to ``df`` (one row per sample, ``order`` unique per record).
 
@@ -72,7 +73,8 @@ def segmented(
     * ``running2``: ``{column: out}`` running sum of the running sum,
       ``sum_{j<=k} (k - j + 1) x_j`` (NULL counted as 0; the column should
       have no NULLs), from the same pass;
-    * ``means``: ``{column: out}`` record mean of the non-NULL values.
+    * ``means``: ``{column: out}`` record mean of the non-NULL values;
+    * ``totals``: ``{column: out}`` record sum of the column.
 
     ``df`` is referenced twice in the plan (per-chunk summary, final join),
     so nesting calls grows the plan as 2^depth: request everything a series
@@ -80,6 +82,7 @@ def segmented(
     """
     lags, leads = dict(lags or {}), dict(leads or {})
     running, running2, means = dict(running or {}), dict(running2 or {}), dict(means or {})
+    totals = dict(totals or {})
     K = max([max(v) for v in lags.values() if v] or [0])
     L = max([max(v) for v in leads.values() if v] or [0])
     halo_cols = sorted(set(lags) | set(leads))
@@ -90,7 +93,7 @@ def segmented(
         raise ValueError(f"input uses reserved column names {sorted(clash)}")
     sums = sorted(set(running) | set(running2))
     if width is None:
-        return _whole_record(df, kc, order, position, length, lags, leads, running, running2, means)
+        return _whole_record(df, kc, order, position, length, lags, leads, running, running2, means, totals)
 
     d = df.withColumn("__chunk", chunk_of(df, order[0], width))
     wc = Window.partitionBy(*kc, "__chunk").orderBy(*[as_col(o) for o in order])
@@ -119,6 +122,8 @@ def segmented(
         aggs += [F.sum(ic * F.coalesce(as_col(col), F.lit(0.0))).alias(f"__q_{col}")]
     for col in means:
         aggs += [F.sum(as_col(col)).alias(f"__ms_{col}"), F.count(as_col(col)).alias(f"__mn_{col}")]
+    for col in totals:
+        aggs += [F.sum(as_col(col)).alias(f"__ts_{col}")]
     if halo_cols and (K or L):
         edge = (ic >= F.col("__cn") - F.lit(K)) | (ic < F.lit(L))
         row = F.struct(ic.alias("ic"), *[as_col(c).alias(c) for c in halo_cols])
@@ -141,8 +146,10 @@ def segmented(
         summ = summ.withColumn(f"__qo_{col}", F.coalesce(F.sum(f"__jx_{col}").over(before), F.lit(0.0)))
     for col, out in means.items():
         summ = summ.withColumn(out, F.try_divide(F.sum(f"__ms_{col}").over(whole), F.sum(f"__mn_{col}").over(whole)))
+    for col, out in totals.items():
+        summ = summ.withColumn(out, F.sum(f"__ts_{col}").over(whole))
     info_cols = ["__off", "__len", *[f"__so_{c}" for c in sums], *[f"__son_{c}" for c in sums],
-                 *[f"__qo_{c}" for c in running2], *means.values()]
+                 *[f"__qo_{c}" for c in running2], *means.values(), *totals.values()]
     if halo_cols and (K or L):
         # Halo: the K rows before a chunk lie in its K preceding non-empty
         # chunks (each holds >= 1 row) and are among their last K rows; the L
@@ -187,11 +194,11 @@ def segmented(
     d = d.withColumns(new)
     internal = reserved | {c for c in d.columns if c.startswith(("__wl", "__wd", "__wr_", "__wrn_", "__wq_", "__so_",
                                                                   "__son_", "__qo_"))}
-    keep_out = set(new) | set(means.values())
+    keep_out = set(new) | set(means.values()) | set(totals.values())
     return d.drop(*[n for n in d.columns if n in internal and n not in keep_out and n not in df.columns])
 
 
-def _whole_record(df, kc, order, position, length, lags, leads, running, running2, means) -> DataFrame:
+def _whole_record(df, kc, order, position, length, lags, leads, running, running2, means, totals) -> DataFrame:
     """``width=None``: every record is one window partition (one exchange + sort)."""
     w = Window.partitionBy(*kc).orderBy(*[as_col(o) for o in order])
     part = Window.partitionBy(*kc)
@@ -207,6 +214,8 @@ def _whole_record(df, kc, order, position, length, lags, leads, running, running
         new[out] = F.sum(as_col(col)).over(run)
     for col, out in means.items():
         new[out] = F.avg(as_col(col)).over(part)
+    for col, out in totals.items():
+        new[out] = F.sum(as_col(col)).over(part)
     if position:
         new[position] = F.row_number().over(w) - 1
     if length:

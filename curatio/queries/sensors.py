@@ -65,6 +65,10 @@ def rsql(expr: str, alias: str, digits: int = 6) -> str:
 TAP_WIDTH = 2 * 86400.0     # seconds of tapping time
 WALK_WIDTH = 60 * 86400.0   # seconds of ship date
 TREMOR_WIDTH = 16.0         # samples
+# Value-range chunk widths of the skew-safe quantile histograms (value units).
+TAP_VALUE_WIDTH = 1000.0
+WALK_VALUE_WIDTH = 1.0
+ROLLUP_VALUE_WIDTH = 1.0
 
 BUTTON = "CASE event_type WHEN 'click' THEN 'left' WHEN 'view' THEN 'right' ELSE 'none' END"
 
@@ -421,7 +425,7 @@ JOIN ({sql_order_stats(TAP_SERIES_DUCK, 'record_id, series', 'ts, event_id')}) o
 def tap_basic_stats(spark, d):
     s = tap_series(spark, d)
     keys = ["record_id", "series"]
-    st = FT.series_stats(s, keys, TAP_ORDER, width=TAP_WIDTH)
+    st = FT.series_stats(s, keys, TAP_ORDER, width=TAP_WIDTH, value_width=TAP_VALUE_WIDTH)
     cols = ["n", "mean", "sd", "skew", "kur", "min", "max", "range", "cv", "median", "iqr", "mad"]
     return rounded(st.select(*keys, *cols), keys)
 
@@ -507,7 +511,7 @@ def walk_moments(spark, d):
 
 @query("walk_quantiles", sql_quantiles(WALK_LONG_DUCK + " WHERE v IS NOT NULL", W_KEYS_SQL))
 def walk_quantiles(spark, d):
-    return rounded(FT.quantile_stats(walk_long(spark, d), W_KEYS), W_KEYS)
+    return rounded(FT.quantile_stats(walk_long(spark, d), W_KEYS, value_width=WALK_VALUE_WIDTH), W_KEYS)
 
 
 @query(
@@ -572,7 +576,7 @@ JOIN ({sql_lomb(AA_DUCK, 'record_id', *LS_GRID)}) ls USING (record_id)
 def rest_features(spark, d):
     aa = walk_axes(spark, d).select("record_id", *WALK_ORDER, "t", F.col("AA").alias("v"))
     k = ["record_id"]
-    st = FT.series_stats(aa, k, WALK_ORDER, width=WALK_WIDTH)
+    st = FT.series_stats(aa, k, WALK_ORDER, width=WALK_WIDTH, value_width=WALK_VALUE_WIDTH)
     f = dfa(aa, k, WALK_ORDER, width=WALK_WIDTH)
     tt = aa.groupBy("record_id").agg(
         (F.max_by("t", F.struct(F.col("v"), -F.col("t"))) - F.min("t")).alias("turningTime"))
@@ -766,9 +770,13 @@ FROM (SELECT label, axis, feature, stat, list(value ORDER BY value) AS l
 )
 def individual_rollup(spark, d):
     """Per individual (label): median and IQR of each record-level feature across records."""
+    from curatio.operators.quantiles import group_quantiles
+
     rr = unpivot(record_rollup_df(spark, d), ["vec_id", "label", "axis", "feature"], ["md", "iqr"], "stat", "value")
-    q = rr.groupBy("label", "axis", "feature", "stat").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("q"))
-    out = q.select("label", "axis", "feature", "stat", F.col("q")[1].alias("MD"), (F.col("q")[2] - F.col("q")[0]).alias("IQR"))
+    # an individual may own a large share of all records: skew-safe histogram quantiles
+    q = group_quantiles(rr, ["label", "axis", "feature", "stat"], "value", [0.25, 0.5, 0.75], ["q1", "MD", "q3"],
+                        ROLLUP_VALUE_WIDTH, mode=None)
+    out = q.select("label", "axis", "feature", "stat", "MD", (F.col("q3") - F.col("q1")).alias("IQR"))
     return rounded(out, ["label", "axis", "feature", "stat"])
 
 

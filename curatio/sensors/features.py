@@ -102,6 +102,7 @@ def series_stats(
     fs: float = 1.0,
     groups: Sequence[str] = ("moments", "quantiles", "ordered"),
     width: float | None = None,
+    value_width: float | None = None,
 ) -> DataFrame:
     """All requested statistics of every series in one aggregation.
 
@@ -122,6 +123,12 @@ def series_stats(
 
     With ``ordered``, the lag terms come from one window pass over the record
     and feed the same aggregate as the other statistics (no join).
+
+    ``width`` chunks the lag pass (time units), ``value_width`` switches the
+    quantiles and mode to the skew-safe histogram path of
+    ``curatio.operators.quantiles`` (value units; joined on the keys).
+    Without ``value_width`` they come from Spark's ``percentile``/``mode``
+    buffers in the same aggregate - fine for groups bounded by construction.
     """
     want = set(groups)
     if "ordered" in want:
@@ -131,16 +138,23 @@ def series_stats(
     else:
         base, x = df, as_col(v)
     aggs: list[Column] = []
+    hist_q = "quantiles" in want and value_width is not None
     if "moments" in want:
         aggs += _moment_aggs(x)
-    if "quantiles" in want:
+    if "quantiles" in want and not hist_q:
         aggs += _quantile_aggs(x)
     if "ordered" in want:
         aggs += _ordered_aggs(fs)
-    out = base.groupBy(*_keys(keys)).agg(*aggs)
-    if "quantiles" in want:
+    out = base.groupBy(*_keys(keys)).agg(*aggs) if aggs else None
+    if "quantiles" in want and not hist_q:
         cols = [n for n in out.columns if n != "__q"]
         out = out.select(*[F.col(n) for n in cols], *_quantile_cols())
+    if hist_q:
+        from curatio.operators.quantiles import group_quantiles
+
+        q = group_quantiles(df, keys, v, [0.25, 0.5, 0.75], ["q1", "median", "q3"], value_width)
+        q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+        out = q if out is None else out.join(q, list(keys), "left")
     return out
 
 
@@ -148,8 +162,8 @@ def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
     return series_stats(df, keys, v=v, groups=("moments",))
 
 
-def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
-    return series_stats(df, keys, v=v, groups=("quantiles",)).select(*keys, *QUANTILES)
+def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v", value_width: float | None = None) -> DataFrame:
+    return series_stats(df, keys, v=v, groups=("quantiles",), value_width=value_width).select(*keys, *QUANTILES)
 
 
 def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",

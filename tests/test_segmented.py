@@ -47,3 +47,16 @@ def test_segmented_equals_plain_windows(data, width):
     a = sorted(key(r) for r in seg.select(*cols).collect())
     b = sorted(key(r) for r in plain(data).select(*cols).collect())
     assert a == b
+
+
+@pytest.mark.parametrize("vw", [None, 0.5, 3.0])
+def test_histogram_quantiles_equal_percentile(spark, vw):
+    from curatio.operators.quantiles import group_quantiles
+
+    df = spark.range(0, 900).selectExpr("CAST(id % 4 AS INT) AS g",
+                                        "CASE WHEN id % 50 = 0 THEN NULL ELSE round(sin(id) * 5, 1) END AS v")
+    q = group_quantiles(df, ["g"], "v", [0.1, 0.25, 0.5, 0.9], ["a", "b", "c", "d"], vw)
+    ref = df.groupBy("g").agg(F.percentile("v", [0.1, 0.25, 0.5, 0.9]).alias("q"), F.mode("v", True).alias("m"))
+    got = {r.g: (r.a, r.b, r.c, r.d, r["mode"]) for r in q.collect()}
+    exp = {r.g: (*r.q, r.m) for r in ref.collect()}
+    assert got == exp
