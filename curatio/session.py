@@ -54,22 +54,55 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     setting is absent (local tests); it is then registered with the
     SparkContext so that ``DataFrame.checkpoint()`` writes there.
     """
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = None
+    try:
+        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        pass
     if not current:
         try:
             current = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             current = None
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        _set_context_dir(spark, current)
         return current
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
+    _set_context_dir(spark, fallback)
+    try:
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    except Exception:  # noqa: BLE001 - static conf in some deployments
+        pass
     return fallback
 
 
+def _set_context_dir(spark: SparkSession, path: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): conf only
+        pass
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:
+    """Settings for a large run, derived from the input volume.
+
+    Shuffle partitions ~ input / 256 MB (at least 2x the cores); AQE then
+    coalesces small partitions and splits skewed ones at runtime, so the
+    number is an upper bound, not a guess to tune per query.  E.g. 100 TB
+    -> the 100k cap, coalesced at runtime.
+    """
+    # capped: beyond ~100k map x reduce statuses the driver, not the data, is the limit
+    parts = min(max(int(input_bytes // target_partition_bytes), 2 * (cores or 1), 1), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     return df.checkpoint(eager=True)

@@ -34,7 +34,10 @@ def register(spark: SparkSession, sf_dir: str, names=None) -> None:
     A view is re-created only when it points at another folder, so repeated
     stand-ins do not re-read Parquet footers.
     """
-    app = spark.sparkContext.applicationId
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        app = str(id(spark))
     for n in names or TABLES:
         if _REGISTERED.get((app, n)) == sf_dir and spark.catalog.tableExists(n):
             continue
