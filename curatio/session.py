@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,6 +105,38 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, cores:
     }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``curatio`` importable in the executors' Python workers.
+
+    The grouped numpy transforms (``applyInPandas``) run library functions on
+    the executors; this zips the package once per application and adds it
+    with ``addPyFile`` (``addArtifacts`` on Spark Connect) - the programmatic
+    form of ``--py-files``.  Idempotent.
+    """
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        app = str(id(spark))
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="curatio-pyfiles-"), "curatio.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    try:
+        spark.sparkContext.addPyFile(out)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     return df.checkpoint(eager=True)
