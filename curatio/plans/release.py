@@ -3,8 +3,13 @@
 scan versions -> standard curate (filters first) -> re-home attachment
 handles of the *released* rows -> choice-answer cells to document handles
 -> typed projection with a conformance check -> write table, payloads and
-one provenance row.  Everything before the writes is one lazy plan; each
-write is an atomic Spark job, so a lost executor only re-runs tasks.
+one provenance row.
+
+When a release writes more than the table (payloads, documents), the
+curated rows are computed once and cut with a reliable ``checkpoint()``
+into the cluster's shared ``spark.checkpoint.dir``, so the input scan and
+anti joins are not repeated per output.  Each write is an atomic Spark job;
+a lost executor only re-runs tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from curatio.operators.columns import HANDLE_KIND, project_to_schema
 from curatio.plans.attachments import choice_documents, release_payloads, rehome, replace_choice_cell, substitute_handles
 from curatio.plans.curate import RAW_COLUMN, TableSpec, curate
 from curatio.plans.publish import append_provenance, provenance_with_count, publish
+from curatio.session import checkpoint_dir
 
 
 @dataclass
@@ -39,10 +45,11 @@ def released_frame(
     attachments: DataFrame | None = None,
     handle_columns: tuple[str, ...] = (),
     target: T.StructType | None = None,
+    curated: DataFrame | None = None,
     **kw,
 ) -> DataFrame:
     """The release table as a lazy DataFrame (no writes)."""
-    out = curate(spec, frames, excluded, withdrew, **kw)
+    out = curated if curated is not None else curate(spec, frames, excluded, withdrew, **kw)
     if attachments is not None and handle_columns:
         out = substitute_handles(out, rehome(attachments), [h for h in handle_columns if h in out.columns])
     for col in spec.json_columns:
@@ -70,7 +77,15 @@ def release(
 ) -> DataFrame:
     """Write the release table, its payloads and its lineage row; return the table as read back."""
     curated = curate(spec, frames, excluded, withdrew, **kw)
-    table = released_frame(spec, frames, excluded, withdrew, attachments, handle_columns, target, **kw)
+    several = (attachments is not None and handle_columns and outputs.payloads) or (
+        spec.json_columns and outputs.documents)
+    if several:
+        try:
+            checkpoint_dir(curated.sparkSession)
+            curated = curated.checkpoint(eager=True)
+        except RuntimeError:
+            pass  # no shared checkpoint folder configured: outputs recompute the plan
+    table = released_frame(spec, frames, excluded, withdrew, attachments, handle_columns, target, curated=curated)
     publish(table, outputs.table)
     if attachments is not None and handle_columns and outputs.payloads:
         used = None

@@ -16,15 +16,20 @@ from curatio.functions.expr import c, half_even
 from curatio.functions.rules import START_DATE
 from curatio.operators.aggregates import strict
 from curatio.operators.filters import since
-from curatio.operators.joins import exclude, left_lookup, retain
+from curatio.operators.joins import exclude, left_lookup, natural_keys, retain
 
 
 def attach_participant(trials: DataFrame, crosswalk: DataFrame, key: str = "externalId",
                        participant: str = "healthCode") -> DataFrame:
-    """``merge(trials, unique(crosswalk), all.x = TRUE)`` (E4): fans out when one
-    external id maps to several participants, keeps trials without a match."""
+    """``merge(trials, unique(crosswalk), all.x = TRUE)``.
+
+    As R's ``merge`` without ``by``, the join uses every column the two share
+    (the external id, plus the participant when the trials carry it too), on
+    NA-matching keys.  Fans out when one external id maps to several
+    participants; trials without a match are kept.
+    """
     cw = crosswalk.select(c(key), c(participant)).distinct()
-    return left_lookup(trials, cw, key)
+    return left_lookup(trials, cw, natural_keys(trials, cw))
 
 
 def block_summary(

@@ -37,3 +37,15 @@ def test_crosswalk_fans_out_and_filters(spark):
     cohort = spark.createDataFrame([("p1",), ("p2",), ("p3",)], "healthCode string")
     out = trial_summary(trials, cw, empty, empty, cohort, start="2017-08-14")
     assert sorted(r.healthCode for r in out.collect()) == ["p1", "p2"]
+
+
+def test_crosswalk_natural_join_when_trials_carry_participant(spark):
+    trials = spark.createDataFrame(
+        [("e1", "p1", "b", T0, "y", 1.0), ("e1", "p9", "b", T0, "y", 1.0)],
+        "externalId string, healthCode string, blockId string, createdOn timestamp, accuracy string, durationMS double",
+    )
+    cw = spark.createDataFrame([("e1", "p1"), ("e1", "p2")], "externalId string, healthCode string")
+    empty = spark.createDataFrame([], "healthCode string")
+    cohort = spark.createDataFrame([("p1",), ("p2",), ("p9",)], "healthCode string")
+    out = trial_summary(trials, cw, empty, empty, cohort, start="2017-08-14")
+    assert sorted((r.healthCode, r.numDigits) for r in out.collect()) == [("p1", 1), ("p9", 1)]
