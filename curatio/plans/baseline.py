@@ -156,7 +156,12 @@ def baseline_characteristics(
     keep_qc: bool = False,
 ) -> DataFrame:
     """The whole P17 job.  ``order`` names a row-order column present in
-    ``demog`` and ``profiles``; ``as_of`` fixes "today" for the year columns."""
+    ``demog`` and ``profiles`` (the table order R sees, e.g. ``ROW_ID``);
+    ``as_of`` fixes "today" for the year columns."""
+    if order != "__seq":
+        demog = demog.withColumn("__seq", c(order))
+        profiles = profiles.withColumn("__seq", c(order))
+        order = "__seq"
     dem = prepare_demographics(demog, start)
     prof = prepare_profiles(profiles, start)
     demo = demographic_profile(dem, prof, order)
