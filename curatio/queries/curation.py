@@ -196,10 +196,10 @@ CONFORM_TARGET = T.StructType(
     "conformance_report",
     """
 SELECT 'p_partkey' AS column_name, true AS present, 'int' AS target_type,
-       count_if(p_partkey IS NOT NULL AND TRY_CAST(p_partkey AS INTEGER) IS NULL) AS bad_values FROM part
-UNION ALL SELECT 'p_brand', true, 'int', count_if(p_brand IS NOT NULL AND TRY_CAST(p_brand AS INTEGER) IS NULL) FROM part
-UNION ALL SELECT 'p_name', true, 'string', count_if(p_name IS NOT NULL AND TRY_CAST(p_name AS VARCHAR) IS NULL) FROM part
-UNION ALL SELECT 'p_size', true, 'double', count_if(p_size IS NOT NULL AND TRY_CAST(p_size AS DOUBLE) IS NULL) FROM part
+       CAST(count_if(p_partkey IS NOT NULL AND TRY_CAST(p_partkey AS INTEGER) IS NULL) AS BIGINT) AS bad_values FROM part
+UNION ALL SELECT 'p_brand', true, 'int', CAST(count_if(p_brand IS NOT NULL AND TRY_CAST(p_brand AS INTEGER) IS NULL) AS BIGINT) FROM part
+UNION ALL SELECT 'p_name', true, 'string', CAST(count_if(p_name IS NOT NULL AND TRY_CAST(p_name AS VARCHAR) IS NULL) AS BIGINT) FROM part
+UNION ALL SELECT 'p_size', true, 'double', CAST(count_if(p_size IS NOT NULL AND TRY_CAST(p_size AS DOUBLE) IS NULL) AS BIGINT) FROM part
 UNION ALL SELECT 'p_missing', false, 'string', CAST(NULL AS BIGINT)
 """,
 )
@@ -720,7 +720,7 @@ def percent_slices(spark, d):
 WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i0,
                   count(*) OVER (PARTITION BY user_id) AS n FROM events),
 w AS (SELECT user_id, i0, n, unnest(range(0, CAST(greatest(floor((n - 16) / 8) + 1, 1) AS BIGINT))) AS window_id FROM p)
-SELECT user_id, window_id, count(*) AS n_samples FROM w
+SELECT user_id, CAST(window_id AS INTEGER) AS window_id, count(*) AS n_samples FROM w
 WHERE (n < 16 AND window_id = 0) OR (i0 >= window_id * 8 AND i0 < window_id * 8 + 16)
 GROUP BY user_id, window_id
 """,
@@ -797,7 +797,7 @@ def regex_match_rules(spark, d):
 @query(
     "string_functions",
     "SELECT p_partkey, concat(p_brand, '/', p_type) AS brand_type, substring(p_type, 1, 3) AS type3, "
-    "length(p_name) AS name_len, lower(p_type) AS type_lower FROM part",
+    "CAST(length(p_name) AS INTEGER) AS name_len, lower(p_type) AS type_lower FROM part",
 )
 def string_functions(spark, d):
     p = table(spark, d, "part")
@@ -841,7 +841,7 @@ def safe_casts(spark, d):
 
 @query(
     "date_functions",
-    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, year(o_orderdate) AS yr, "
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(year(o_orderdate) AS INTEGER) AS yr, "
     "CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, epoch(o_orderdate) AS epoch_s, "
     f"{present_sql(f'year(DATE {chr(39)}{AS_OF}{chr(39)}) - year(o_orderdate)', 0)} AS years_ago FROM orders",
 )
@@ -903,7 +903,7 @@ def json_strip_punct(spark, d):
 @query(
     "array_position",
     "SELECT vec_id, " + present_sql("embedding[1]") + " AS first_v, " + present_sql("embedding[len(embedding)]")
-    + " AS last_v, len(embedding) AS n FROM embeddings",
+    + " AS last_v, CAST(len(embedding) AS INTEGER) AS n FROM embeddings",
 )
 def array_position(spark, d):
     e = table(spark, d, "embeddings")
@@ -1315,7 +1315,7 @@ SELECT CAST(o.o_custkey AS STRING) AS healthCode,
        o.o_orderpriority AS `demographics.employment`,
        concat('["', CASE WHEN o.o_totalprice > 300000 THEN 'asian","pacific_islander' ELSE 'caucasian' END, '"]') AS race,
        o.o_orderdate AS createdOn,
-       CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 20 + year(o.o_orderdate) - 1995 END AS age,
+       CAST(CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 20 + year(o.o_orderdate) - 1995 END AS INT) AS age,
        CAST(o.o_orderkey AS STRING) AS recordId,
        concat('raw', CAST(o.o_orderkey AS STRING)) AS rawData,
        CASE WHEN o.o_orderstatus = 'F' THEN 'RRMS' END AS initialDiagnosis,

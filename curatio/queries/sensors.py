@@ -174,7 +174,7 @@ FROM (SELECT *, sum(ua) OVER (PARTITION BY vec_id ORDER BY i ROWS UNBOUNDED PREC
 """
 WIN, STEP = 32, 16
 TREMOR_WIN_DUCK = f"""
-SELECT * FROM (SELECT t.*, unnest(range(0, CAST(greatest(floor((n - {WIN}) / {STEP}) + 1, 1) AS BIGINT))) AS window_id
+SELECT * FROM (SELECT t.*, CAST(unnest(range(0, CAST(greatest(floor((n - {WIN}) / {STEP}) + 1, 1) AS BIGINT))) AS INTEGER) AS window_id
   FROM (SELECT *, count(*) OVER (PARTITION BY vec_id) AS n FROM ({TREMOR_AXES_DUCK})) t)
 WHERE i >= window_id * {STEP} AND i < window_id * {STEP} + {WIN}
 """

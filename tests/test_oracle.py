@@ -12,6 +12,8 @@ import __spark_entry__ as entry
 from curatio.sources.testtables import TABLES
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "array<string>": "VARCHAR[]"}
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
@@ -52,6 +54,9 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    for col, t in df.dtypes:
+        assert dtypes[col] == SPARK_TO_DUCK.get(t, t), f"{col}: spark {t} vs duckdb {dtypes[col]}"
     so = sorted(range(len(cols)), key=lambda i: cols[i])
     do = sorted(range(len(dcols)), key=lambda i: dcols[i])
     a = Counter(tuple(r[i] for i in so) for r in srows)
