@@ -53,6 +53,7 @@ def test_query_matches_oracle(spark, duck, name):
         return
     res = duck.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(cols) == sorted(dcols)
     dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
     for col, t in df.dtypes:
@@ -60,7 +61,7 @@ def test_query_matches_oracle(spark, duck, name):
     so = sorted(range(len(cols)), key=lambda i: cols[i])
     do = sorted(range(len(dcols)), key=lambda i: dcols[i])
     a = Counter(tuple(r[i] for i in so) for r in srows)
-    b = Counter(tuple(norm(r[i]) for i in do) for r in res.fetchall())
+    b = Counter(tuple(norm(r[i]) for i in do) for r in drows)
     assert a == b
 
 
