@@ -799,3 +799,15 @@ def feature_pivot(spark, d):
                                               F.lit("accelerometer")))
     wide = named.groupBy("vec_id").pivot("name", PIVOT_NAMES).agg(F.max("value"))
     return rounded(wide, ["vec_id"])
+
+
+@query("tremor_feature_table")
+def tremor_feature_table(spark, d):
+    """The full tremor table ``<feature>.<domain>.<IMF>.<stat>_<axis>_<sensor>`` per vector: derived
+    axes, 32-sample windows, ACF axis, EMD (2 IMFs), time/frequency statistics, EWT entropies,
+    median/IQR across windows (EMD has no SQL form: rows-only check)."""
+    from curatio.sensors.tremor import tremor_features
+
+    w = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
+    return tremor_features(w, "vec_id", "i", "v", fs=FS, window=WIN, step=STEP, n_imf=2, width=TREMOR_WIDTH,
+                           band_width=BAND_W, n_bands=BANDS)

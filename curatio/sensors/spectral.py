@@ -88,6 +88,43 @@ def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float,
     return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
 
+def acf_windows(df: DataFrame, keys: Sequence[str], order: str, v: str, buckets: int | None = None) -> DataFrame:
+    """Autocorrelation function of every window, all lags (N6, the ``...acf`` axes).
+
+    Rows ``(keys..., lag, acf)`` with ``acf(k) = sum (x_i - m)(x_{i+k} - m) /
+    sum (x_i - m)^2`` (biased), computed per window through a zero-padded FFT
+    (O(n log n) instead of O(n^2) lag products); NULL for a flat window.
+    """
+    schema = T.StructType(_key_fields(df, keys) + [
+        T.StructField("lag", T.IntegerType()), T.StructField("acf", T.DoubleType()),
+    ])
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, starts, lens = _runs(pdf, keys, order)
+        x = pdf[v].to_numpy(dtype=float)
+        frames = []
+        for n in np.unique(lens):
+            sel = starts[lens == n]
+            block = x[sel[:, None] + np.arange(n)[None, :]]
+            c = block - block.mean(axis=1, keepdims=True)
+            spec = np.fft.rfft(c, n=2 * n, axis=1)
+            ac = np.fft.irfft(spec.real ** 2 + spec.imag ** 2, n=2 * n, axis=1)[:, :n]
+            den = ac[:, :1]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                acf = np.where(den > 1e-300, ac / den, np.nan)
+            out = pdf.loc[np.repeat(sel, n), list(keys)].reset_index(drop=True)
+            out["lag"] = np.tile(np.arange(n, dtype=np.int32), len(sel))
+            out["acf"] = acf.reshape(-1)
+            frames.append(out)
+        if not frames:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
+        res = pd.concat(frames, ignore_index=True)[schema.names]
+        res["acf"] = res["acf"].astype(object).where(res["acf"].notna(), None)
+        return res
+
+    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
+
+
 def spectral_stats(spec: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Native statistics of a spectrum (DC bin excluded):
     ``cent`` centroid, ``mn`` mean power, ``mod`` peak frequency, ``sem``
