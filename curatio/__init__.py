@@ -9,9 +9,13 @@ Sub-packages:
   null-safe joins, ordered aggregates, reshaping, windows, unions.
 * ``plans``     — composed jobs: the standard curate pipeline, the trial-block
   summary, the baseline profile, attachment re-homing, publishing + lineage.
-* ``sensors``   — per-recording series derivation and feature statistics
-  (tapping, walking, rest, tremor), DFA, Lomb-Scargle, grouped FFT/EMD/EWT.
+* ``sensors``   — per-recording series derivation and feature statistics,
+  DFA, Lomb-Scargle, grouped FFT/ACF/EMD/EWT, and the named feature tables
+  (``activities``: tapping, walking, rest; ``tremor``).
 * ``streaming`` — the stateless curate steps applied to a streaming source.
+* ``queries``   — the registered queries and their DuckDB oracles.
+
+``python -m curatio`` runs the release jobs from the command line.
 """
 
 from curatio.session import get_spark, checkpoint_dir

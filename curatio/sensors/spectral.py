@@ -1,10 +1,13 @@
 """Frequency-domain and decomposition features.
 
-The transforms themselves (FFT, empirical mode decomposition, empirical
-wavelet band split) have no DataFrame form, so they run per window of a
-recording in ``groupBy(...).applyInPandas`` with numpy.  A group is one
-window (a few hundred samples), never a whole table.  Everything computed
-*from* a transform's output (spectral statistics, entropies) is native.
+The transforms themselves (FFT, autocorrelation by FFT, empirical mode
+decomposition, empirical wavelet band split) have no DataFrame form, so they
+run in ``groupBy(bucket).applyInPandas`` with numpy.  The unit of work is a
+*window* of a recording (bounded length); windows are hashed into buckets
+(shuffle-partition count by default) so one pandas call handles many
+windows - the FFT as one 2-D ``rfft`` per window length - and a long
+recording's windows spread over all buckets.  Everything computed *from* a
+transform's output (spectral statistics, band energies, entropies) is native.
 """
 
 from __future__ import annotations

@@ -60,3 +60,19 @@ def test_histogram_quantiles_equal_percentile(spark, vw):
     got = {r.g: (r.a, r.b, r.c, r.d, r["mode"]) for r in q.collect()}
     exp = {r.g: (*r.q, r.m) for r in ref.collect()}
     assert got == exp
+
+
+def test_hot_record_is_exact_and_spread_over_partitions(spark):
+    # one record holds 6000 of 6300 rows
+    df = spark.range(0, 6300).selectExpr(
+        "CASE WHEN id < 6000 THEN 0 ELSE 1 + id % 10 END AS rec", "CAST(id AS DOUBLE) AS t", "cos(id / 7.0) AS x")
+    seg = segmented(df, ["rec"], ["t"], 100.0, position="pos", lags={"x": [1]}, running={"x": "cx"})
+    out = seg.withColumn("part", F.spark_partition_id())
+    hot = out.where("rec = 0")
+    assert hot.select("part").distinct().count() > 1  # the hot record is not one task
+    ref = plain(df.withColumn("id", F.col("t").cast("long")).withColumn("z", F.lit(0.0)))
+    got = {r.id: (r.pos, r.lag1_x, r.cx) for r in seg.withColumn("id", F.col("t").cast("long")).collect()}
+    for r in ref.collect():
+        g = got[r.id]
+        assert g[0] == r.pos and (g[1] is None) == (r.lag1_x is None)
+        assert abs(g[2] - r.cx) < 1e-6
