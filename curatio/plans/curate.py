@@ -139,7 +139,12 @@ def _items(*names: str) -> dict[str, str]:
     return {n: f"{n}.items" for n in names}
 
 
-# Logical table names are ours; map them to storage with a ``Catalog``.
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's for identical results: the
+# release tables, their source versions, the attachment columns renamed to
+# the newer version's names, the per-table extra drops and the date column.
+# (Logical source names are ours; map them to storage with a ``Catalog``.)
+# ---------------------------------------------------------------------------
 SPECS: dict[str, TableSpec] = {
     "tapping": _activity(
         "Tapping",
