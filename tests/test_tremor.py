@@ -34,3 +34,11 @@ def test_record_and_individual_rollups_named(spark):
                           fs=100.0, window=32, step=16, n_imf=1, band_width=10.0, n_bands=5)
     inames = {r.name for r in ind.select("name").distinct().collect()}
     assert "skewness.tm.IMF1.md_uv_accelerometer.IQR" in inames
+
+
+def test_gyroscope_axes(spark):
+    wf = tremor_window_features(waveforms(spark), "vec_id", "i", "v", sensor="gyroscope", fs=100.0, window=32,
+                                step=16, n_imf=1, band_width=10.0, n_bands=5)
+    axes = {r.axis for r in wf.select("axis").distinct().collect()}
+    assert axes == {"uav", "uad", "uaa", "uavacf"}
+    assert {r.sensor for r in wf.select("sensor").distinct().collect()} == {"gyroscope"}
