@@ -261,16 +261,54 @@ def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int = 1
 
 
 # --------------------------------------------------------------------------
-# Empirical wavelet transform band energies (Gilles 2013, simplified)
+# Empirical wavelet transform band energies (Gilles 2013)
 # --------------------------------------------------------------------------
 
 
+def _beta(x: np.ndarray) -> np.ndarray:
+    """Meyer transition polynomial on [0, 1]: x^4 (35 - 84x + 70x^2 - 20x^3)."""
+    x = np.clip(x, 0.0, 1.0)
+    return x ** 4 * (35 - 84 * x + 70 * x ** 2 - 20 * x ** 3)
+
+
+def meyer_filter_bank(omega: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Squared responses of the empirical-wavelet filters on ``omega`` in [0, pi].
+
+    Gilles (2013): a scaling function below the first boundary and one
+    wavelet per segment, with Meyer (``_beta``) transitions of relative width
+    gamma around each boundary; gamma = 0.9 x the largest value that keeps
+    neighbouring transitions apart.  The squared responses sum to 1 at every
+    frequency (tight frame), so component energies add up to the total.
+    Rows: one per component (len(bounds) + 1).
+    """
+    w = np.abs(omega)
+    edges = np.concatenate([[0.0], bounds, [np.pi]])
+    ratios = [(edges[i + 1] - edges[i]) / (edges[i + 1] + edges[i]) for i in range(1, len(edges) - 1)]
+    gamma = 0.9 * min(ratios) if ratios else 0.0
+    out = []
+
+    def rise(wn):  # 0 -> 1 across the transition around wn (sin part)
+        if gamma == 0:
+            return (w >= wn).astype(float)
+        return np.where(w <= (1 - gamma) * wn, 0.0, np.where(
+            w >= (1 + gamma) * wn, 1.0, np.sin(np.pi / 2 * _beta((w - (1 - gamma) * wn) / (2 * gamma * wn))) ** 2))
+
+    rises = [rise(b) for b in bounds]
+    # component n covers [bounds[n-1], bounds[n]]: rise at the lower edge x (1 - rise at the upper edge)
+    for n in range(len(bounds) + 1):
+        lower = rises[n - 1] if n > 0 else np.ones_like(w)
+        upper = (1.0 - rises[n]) if n < len(bounds) else np.ones_like(w)
+        out.append(lower * upper)
+    return np.array(out)
+
+
 def ewt_band_energies_np(x: np.ndarray, n_bands: int = 5) -> np.ndarray:
     """Energies of the EWT components of ``x``.
 
     Boundaries lie midway between the ``n_bands`` largest local maxima of the
-    magnitude spectrum; each component keeps the Fourier bins of one segment
-    (rectangular filters), so by Parseval its energy is the bin power sum.
+    magnitude spectrum; the components are the Meyer-type empirical wavelet
+    filters over those boundaries (``meyer_filter_bank``), so by Parseval a
+    component's energy is the spectrum power weighted by its squared response.
     """
     x = x - x.mean()
     spec = np.fft.rfft(x)
@@ -279,11 +317,12 @@ def ewt_band_energies_np(x: np.ndarray, n_bands: int = 5) -> np.ndarray:
     if len(mag) < 3:
         return np.array([p.sum()])
     peaks = np.where((mag[1:-1] > mag[:-2]) & (mag[1:-1] >= mag[2:]))[0] + 1
-    if len(peaks) == 0:
+    if len(peaks) < 2:
         return np.array([p.sum()])
     top = np.sort(peaks[np.argsort(-mag[peaks], kind="stable")[:n_bands]])
-    bounds = [0] + [int((a + b) // 2) + 1 for a, b in zip(top[:-1], top[1:])] + [len(p)]
-    return np.array([p[a:b].sum() for a, b in zip(bounds[:-1], bounds[1:])])
+    omega = np.linspace(0.0, np.pi, len(p)) if len(x) % 2 == 0 else 2 * np.pi * np.arange(len(p)) / len(x)
+    bounds = (omega[top[:-1]] + omega[top[1:]]) / 2
+    return meyer_filter_bank(omega, bounds) @ p
 
 
 def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5,

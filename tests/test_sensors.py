@@ -93,3 +93,11 @@ def test_native_features_have_no_python_eval(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     plan = lomb_scargle_peak(df, ["record_id"], "t", "v")._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_meyer_filter_bank_is_a_tight_frame():
+    omega = np.linspace(0, np.pi, 513)
+    bank = SP.meyer_filter_bank(omega, np.array([0.3, 1.0, 2.2]))
+    assert bank.shape == (4, 513)
+    assert np.allclose(bank.sum(axis=0), 1.0)
+    assert (bank >= -1e-12).all() and (bank <= 1 + 1e-12).all()
