@@ -79,3 +79,14 @@ def group_quantiles(
         m = hist.groupBy(*kc).agg(F.max_by("hv__", F.struct(F.col("hc__"), -F.col("hv__"))).alias(mode))
         out = out.join(m, list(keys))
     return out
+
+
+def group_mode(df: DataFrame, keys: Sequence[str], v: str, digits: int | None = None, out: str = "mode") -> DataFrame:
+    """Most frequent value per group (smallest on a tie), optionally of the values
+    rounded half-even to ``digits`` decimals; histogram + ``max_by``, both partial."""
+    x = as_col(v).cast("double")
+    if digits is not None:
+        x = F.bround(x, digits)
+    kc = [as_col(k) for k in keys]
+    hist = df.where(as_col(v).isNotNull()).groupBy(*kc, x.alias("hv__")).agg(F.count(F.lit(1)).alias("hc__"))
+    return hist.groupBy(*kc).agg(F.max_by("hv__", F.struct(F.col("hc__"), -F.col("hv__"))).alias(out))

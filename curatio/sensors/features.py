@@ -48,8 +48,9 @@ def _moment_aggs(x: Column) -> list[Column]:
     ]
 
 
-def _quantile_aggs(x: Column) -> list[Column]:
-    return [F.percentile(x, [0.25, 0.5, 0.75]).alias("__q"), F.mode(x, True).alias("mode")]
+def _quantile_aggs(x: Column, mode_digits: int | None = None) -> list[Column]:
+    m = x if mode_digits is None else F.bround(x, mode_digits)
+    return [F.percentile(x, [0.25, 0.5, 0.75]).alias("__q"), F.mode(m, True).alias("mode")]
 
 
 def _quantile_cols() -> list[Column]:
@@ -103,6 +104,7 @@ def series_stats(
     groups: Sequence[str] = ("moments", "quantiles", "ordered"),
     width: float | None = None,
     value_width: float | None = None,
+    mode_digits: int | None = None,
 ) -> DataFrame:
     """All requested statistics of every series in one aggregation.
 
@@ -129,6 +131,8 @@ def series_stats(
     ``curatio.operators.quantiles`` (value units; joined on the keys).
     Without ``value_width`` they come from Spark's ``percentile``/``mode``
     buffers in the same aggregate - fine for groups bounded by construction.
+    ``mode_digits`` takes the mode of the values rounded (half-even) to that
+    many decimals.
     """
     want = set(groups)
     if "ordered" in want:
@@ -142,7 +146,7 @@ def series_stats(
     if "moments" in want:
         aggs += _moment_aggs(x)
     if "quantiles" in want and not hist_q:
-        aggs += _quantile_aggs(x)
+        aggs += _quantile_aggs(x, mode_digits)
     if "ordered" in want:
         aggs += _ordered_aggs(fs)
     out = base.groupBy(*_keys(keys)).agg(*aggs) if aggs else None
@@ -152,7 +156,12 @@ def series_stats(
     if hist_q:
         from curatio.operators.quantiles import group_quantiles
 
-        q = group_quantiles(df, keys, v, [0.25, 0.5, 0.75], ["q1", "median", "q3"], value_width)
+        q = group_quantiles(df, keys, v, [0.25, 0.5, 0.75], ["q1", "median", "q3"], value_width,
+                            mode=None if mode_digits is not None else "mode")
+        if mode_digits is not None:
+            from curatio.operators.quantiles import group_mode
+
+            q = q.join(group_mode(df, keys, v, mode_digits), list(keys), "left")
         q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
         out = q if out is None else out.join(q, list(keys), "left")
     return out

@@ -94,3 +94,23 @@ def acf_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     agg = wide.groupBy(*[as_col(k) for k in keys]).agg(*sums)
     stack = ", ".join(f"{k}, try_divide(__s{k}, __s0)" for k in range(max_lag + 1))
     return agg.select(*[as_col(k) for k in keys], F.expr(f"stack({max_lag + 1}, {stack}) AS (lag, {out})"))
+
+
+def sampling_rate(df: DataFrame, keys: Sequence[str], order: Sequence[str], t: str, width: float | None = None,
+                  value_width: float | None = None, out: str = "fs") -> DataFrame:
+    """Per record: 1 / median time step between successive samples (the default ``fs``).
+
+    Steps come from the segmented lag (skew-safe with ``width``), the median
+    from the histogram path when ``value_width`` is given.  NULL when a record
+    has fewer than two samples or a zero median step.
+    """
+    from curatio.operators.quantiles import group_quantiles
+
+    s = segmented(df, keys, order, width, lags={t: [1]})
+    steps = s.select(*[as_col(k) for k in keys], (as_col(t) - F.col(f"lag1_{t}")).alias("dt__")).where(
+        F.col("dt__").isNotNull())
+    if value_width is not None:
+        med = group_quantiles(steps, keys, "dt__", [0.5], ["m__"], value_width, mode=None)
+    else:
+        med = steps.groupBy(*[as_col(k) for k in keys]).agg(F.median("dt__").alias("m__"))
+    return med.select(*[as_col(k) for k in keys], F.try_divide(F.lit(1.0), F.col("m__")).alias(out))

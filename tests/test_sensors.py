@@ -101,3 +101,14 @@ def test_meyer_filter_bank_is_a_tight_frame():
     assert bank.shape == (4, 513)
     assert np.allclose(bank.sum(axis=0), 1.0)
     assert (bank >= -1e-12).all() and (bank <= 1 + 1e-12).all()
+
+
+def test_mode_rounding_and_sampling_rate(spark):
+    df = spark.createDataFrame([("r", i, float(i) / 50.0, v) for i, v in enumerate([1.01, 1.02, 2.0, 1.04, 3.0])],
+                               "record_id string, i int, t double, v double")
+    exact = FT.series_stats(df, ["record_id"], groups=("quantiles",)).collect()[0]["mode"]
+    rounded = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1).collect()[0]["mode"]
+    hist = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1, value_width=0.5).collect()[0]
+    assert exact == 1.01 and rounded == 1.0 and hist["mode"] == 1.0
+    fs = SR.sampling_rate(df, ["record_id"], ["i"], "t", width=2.0).collect()[0].fs
+    assert abs(fs - 50.0) < 1e-9
