@@ -20,8 +20,6 @@ Pipeline (all keyed by recording; Python only inside the grouped transforms):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
