@@ -246,16 +246,18 @@ def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int = 1
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, starts, lens = _runs(pdf, keys, order)
         x = pdf[v].to_numpy(dtype=float)
-        frames = []
+        src, imf_no, pos, vals = [], [], [], []  # one output frame per bucket, built once
         for st, n in zip(starts, lens):
             for j, imf in enumerate(emd_imfs(x[st:st + n], max_imf), start=1):
-                out = pd.DataFrame({"imf": np.int32(j), "i": np.arange(n, dtype=np.int32), "value": imf})
-                for k in keys:
-                    out[k] = pdf[k].iloc[st]
-                frames.append(out)
-        if not frames:
+                src.append(np.full(n, st))
+                imf_no.append(np.full(n, j, dtype=np.int32))
+                pos.append(np.arange(n, dtype=np.int32))
+                vals.append(imf)
+        if not vals:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        return pd.concat(frames, ignore_index=True)[schema.names]
+        out = pdf.loc[np.concatenate(src), list(keys)].reset_index(drop=True)
+        out["imf"], out["i"], out["value"] = np.concatenate(imf_no), np.concatenate(pos), np.concatenate(vals)
+        return out[schema.names]
 
     return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
@@ -335,18 +337,19 @@ def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, starts, lens = _runs(pdf, keys, order)
         x = pdf[v].to_numpy(dtype=float)
-        frames = []
+        src, band, energy = [], [], []  # one output frame per bucket, built once
         for st, n in zip(starts, lens):
             if n < 2:
                 continue
             e = ewt_band_energies_np(x[st:st + n], n_bands)
-            out = pd.DataFrame({"band": np.arange(len(e), dtype=np.int32), "energy": e})
-            for k in keys:
-                out[k] = pdf[k].iloc[st]
-            frames.append(out)
-        if not frames:
+            src.append(np.full(len(e), st))
+            band.append(np.arange(len(e), dtype=np.int32))
+            energy.append(e)
+        if not energy:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        return pd.concat(frames, ignore_index=True)[schema.names]
+        out = pdf.loc[np.concatenate(src), list(keys)].reset_index(drop=True)
+        out["band"], out["energy"] = np.concatenate(band), np.concatenate(energy)
+        return out[schema.names]
 
     return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
 
