@@ -109,8 +109,10 @@ def main(argv=None) -> None:
         sp.add_argument("--executed", default=None, help="code reference recorded in the provenance row")
         sp.add_argument("--input-bytes", default=None, help="input volume, sizes shuffle partitions")
 
+    from curatio.plans.curate import SPECS
+
     r = sub.add_parser("release", help="one of the 15 standard tables")
-    r.add_argument("spec")
+    r.add_argument("spec", choices=sorted(SPECS), help="table spec name")
     r.add_argument("--tables", required=True, help="folder with <source>.parquet per spec source")
     r.add_argument("--attachments", default=None, help="Parquet (handle, content) of attachment payloads")
     r.add_argument("--handle-column", action="append", help="attachment column to re-home (repeatable)")
