@@ -39,6 +39,7 @@ def main() -> None:
         F.when(F.col("l_suppkey") < 33 * (li.select(F.max("l_suppkey")).first()[0] + 1) // 100, F.lit(0))
         .otherwise(F.col("l_suppkey")).alias("record_id"),
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("v"),
+        F.col("l_extendedprice").alias("p"),
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
     total = series.count()
@@ -59,6 +60,28 @@ def main() -> None:
         r = per.agg(F.max("n").alias("mx"), F.sum(F.when(F.col("h") > 0, 1).otherwise(0)).alias("ht"),
                     F.sum("s").alias("s")).first()
         lines.append(f"| {label} | {wall:.2f} | {r.mx} | {r.ht} |")
+    # quantiles: percentile buffers vs the value histogram
+    from curatio.operators.quantiles import group_quantiles
+
+    # prices: nearly every value distinct, so a percentile buffer holds the whole recording
+    lines += ["", "| quantiles of the prices | wall s (warm) | largest unit of work in one task |", "|---|---|---|"]
+    pct = series.groupBy("record_id").agg(F.percentile("p", [0.25, 0.5, 0.75]).alias("q"))
+    hist = group_quantiles(series, ["record_id"], "p", [0.25, 0.5, 0.75], ["q1", "md", "q3"], 1000.0, mode=None)
+    for label, df in [("percentile (one buffer per recording)", pct), ("value histogram, chunked counts", hist)]:
+        for _ in range(2):
+            t0 = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            wall = time.perf_counter() - t0
+        if df is pct:
+            n = series.where("record_id = 0").select("p").distinct().count()
+            unit = f"{n} distinct values of the hot recording merged by one task"
+        else:
+            h = series.groupBy("record_id", "p").count()
+            seg = segmented(h, ["record_id"], ["p"], 1000.0, running={"count": "c"}).withColumn("pid", F.spark_partition_id())
+            r = seg.groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s")).agg(
+                F.max("n").alias("mx"), F.sum("s").alias("s")).first()
+            unit = f"{r.mx} histogram rows (all recordings) in the largest task"
+        lines.append(f"| {label} | {wall:.2f} | {unit} |")
     print("\n".join(lines))
     spark.stop()
 
