@@ -76,3 +76,16 @@ def test_hot_record_is_exact_and_spread_over_partitions(spark):
         g = got[r.id]
         assert g[0] == r.pos and (g[1] is None) == (r.lag1_x is None)
         assert abs(g[2] - r.cx) < 1e-6
+
+
+def test_time_windows_tumbling_and_sliding(spark):
+    import datetime as dt
+
+    from curatio.operators.windows import time_windows
+
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, base + dt.timedelta(seconds=10 * i)) for i in range(12)], "i int, ts timestamp")
+    tum = time_windows(df, "ts", "1 minute").groupBy("window_id").count().orderBy("window_id").collect()
+    assert [r["count"] for r in tum] == [6, 6]
+    sl = time_windows(df, "ts", "1 minute", "30 seconds").groupBy("window_id").count().collect()
+    assert sum(r["count"] for r in sl) == 24
