@@ -741,10 +741,13 @@ UNPIVOT (value FOR feature IN (mean, sd, energy))
 
 
 def record_rollup_df(spark, d) -> DataFrame:
+    from curatio.operators.quantiles import group_quantiles
+
+    # a recording may have very many windows: skew-safe histogram quantiles across them
     wf = _window_features(spark, d)
-    q = wf.groupBy("vec_id", "label", "axis", "feature").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("q"))
-    return q.select("vec_id", "label", "axis", "feature", F.col("q")[1].alias("md"),
-                    (F.col("q")[2] - F.col("q")[0]).alias("iqr"))
+    q = group_quantiles(wf, ["vec_id", "label", "axis", "feature"], "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"],
+                        ROLLUP_VALUE_WIDTH, mode=None)
+    return q.select("vec_id", "label", "axis", "feature", "md", (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
 RR_DUCK = f"""
