@@ -400,9 +400,60 @@ def emd_imf(spark, d):
     return SP.emd(ua, ["vec_id", "window_id"], "i", "v")
 
 
-@query("ewt_energy")
+def _rise(w: str, b: str) -> str:
+    """Squared Meyer transition (0 -> 1) around boundary ``b`` (SQL)."""
+    x = f"(({w}) - (1 - gamma) * ({b})) / (2 * gamma * ({b}))"
+    beta = f"(pow({x}, 4) * (35 - 84 * {x} + 70 * pow({x}, 2) - 20 * pow({x}, 3)))"
+    return (f"(CASE WHEN ({w}) <= (1 - gamma) * ({b}) THEN 0.0 WHEN ({w}) >= (1 + gamma) * ({b}) THEN 1.0 "
+            f"ELSE pow(sin(pi() / 2 * {beta}), 2) END)")
+
+
+NB = WIN // 2 + 1  # rfft bins of a full window
+EWT_DUCK = f"""
+WITH x AS (
+  SELECT vec_id, window_id, v - avg(v) OVER (PARTITION BY vec_id, window_id) AS c,
+         row_number() OVER (PARTITION BY vec_id, window_id ORDER BY i) - 1 AS j,
+         count(*) OVER (PARTITION BY vec_id, window_id) AS n
+  FROM ({TREMOR_LONG_DUCK}) WHERE axis = 'ua'),
+spec AS (
+  SELECT vec_id, window_id, g.k, sum(c * cos(2 * pi() * g.k * j / n)) AS re, sum(c * sin(2 * pi() * g.k * j / n)) AS im
+  FROM x, range(0, {NB}) g(k) GROUP BY vec_id, window_id, g.k),
+s2 AS (SELECT vec_id, window_id, k, re * re + im * im AS p, sqrt(re * re + im * im) AS mag,
+              (pi() / {NB - 1}.0) * k AS w FROM spec),
+pk AS (SELECT *, lag(mag) OVER wd AS ml, lead(mag) OVER wd AS mr FROM s2
+       WINDOW wd AS (PARTITION BY vec_id, window_id ORDER BY k)),
+top AS (SELECT * FROM (
+          SELECT vec_id, window_id, k, w, row_number() OVER (PARTITION BY vec_id, window_id ORDER BY mag DESC, k) AS r
+          FROM pk WHERE k > 0 AND k < {NB - 1} AND mag > ml AND mag >= mr) WHERE r <= 5),
+tb AS (SELECT vec_id, window_id, k, w, lead(w) OVER (PARTITION BY vec_id, window_id ORDER BY k) AS wn,
+              count(*) OVER (PARTITION BY vec_id, window_id) AS m FROM top),
+bnd AS (SELECT vec_id, window_id, m, (w + wn) / 2 AS b,
+               row_number() OVER (PARTITION BY vec_id, window_id ORDER BY k) AS bi FROM tb WHERE wn IS NOT NULL AND m >= 2),
+gam AS (SELECT vec_id, window_id, any_value(m) AS m,
+               0.9 * min((coalesce(nb, pi()) - b) / (coalesce(nb, pi()) + b)) AS gamma
+        FROM (SELECT *, lead(b) OVER (PARTITION BY vec_id, window_id ORDER BY bi) AS nb FROM bnd) GROUP BY vec_id, window_id),
+comp AS (SELECT s2.vec_id, s2.window_id, s2.k, s2.p, s2.w, c.n, gam.gamma
+         FROM s2 JOIN gam USING (vec_id, window_id) CROSS JOIN range(0, 5) c(n) WHERE c.n < gam.m),
+wts AS (SELECT comp.*, lo.b AS blo, hi.b AS bhi FROM comp
+        LEFT JOIN bnd lo ON lo.vec_id = comp.vec_id AND lo.window_id = comp.window_id AND lo.bi = comp.n
+        LEFT JOIN bnd hi ON hi.vec_id = comp.vec_id AND hi.window_id = comp.window_id AND hi.bi = comp.n + 1)
+SELECT vec_id, window_id, CAST(n AS INTEGER) AS band,
+       sum(p * (CASE WHEN blo IS NULL THEN 1.0 ELSE {_rise('w', 'blo')} END)
+             * (CASE WHEN bhi IS NULL THEN 1.0 ELSE 1.0 - {_rise('w', 'bhi')} END)) AS energy
+FROM wts GROUP BY vec_id, window_id, n
+UNION ALL
+SELECT vec_id, window_id, 0, sum(p) FROM s2 WHERE (vec_id, window_id) NOT IN (SELECT (vec_id, window_id) FROM gam)
+GROUP BY vec_id, window_id
+"""
+
+
+@query("ewt_energy", f"SELECT vec_id, window_id, band, {rsql('energy', 'energy')} FROM ({EWT_DUCK})")
 def ewt_energy(spark, d):
-    """Empirical-wavelet band energies per tremor window (no SQL form)."""
+    """Empirical-wavelet band energies per tremor window (Meyer-type filters over the spectral peaks)."""
+    return rounded(ewt_energy_raw(spark, d), ["vec_id", "window_id", "band"])
+
+
+def ewt_energy_raw(spark, d) -> DataFrame:
     ua = tremor_long(spark, d).where(F.col("axis") == "ua")
     return SP.ewt_energies(ua, ["vec_id", "window_id"], "i", "v")
 
@@ -714,11 +765,34 @@ def tremor_spectral(spark, d):
     return rounded(SP.spectral_stats(tremor_spectrum(spark, d), ["vec_id", "window_id"]), ["vec_id", "window_id"])
 
 
-@query("tremor_entropy")
+ENT_DUCK = f"""
+WITH e AS ({EWT_DUCK}),
+p AS (SELECT *, energy / sum(energy) OVER (PARTITION BY vec_id, window_id) AS q,
+             lead(energy) OVER wb AS e1, lead(energy, 2) OVER wb AS e2
+      FROM e WINDOW wb AS (PARTITION BY vec_id, window_id ORDER BY band)),
+pat AS (SELECT vec_id, window_id,
+               concat(CAST((e1 < energy)::INT + (e2 < energy)::INT AS VARCHAR),
+                      CAST((energy <= e1)::INT + (e2 < e1)::INT AS VARCHAR),
+                      CAST((energy <= e2)::INT + (e1 <= e2)::INT AS VARCHAR)) AS pattern
+        FROM p WHERE e2 IS NOT NULL),
+pc AS (SELECT vec_id, window_id, pattern, count(*) AS cnt FROM pat GROUP BY ALL),
+perm AS (SELECT vec_id, window_id, -sum(pp * ln(pp)) / ln(6.0) AS permEnt FROM (
+           SELECT *, cnt / sum(cnt) OVER (PARTITION BY vec_id, window_id) AS pp FROM pc) GROUP BY ALL),
+base AS (SELECT vec_id, window_id, -sum(CASE WHEN q > 0 THEN q * ln(q) END) AS shannonEnt,
+                1.0 - sum(q * q) AS simpsonEnt, ln(sum(pow(q, 2.0))) / (1.0 - 2.0) AS renyiEnt,
+                (1.0 - sum(pow(q, 2.0))) / (2.0 - 1.0) AS tsallisEnt
+         FROM p GROUP BY vec_id, window_id)
+SELECT base.vec_id, base.window_id, {rsql('shannonEnt', 'shannonEnt')}, {rsql('simpsonEnt', 'simpsonEnt')},
+       {rsql('renyiEnt', 'renyiEnt')}, {rsql('tsallisEnt', 'tsallisEnt')}, {rsql('permEnt', 'permEnt')}
+FROM base LEFT JOIN perm USING (vec_id, window_id)
+"""
+
+
+@query("tremor_entropy", ENT_DUCK)
 def tremor_entropy(spark, d):
-    """EWT energy entropies per tremor window (EWT has no SQL form)."""
-    e = ewt_energy(spark, d)
-    return SP.energy_entropies(e, ["vec_id", "window_id"])
+    """EWT energy entropies per tremor window (Shannon, Simpson, Renyi, Tsallis, permutation)."""
+    e = ewt_energy_raw(spark, d)
+    return rounded(SP.energy_entropies(e, ["vec_id", "window_id"]), ["vec_id", "window_id"])
 
 
 ROLL_FEATS = ["mean", "sd", "energy"]
