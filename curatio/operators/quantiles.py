@@ -16,7 +16,7 @@ one task.  Here:
    formula ``(hi - pos) x_lo + (pos - lo) x_hi`` (type 7, bit-identical to
    ``percentile``);
 4. mode = ``max_by(value, (count, -value))`` over the histogram (smallest
-   value on a tie), again partially aggregated.
+   value on a tie), in the same aggregation as step 3.
 """
 
 from __future__ import annotations
@@ -58,15 +58,14 @@ def group_quantiles(
         lo, hi = F.floor(pos), F.ceil(pos)
         conds += [holds(lo), holds(hi)]
         parts.append((name, pos, lo, hi))
-    any_cond = conds[0]
-    for c in conds[1:]:
-        any_cond = any_cond | c
-    picked = seg.where(any_cond)
+    # one aggregation over the running counts gives the picked order statistics and the mode
     aggs = [F.first("n__").alias("n__")]
     for name, pos, lo, hi in parts:
         aggs += [F.max(F.when(holds(lo), F.col("hv__"))).alias(f"{name}__lo"),
                  F.max(F.when(holds(hi), F.col("hv__"))).alias(f"{name}__hi")]
-    got = picked.groupBy(*kc).agg(*aggs)
+    if mode:
+        aggs.append(F.max_by("hv__", F.struct(F.col("hc__"), -F.col("hv__"))).alias(mode))
+    got = seg.groupBy(*kc).agg(*aggs)
     cols = []
     for name, _, _, _ in parts:
         p = dict(zip(names, probs))[name]
@@ -74,11 +73,7 @@ def group_quantiles(
         lo, hi = F.floor(pos), F.ceil(pos)
         xlo, xhi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         cols.append(F.when(lo == hi, xlo).otherwise((hi - pos) * xlo + (pos - lo) * xhi).alias(name))
-    out = got.select(*kc, *cols)
-    if mode:
-        m = hist.groupBy(*kc).agg(F.max_by("hv__", F.struct(F.col("hc__"), -F.col("hv__"))).alias(mode))
-        out = out.join(m, list(keys))
-    return out
+    return got.select(*kc, *cols, *([mode] if mode else []))
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], v: str, digits: int | None = None, out: str = "mode") -> DataFrame:
