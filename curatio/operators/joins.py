@@ -26,8 +26,8 @@ DEFAULT_BROADCAST_ROWS: int | None = None
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast hint only when the side is proven to hold at most ``max_rows`` rows.
 
-    The check runs ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it never scans a large side in full.
+    The check runs ``limit(max_rows + 1).count()``: every partition reads at
+    most ``max_rows + 1`` rows, so a large side is never scanned in full.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
