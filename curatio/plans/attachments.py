@@ -11,8 +11,9 @@ by one and swaps the handles.  Here the payloads live in an
 * the table's handle column is replaced through a left join, so a handle
   whose payload is missing becomes NULL (the reference's failed upload).
 
-Each join is on the handle: the attachments side is large (one row per
-file), so it is a shuffle join, not a broadcast.
+Each join is on the handle with no broadcast hint: the attachments side has
+one row per file, so at scale Spark's size check plans a shuffle join (AQE
+converts it to a broadcast only when the measured side is small).
 """
 
 from __future__ import annotations

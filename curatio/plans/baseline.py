@@ -1,7 +1,9 @@
 """Baseline characteristics (P17): one row per participant from two sources.
 
-Plan outline (all lazy, three shuffles on the participant key plus
-broadcasts of the small lists/dimensions):
+Plan outline (all lazy; the aggregations and full outer joins shuffle on
+the participant key, about ten exchanges in the final plan - see PLANS.md -
+and the lists and dimensions join as broadcasts when Spark's size check
+allows):
 
 1. demographics survey: rename, cohort + start filters, race flags ->
    comma list per participant (one ``bool_or`` aggregate) joined back,

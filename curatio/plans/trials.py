@@ -3,8 +3,9 @@
 Plan: crosswalk (distinct) -> left join onto trials -> one ``groupBy``
 (participant, block) with all aggregates -> projection for the derived
 ratios -> study-start HAVING -> two null-safe anti joins -> semi join with
-the released baseline cohort.  A single shuffle on the group key; the
-crosswalk, lists and cohort are broadcast behind a size check.
+the released baseline cohort.  The aggregation shuffles once on its key
+(partial aggregation first); the crosswalk, lists and cohort join as
+broadcasts when Spark's size check allows, otherwise as shuffle joins.
 """
 
 from __future__ import annotations
