@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curatio.llm import decontaminate as dc
 from curatio.llm import mixing as mx
+from curatio.llm import neardup as nd
 from curatio.llm import urlfilter as uf
 from curatio.sources.testtables import table
 
@@ -46,5 +47,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document."""
+    return nd.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
 ORACLE: dict[str, str] = {}
