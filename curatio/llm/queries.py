@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curatio.llm import decontaminate as dc
 from curatio.llm import mixing as mx
 from curatio.llm import neardup as nd
+from curatio.llm import substrings as ss
 from curatio.llm import urlfilter as uf
 from curatio.sources.testtables import table
 
@@ -52,5 +53,13 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nd.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document outside repeated 35-word windows."""
+    d = ss.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "r")
+    kept = F.regexp_replace(F.coalesce("r.kept", F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    digest = F.sha2(F.trim(kept).cast("binary"), 256)
+    return d.select("doc_id", "r.n_words", "r.n_removed", digest.alias("kept_sha256"))
+
+
+QUERIES = {"op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
 ORACLE: dict[str, str] = {}
