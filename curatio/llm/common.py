@@ -124,3 +124,24 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     pre = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(h * up, out=pre[1:])
     return mix((pre[k:] - pre[:-k]) * dn[: n - k + 1])
+
+
+def packed(level: int = 3) -> Callable[[Column], Column]:
+    """UDF that compresses a text for its way through a shuffle."""
+
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=level)
+        for s in it:
+            yield pd.Series([None if t is None else z.compress(bytes(t)) for t in s], dtype=object)
+
+    run.__annotations__ = {"it": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    udf = F.pandas_udf(run, "binary")
+    return lambda c: udf(c.cast("binary"))
+
+
+def unpacked(z: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(bytes(z))

@@ -8,12 +8,15 @@ with probability 5e-6.
 
 Texts with equal sets form a class, found by a digest of the set; one member
 stands for it, so copies are never expanded into pairs.  In each band bucket
-every representative is paired with the bucket's smallest; pairs are confirmed
-on full sets and contracted to components.  Only buckets that still span
-several components are paired further, across components and by size, which
-loses no link: two members of one component need no further check.  Buckets
-are aggregated and joined, never collected, so a bucket may hold any share of
-the documents.
+every representative is paired with the bucket's leader, the member that
+meets most others in all its buckets; pairs are confirmed on full sets and
+contracted to components.  Two members of one component need no further
+check, so only members of buckets that still span several components go on:
+they are hashed again, with ``FINE_PERMS`` permutations into long bands of
+``FINE_ROWS`` values, which part families of half-similar texts, and paired
+across components in those buckets (a pair at 0.75 misses all with
+probability 1e-5).  Buckets are aggregated and joined, never collected, so a
+bucket may hold any share of the documents.
 
 Defined results: texts without words have an empty set and no links; rows that
 share an id are one node; a null id takes no part, its component is null and
@@ -30,16 +33,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatio.llm.common import LOWER, _typed, durable, mix, per_text, prepare, window_hashes, word_hashes
+from curatio.llm.common import LOWER, durable, mix, packed, per_text, prepare, unpacked, window_hashes, word_hashes
 from curatio.llm.links import components
 
 SHINGLE = 5
 PERMS, ROWS = 64, 4
+FINE_PERMS, FINE_ROWS = 2160, 12
 PERCENT = 75
 DDL = "n long, cls binary, bands array<long>"
 FIELDS = ["n", "cls", "bands"]
-_MULT = mix(np.arange(1, PERMS + 1, dtype=np.uint64)) | np.uint64(1)
-_BLOCK = 4096  # shingles hashed at a time
+_CELLS = 1 << 18  # hash values held at a time
 
 
 def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -53,24 +56,26 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(window_hashes(h, size))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """Minima, then maxima, of the set under every permutation."""
-    low = np.full(PERMS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    high = np.zeros(PERMS, dtype=np.uint64)
-    for i in range(0, len(s), _BLOCK):
-        x = s[i : i + _BLOCK, None] * _MULT[None, :]
+def signature(s: np.ndarray, perms: int = PERMS) -> np.ndarray:
+    """Minima, then maxima, of the set under every permutation (products with odd numbers)."""
+    odd = mix(np.arange(1, perms + 1, dtype=np.uint64)) | np.uint64(1)
+    low = np.full(perms, np.iinfo(np.uint64).max, dtype=np.uint64)
+    high = np.zeros(perms, dtype=np.uint64)
+    step = max(1, _CELLS // perms)
+    for i in range(0, len(s), step):
+        x = s[i : i + step, None] * odd[None, :]
         np.minimum(low, x.min(axis=0), out=low)
         np.maximum(high, x.max(axis=0), out=high)
     return np.concatenate([low, high])
 
 
-def bands(sig: np.ndarray) -> list[int]:
-    """One 64-bit key a band (``ROWS`` values and the band's number)."""
-    g = sig.reshape(-1, ROWS)
+def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key a band (``rows`` values and the band's number)."""
+    g = sig.reshape(-1, rows)
     key = np.arange(len(g), dtype=np.uint64)
-    for j in range(ROWS):
+    for j in range(rows):
         key = mix(key + g[:, j])
-    return key.view(np.int64).tolist()
+    return key.view(np.int64)
 
 
 def describe(text: bytes | None) -> tuple:
@@ -80,8 +85,12 @@ def describe(text: bytes | None) -> tuple:
     return len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(signature(s))
 
 
+def fine(z: bytes | None) -> tuple:
+    return (bands(signature(shingles(unpacked(z)), FINE_PERMS), FINE_ROWS),)
+
+
 def linked(percent: int):
-    """UDF: do two texts share at least ``percent`` of their united shingles?"""
+    """UDF: do two compressed texts share at least ``percent`` of their united shingles?"""
 
     def run(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         last: tuple[bytes, np.ndarray] | None = None
@@ -89,8 +98,8 @@ def linked(percent: int):
             out = []
             for a, b in zip(left, right):
                 if last is None or last[0] != b:
-                    last = (b, shingles(bytes(b)))
-                s, t = shingles(bytes(a)), last[1]
+                    last = (b, shingles(unpacked(b)))
+                s, t = shingles(unpacked(a)), last[1]
                 if percent * max(len(s), len(t)) > 100 * min(len(s), len(t)):
                     out.append(False)
                     continue
@@ -104,8 +113,8 @@ def linked(percent: int):
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    one = texts.select(F.col("id").alias("a"), F.col("text").cast("binary").alias("ta"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").cast("binary").alias("tb"))
+    one = texts.select(F.col("id").alias("a"), F.col("z").alias("ta"))
+    two = texts.select(F.col("id").alias("b"), F.col("z").alias("tb"))
     met = pairs.join(one, "a").join(two, "b")
     return met.where(linked(percent)("ta", "tb")).select("a", "b")
 
@@ -123,10 +132,17 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     sets = rows.where("id IS NOT NULL AND n > 0")
     classes = durable(sets.groupBy("cls").agg(F.min_by(F.struct("n", "bands"), "id").alias("r"), F.min("id").alias("rep")).select("cls", "rep", "r.n", "r.bands"))
     keyed = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("key"))
-    pivot = keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    met = durable(keyed.join(pivot, "key").select("key", "id", "n", F.col("p.id").alias("p"), F.col("p.n").alias("pn")))
-    star = met.where((F.col("id") > F.col("p")) & near(F.col("n"), F.col("pn"), percent))
-    star = durable(star.select(F.col("id").alias("a"), F.col("p").alias("b")).distinct())
+    shared = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+    met = durable(keyed.join(shared, "key"))
+    # the member that meets most others in all its buckets leads its buckets: an original, not one of its copies
+    pull = durable(met.groupBy("id").agg(F.sum("m").alias("pull")))
+    met = durable(met.join(pull, "id").select("key", "id", "n", "pull"))
+    lead = F.struct((-F.col("pull")).alias("pull"), "id", "n")
+    pivot = durable(met.groupBy("key").agg(F.min(lead).alias("p")).select("key", F.col("p.id").alias("p"), F.col("p.n").alias("pn")))
+    met = durable(met.join(pivot, "key").select("key", "id", "n", "p", "pn"))
+    star = met.where((F.col("id") != F.col("p")) & near(F.col("n"), F.col("pn"), percent))
+    texts = texts.select("id", packed()(F.col("text")).alias("z"))
+    star = durable(star.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct())
     links = durable(confirm(star, texts, percent))
     # one id under several sets joins their classes
     own = sets.select("id", "cls").join(classes.select("cls", "rep"), "cls")
@@ -139,12 +155,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     named = met.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     named = durable(named.select("key", "id", "n", "c"))
     span = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    rest = durable(named.join(span, "key", "left_semi"))
-    r = rest.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-    more = rest.join(r, "key").where((F.col("id") > F.col("b")) & (F.col("c") != F.col("bc")) & near(F.col("n"), F.col("bn"), percent))
-    more = more.select(F.col("id").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = durable(more)
-    if not more.isEmpty():
+    rest = durable(named.join(durable(span), "key", "left_semi").select("id", "n", "c").distinct())
+    if not rest.isEmpty():
+        cut = per_text(lambda: fine, "keys array<long>", ["keys"])
+        keys = rest.join(texts, "id").select("id", "n", "c", F.explode(cut(F.col("z"))["keys"]).alias("key"))
+        keys = durable(keys)
+        span = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+        keys = durable(keys.join(span, "key", "left_semi"))
+        r = keys.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
+        more = keys.join(r, "key").where((F.col("id") > F.col("b")) & (F.col("c") != F.col("bc")) & near(F.col("n"), F.col("bn"), percent))
+        more = durable(more.select(F.col("id").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti"))
         links = links.unionByName(confirm(more, texts, percent))
         comp = durable(components(links))
 
