@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatio.llm.common import _powers, durable, fresh, mix, per_text, prepare, window_hashes, word_hashes
+from curatio.llm.common import _powers, durable, fresh, mix, packed, per_text, prepare, unpacked, window_hashes, word_hashes
 
 WINDOW = 35
 GRAM = 6
@@ -177,13 +177,10 @@ def slices(window: int):
     """UDF: the words of the wanted segments of each compressed text, as packed 64-bit hashes."""
 
     def run(it):
-        import zstandard
-
-        z = zstandard.ZstdDecompressor()
         for texts, wanted in it:
             out = []
             for t, w in zip(texts, wanted):
-                h = word_hashes(z.decompress(bytes(t)).split()).view(np.int64)
+                h = word_hashes(unpacked(t).split()).view(np.int64)
                 out.append([
                     {"anchor": x["anchor"], "seg": x["seg"], "times": x["times"], "big": x["big"],
                      "words": h[x["at"] : x["at"] + x["n"] + window - 1].tobytes()} for x in w
@@ -214,13 +211,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def removal(it):
     """(n_words, n_removed, kept, spans) of compressed texts and the word spans to remove."""
-    import zstandard
-
-    z = zstandard.ZstdDecompressor()
     for texts, spans in it:
         out = []
         for t, sp in zip(texts, spans):
-            t = z.decompress(bytes(t)) if t is not None else None
+            t = unpacked(t) if t is not None else None
             if sp is None or t is None:
                 out.append((len(t.split()) if t else 0, 0, t, []))
                 continue
@@ -239,20 +233,6 @@ removal.__annotations__ = {"it": Iterator[tuple[pd.Series, pd.Series]], "return"
 REMOVAL = "n_words long, n_removed long, kept binary, spans array<struct<begin:long,end:long>>"
 
 
-def packed(level: int = 3):
-    """UDFs that compress and restore a text, for its way through a shuffle."""
-
-    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import zstandard
-
-        z = zstandard.ZstdCompressor(level=level)
-        for s in it:
-            yield pd.Series([None if t is None else z.compress(bytes(t)) for t in s], dtype=object)
-
-    run.__annotations__ = {"it": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "binary")
-
-
 def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram: int, max_segments: int) -> DataFrame:
     """key columns, spans: the word spans that repeated windows cover, one row a key."""
     find = per_text(lambda: lambda t: segments(t, window, gram), SEGMENTS, FIELDS)
@@ -261,7 +241,8 @@ def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram
     rows = durable(rows.where(F.size("at") > 0))
     occ = rows.select(*key, F.explode(F.arrays_zip(*FIELDS)).alias("x")).select(*key, "x.*")
     anchors = occ.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-    anchors = anchors.where("c > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("same"))
+    # written first, so that the join deals out both sides anew and can split a hot anchor
+    anchors = durable(anchors.where("c > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("same")))
     met = durable(occ.join(anchors, "anchor"))
     whole = met.where("same").select(*key, F.col("at").alias("b"), (F.col("at") + F.col("n") + window - 1).alias("e"))
 
@@ -272,7 +253,7 @@ def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram
     wide = some.groupBy("anchor").agg((F.count(F.lit(1)) > max_segments).alias("big"))
     want = some.join(wide, "anchor").groupBy(*key).agg(F.collect_list(F.struct("anchor", "seg", "at", "n", "times", "big")).alias("want"))
     want = want.select(*[F.col(k).alias(f"w{k}") for k in key], "want")
-    z = docs.select(*key, packed()(F.col(text).cast("binary")).alias("z"))
+    z = docs.select(*key, packed()(F.col(text)).alias("z"))
     z = z.join(want, [F.col(k).eqNullSafe(F.col(f"w{k}")) for k in key])
     cut = durable(z.select(F.explode(slices(window)("z", "want")).alias("x")).select("x.*"))
 
@@ -307,7 +288,7 @@ def remove_repeats(
     k, h, z, sp = names
     s = s.select(F.col("k").alias(k), F.col("h").alias(h), F.col("spans").alias(sp))
     rest = [c for c in docs.columns if c not in (text,)]
-    d = docs.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(F.col(text)).alias(f"{h}_"), packed()(F.col(text).cast("binary")).alias(z))
+    d = docs.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(F.col(text)).alias(f"{h}_"), packed()(F.col(text)).alias(z))
     d = d.join(s, F.col(doc_id).eqNullSafe(F.col(k)) & (F.col(f"{h}_") == F.col(h)), "left")
     r = F.pandas_udf(removal, REMOVAL)(z, sp)
     d = d.select(*[F.col(f"`{c}`") for c in rest], r.alias(fresh(docs, "__r")))
