@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatio.llm import decontaminate as dc
+from curatio.llm import langid as li
 from curatio.llm import mixing as mx
 from curatio.llm import neardup as nd
+from curatio.llm import quality as ql
 from curatio.llm import substrings as ss
+from curatio.llm import toxicity as tx
 from curatio.llm import urlfilter as uf
+from curatio.llm.common import remainder
 from curatio.sources.testtables import table
 
 
@@ -61,5 +65,24 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "r.n_words", "r.n_removed", digest.alias("kept_sha256"))
 
 
-QUERIES = {"op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document."""
+    d = li.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "r")
+    return d.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "r.lang_pred", "r.score", "r.rejected")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    d = tx.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), "r")
+    predicted = F.when(F.col("r.score") >= 0.7, 1).otherwise(0)
+    return d.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "r.score", predicted.alias("predicted"))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document and whether it is kept."""
+    d = ql.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), "r")
+    return d.select("doc_id", "r.score", "r.keep")
+
+
+QUERIES = {"op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
 ORACLE: dict[str, str] = {}
