@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curatio.llm import ann
 from curatio.llm import decontaminate as dc
 from curatio.llm import langid as li
 from curatio.llm import mixing as mx
@@ -84,5 +85,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "r.score", "r.keep")
 
 
-QUERIES = {"op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {"op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
 ORACLE: dict[str, str] = {}
