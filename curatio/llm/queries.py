@@ -12,6 +12,7 @@ from curatio.llm import mixing as mx
 from curatio.llm import neardup as nd
 from curatio.llm import quality as ql
 from curatio.llm import substrings as ss
+from curatio.llm import toolcalls as tc
 from curatio.llm import toxicity as tx
 from curatio.llm import urlfilter as uf
 from curatio.llm.common import remainder
@@ -90,5 +91,29 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {"op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+# Stand-in: assistant turns call a tool, the next turn answers, and a call uses the one two turns before.
+CALLS_SQL = """
+SELECT conv_id, turn, concat('call-', turn) AS call_id,
+       element_at(array('search', 'compose', 'count'), CAST(turn DIV 2 % 3 + 1 AS INT)) AS name,
+       CASE WHEN turn % 4 = 1 THEN to_json(named_struct('query', text, 'limit', length(text)))
+            ELSE to_json(named_struct('limit', role, 'text', text)) END AS arguments,
+       concat('call-', turn - 2) AS parent
+FROM conversations WHERE role = 'assistant'
+"""
+RESULTS_SQL = "SELECT conv_id, turn, concat('call-', turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'user'"
+SCHEMAS = [
+    ("search", "query", "string", True), ("search", "limit", "integer", False), ("compose", "text", "string", True),
+    ("compose", "limit", "number", False), ("count", "text", "string", True),
+]
+
+
+def op8_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked, ordered and checked tool calls and results."""
+    c = table(spark, sf_dir, "conversations")
+    calls, results = spark.sql(CALLS_SQL.replace("FROM conversations", "FROM {c}"), c=c), spark.sql(RESULTS_SQL.replace("FROM conversations", "FROM {c}"), c=c)
+    schemas = spark.createDataFrame(SCHEMAS, "name string, param string, type string, required boolean")
+    return tc.link(calls, results, schemas).withColumn("problems", F.array_join("problems", "; "))
+
+
+QUERIES = {"op8_toolcalls": op8_toolcalls, "op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
 ORACLE: dict[str, str] = {}
