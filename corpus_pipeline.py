@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from curatio.llm import decontaminate as dc
 from curatio.llm import mixing as mx
+from curatio.llm import neardup as nd
+from curatio.llm import quality as ql
+from curatio.llm import substrings as ss
 from curatio.llm.common import durable
 from curatio.sources.testtables import table
 
@@ -16,6 +19,24 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return ql.classify(docs.select(*COLUMNS), "__q").where(F.col("__q.keep")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (of rows with one id all, as they are one node)."""
+    d = docs.select(*COLUMNS)
+    gone = nd.near_duplicates(d).where("NOT kept").select("doc_id").distinct()
+    return d.join(gone, "doc_id", "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words that repeated windows cover."""
+    d = ss.remove_repeats(docs.select(*COLUMNS), "__r").withColumn("text", F.col("__r.kept"))
+    return d.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
     d = dc.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), "__hit")
@@ -28,6 +49,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
     ("decontamination", decontamination),
     ("mixing", mixing),
 ]
