@@ -14,8 +14,8 @@ contracted to components.  Two members of one component need no further
 check, so only members of buckets that still span several components go on:
 they are hashed again, with ``FINE_PERMS`` permutations into long bands of
 ``FINE_ROWS`` values, which part families of half-similar texts, and paired
-across components in those buckets (a pair at 0.75 misses all with
-probability 1e-5).  Buckets are aggregated and joined, never collected, so a
+across components in those buckets if their bit sketches are close enough (a
+pair at 0.75 is missed with probability 1e-5).  Buckets are aggregated and joined, never collected, so a
 bucket may hold any share of the documents.
 
 Defined results: texts without words have an empty set and no links; rows that
@@ -39,6 +39,7 @@ from curatio.llm.links import components
 SHINGLE = 5
 PERMS, ROWS = 64, 4
 FINE_PERMS, FINE_ROWS = 2160, 12
+BITS = 2048  # one bit of so many values makes a sketch
 PERCENT = 75
 DDL = "n long, cls binary, bands array<long>"
 FIELDS = ["n", "cls", "bands"]
@@ -86,7 +87,19 @@ def describe(text: bytes | None) -> tuple:
 
 
 def fine(z: bytes | None) -> tuple:
-    return (bands(signature(shingles(unpacked(z)), FINE_PERMS), FINE_ROWS),)
+    sig = signature(shingles(unpacked(z)), FINE_PERMS)
+    bits = np.packbits((mix(sig[:BITS]) & np.uint64(1)).astype(np.uint8))
+    return bands(sig, FINE_ROWS), bits.view(np.int64)
+
+
+def close(a: Column, b: Column, percent: int) -> Column:
+    """Do two sketches differ in no more bits than a similar enough pair's do, but for one in 300,000 at the limit?
+
+    Values of a pair of similarity j agree with probability j, and else their bits do by half.
+    """
+    p = (1 - percent / 100) / 2
+    most = BITS * p + 4.5 * (BITS * p * (1 - p)) ** 0.5
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= most
 
 
 def linked(percent: int):
@@ -157,13 +170,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     span = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     rest = durable(named.join(durable(span), "key", "left_semi").select("id", "n", "c").distinct())
     if not rest.isEmpty():
-        cut = per_text(lambda: fine, "keys array<long>", ["keys"])
-        keys = rest.join(texts, "id").select("id", "n", "c", F.explode(cut(F.col("z"))["keys"]).alias("key"))
-        keys = durable(keys)
+        cut = per_text(lambda: fine, "keys array<long>, bits array<long>", ["keys", "bits"])
+        rest = durable(rest.join(texts, "id").select("id", "n", "c", cut(F.col("z")).alias("r")).select("id", "n", "c", "r.*"))
+        keys = rest.select("id", "n", "c", F.explode("keys").alias("key"))
         span = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        keys = durable(keys.join(span, "key", "left_semi"))
-        r = keys.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-        more = keys.join(r, "key").where((F.col("id") > F.col("b")) & (F.col("c") != F.col("bc")) & near(F.col("n"), F.col("bn"), percent))
+        keys = keys.join(durable(span), "key", "left_semi").join(rest.select("id", "bits"), "id")
+        keys = durable(keys.select("key", "id", "n", "c", "bits"))
+        r = keys.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("bits").alias("bb"))
+        more = keys.join(r, "key").where((F.col("id") > F.col("b")) & (F.col("c") != F.col("bc")) & near(F.col("n"), F.col("bn"), percent) & close(F.col("bits"), F.col("bb"), percent))
         more = durable(more.select(F.col("id").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti"))
         links = links.unionByName(confirm(more, texts, percent))
         comp = durable(components(links))
