@@ -1,4 +1,4 @@
-"""Equi-joins with R's NA-matching rules and size-checked broadcasts.
+"""Equi-joins with R's NA-matching rules.
 
 R's ``%in%`` and ``merge`` treat NA as a matchable value; SQL equality does
 not.  Every join here uses ``<=>`` (``eqNullSafe``), which Spark still plans
@@ -14,38 +14,25 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import c
 
-# Broadcast policy.  By default no hint is given: Spark broadcasts a side only
-# when its size estimate is below ``spark.sql.autoBroadcastJoinThreshold``,
-# and AQE re-plans a shuffle join as a broadcast at runtime when the measured
-# shuffle output of a side is small.  Both are size-checked by the engine
-# and cost no extra job.  Pass ``broadcast_rows=N`` to force a hint after an
-# explicit, bounded row count instead.
-DEFAULT_BROADCAST_ROWS: int | None = None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint only when the side is proven to hold at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``: every partition reads at
-    most ``max_rows + 1`` rows, so a large side is never scanned in full.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# No side is broadcast by hand: Spark broadcasts one only when its size estimate
+# is below ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans a shuffle
+# join when the measured output of a side is small.
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _side(lst: DataFrame, keys: list[str], list_keys: list[str], max_rows: int | None) -> DataFrame:
-    side = lst.select([c(lk).alias(f"__k{i}") for i, lk in enumerate(list_keys)])
-    return bounded_broadcast(side, max_rows) if max_rows else side
+def _side(lst: DataFrame, list_keys: list[str], ignore_case: bool = False) -> DataFrame:
+    fold = F.lower if ignore_case else lambda x: x
+    return lst.select([fold(c(lk)).alias(f"__k{i}") for i, lk in enumerate(list_keys)])
 
 
-def _cond(df: DataFrame, side: DataFrame, keys: list[str]):
+def _cond(df: DataFrame, side: DataFrame, keys: list[str], ignore_case: bool = False):
+    fold = F.lower if ignore_case else lambda x: x
     cond = None
     for i, k in enumerate(keys):
-        e = df[f"`{k}`"].eqNullSafe(side[f"__k{i}"])
+        e = fold(df[f"`{k}`"]).eqNullSafe(side[f"__k{i}"])
         cond = e if cond is None else cond & e
     return cond
 
@@ -55,15 +42,16 @@ def exclude(
     lst: DataFrame,
     key: str | Sequence[str],
     list_key: str | Sequence[str] | None = None,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    ignore_case: bool = False,
 ) -> DataFrame:
     """``filter(!key %in% lst$key)`` as a null-safe anti join.
 
-    A NULL key survives unless the list itself holds a NULL.
+    A NULL key survives unless the list itself holds a NULL.  ``ignore_case``
+    compares lower-cased keys (participant ids typed by hand).
     """
     keys = _keys(key)
-    side = _side(lst, keys, _keys(list_key) if list_key else keys, broadcast_rows)
-    return df.join(side, _cond(df, side, keys), "left_anti")
+    side = _side(lst, _keys(list_key) if list_key else keys, ignore_case)
+    return df.join(side, _cond(df, side, keys, ignore_case), "left_anti")
 
 
 def retain(
@@ -71,12 +59,12 @@ def retain(
     lst: DataFrame,
     key: str | Sequence[str],
     list_key: str | Sequence[str] | None = None,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    ignore_case: bool = False,
 ) -> DataFrame:
     """``filter(key %in% lst$key)`` as a null-safe semi join."""
     keys = _keys(key)
-    side = _side(lst, keys, _keys(list_key) if list_key else keys, broadcast_rows)
-    return df.join(side, _cond(df, side, keys), "left_semi")
+    side = _side(lst, _keys(list_key) if list_key else keys, ignore_case)
+    return df.join(side, _cond(df, side, keys, ignore_case), "left_semi")
 
 
 def mark_member(
@@ -85,16 +73,14 @@ def mark_member(
     key: str,
     flag: str,
     list_key: str | None = None,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    ignore_case: bool = False,
 ) -> DataFrame:
     """``flag = key %in% lst$key`` — never NULL.
 
     The list is reduced to distinct keys first so the left join cannot fan out.
     """
-    side = lst.select(c(list_key or key).alias("__k0")).distinct().withColumn("__hit", F.lit(True))
-    if broadcast_rows:
-        side = bounded_broadcast(side, broadcast_rows)
-    out = df.join(side, df[f"`{key}`"].eqNullSafe(side["__k0"]), "left")
+    side = _side(lst, [list_key or key], ignore_case).distinct().withColumn("__hit", F.lit(True))
+    out = df.join(side, _cond(df, side, [key], ignore_case), "left")
     return out.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop("__k0", "__hit")
 
 
@@ -103,7 +89,6 @@ def left_lookup(
     dim: DataFrame,
     key: str | Sequence[str],
     dim_key: str | Sequence[str] | None = None,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``merge(x, dim, all.x = TRUE)`` on null-safe keys.
 
@@ -114,8 +99,6 @@ def left_lookup(
     dkeys = _keys(dim_key) if dim_key else keys
     ren = {dk: f"__k{i}" for i, dk in enumerate(dkeys)}
     side = dim.withColumnsRenamed(ren)
-    if broadcast_rows:
-        side = bounded_broadcast(side, broadcast_rows)
     out = df.join(side, _cond(df, side, keys), "left")
     return out.drop(*ren.values())
 
@@ -125,15 +108,12 @@ def inner_lookup(
     dim: DataFrame,
     key: str | Sequence[str],
     dim_key: str | Sequence[str] | None = None,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``inner_join`` / ``merge(x, y)`` on null-safe keys."""
     keys = _keys(key)
     dkeys = _keys(dim_key) if dim_key else keys
     ren = {dk: f"__k{i}" for i, dk in enumerate(dkeys)}
     side = dim.withColumnsRenamed(ren)
-    if broadcast_rows:
-        side = bounded_broadcast(side, broadcast_rows)
     return df.join(side, _cond(df, side, keys), "inner").drop(*ren.values())
 
 

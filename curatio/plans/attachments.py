@@ -49,9 +49,11 @@ def release_payloads(attachments: DataFrame, used_handles: DataFrame, handle: st
 def substitute_handles(df: DataFrame, mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each handle column by its new handle; unmatched -> NULL.
 
-    One left join per attachment column, as the reference does per column.
+    A handle that the mapping holds several times has its smallest new one, so
+    no row is doubled.  One left join per attachment column.
     """
     out = df
+    mapping = mapping.groupBy("old_handle").agg(F.min("new_handle").alias("new_handle"))
     for i, col in enumerate(columns):
         m = mapping.select(F.col("old_handle").alias(f"__old{i}"), F.col("new_handle").alias(f"__new{i}"))
         out = out.join(m, out[f"`{col}`"] == m[f"__old{i}"], "left")

@@ -80,11 +80,8 @@ def release(
     several = (attachments is not None and handle_columns and outputs.payloads) or (
         spec.json_columns and outputs.documents)
     if several:
-        try:
-            checkpoint_dir(curated.sparkSession)
-            curated = curated.checkpoint(eager=True)
-        except RuntimeError:
-            pass  # no shared checkpoint folder configured: outputs recompute the plan
+        checkpoint_dir(curated.sparkSession)  # an error without a shared folder
+        curated = curated.checkpoint(eager=True)
     table = released_frame(spec, frames, excluded, withdrew, attachments, handle_columns, target, curated=curated)
     publish(table, outputs.table)
     if attachments is not None and handle_columns and outputs.payloads:

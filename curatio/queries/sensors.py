@@ -748,6 +748,7 @@ BAND_W = 10.0
     "tremor_energy_bands",
     f"SELECT vec_id, window_id, "
     + ", ".join(rsql(f"sum(power) FILTER (WHERE floor(freq / {BAND_W}) = {b})", f"EnergyBand{b}") for b in range(BANDS))
+    + ", " + rsql(f"sum(power) FILTER (WHERE freq >= {BAND_W * BANDS})", "EnergyBandAbove")
     + f" FROM ({SPEC_DUCK}) GROUP BY vec_id, window_id",
 )
 def tremor_energy_bands(spark, d):

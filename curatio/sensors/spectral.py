@@ -153,12 +153,13 @@ def spectral_stats(spec: DataFrame, keys: Sequence[str]) -> DataFrame:
 def band_energies(spec: DataFrame, keys: Sequence[str], band_width: float = 1.0, n_bands: int = 25) -> DataFrame:
     """``EnergyBandN``: power summed over equal-width bands [N*w, (N+1)*w).
 
-    Rows are pivoted with the explicit band list (no discovery job)."""
-    s = spec.withColumn("band", F.floor(F.col("freq") / F.lit(band_width)).cast("int")).where(
-        F.col("band") < n_bands
-    )
-    names = [f"EnergyBand{i}" for i in range(n_bands)]
-    s = s.withColumn("band_name", F.concat(F.lit("EnergyBand"), F.col("band").cast("string")))
+    ``EnergyBandAbove`` holds the power from the last band's end up, so that
+    the bands add up to the whole.  Rows are pivoted with the explicit band
+    list (no discovery job)."""
+    band = F.floor(F.col("freq") / F.lit(band_width)).cast("int")
+    names = [f"EnergyBand{i}" for i in range(n_bands)] + ["EnergyBandAbove"]
+    place = F.when(band < n_bands, band.cast("string")).otherwise("Above")
+    s = spec.withColumn("band_name", F.concat(F.lit("EnergyBand"), place))
     return s.groupBy(*[as_col(k) for k in keys]).pivot("band_name", names).agg(F.sum("power"))
 
 

@@ -100,7 +100,7 @@ def tremor_window_features(
     spec = SP.spectrum(imfs, gk, "i", "v", fs)
     fr = _renamed_long(SP.spectral_stats(spec, gk), gk, FR_FEATURES, "fr")
     bands = SP.band_energies(spec, gk, band_width, n_bands)
-    band_names = [f"EnergyBand{b}" for b in range(n_bands)]
+    band_names = [f"EnergyBand{b}" for b in range(n_bands)] + ["EnergyBandAbove"]
     fr_bands = unpivot(bands, gk, band_names, "feature", "value").withColumn("domain", F.lit("fr"))
     ent = SP.energy_entropies(SP.ewt_energies(imfs, gk, "i", "v"), gk)
     ewt = _renamed_long(ent, gk, EWT_FEATURES, "fr")

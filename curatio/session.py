@@ -87,16 +87,18 @@ def _set_context_dir(spark: SparkSession, path: str) -> None:
         pass
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:
+def scale_conf(
+    input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None, most: int | None = None
+) -> dict[str, str]:
     """Settings for a large run, derived from the input volume.
 
     Shuffle partitions ~ input / 256 MB (at least 2x the cores); AQE then
     coalesces small partitions and splits skewed ones at runtime, so the
-    number is an upper bound, not a guess to tune per query.  E.g. 100 TB
-    -> the 100k cap, coalesced at runtime.
+    number is an upper bound, not a guess to tune per query.  ``most`` caps
+    it where the driver's memory for map x reduce statuses asks for that.
     """
-    # capped: beyond ~100k map x reduce statuses the driver, not the data, is the limit
-    parts = min(max(int(input_bytes // target_partition_bytes), 2 * (cores or 1), 1), 100_000)
+    parts = max(int(input_bytes // target_partition_bytes), 2 * (cores or 1), 1)
+    parts = min(parts, most) if most else parts
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

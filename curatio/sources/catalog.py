@@ -50,9 +50,15 @@ class Catalog:
 def read_side_list(spark: SparkSession, path: str, schema: str = SIDE_LIST_SCHEMA) -> DataFrame:
     """CSV list with a header row (exclusion, withdrawal, clinician ids) (A3).
 
-    An explicit schema avoids the extra inference pass over the file.
+    Columns are taken by name from the header, in whatever order and among
+    whatever others they stand; a missing one is an error.
     """
-    return spark.read.csv(path, header=True, schema=schema)
+    found = spark.read.csv(path, header=True)
+    wanted = spark.createDataFrame([], schema).schema
+    absent = [f.name for f in wanted if f.name not in found.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; its header names {found.columns}")
+    return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from curatio.functions import expr as X
@@ -37,10 +38,44 @@ def test_exclude_plans_hash_join(spark):
     assert len(out.collect()) == 99
     final = out._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final and "LeftAnti" in final
-    # explicit, row-bounded hint
-    hinted = E.exclude(df, lst, "healthCode", broadcast_rows=1000)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in hinted
-    assert "NestedLoop" not in hinted and "Cartesian" not in hinted
+    assert "NestedLoop" not in final and "Cartesian" not in final
+
+
+def test_case_option_of_list_joins(spark):
+    df = spark.createDataFrame([("aB", 1), ("b", 2), (None, 3)], "healthCode string, v int")
+    lst = spark.createDataFrame([("Ab",), ("ab",)], "healthCode string")
+    assert rows(E.exclude(df, lst, "healthCode", ignore_case=True), "v") == [(2,), (3,)]
+    assert rows(E.exclude(df, lst, "healthCode"), "v") == [(1,), (2,), (3,)]
+    assert rows(E.retain(df, lst, "healthCode", ignore_case=True), "v") == [(1,)]
+    marked = E.mark_member(df, lst, "healthCode", "hit", ignore_case=True)
+    assert rows(marked.where("hit"), "v") == [(1,)] and marked.count() == 3
+
+
+def test_side_list_by_name(spark, tmp_path):
+    from curatio.sources.catalog import read_side_list
+
+    (tmp_path / "list.csv").write_text("note,healthCode,round\nx,bad1,1\ny,bad2,2\n")
+    assert rows(read_side_list(spark, str(tmp_path / "list.csv")), "healthCode") == [("bad1",), ("bad2",)]
+    (tmp_path / "other.csv").write_text("note\nx\n")
+    with pytest.raises(ValueError):
+        read_side_list(spark, str(tmp_path / "other.csv"))
+
+
+def test_a_handle_listed_twice_keeps_one_row(spark):
+    from curatio.plans.attachments import substitute_handles
+
+    df = spark.createDataFrame([(1, "h", "g"), (2, "k", None)], "v int, a string, b string")
+    m = spark.createDataFrame([("h", "n2"), ("h", "n1"), ("g", "n3")], "old_handle string, new_handle string")
+    got = sorted(tuple(r) for r in substitute_handles(df, m, ["a", "b"]).collect())
+    assert got == [(1, "n1", "n3"), (2, None, None)]
+
+
+def test_bands_add_up(spark):
+    from curatio.sensors.spectral import band_energies
+
+    s = spark.createDataFrame([(1, 10.0, 1.0), (1, 30.0, 99.0), (1, 24.9, 5.0)], "k int, freq double, power double")
+    r = band_energies(s, ["k"]).first().asDict()
+    assert sum(v for n, v in r.items() if n != "k" and v) == 105.0 and r["EnergyBandAbove"] == 99.0
 
 
 def test_semi_and_anti_partition_the_input(spark):

@@ -7,7 +7,8 @@ def test_scale_conf_sizes_and_caps_partitions():
     small = scale_conf(10 * 2**30, cores=8)                   # 10 GiB -> 40 partitions of 256 MiB
     assert small["spark.sql.shuffle.partitions"] == "40"
     assert scale_conf(2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"  # at least 2 x cores
-    assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "100000"  # capped
+    assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == str(400 * 2**10)
+    assert scale_conf(100 * 2**40, most=1000)["spark.sql.shuffle.partitions"] == "1000"
     assert small["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
 
 
