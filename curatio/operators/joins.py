@@ -8,6 +8,7 @@ as a hash join (it hashes the coalesced key plus an is-null bit).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +118,13 @@ def inner_lookup(
     return df.join(side, _cond(df, side, keys), "inner").drop(*ren.values())
 
 
+def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``a`` and ``b`` joined on keys of the same names, null-safe; the keys stand once."""
+    r = b.withColumnsRenamed({k: f"__r{i}" for i, k in enumerate(keys)})
+    cond = reduce(lambda x, y: x & y, [a[f"`{k}`"].eqNullSafe(r[f"__r{i}"]) for i, k in enumerate(keys)])
+    return a.join(r, cond, how).drop(*[f"__r{i}" for i in range(len(keys))])
+
+
 def natural_keys(a: DataFrame, b: DataFrame) -> list[str]:
     """Shared column names — the key set of R's ``merge`` without ``by``."""
     return [n for n in a.columns if n in set(b.columns)]

@@ -20,6 +20,11 @@ in the order (a bucket of the leading order column), and
 Results equal those of the plain per-record window for any chunk width;
 the width only controls parallelism (about rows-per-chunk samples in one
 window task).  ``width=None`` puts each record in a single chunk.
+
+Record and chunk travel as one struct column, ``__key``: a struct is never
+NULL itself and its fields compare null-safely, so rows with a NULL record key
+or a NULL order value (their own chunk, first in the order) meet their summary
+in a plain equi-join on the window's partitioning.
 """
 
 from __future__ import annotations
@@ -87,7 +92,7 @@ def segmented(
     L = max([max(v) for v in leads.values() if v] or [0])
     halo_cols = sorted(set(lags) | set(leads))
     kc = [as_col(k) for k in keys]
-    reserved = {"__chunk", "__ic", "__cn", "__off", "__len", "__halo", "__bnd"}
+    reserved = {"__key", "__chunk", "__ic", "__cn", "__off", "__len", "__halo", "__bnd"}
     clash = reserved & set(df.columns)
     if clash:
         raise ValueError(f"input uses reserved column names {sorted(clash)}")
@@ -95,9 +100,10 @@ def segmented(
     if width is None:
         return _whole_record(df, kc, order, position, length, lags, leads, running, running2, means, totals)
 
-    d = df.withColumn("__chunk", chunk_of(df, order[0], width))
-    wc = Window.partitionBy(*kc, "__chunk").orderBy(*[as_col(o) for o in order])
-    wcp = Window.partitionBy(*kc, "__chunk")
+    named = [k.alias(f"k{i}") for i, k in enumerate(kc)]
+    d = df.withColumn("__key", F.struct(*named, chunk_of(df, order[0], width).alias("chunk")))
+    wc = Window.partitionBy("__key").orderBy(*[as_col(o) for o in order])
+    wcp = Window.partitionBy("__key")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("__ic", F.row_number().over(wc) - 1).withColumn("__cn", F.count(F.lit(1)).over(wcp))
     ic = F.col("__ic")
@@ -128,16 +134,18 @@ def segmented(
         edge = (ic >= F.col("__cn") - F.lit(K)) | (ic < F.lit(L))
         row = F.struct(ic.alias("ic"), *[as_col(c).alias(c) for c in halo_cols])
         aggs.append(F.collect_list(F.when(edge, row)).alias("__bnd"))
-    summ = d.groupBy(*kc, "__chunk").agg(*aggs)
+    summ = d.groupBy("__key").agg(*aggs)
 
     # windows over the chunks of a record (small table, one exchange)
-    wr = Window.partitionBy(*kc).orderBy("__chunk")
+    record = [f"__k{i}" for i in range(len(kc))]
+    summ = summ.withColumns({"__chunk": F.col("__key.chunk"), **{r: F.col(f"__key.{r[2:]}") for r in record}})
+    wr = Window.partitionBy(*record).orderBy("__chunk")
     before = wr.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*kc)
+    whole = Window.partitionBy(*record)
     summ = summ.withColumn("__off", F.coalesce(F.sum("__n_c").over(before), F.lit(0)))
     summ = summ.withColumn("__len", F.sum("__n_c").over(whole))
     for col in sums:
-        summ = summ.withColumn(f"__so_{col}", F.coalesce(F.sum(f"__s_{col}").over(before), F.lit(0.0)))
+        summ = summ.withColumn(f"__so_{col}", F.coalesce(F.sum(f"__s_{col}").over(before), F.lit(0)))
         summ = summ.withColumn(f"__son_{col}", F.coalesce(F.sum(f"__sn_{col}").over(before), F.lit(0)))
     for col in running2:
         # sum of j * x over earlier chunks, j = global position = chunk offset + in-chunk position
@@ -164,10 +172,10 @@ def segmented(
                                            lambda e: F.struct(e["p"], e["r"]))),
         )
         info_cols.append("__halo")
-    info = summ.select(*kc, "__chunk", *info_cols)
+    info = summ.select("__key", *info_cols)
 
     # back onto the rows: join on (record, chunk), the window's partitioning
-    d = d.join(info, [*keys, "__chunk"], "left")
+    d = d.join(info, "__key", "left")
     new: dict[str, Column] = {}
     pos = F.col("__off") + ic
     for col, ks in lags.items():
@@ -179,7 +187,7 @@ def segmented(
             far = F.col("__halo")[pos + F.lit(k)][col]
             new[f"lead{k}_{col}"] = F.when(ic + F.lit(k) < F.col("__cn"), F.col(f"__wd{k}_{col}")).otherwise(far)
     for col in sums:
-        total = F.coalesce(F.col(f"__wr_{col}"), F.lit(0.0)) + F.col(f"__so_{col}")
+        total = F.coalesce(F.col(f"__wr_{col}"), F.lit(0)) + F.col(f"__so_{col}")
         seen = F.col(f"__wrn_{col}") + F.col(f"__son_{col}")
         if col in running:
             new[running[col]] = F.when(seen > 0, total)
@@ -217,7 +225,7 @@ def _whole_record(df, kc, order, position, length, lags, leads, running, running
     for col, out in totals.items():
         new[out] = F.sum(as_col(col)).over(part)
     if position:
-        new[position] = F.row_number().over(w) - 1
+        new[position] = F.row_number().over(w).cast("bigint") - 1
     if length:
         new[length] = F.count(F.lit(1)).over(part)
     out = df.withColumns(new) if new else df

@@ -69,25 +69,20 @@ def fixed_windows(
     """Assign samples to fixed-length windows within a series.
 
     ``step < size`` makes overlapping windows: a sample is emitted once per
-    window that covers it (at most ``ceil(size/step)`` copies).  A series
-    shorter than ``size`` forms a single window 0.
+    window that covers it (at most ``ceil(size/step)`` copies).  Windows start
+    every ``step`` samples until the series is covered, so the last one may be
+    shorter than ``size`` (as is window 0 of a series shorter than ``size``);
+    with ``step <= size`` no sample is left out.
     """
     step = step or size
     pos = with_position(df, part, order, "__i", "__n", width)
     i0 = F.col("__i") - 1
-    # windows w with w*step <= i0 < w*step + size, limited to full windows
-    # (the last full window starts at n - size); short series -> window 0.
-    n_full = F.greatest(F.floor((F.col("__n") - F.lit(size)) / F.lit(step)) + 1, F.lit(1))
+    # windows w with w*step <= i0 < w*step + size, up to the first that reaches the series' end
+    last = F.greatest(F.ceil((F.col("__n") - F.lit(size)) / F.lit(step)), F.lit(0))
     lo = F.greatest(F.ceil((i0 - F.lit(size) + 1) / F.lit(step)), F.lit(0))
-    hi = F.least(F.floor(i0 / F.lit(step)), n_full - 1)
+    hi = F.least(F.floor(i0 / F.lit(step)), last)
     ids = F.when(lo <= hi, F.sequence(lo.cast("int"), hi.cast("int"))).otherwise(F.array().cast("array<int>"))
-    return (
-        pos.withColumn(out, F.explode(ids))
-        .where(
-            (F.col("__n") < F.lit(size)) | (i0 < F.col(out) * F.lit(step) + F.lit(size))
-        )
-        .drop("__i", "__n")
-    )
+    return pos.withColumn(out, F.explode(ids)).drop("__i", "__n")
 
 
 def time_windows(df: DataFrame, ts: str, duration: str, slide: str | None = None, out: str = "window_id") -> DataFrame:

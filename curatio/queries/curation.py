@@ -737,9 +737,10 @@ def percent_slices(spark, d):
     """
 WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i0,
                   count(*) OVER (PARTITION BY user_id) AS n FROM events),
-w AS (SELECT user_id, i0, n, unnest(range(0, CAST(greatest(floor((n - 16) / 8) + 1, 1) AS BIGINT))) AS window_id FROM p)
-SELECT user_id, CAST(window_id AS INTEGER) AS window_id, count(*) AS n_samples FROM w
-WHERE (n < 16 AND window_id = 0) OR (i0 >= window_id * 8 AND i0 < window_id * 8 + 16)
+g AS (SELECT max(n) AS most FROM p),
+w AS (SELECT unnest(range(0, (SELECT most // 8 + 1 FROM g))) AS window_id)
+SELECT user_id, CAST(window_id AS INTEGER) AS window_id, count(*) AS n_samples FROM p, w
+WHERE i0 >= window_id * 8 AND i0 < window_id * 8 + 16 AND (window_id = 0 OR window_id * 8 + 8 < n)
 GROUP BY user_id, window_id
 """,
 )

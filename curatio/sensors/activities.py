@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.joins import same_keys
 from curatio.operators.reshape import unpivot
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
@@ -118,7 +119,7 @@ def walk_features(
     st = FT.series_stats(long, keys, order, width=width, value_width=value_width)
     d = dfa(long, keys, order, width=width)
     ls = lomb_scargle_peak(long, keys, t, "v", f_min, f_max, n_freq)
-    per_axis = st.join(d, keys, "left").join(ls, keys, "left").select(
+    per_axis = same_keys(same_keys(st, d, keys), ls, keys).select(
         *keys, "mean", "sd", "mode", "skew", "kur", "q1", "median", "q3", "iqr", "range",
         F.col("acf1").alias("acf"), "zcr", "dfa", "cv", "tkeo", "F0", "P0")
     long_stats = unpivot(per_axis, keys, WALK_STATS, "stat", "value").withColumn("name", F.concat("stat", "axis"))
@@ -167,7 +168,7 @@ def rest_features(
         dvol = r2 if dvol is None else dvol * r2
     vols = disp.groupBy(record).agg(vol.alias("dVol"), dvol.alias("ddVol"))
     out = (
-        st.join(d, [record], "left").join(tt, [record]).join(ls, [record], "left").join(vols, [record])
+        same_keys(same_keys(same_keys(same_keys(st, d, [record]), tt, [record], "inner"), ls, [record]), vols, [record], "inner")
         .select(
             record, F.col("mean").alias("meanAA"), F.col("sd").alias("sdAA"), F.col("mode").alias("modeAA"),
             F.col("skew").alias("skewAA"), F.col("kur").alias("kurAA"), F.col("q1").alias("q1AA"),

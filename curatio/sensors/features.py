@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.joins import same_keys
 from curatio.operators.segmented import segmented
 
 
@@ -161,9 +162,9 @@ def series_stats(
         if mode_digits is not None:
             from curatio.operators.quantiles import group_mode
 
-            q = q.join(group_mode(df, keys, v, mode_digits), list(keys), "left")
+            q = same_keys(q, group_mode(df, keys, v, mode_digits), keys)
         q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-        out = q if out is None else out.join(q, list(keys), "left")
+        out = q if out is None else same_keys(out, q, keys)
     return out
 
 

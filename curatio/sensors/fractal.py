@@ -11,8 +11,9 @@ sizes (at most log2(N/8) copies per sample) -> per (record, n, box)
 per (record, n) F(n) -> ``regr_slope`` per record.
 
 Conventions: box sizes are powers of two from ``min_box`` to N/4;
-incomplete trailing boxes are dropped; boxes with a perfect line fit
-(F = 0) are skipped.
+incomplete trailing boxes are dropped; box sizes with a perfect line fit
+(F = 0) are skipped.  A record too short for one box size, or with fewer than
+two box sizes left, keeps its row with a NULL exponent.
 """
 
 from __future__ import annotations
@@ -34,16 +35,16 @@ def dfa(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
     # profile y_k = sum_{j<=k} (x_j - m) = cumsum(x)_k - (k + 1) m
     prof = seg.select(*[as_col(k) for k in keys], "k", F.col("len__").alias("__len"),
                       (F.col("cum__") - (F.col("k") + 1) * F.col("m__")).alias("y"))
-    # box sizes 2^j with min_box <= 2^j <= N/4
+    # box sizes 2^j with min_box <= 2^j <= N/4; a short record keeps its first row, without a box
     j_lo = int(min_box).bit_length() - 1
-    sizes = F.expr(
+    sizes = F.when(F.col("__len") >= F.lit(4 * min_box), F.expr(
         f"transform(sequence({j_lo}, greatest({j_lo}, CAST(floor(log2(__len / 4.0)) AS INT))), j -> CAST(pow(2, j) AS INT))"
-    )
+    )).otherwise(F.array(F.lit(None).cast("int")))
     boxed = (
-        prof.where(F.col("__len") >= F.lit(4 * min_box))
+        prof.where((F.col("__len") >= F.lit(4 * min_box)) | (F.col("k") == 0))
         .select(*[as_col(k) for k in keys], "k", "__len", "y", F.explode(sizes).alias("__box"))
         .withColumn("b", F.floor(F.col("k") / F.col("__box")))
-        .where(F.col("b") < F.floor(F.col("__len") / F.col("__box")))
+        .where(F.col("__box").isNull() | (F.col("b") < F.floor(F.col("__len") / F.col("__box"))))
     )
     per_box = boxed.groupBy(*[as_col(k) for k in keys], "__box", "b").agg(
         (F.regr_syy("y", "k") - F.try_divide(F.regr_sxy("y", "k") * F.regr_sxy("y", "k"), F.regr_sxx("y", "k")))
@@ -53,6 +54,7 @@ def dfa(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
     per_n = per_box.groupBy(*[as_col(k) for k in keys], "__box").agg(
         F.sqrt(F.avg(F.greatest(F.col("rss"), F.lit(0.0)) / F.col("m"))).alias("__fluct")
     )
-    return per_n.where(F.col("__fluct") > 0).groupBy(*[as_col(k) for k in keys]).agg(
-        F.regr_slope(F.log(F.col("__fluct")), F.log(F.col("__box").cast("double"))).alias(out)
+    fluct = F.when(F.col("__box").isNotNull() & (F.col("__fluct") > 0), F.col("__fluct"))
+    return per_n.groupBy(*[as_col(k) for k in keys]).agg(
+        F.regr_slope(F.log(fluct), F.log(F.col("__box").cast("double"))).alias(out)
     )

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from curatio.operators.quantiles import group_quantiles
 from curatio.operators.reshape import unpivot
+from curatio.operators.joins import same_keys
 from curatio.operators.windows import fixed_windows
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
@@ -94,7 +95,7 @@ def tremor_window_features(
     imfs = imfs.withColumn("imf", F.concat(F.lit("IMF"), F.col("imf").cast("string"))).withColumnRenamed("value", "v")
     gk = [*keys, "axis", "imf"]
     # time domain (windows are bounded: plain windows and percentile buffers are fine here)
-    st = FT.series_stats(imfs, gk, ["i"], "v", fs=fs).join(dfa(imfs, gk, ["i"], "v"), gk, "left")
+    st = same_keys(FT.series_stats(imfs, gk, ["i"], "v", fs=fs), dfa(imfs, gk, ["i"], "v"), gk)
     tm = _renamed_long(st, gk, TM_FEATURES, "tm")
     # frequency domain
     spec = SP.spectrum(imfs, gk, "i", "v", fs)
@@ -131,7 +132,7 @@ def tremor_features(
     rec_long = rec_long.withColumn("name", name)
     if individual is None:
         return rec_long.select(record, "name", "value")
-    per = rec_long.join(individual.select(record, participant), record)
+    per = same_keys(rec_long, individual.select(record, participant), [record], "inner")
     ind = group_quantiles(per, [participant, "name"], "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], value_width,
                           mode=None)
     ind = ind.select(participant, "name", F.col("md").alias("md"), (F.col("q3") - F.col("q1")).alias("IQR"))

@@ -89,3 +89,43 @@ def test_time_windows_tumbling_and_sliding(spark):
     assert [r["count"] for r in tum] == [6, 6]
     sl = time_windows(df, "ts", "1 minute", "30 seconds").groupBy("window_id").count().collect()
     assert sum(r["count"] for r in sl) == 24
+
+
+def test_null_record_and_null_order_equal_the_plain_window(spark):
+    rows = [(r, t, i, 10 * i) for i, (r, t) in enumerate(
+        [(None, 1.0), (None, 2.0), (None, 9.0), ("a", None), ("a", 0.5), ("a", 7.0), (None, None), ("b", 3.0)])]
+    df = spark.createDataFrame(rows, "r string, t double, id int, v bigint")
+    kw = dict(position="p", length="n", lags={"v": [1]}, leads={"v": [1]}, running={"v": "cum"}, totals={"v": "tot"})
+    plain = segmented(df, ["r"], ["t", "id"], None, **kw)
+    for width in (0.5, 4.0, 100.0):
+        cut = segmented(df, ["r"], ["t", "id"], width, **kw).select(plain.columns)
+        assert dict(cut.dtypes) == dict(plain.dtypes)
+        assert sorted(cut.collect(), key=lambda x: x.id) == sorted(plain.collect(), key=lambda x: x.id)
+
+
+def test_windows_cover_the_tail(spark):
+    from curatio.operators.windows import fixed_windows
+
+    df = spark.range(70).selectExpr("'a' AS r", "id AS i").unionByName(spark.range(5).selectExpr("'b' AS r", "id AS i"))
+    got = fixed_windows(df, ["r"], ["i"], 32, 16, width=10.0).groupBy("r", "window_id").count().collect()
+    assert {(x.r, x.window_id): x["count"] for x in got} == {("a", 0): 32, ("a", 1): 32, ("a", 2): 32, ("a", 3): 22, ("b", 0): 5}
+
+
+def test_dfa_keeps_short_and_flat_records(spark):
+    from curatio.sensors.fractal import dfa
+
+    df = spark.range(40).selectExpr("'flat' AS r", "id AS t", "1.0D AS v").unionByName(
+        spark.range(7).selectExpr("'short' AS r", "id AS t", "id * 1.0D AS v")).unionByName(
+        spark.range(64).selectExpr("CAST(NULL AS string) AS r", "id AS t", "sin(id * id) AS v"))
+    got = {x.r: x.dfa for x in dfa(df, ["r"], ["t"], width=9.0).collect()}
+    assert set(got) == {"flat", "short", None}
+    assert got["flat"] is None and got["short"] is None and got[None] is not None
+
+
+def test_same_keys_meets_null_keys(spark):
+    from curatio.operators.joins import same_keys
+
+    a = spark.createDataFrame([(None, 1), ("x", 2), ("y", 3)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
+    got = {r.k: (r.a, r.b) for r in same_keys(a, b, ["k"]).collect()}
+    assert got == {None: (1, 10), "x": (2, 20), "y": (3, None)}
