@@ -266,8 +266,9 @@ b AS (
   WHERE floor(k / bs) < floor(N_ / bs)),
 bx AS (SELECT {keys}, bs, b, regr_syy(y, k) - CASE WHEN regr_sxx(y, k) <> 0 THEN regr_sxy(y, k) * regr_sxy(y, k) / regr_sxx(y, k) END AS rss,
               count(*) AS m FROM b GROUP BY ALL),
-fn AS (SELECT {keys}, bs, sqrt(avg(greatest(rss, 0.0) / m)) AS fl FROM bx GROUP BY ALL)
-SELECT {keys}, {rsql('regr_slope(ln(fl), ln(CAST(bs AS DOUBLE)))', 'dfa')} FROM fn WHERE fl > 0 GROUP BY {keys}"""
+fn AS (SELECT {keys}, bs, sqrt(avg(greatest(rss, 0.0) / m)) AS fl FROM bx GROUP BY ALL
+       UNION ALL SELECT DISTINCT {keys}, NULL, NULL FROM p)
+SELECT {keys}, {rsql('regr_slope(CASE WHEN fl > 0 THEN ln(fl) END, CASE WHEN fl > 0 THEN ln(CAST(bs AS DOUBLE)) END)', 'dfa')} FROM fn GROUP BY {keys}"""
 
 
 def sql_lomb(src: str, keys: str, f_min: float, f_max: float, n_freq: int) -> str:
@@ -400,6 +401,19 @@ def emd_imf(spark, d):
     return SP.emd(ua, ["vec_id", "window_id"], "i", "v")
 
 
+@query(
+    "emd_reconstruction",
+    "SELECT vec_id, window_id, CAST(row_number() OVER (PARTITION BY vec_id, window_id ORDER BY i) - 1 AS INTEGER) AS i, "
+    + rsql("v", "value") + f" FROM ({TREMOR_LONG_DUCK}) WHERE v IS NOT NULL AND axis = 'ua'",
+)
+def emd_reconstruction(spark, d):
+    """All modes and the residue of a tremor window add up to its input."""
+    ua = tremor_long(spark, d).where(F.col("axis") == "ua")
+    parts = SP.emd(ua, ["vec_id", "window_id"], "i", "v", residue=True)
+    keys = ["vec_id", "window_id", "i"]
+    return rounded(parts.groupBy(*keys).agg(F.sum("value").alias("value")), keys)
+
+
 def _rise(w: str, b: str) -> str:
     """Squared Meyer transition (0 -> 1) around boundary ``b`` (SQL)."""
     x = f"(({w}) - (1 - gamma) * ({b})) / (2 * gamma * ({b}))"

@@ -1,13 +1,13 @@
 """Frequency-domain and decomposition features.
 
 The transforms themselves (FFT, autocorrelation by FFT, empirical mode
-decomposition, empirical wavelet band split) have no DataFrame form, so they
-run in ``groupBy(bucket).applyInPandas`` with numpy.  The unit of work is a
-*window* of a recording (bounded length); windows are hashed into buckets
-(shuffle-partition count by default) so one pandas call handles many
-windows - the FFT as one 2-D ``rfft`` per window length - and a long
-recording's windows spread over all buckets.  Everything computed *from* a
-transform's output (spectral statistics, band energies, entropies) is native.
+decomposition, empirical wavelet band split) have no DataFrame form.  The unit
+of work is a *window* of a recording: a native aggregate packs its samples into
+one array (the window's length is the bound), a pandas UDF maps arrays to
+arrays in Arrow batches of bounded size, and the result is exploded natively,
+so the keys never pass through Python and no task holds more than one batch.
+Everything computed *from* a transform's output (spectral statistics, band
+energies, entropies) is native.
 """
 
 from __future__ import annotations
@@ -19,113 +19,82 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from curatio.functions.expr import as_col
+from curatio.operators.joins import same_keys
 
 # --------------------------------------------------------------------------
 # FFT spectrum
 # --------------------------------------------------------------------------
 
 
-def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
-    return [T.StructField(k, df.schema[k].dataType) for k in keys]
+def _packed(df: DataFrame, keys: Sequence[str], order: str, v: str) -> DataFrame:
+    """One row a window: its keys and ``__x``, the non-NULL samples in ``order``."""
+    sample = F.struct(F.col(order).alias("o"), F.col(v).cast("double").alias("x"))
+    data = df.where(F.col(v).isNotNull()).groupBy(*[as_col(k) for k in keys])
+    return data.agg(F.array_sort(F.collect_list(sample)).alias("__s")).select(
+        *[as_col(k) for k in keys], F.transform("__s", lambda r: r["x"]).alias("__x"))
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], order: str, v: str, buckets: int | None):
-    """Group many windows per pandas call: bucket = hash(window keys) mod B.
+def _by_length(arrays: pd.Series, block) -> pd.Series:
+    """Apply ``block`` (2-D array of windows of one length -> one row a window) to every length of a batch."""
+    out: list = [None] * len(arrays)
+    lens = np.array([len(a) for a in arrays], dtype=int)
+    for n in np.unique(lens):
+        sel = np.flatnonzero(lens == n)
+        for i, row in zip(sel, block(np.stack([np.asarray(arrays.iloc[i], dtype=float) for i in sel]))):
+            out[i] = row
+    return pd.Series(out, dtype=object)
 
-    A window is bounded by construction (fixed length), so hashing on the
-    full window key spreads even a very long recording's windows across all
-    buckets; B defaults to the shuffle partition count.
-    """
-    spark = df.sparkSession
-    n_b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    data = df.where(F.col(v).isNotNull()).select(*keys, order, v)
-    return data.withColumn("__bucket", F.pmod(F.xxhash64(*[as_col(k) for k in keys]), F.lit(n_b)))
+
+def _power(x: np.ndarray) -> np.ndarray:
+    n = x.shape[1]
+    if n < 2:
+        return np.empty((len(x), 0))
+    spec = np.fft.rfft(x - x.mean(axis=1, keepdims=True), axis=1)
+    return (spec.real ** 2 + spec.imag ** 2) / n
 
 
-def _runs(pdf: pd.DataFrame, keys: Sequence[str], order: str):
-    """Sort a bucket and return (sorted frame, run starts, run lengths) per window key."""
-    pdf = pdf.sort_values([*keys, order], kind="stable").reset_index(drop=True)
-    codes = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
-    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.array([], dtype=int)
-    lens = np.diff(np.r_[starts, len(codes)])
-    return pdf, starts, lens
+def _acf(x: np.ndarray) -> list:
+    n = x.shape[1]
+    spec = np.fft.rfft(x - x.mean(axis=1, keepdims=True), n=2 * n, axis=1)
+    ac = np.fft.irfft(spec.real ** 2 + spec.imag ** 2, n=2 * n, axis=1)[:, :n]
+    return [(a / a[0]).tolist() if a[0] > 1e-300 else [None] * n for a in ac]
 
 
-def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float,
-             buckets: int | None = None) -> DataFrame:
+def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float) -> DataFrame:
     """One-sided power spectrum of the mean-centred series per window.
 
     Rows ``(keys..., bin, freq, power)``, ``power = |rfft|^2 / n``; bin 0 is DC.
-    Windows of equal length in a bucket are transformed in one 2-D
-    ``numpy.fft.rfft`` call.
+    Windows of equal length in a batch are transformed in one 2-D
+    ``numpy.fft.rfft`` call; a window of one sample has no rows.
     """
-    schema = T.StructType(_key_fields(df, keys) + [
-        T.StructField("bin", T.IntegerType()), T.StructField("freq", T.DoubleType()),
-        T.StructField("power", T.DoubleType()),
-    ])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, starts, lens = _runs(pdf, keys, order)
-        x = pdf[v].to_numpy(dtype=float)
-        frames = []
-        for n in np.unique(lens):
-            if n < 2:
-                continue
-            sel = starts[lens == n]
-            block = x[sel[:, None] + np.arange(n)[None, :]]
-            spec = np.fft.rfft(block - block.mean(axis=1, keepdims=True), axis=1)
-            power = (spec.real ** 2 + spec.imag ** 2) / n
-            nb = power.shape[1]
-            out = pdf.loc[np.repeat(sel, nb), list(keys)].reset_index(drop=True)
-            out["bin"] = np.tile(np.arange(nb, dtype=np.int32), len(sel))
-            out["freq"] = np.tile(np.fft.rfftfreq(int(n), d=1.0 / fs), len(sel))
-            out["power"] = power.reshape(-1)
-            frames.append(out)
-        if not frames:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        return pd.concat(frames, ignore_index=True)[schema.names]
-
-    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
-
-
-def acf_windows(df: DataFrame, keys: Sequence[str], order: str, v: str, buckets: int | None = None) -> DataFrame:
+
+    @F.pandas_udf("array<double>")
+    def power(x: pd.Series) -> pd.Series:
+        return _by_length(x, _power)
+
+    kc = [as_col(k) for k in keys]
+    got = _packed(df, keys, order, v).select(*kc, F.size("__x").alias("__n"), power("__x").alias("__p"))
+    rows = got.select(*kc, "__n", F.posexplode("__p").alias("bin", "power"))
+    return rows.select(*kc, "bin", (F.col("bin") * (F.lit(1.0) / (F.col("__n") * F.lit(1.0 / fs)))).alias("freq"), "power")
+
+
+def acf_windows(df: DataFrame, keys: Sequence[str], order: str, v: str) -> DataFrame:
     """Autocorrelation function of every window, all lags (N6, the ``...acf`` axes).
 
     Rows ``(keys..., lag, acf)`` with ``acf(k) = sum (x_i - m)(x_{i+k} - m) /
     sum (x_i - m)^2`` (biased), computed per window through a zero-padded FFT
     (O(n log n) instead of O(n^2) lag products); NULL for a flat window.
     """
-    schema = T.StructType(_key_fields(df, keys) + [
-        T.StructField("lag", T.IntegerType()), T.StructField("acf", T.DoubleType()),
-    ])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, starts, lens = _runs(pdf, keys, order)
-        x = pdf[v].to_numpy(dtype=float)
-        frames = []
-        for n in np.unique(lens):
-            sel = starts[lens == n]
-            block = x[sel[:, None] + np.arange(n)[None, :]]
-            c = block - block.mean(axis=1, keepdims=True)
-            spec = np.fft.rfft(c, n=2 * n, axis=1)
-            ac = np.fft.irfft(spec.real ** 2 + spec.imag ** 2, n=2 * n, axis=1)[:, :n]
-            den = ac[:, :1]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                acf = np.where(den > 1e-300, ac / den, np.nan)
-            out = pdf.loc[np.repeat(sel, n), list(keys)].reset_index(drop=True)
-            out["lag"] = np.tile(np.arange(n, dtype=np.int32), len(sel))
-            out["acf"] = acf.reshape(-1)
-            frames.append(out)
-        if not frames:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        res = pd.concat(frames, ignore_index=True)[schema.names]
-        res["acf"] = res["acf"].astype(object).where(res["acf"].notna(), None)
-        return res
-
-    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
+
+    @F.pandas_udf("array<double>")
+    def acf(x: pd.Series) -> pd.Series:
+        return _by_length(x, _acf)
+
+    kc = [as_col(k) for k in keys]
+    got = _packed(df, keys, order, v).select(*kc, acf("__x").alias("__a"))
+    return got.select(*kc, F.posexplode("__a").alias("lag", "acf"))
 
 
 def spectral_stats(spec: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -204,16 +173,17 @@ def _extrema(x: np.ndarray):
     return maxima, minima
 
 
-def emd_imfs(x: np.ndarray, max_imf: int = 10, tol: float = 0.3, max_sift: int = 50) -> list[np.ndarray]:
-    """Intrinsic mode functions of ``x``; the residue is not returned.
+def emd_imfs(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3, max_sift: int = 50) -> list[np.ndarray]:
+    """Intrinsic mode functions of ``x``; the residue is ``x`` less their sum.
 
-    Sifting stops when the normalised squared change is below ``tol``; the
-    decomposition stops when the residue has fewer than 2 maxima or minima.
+    Sifting stops when the normalised squared change is below ``tol`` or after
+    ``max_sift`` rounds; the decomposition stops when the residue has fewer than
+    2 maxima or minima, or after ``max_imf`` modes if that is given.
     """
     t = np.arange(len(x), dtype=float)
     residue = x.astype(float).copy()
     imfs = []
-    for _ in range(max_imf):
+    for _ in range(len(x) if max_imf is None else max_imf):
         mx, mn = _extrema(residue)
         if len(mx) < 2 or len(mn) < 2:
             break
@@ -236,31 +206,29 @@ def emd_imfs(x: np.ndarray, max_imf: int = 10, tol: float = 0.3, max_sift: int =
     return imfs
 
 
-def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int = 10,
-        buckets: int | None = None) -> DataFrame:
-    """EMD per window (N10): rows ``(keys..., imf, i, value)``; ``imf`` is 1-based."""
-    schema = T.StructType(_key_fields(df, keys) + [
-        T.StructField("imf", T.IntegerType()), T.StructField("i", T.IntegerType()),
-        T.StructField("value", T.DoubleType()),
-    ])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, starts, lens = _runs(pdf, keys, order)
-        x = pdf[v].to_numpy(dtype=float)
-        src, imf_no, pos, vals = [], [], [], []  # one output frame per bucket, built once
-        for st, n in zip(starts, lens):
-            for j, imf in enumerate(emd_imfs(x[st:st + n], max_imf), start=1):
-                src.append(np.full(n, st))
-                imf_no.append(np.full(n, j, dtype=np.int32))
-                pos.append(np.arange(n, dtype=np.int32))
-                vals.append(imf)
-        if not vals:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        out = pdf.loc[np.concatenate(src), list(keys)].reset_index(drop=True)
-        out["imf"], out["i"], out["value"] = np.concatenate(imf_no), np.concatenate(pos), np.concatenate(vals)
-        return out[schema.names]
-
-    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
+def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int | None = None,
+        residue: bool = False) -> DataFrame:
+    """EMD per window (N10): rows ``(keys..., imf, i, value)``; ``imf`` is 1-based.
+
+    With ``residue``, rows of ``imf`` 0 hold what the modes leave, so that the
+    values of a sample add up to the input.
+    """
+
+    @F.pandas_udf("array<array<double>>")
+    def modes(batch: pd.Series) -> pd.Series:
+        out = []
+        for a in batch:
+            x = np.asarray(a, dtype=float)
+            imfs = emd_imfs(x, max_imf)
+            rest = x - np.sum(imfs, axis=0) if imfs else x
+            out.append([rest.tolist(), *[m.tolist() for m in imfs]])
+        return pd.Series(out, dtype=object)
+
+    kc = [as_col(k) for k in keys]
+    got = _packed(df, keys, order, v).select(*kc, modes("__x").alias("__m"))
+    rows = got.select(*kc, F.posexplode("__m").alias("imf", "__v"))
+    rows = rows if residue else rows.where(F.col("imf") > 0)
+    return rows.select(*kc, "imf", F.posexplode("__v").alias("i", "value"))
 
 
 # --------------------------------------------------------------------------
@@ -328,31 +296,17 @@ def ewt_band_energies_np(x: np.ndarray, n_bands: int = 5) -> np.ndarray:
     return meyer_filter_bank(omega, bounds) @ p
 
 
-def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5,
-                 buckets: int | None = None) -> DataFrame:
-    """Rows ``(keys..., band, energy)`` per window."""
-    schema = T.StructType(_key_fields(df, keys) + [
-        T.StructField("band", T.IntegerType()), T.StructField("energy", T.DoubleType()),
-    ])
+def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5) -> DataFrame:
+    """Rows ``(keys..., band, energy)`` per window of two samples or more."""
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, starts, lens = _runs(pdf, keys, order)
-        x = pdf[v].to_numpy(dtype=float)
-        src, band, energy = [], [], []  # one output frame per bucket, built once
-        for st, n in zip(starts, lens):
-            if n < 2:
-                continue
-            e = ewt_band_energies_np(x[st:st + n], n_bands)
-            src.append(np.full(len(e), st))
-            band.append(np.arange(len(e), dtype=np.int32))
-            energy.append(e)
-        if not energy:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        out = pdf.loc[np.concatenate(src), list(keys)].reset_index(drop=True)
-        out["band"], out["energy"] = np.concatenate(band), np.concatenate(energy)
-        return out[schema.names]
+    @F.pandas_udf("array<double>")
+    def energies(batch: pd.Series) -> pd.Series:
+        return pd.Series([ewt_band_energies_np(np.asarray(a, dtype=float), n_bands) if len(a) > 1 else [] for a in batch],
+                         dtype=object)
 
-    return _bucketed(df, keys, order, v, buckets).groupBy("__bucket").applyInPandas(fn, schema)
+    kc = [as_col(k) for k in keys]
+    got = _packed(df, keys, order, v).select(*kc, energies("__x").alias("__e"))
+    return got.select(*kc, F.posexplode("__e").alias("band", "energy"))
 
 
 def energy_entropies(energies: DataFrame, keys: Sequence[str], q: float = 2.0, perm_order: int = 3) -> DataFrame:
@@ -392,4 +346,4 @@ def energy_entropies(energies: DataFrame, keys: Sequence[str], q: float = 2.0, p
     perm = pats.withColumn("pp", F.col("cnt") / F.sum("cnt").over(tot)).groupBy(*[as_col(k) for k in keys]).agg(
         (-F.sum(F.col("pp") * F.log("pp")) / F.lit(math.log(math.factorial(perm_order)))).alias("permEnt")
     )
-    return base.join(perm, list(keys), "left")
+    return same_keys(base, perm, keys)
