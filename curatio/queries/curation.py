@@ -935,11 +935,17 @@ def array_position(spark, d):
 # L. domain rules on stand-in participant attributes
 # --------------------------------------------------------------------------
 
+# The published race rules, written out for the oracles (fixed values; first match wins).
+RACE_CASE_DUCK = """CASE WHEN regexp_matches(race, 'latino_hispanic') THEN 'latino_hispanic'
+  WHEN regexp_matches(race, 'black_or_african') THEN 'Black_African'
+  WHEN regexp_matches(race, 'caucasian') THEN 'caucasian'
+  WHEN regexp_matches(race, 'asian,pacific.*') THEN 'asian'
+  WHEN regexp_matches(race, 'native_american|caribbean|middle_eastern') THEN 'other' ELSE race END"""
+
+
 @query(
     "race_harmonise",
-    "SELECT healthCode, race AS race_list, CASE "
-    + " ".join(f"WHEN regexp_matches(race, '{p}') THEN '{v}'" for p, v in R.RACE_RULES)
-    + f" ELSE race END AS race FROM ({_FLAGS_ORACLE}) WHERE race <> ''",
+    f"SELECT healthCode, race AS race_list, {RACE_CASE_DUCK} AS race FROM ({_FLAGS_ORACLE}) WHERE race <> ''",
 )
 def race_harmonise(spark, d):
     lists = flags_to_list(spark, d)
@@ -998,20 +1004,20 @@ _P = duck(PARTICIPANT_SQL)
 ERROR_CASE_SQL = f"""
 CASE
   WHEN (dataGroups IS NULL OR dataGroups = '') AND currentDiagnosis IS NOT NULL AND currentDiagnosisYear IS NOT NULL
-    THEN '{R.ERR_NA_WITH_MS}'
+    THEN 'Ignore|dataGroups = NA and some MS related params'
   WHEN (dataGroups IS NULL OR dataGroups = '') AND currentDMT IS NOT NULL AND firstDMTYear IS NOT NULL
-    THEN '{R.ERR_NA_WITH_MS}'
+    THEN 'Ignore|dataGroups = NA and some MS related params'
   WHEN coalesce(dataGroups = 'control', false) AND (currentDMT IS NOT NULL
        OR NOT coalesce(currentDiagnosis IN ('no', 'notsure'), false)
        OR currentDiagnosisYear IS NOT NULL OR overallPhysicalAbility IS NOT NULL)
-    THEN '{R.ERR_CONTROL_WITH_MS}'
+    THEN 'Ignore|dataGroups = control and some MS related params'
   WHEN coalesce(dataGroups = 'control', false) AND (coalesce(referred_by_clinician, false) OR externalId IS NOT NULL)
-    THEN '{R.ERR_CONTROL_REFERRED}'
-  WHEN dataGroups IS NULL OR dataGroups = '' THEN '{R.ERR_NA}'
+    THEN 'dataGroups = control and referred_by_clinician =T'
+  WHEN dataGroups IS NULL OR dataGroups = '' THEN 'Ignore|dataGroups = NA'
 END"""
 REASSIGN_SQL = (
-    f"CASE WHEN error IN ('{R.ERR_CONTROL_WITH_MS}', '{R.ERR_NA_WITH_MS}', '{R.ERR_NA}') THEN 'Ignore' "
-    f"WHEN error = '{R.ERR_CONTROL_REFERRED}' THEN 'ms_patient' ELSE dataGroups END"
+    f"CASE WHEN error IN ('Ignore|dataGroups = control and some MS related params', 'Ignore|dataGroups = NA and some MS related params', 'Ignore|dataGroups = NA') THEN 'Ignore' "
+    f"WHEN error = 'dataGroups = control and referred_by_clinician =T' THEN 'ms_patient' ELSE dataGroups END"
 )
 
 
@@ -1363,7 +1369,7 @@ _DIS_COLS = ["initialDiagnosis", "initialDiagnosisYear", "currentDiagnosis", "cu
 
 
 def _baseline_oracle() -> str:
-    race_case = "CASE " + " ".join(f"WHEN regexp_matches(race, '{p}') THEN '{v}'" for p, v in R.RACE_RULES) + " ELSE race END"
+    race_case = RACE_CASE_DUCK
     flags = ", ".join(
         f"CASE WHEN bool_or(\"race.json.answer.{lbl}\") THEN '{lbl}' END" for lbl in RACE_FLAG_LABELS
     )
