@@ -286,3 +286,47 @@ def test_pipeline_stages(spark, tmp_path):
     assert Counter(map(tuple, docs.collect())) == Counter(map(tuple, cp.run(spark, str(tmp_path)).collect()))
     ids = {r["doc_id"] for r in docs.collect()}
     assert 403 not in ids and 404 not in ids and 400 not in ids and ids <= {i for i, *_ in rows}
+
+
+def test_pipeline_rows(spark, tmp_path):
+    """Stages 2 to 4, rows and texts, against brute force: repeated rows, null ids, one id with several texts."""
+    import corpus_pipeline as cp
+
+    r = random.Random(8)
+    text = lambda n: " ".join(r.choice(WORDS) for _ in range(n))
+    base, passage, item = text(90), text(50), " ".join(f"item{i}" for i in range(20))
+    close = " ".join([*base.split()[:-1], "new"])
+    rows = [(1, base), (1, base), (1, base), (2, close), (None, base), (None, close), (None, text(80)), (3, text(70)), (3, text(75))]
+    rows += [(None, t) for t in [text(60)] * 3] + [(4, f"{text(20)} {passage} {text(9)}"), (None, f"{text(30)} {passage}")]
+    rows += [(5, ""), (5, ""), (6, None), (None, ""), (None, None), (7, f"{text(5)} {item}"), (7, f"{text(5)} {item}"), (8, rows[7][1]), (2, text(12))]
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset() for _, t in rows for w in [words(t)]]
+    comp = list(range(len(rows)))
+    for _ in rows:
+        for a, s in enumerate(sets):
+            for b, t in enumerate(sets):
+                same = not s and not t and rows[a][0] is not None and rows[a][0] == rows[b][0]
+                if same or (s and t and 100 * len(s & t) >= 75 * len(s | t)):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+    best = {}
+    for (i, t), c in zip(rows, comp):
+        key = (i is None, i or 0)
+        if c not in best or key < best[c][0]:
+            best[c] = (key, i, t)
+    left = [(i, t) for _, i, t in best.values()]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = cp.durable(cp.near_duplicates(spark, docs, str(tmp_path)))
+    assert Counter((x["doc_id"], x["text"]) for x in docs.collect()) == Counter(left)
+
+    count = Counter(tuple(w[k : k + 35]) for _, t in left for w in [words(t)] for k in range(len(w) - 34))
+    cut = []
+    for i, t in left:
+        w = words(t)
+        hit = [any(count[tuple(w[k : k + 35])] > 1 for k in range(max(0, j - 34), min(j, len(w) - 35) + 1)) for j in range(len(w))]
+        cut.append((i, [a for a, h in zip(w, hit) if not h]))
+    docs = cp.durable(cp.repeated_passages(spark, docs, str(tmp_path)))
+    key = lambda i, w: (i, " ".join(w))
+    assert Counter(key(x["doc_id"], words(x["text"])) for x in docs.collect()) == Counter(key(i, w) for i, w in cut)
+    assert (1, base) in {key(i, w) for i, w in cut} and any(len(w) < len(words(t)) for (_, w), (_, t) in zip(cut, left))
+    docs = cp.decontamination(spark, docs, str(tmp_path))
+    assert Counter(key(x["doc_id"], words(x["text"])) for x in docs.collect()) == Counter(key(i, w) for i, w in cut if i != 7)
