@@ -330,3 +330,21 @@ def test_pipeline_rows(spark, tmp_path):
     assert (1, base) in {key(i, w) for i, w in cut} and any(len(w) < len(words(t)) for (_, w), (_, t) in zip(cut, left))
     docs = cp.decontamination(spark, docs, str(tmp_path))
     assert Counter(key(x["doc_id"], words(x["text"])) for x in docs.collect()) == Counter(key(i, w) for i, w in cut if i != 7)
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_neighbours_in_a_clump(spark, kind):
+    """1000 near copies round one centre: their differences are far below a byte of each component."""
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal(64) + 0.001 * rng.standard_normal((1000, 64))
+    if kind == "float":
+        v = v.astype(np.float32).astype(np.float64)
+    t = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], f"vec_id long, embedding array<{kind}>")
+    got = ann.neighbours(t, F.col("vec_id") % 10 == 0).collect()
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 1000, 10):
+        s = v @ v[q]
+        s[q] = -9
+        hit += len({r["vec_id"] for r in got if r["query_id"] == q} & set(np.argsort(-s)[:5].tolist()))
+    assert hit >= 0.9 * 500, hit
