@@ -3,8 +3,9 @@
 The n-grams (1 to 3 letters, word edges included) of a text are hashed into
 buckets whose embeddings are averaged; a linear softmax gives the languages.
 Embeddings and weights are trained jointly by stochastic gradient descent in
-numpy on at most ``MOST`` rows of each language with at most ``LONGEST``
-characters (the documented bound of the sample).  A fifth of the sample is kept
+numpy on at most ``MOST`` rows with letters of each language; of a text over
+``LONGEST`` characters as many are read, in pieces spread over the text (the
+documented bound of the sample).  A fifth of the sample is kept
 from training and fixes a temperature, by which scores are probabilities, and
 the rejection threshold: the smallest score from which on at least
 ``PRECISION`` of the kept part is right.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatio.llm.common import per_text, prepare, put, remainder
-from curatio.llm.subword import BITS, MeanSoftmax, bag, gram_buckets, labelled_sample, letters, softmax
+from curatio.llm.subword import BITS, MeanSoftmax, bag, excerpt, gram_buckets, has_letters, labelled_sample, letters, softmax
 
 SIZES = (1, 2, 3)
 MOST, LONGEST = 400, 20_000
@@ -100,8 +101,8 @@ def identify(docs: DataFrame, out: str = "language", *, doc_id: str = "doc_id",
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.col(text).alias("t"))
-    rows = rows.where((remainder("i", 4) != 2) & F.col("l").isNotNull() & F.col("t").isNotNull() & (F.length("t") <= longest))
-    rows = labelled_sample(rows.select("l", "t", F.xxhash64("i").alias("o")), "l", F.struct("o", "t"), most)
+    rows = rows.where((remainder("i", 4) != 2) & F.col("l").isNotNull() & has_letters(F.col("t")))
+    rows = labelled_sample(rows.select("l", excerpt(F.col("t"), longest).alias("t"), F.xxhash64("i").alias("o")), "l", F.struct("o", "t"), most)
     held = spark.sparkContext.broadcast(train([(r["l"], r["t"]) for r in rows.select("l", "t").collect()]))
 
     def task():

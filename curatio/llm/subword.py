@@ -50,6 +50,18 @@ def gram_buckets(c: np.ndarray, sizes: tuple[int, ...], bits: int = BITS) -> np.
     return np.concatenate([word_grams(c, n, bits)[0] for n in sizes])
 
 
+def has_letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
+def excerpt(text: Column, longest: int, pieces: int = 8) -> Column:
+    """A text of up to ``longest`` characters as it is; of a longer one as many, in pieces spread from its begin to its end."""
+    part = longest // pieces
+    begin = lambda k: (F.lit(1) + F.floor(k * (F.length(text) - part) / (pieces - 1))).cast("int")
+    spread = F.concat_ws(" ", *[F.substring(text, begin(F.lit(k).cast("long")), F.lit(part)) for k in range(pieces)])
+    return F.when(F.length(text) <= longest, text).otherwise(spread)
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)

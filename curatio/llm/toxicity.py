@@ -11,8 +11,9 @@ they occur in toxic and in clean documents, then by the model itself, in
 its two most toxic words, fitted on a part of the sample that the words were
 not trained on.
 
-The sample has at most ``MOST`` labelled rows of each label with at most
-``LONGEST`` characters (the documented bound).  Scores read whole texts.
+The sample has at most ``MOST`` labelled ids of each label, drawn among those
+whose text has letters; of a text over ``LONGEST`` characters it reads as many,
+in pieces spread over the text (the documented bound).  Scores read whole texts.
 
 Defined results: an empty or null text has the score of a document without
 toxic words; without labels of both kinds every score is 0.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatio.llm.common import per_text, prepare, put, remainder
-from curatio.llm.subword import MeanSoftmax, bag, gram_buckets, labelled_sample, letters, word_grams
+from curatio.llm.subword import MeanSoftmax, bag, excerpt, gram_buckets, has_letters, labelled_sample, letters, word_grams
 
 SIZES = (3, 4, 5)
 MOST, LONGEST = 700, 6_000
@@ -158,10 +159,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, out: str = "toxicity", *, doc_i
     spark = docs.sparkSession
     prepare(spark)
     known = labels.select(F.col(doc_id).alias("i"), F.col(label).cast("int").alias("y")).where((remainder("i", 3) != 1) & F.col("y").isin(0, 1))
-    rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.length("t") <= longest) & (remainder("i", 3) != 1))
-    # a bounded set of labelled ids first, so that only their texts travel
-    few = labelled_sample(known.distinct(), "y", F.xxhash64("i"), most)
-    rows = rows.join(few, "i").select("y", "t")
+    rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where((remainder("i", 3) != 1) & has_letters(F.col("t")))
+    # a bounded set of labelled ids with a text first, so that only their texts travel
+    few = labelled_sample(known.distinct().join(rows.select("i"), "i", "left_semi"), "y", F.xxhash64("i"), most)
+    rows = rows.join(few, "i").select("y", excerpt(F.col("t"), longest).alias("t"))
     share = known.agg(F.avg("y")).first()[0] or 0.5
     held = spark.sparkContext.broadcast(train([(r["y"], r["t"]) for r in rows.collect()], share))
 

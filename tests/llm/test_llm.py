@@ -348,3 +348,23 @@ def test_neighbours_in_a_clump(spark, kind):
         s[q] = -9
         hit += len({r["vec_id"] for r in got if r["query_id"] == q} & set(np.argsort(-s)[:5].tolist()))
     assert hit >= 0.9 * 500, hit
+
+
+def test_long_training_texts(spark):
+    """Labels and languages that only long texts have are learned, and labels without a text use up no sample."""
+    r = random.Random(9)
+    rows, labels = [], [(i, i % 2) for i in range(10_000, 12_000)]
+    for i in range(60):
+        w = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(1100)]
+        if i % 2:
+            w[::10] = ["scoundrel"] * len(w[::10])
+        rows.append((i, " ".join(w), "en", "s", 1))
+        labels.append((i, i % 2))
+    d = spark.createDataFrame(rows, DOCS)
+    got = {x["doc_id"]: x["toxicity"]["score"] for x in toxicity.toxicity(d, spark.createDataFrame(labels, "doc_id long, toxic int"), most=60).collect()}
+    assert sum((got[i] >= 0.7) == (i % 2 == 1) for i in range(60)) >= 56
+
+    make = lambda a, n: " ".join("".join(r.choice(a) for _ in range(r.randint(2, 7))) for _ in range(n))
+    rows = [(i, make("abcde", 30) if i % 2 else make("vwxyz", 5000), "aa" if i % 2 else "zz", "s", 1) for i in range(60)]
+    got = {x["doc_id"]: x["language"]["lang_pred"] for x in langid.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i] == ("aa" if i % 2 else "zz") for i in range(60))
