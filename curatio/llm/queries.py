@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.llm import ann
+from curatio.llm import ann, audit, centroids, mtree
 from curatio.llm import decontaminate as dc
 from curatio.llm import langid as li
 from curatio.llm import mixing as mx
@@ -115,5 +115,89 @@ def op8_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.link(calls, results, schemas).withColumn("problems", F.array_join("problems", "; "))
 
 
-QUERIES = {"op8_toolcalls": op8_toolcalls, "op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
-ORACLE: dict[str, str] = {}
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes in every order of the five."""
+    return audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+m AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+    CASE WHEN len(words) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN coalesce(w.doc_id > first_id, FALSE) THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN m ON w.doc_id = m.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS t FROM f GROUP BY ALL),
+l AS (SELECT i, substr('ABCDE', CAST(i AS INT) + 1, 1) AS letter, CAST(1 << i AS INT) AS bit FROM range(5) r(i)),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+    [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, CAST(step AS INT) AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS before FROM o, range(1, 6) r(step)),
+x AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN t ELSE 0 END) AS toxic_lost
+  FROM c, (SELECT filter_order, step, bit, CAST(before AS INT) AS before FROM s) GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM x"""
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector after five rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("computed")
+
+
+def _rounds(rounds: int) -> str:
+    """SQL of an assignment to ``c{r}`` and of the next centroids, ``rounds`` times, and of a last assignment."""
+    near = """d{r} AS MATERIALIZED (
+  SELECT v.h, c.k, CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS dist FROM v, c{r} c),
+a{r} AS MATERIALIZED (SELECT h, k, dist FROM d{r} QUALIFY row_number() OVER (PARTITION BY h ORDER BY dist, k) = 1),"""
+    step = """m{r} AS (
+  SELECT k, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (
+    SELECT a.k, u.i, CAST(sum(v.x[u.i]) AS BIGINT) AS s, count(*) AS n FROM a{r} a JOIN v USING (h), range(1, 65) u(i) GROUP BY ALL)),
+c{n} AS MATERIALIZED (SELECT c.k, coalesce(w.x, c.x) AS x FROM c{r} c LEFT JOIN (SELECT k, list(x ORDER BY i) AS x FROM m{r} GROUP BY k) w USING (k)),"""
+    return "\n".join(near.format(r=r) + "\n" + step.format(r=r, n=r + 1) for r in range(rounds)) + "\n" + near.format(r=rounds)
+
+
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS h, vec_id, list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * 256) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: isfinite(y))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY g, x) - 1 AS k, x FROM (
+    SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS g, x FROM v ORDER BY g, x LIMIT 40)),
+{_rounds(5)}
+z AS (SELECT k, sha256(array_to_string(x, ',')) AS centroid_sha256 FROM c5)
+SELECT vec_id, CAST(k AS INT) AS cluster, dist AS distance, CAST(sum(dist) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a5 JOIN v USING (h) JOIN z USING (k)"""
+
+
+def op13_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty largest inner products of every twentieth vector."""
+    return mtree.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS h, vec_id, list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * 64) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: isfinite(y))) = len(embedding)),
+p AS (
+  SELECT q.h, q.vec_id AS query_id, v.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.x, v.x), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+  FROM v q, v WHERE q.vec_id % 20 = 0 AND q.h <> v.h)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20"""
+
+
+QUERIES = {"op11_audit": op11_audit, "op12_centroids": op12_centroids, "op13_products": op13_products, "op8_toolcalls": op8_toolcalls, "op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
+ORACLE: dict[str, str] = {"op11_audit": OP11_SQL, "op12_centroids": OP12_SQL, "op13_products": OP13_SQL}
