@@ -285,8 +285,8 @@ m AS (SELECT *, Y / n AS mu, CASE WHEN n > 1 THEN (YY - n * (Y / n) * (Y / n)) /
              atan2(2.0 * CS, CC - SS) / 2 AS tau FROM s),
 q AS (SELECT *, cos(tau) AS ct, sin(tau) AS sn, YC - mu * C AS ycc, YS - mu * S AS ysc FROM m),
 p AS (SELECT {keys}, fk, f, CASE WHEN var > 0 THEN (
-        coalesce(CASE WHEN (ct*ct*CC + 2.0*ct*sn*CS + sn*sn*SS) <> 0 THEN pow(ct*ycc + sn*ysc, 2) / (ct*ct*CC + 2.0*ct*sn*CS + sn*sn*SS) END, 0.0)
-      + coalesce(CASE WHEN (ct*ct*SS - 2.0*ct*sn*CS + sn*sn*CC) <> 0 THEN pow(ct*ysc - sn*ycc, 2) / (ct*ct*SS - 2.0*ct*sn*CS + sn*sn*CC) END, 0.0)
+        coalesce(CASE WHEN (ct*ct*CC + 2.0*ct*sn*CS + sn*sn*SS) > 1e-9 * n THEN pow(ct*ycc + sn*ysc, 2) / (ct*ct*CC + 2.0*ct*sn*CS + sn*sn*SS) END, 0.0)
+      + coalesce(CASE WHEN (ct*ct*SS - 2.0*ct*sn*CS + sn*sn*CC) > 1e-9 * n THEN pow(ct*ysc - sn*ycc, 2) / (ct*ct*SS - 2.0*ct*sn*CS + sn*sn*CC) END, 0.0)
       ) / (2.0 * var) END AS power FROM q)
 SELECT {keys}, {rsql('arg_max(f, (power, -fk)) FILTER (WHERE power IS NOT NULL)', 'F0')}, {rsql('max(power)', 'P0')}
 FROM p GROUP BY {keys}"""

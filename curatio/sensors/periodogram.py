@@ -60,11 +60,9 @@ def power_from_sums(sums: DataFrame) -> DataFrame:
     num_s = c * ysc - s * ycc
     den_c = c * c * F.col("CC") + F.lit(2.0) * c * s * F.col("CS") + s * s * F.col("SS")
     den_s = c * c * F.col("SS") - F.lit(2.0) * c * s * F.col("CS") + s * s * F.col("CC")
-    p = F.try_divide(
-        F.coalesce(F.try_divide(num_c * num_c, den_c), F.lit(0.0))
-        + F.coalesce(F.try_divide(num_s * num_s, den_s), F.lit(0.0)),
-        F.lit(2.0) * var,
-    )
+    # a sum of squares that is nothing but rounding (sin pi t at whole t) counts as 0
+    part = lambda num, den: F.when(den > F.lit(1e-9) * n, num * num / den).otherwise(F.lit(0.0))
+    p = F.try_divide(part(num_c, den_c) + part(num_s, den_s), F.lit(2.0) * var)
     return sums.withColumn("power", F.when(var > 0, p))
 
 
