@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from curatio.llm.common import durable, prepare
 
-ROOTS, TREE, LEAF, FAN, BLOCK = 1024, 2048, 128, 16, 16384
+ROOTS, TREE, LEAF, FAN, BLOCK = 1024, 4096, 512, 16, 16384
 # Distances are off by less than this share of the largest; scores are exact.
 SLACK = 1e-7
 PAGES = "seed int, part int, page int, leaf boolean, n int, z binary, up binary, radius binary, child binary, ids binary, none binary, rows binary, sizes binary"
@@ -179,20 +179,23 @@ def best_first(pages: dict[int, Page], q: np.ndarray, space: Space, routing: np.
         if low > limit:
             break
         p = pages[at]
-        near = np.flatnonzero(np.abs(dq - p.up) - p.radius <= limit + wide)
-        if not len(near):
-            continue
-        dot = p.x[near] @ q
-        computed += len(near)
+        near = None
+        if limit < math.inf:
+            near = np.flatnonzero(np.abs(dq - p.up) - p.radius <= limit + wide)
+            if not len(near):
+                continue
+            near = near if len(near) < len(p.x) else None
+        dot = (p.x if near is None else p.x[near]) @ q
+        computed += len(dot)
         if not p.leaf:
             d = space.reach(base, dot.astype(np.float64))
-            for k, i in enumerate(near.tolist()):
-                if d[k] - p.radius[i] <= limit:
-                    heapq.heappush(heap, (max(d[k] - p.radius[i], 0.0), p.child[i], float(d[k])))
+            low = d - (p.radius if near is None else p.radius[near])
+            for k in np.flatnonzero(low <= limit).tolist():
+                heapq.heappush(heap, (max(float(low[k]), 0.0), p.child[k if near is None else near[k]], float(d[k])))
             continue
         ok = np.flatnonzero(dot >= least)
         if len(ok):
-            best += [(-int(dot[k]), *r) for k in ok.tolist() for r in p.rows[near[k]]]
+            best += [(-int(dot[k]), *r) for k in ok.tolist() for r in p.rows[k if near is None else near[k]]]
             best.sort()
             del best[most:]
             if len(best) == most and -best[-1][0] > least:
