@@ -2,9 +2,11 @@
 
 A sparse document-term matrix carries the word counts.  Texts are cut into
 shards of about ``SHARD_BYTES``; a shard codes its words by its own vocabulary
-first.  The vocabularies' distinct words make one global dictionary with dense
-ids, and joining it to the (shard, code, word) rows, one a shard and word and
-not one an occurrence, recodes each shard into CSR form: ``indptr``, global
+first, in the order of their hashes.  For the global dictionary each shard sends each
+of its words once, packed by range of the hash, to that range's bucket; as many
+buckets as keep ``BUCKET`` words in each.  A bucket numbers its distinct words (they,
+not their hashes, are compared), and its number with theirs is the global
+column id.  The numbers go back to the shards, which become CSR: ``indptr``,
 column ids ``indices``, counts ``data``.  A row's sum is its number of words
 (filter A), its number of nonzeros the number of distinct words (filter B).
 Upper case (C), symbols (D) and equality with an earlier text (E, by the text's
@@ -27,6 +29,8 @@ shard holds whole texts, so one longer than ``SHARD_BYTES`` is a shard alone.
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -35,20 +39,56 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatio.llm.common import durable, prepare
+from curatio.llm.common import durable, prepare, word_hashes
 
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT, MAX_UPPER = 100, 80, 10
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 22
+# Words that the shards send to one bucket, about.
+BUCKET = 1 << 20
 # A shard's row is a few megabytes, so few of them share an Arrow batch.
-SHARD_ROWS = "8"
+SHARD_ROWS = "4"
 
 DOC = "doc_id bigint, part string, digest binary, upper bigint, points bigint, symbols boolean"
-LOCAL = f"shard bigint, docs array<struct<{DOC}>>, indptr array<bigint>, codes array<int>, data array<int>, words array<binary>"
+LOCAL = f"shard bigint, docs array<struct<{DOC}>>, indptr array<bigint>, codes binary, data binary, n_words bigint, words binary"
+PIECES = "bucket bigint, shard bigint, words binary"
+RANKS = "bucket bigint, shard bigint, ranks binary"
 UPPER = bytes(range(65, 91))
 SYMBOLS = b"#$%&*|"
 
 
+def names(ddl: str) -> list[str]:
+    """Top-level column names of a schema without further commas outside brackets."""
+    return [f.split(" ")[0] for f in re.sub("<.*?>+", "", ddl).split(", ")]
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed by their bytes' places."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpack(z: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(z)), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def squeeze(words: list[bytes]) -> bytes:
+    """Words, none of which holds a blank, compressed."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(b" ".join(words))
+
+
+def words_of(z: bytes) -> list[bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(bytes(z)).split()
+
+
 class Codes(dict):
     """Number of each word in order of first use."""
 
@@ -67,16 +107,26 @@ class Shard:
         words = text.split()  # ASCII white space, which is what parts words here
         seen, n = np.unique(np.fromiter(map(self.codes.__getitem__, words), dtype=np.int32, count=len(words)), return_counts=True)
         self.index.append(seen)
-        self.data.append(n.astype(np.int32))
+        self.data.append(n)
         points = int(np.count_nonzero(np.frombuffer(text, dtype=np.int8) >= -64))  # bytes that go on a character are below
         upper, symbols = len(text) - len(text.translate(None, UPPER)), len(text.translate(None, SYMBOLS)) < len(text)
         self.docs.append((doc_id, part, hashlib.sha256(text).digest(), upper, points, symbols))
         self.bytes += len(text)
 
     def row(self, number: int) -> tuple:
+        """The shard with its words, and so their codes, in the order of (hash, word)."""
+        words = list(self.codes)
+        h = word_hashes(words)
+        order = np.argsort(h, kind="stable")
+        if len(h) > 1 and (np.diff(h[order]) == 0).any():  # equal hashes: by the words themselves
+            order = np.array(sorted(range(len(words)), key=lambda i: (int(h[i]), words[i])))
+        code = np.empty(len(words), dtype=np.int64)
+        code[order] = np.arange(len(words))
         indptr = np.concatenate(([0], np.cumsum([len(x) for x in self.index])))
-        fields = [x.split()[0] for x in DOC.split(", ")]
-        return number, [dict(zip(fields, d)) for d in self.docs], indptr, np.concatenate(self.index), np.concatenate(self.data), list(self.codes)
+        fields = names(DOC)
+        docs = [dict(zip(fields, d)) for d in self.docs]
+        codes = pack(code[np.concatenate(self.index)]) if len(words) else pack(np.empty(0))
+        return number, docs, indptr, codes, pack(np.concatenate(self.data)), len(words), squeeze([words[i] for i in order])
 
 
 def gather(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,45 +134,55 @@ def gather(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
 
     number, shard = TaskContext.get().partitionId() << 33, Shard()
-    names = [x.strip().split(" ")[0] for x in ("shard", "docs", "indptr", "codes", "data", "words")]
     for f in it:
         for doc_id, none, part, text in zip(f["doc_id"], f["none"], f["part"], f["text"]):
             shard.add(None if none else int(doc_id), part, bytes(text))
             if shard.bytes >= SHARD_BYTES:
-                yield pd.DataFrame([shard.row(number)], columns=names)
+                yield pd.DataFrame([shard.row(number)], columns=names(LOCAL))
                 number, shard = number + 1, Shard()
     if shard.docs:
-        yield pd.DataFrame([shard.row(number)], columns=names)
+        yield pd.DataFrame([shard.row(number)], columns=names(LOCAL))
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, id): the distinct words with ids 0, 1, ... without a gap.
+def dealt(buckets: int):
+    """mapInPandas: a shard's words to one packed piece for each bucket, which is a range of hashes."""
 
-    Words are numbered inside the partitions they were written from; the
-    partitions' sizes, one number a shuffle partition, give the offsets.
-    """
-    d = durable(words.groupBy("word").agg(F.lit(1).alias("one")).select("word", F.monotonically_increasing_id().alias("at")))
-    part, inside = F.shiftrightunsigned("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = sorted(d.groupBy(part.alias("p")).count().collect())
-    before = dict(zip((p for p, _ in sizes), np.cumsum([0] + [n for _, n in sizes]).tolist()))
-    if not before:
-        return d.select("word", F.col("at").alias("id"))
-    offset = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    return d.select("word", (offset[part] + inside).alias("id"))
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in it:
+            for shard, z in zip(f["shard"], f["words"]):
+                words = words_of(z)
+                at = (word_hashes(words) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)  # ascending, as the hashes are
+                cut = np.flatnonzero(np.diff(at)) + 1
+                edges = [0, *cut.tolist(), len(words)] if len(words) else []
+                yield pd.DataFrame([(int(at[a]), shard, squeeze(words[a:b])) for a, b in zip(edges, edges[1:])], columns=names(PIECES))
+
+    return run
+
+
+def ranked(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+    """applyInPandas: the pieces of a bucket to the numbers of their words among the bucket's distinct words, in hash order."""
+    pieces = [words_of(z) for z in f["words"]]
+    every = sorted(set().union(*pieces))
+    h = word_hashes(every)
+    number = {every[i]: n for n, i in enumerate(np.argsort(h, kind="stable").tolist())}
+    # ascending, so the steps between them are small
+    ranks = [pack(np.diff(np.fromiter(map(number.__getitem__, p), dtype=np.int64, count=len(p)), prepend=0)) for p in pieces]
+    return pd.DataFrame({"bucket": f["bucket"], "shard": f["shard"], "ranks": ranks})
 
 
-def recode(codes: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+def recode(shards: Iterator[tuple]) -> Iterator[pd.DataFrame]:
     """Local codes to global column ids, ascending within each row of a shard."""
-    for indptr, code, data, ids in codes:
+    for indptr, codes, data, buckets, ranks in shards:
         out = []
-        for p, c, n, g in zip(indptr, code, data, ids):
-            col, n = np.asarray(g, dtype=np.int64)[np.asarray(c, dtype=np.int64)], np.asarray(n)
+        for p, c, n, at, z in zip(indptr, codes, data, buckets, ranks):
+            ids = [(int(b) << 32) + np.cumsum(unpack(r)) for b, r in zip(at, z)]
+            col, n = np.concatenate([np.empty(0, dtype=np.int64), *ids])[unpack(c)], unpack(n)
             order = np.lexsort((col, np.repeat(np.arange(len(p) - 1), np.diff(p))))
-            out.append((col[order], n[order]))
+            out.append((col[order], n[order].astype(np.int32)))
         yield pd.DataFrame(out, columns=["indices", "data"])
 
 
-recode.__annotations__ = {"codes": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+recode.__annotations__ = {"shards": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
 
 
 def totals(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
@@ -148,14 +208,16 @@ def term_matrix(docs: DataFrame) -> DataFrame:
         F.coalesce("part", F.lit("")).alias("part"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
     )
     local = durable(t.mapInPandas(gather, LOCAL))
-    words = local.select("shard", F.posexplode("words").alias("code", "word"))
-    ids = words.join(dictionary(words.select("word")), "word")
-    # a shard's own words: no more than its text holds
-    ids = ids.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("code", "id")))["id"].alias("ids"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", SHARD_ROWS)
+    sent = local.agg(F.sum("n_words")).first()[0] or 0
+    pieces = local.select("shard", "words").mapInPandas(dealt(max(1, math.ceil(sent / BUCKET))), PIECES)
+    ranks = pieces.groupBy("bucket").applyInPandas(ranked, RANKS)
+    # the pieces of a shard hold no more words than its text
+    back = ranks.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("bucket", "ranks"))).alias("r"))
     coded = F.pandas_udf(recode, "indices array<bigint>, data array<int>")
-    m = local.join(ids, "shard", "left").select("shard", "docs", "indptr", coded("indptr", "codes", "data", F.coalesce("ids", F.array().cast("array<bigint>"))).alias("m"))
-    return durable(m.select("shard", "docs", "indptr", "m.indices", "m.data"))
+    at, z = F.coalesce("r.bucket", F.array().cast("array<bigint>")), F.coalesce("r.ranks", F.array().cast("array<binary>"))
+    m = local.drop("words").join(back, "shard", "left").select("shard", "docs", "indptr", coded("indptr", "codes", "data", at, z).alias("m"))
+    return m.select("shard", "docs", "indptr", "m.indices", "m.data")
 
 
 def failures(docs: DataFrame) -> DataFrame:
