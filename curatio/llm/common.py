@@ -115,6 +115,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd base modulo 2^64."""
+    return _powers(n)[0]
+
+
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` values (prefix sums of a polynomial modulo 2^64)."""
     n = len(h)
