@@ -3,9 +3,9 @@
 Every operator here is a ``groupBy`` with partially-aggregated functions
 (``max_by``/``min_by``/``count``/``sum``), so a key that holds a large share
 of the rows is combined map-side before the shuffle; no operator collects a
-whole group's rows into one task.  Only the *distinct values* of a group are
-ever collected (for the ordered string list), which is the size of the
-result itself.
+whole group's rows into one task.  An ordered string list is put together
+from parts of bounded size; only where one string per key is asked for do a key's
+parts meet, which is the size of the result itself.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col, c
+from curatio.operators.segmented import segmented
 
 
 def _order_struct(order: Sequence[str | Column]) -> Column:
@@ -72,21 +73,38 @@ def ordered_distinct_concat(
 ) -> DataFrame:
     """``paste(unique(na.omit(v)), collapse = sep)`` in first-appearance order.
 
-    Two aggregations: (key, value) -> first position (partial aggregation,
-    skew-safe), then one list of the group's *distinct* values sorted by that
-    position.  Groups with only NULL values yield an empty string, as R does.
+    (key, value) -> first position is a partial aggregation; the rest is
+    ``ordered_parts`` and ``join_parts``.  Keys with only NULL values have no row.
     """
-    firsts = (
+    firsts = first_appearance(df, keys, value, order)
+    return join_parts(ordered_parts(firsts, keys, out, sep), keys, out, sep)
+
+
+def first_appearance(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str | Column]) -> DataFrame:
+    """Rows ``(keys..., __v, __o)``: each distinct non-NULL value of a key and its first position."""
+    return (
         df.where(c(value).isNotNull())
         .groupBy(*[c(k) for k in keys], c(value).alias("__v"))
         .agg(F.min(_order_struct(order)).alias("__o"))
     )
-    lists = firsts.groupBy(*[c(k) for k in keys]).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda x: x["__v"]), sep
-        ).alias(out)
-    )
-    return lists
+
+
+def ordered_parts(firsts: DataFrame, keys: Sequence[str], out: str, sep: str = ",", size: int = 4096,
+                  rows: int | None = None) -> DataFrame:
+    """Rows ``(keys..., part, out)``: the values ``__v`` in the order of ``__o``, ``size`` of them a part.
+
+    Positions come from the segmented series, so that a key with most of all
+    values is spread over tasks by rows, and a task never holds more than a part.
+    """
+    at = segmented(firsts.select(*[c(k) for k in keys], "__o", "__v"), keys, ["__o", "__v"], rows=rows, position="__p")
+    text = F.transform(F.array_sort(F.collect_list(F.struct("__p", "__v"))), lambda x: x["__v"].cast("string"))
+    return at.groupBy(*[c(k) for k in keys], F.floor(F.col("__p") / F.lit(size)).alias("part")).agg(F.array_join(text, sep).alias(out))
+
+
+def join_parts(parts: DataFrame, keys: Sequence[str], out: str, sep: str = ",") -> DataFrame:
+    """One string a key from its parts."""
+    text = F.transform(F.array_sort(F.collect_list(F.struct("part", c(out).alias("t")))), lambda x: x["t"])
+    return parts.groupBy(*[c(k) for k in keys]).agg(F.array_join(text, sep).alias(out))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import c
-from curatio.operators.aggregates import _order_struct, latest_nonnull
+from curatio.operators.aggregates import _order_struct, join_parts, latest_nonnull, ordered_parts
+from curatio.operators.joins import same_keys
+from curatio.session import written
 
 
 def unpivot(
@@ -80,9 +82,9 @@ def change_report(
 ) -> DataFrame:
     """QC report per (key, feature): distinct count, ordered distinct list, latest value.
 
-    Rows: ``key, feature, n_uniq_values, unique_values, value``.  Two
-    aggregation levels, the first by (key, feature, value), so a hot key is
-    reduced to its distinct values before anything is collected.
+    Rows: ``key, feature, n_uniq_values, unique_values, value``.  The first
+    aggregation is by (key, feature, value); the distinct values of a hot key
+    become list parts in many tasks (``ordered_parts``) before they are one text.
     """
     ids = [key] + ([date_col] if date_col else [])
     o = _order_struct(order)
@@ -91,16 +93,16 @@ def change_report(
     per_value = long.groupBy(c(key), "feature", "value").agg(
         F.min("__o").alias("__first"), F.max("__o").alias("__last")
     )
-    return per_value.groupBy(c(key), "feature").agg(
+    # used twice, so written once
+    per_value = written(per_value, "values")
+    lists = per_value.where(F.col("value").isNotNull()).select(c(key), "feature", F.col("value").alias("__v"), F.col("__first").alias("__o"))
+    lists = join_parts(ordered_parts(lists, [key, "feature"], "unique_values"), [key, "feature"], "unique_values")
+    rest = per_value.groupBy(c(key), "feature").agg(
         F.count("value").alias("n_uniq_values"),
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("__first", "value"))), lambda x: x["value"]
-            ),
-            ",",
-        ).alias("unique_values"),
         F.max_by("value", F.when(F.col("value").isNotNull(), F.col("__last"))).alias("value"),
     )
+    out = same_keys(rest, lists, [key, "feature"])
+    return out.select(c(key), "feature", "n_uniq_values", F.coalesce("unique_values", F.lit("")).alias("unique_values"), "value")
 
 
 def map_to_rows(df: DataFrame, map_col: str, id_col: str, value_col: str, keep: Sequence[str] = ()) -> DataFrame:

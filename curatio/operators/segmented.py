@@ -2,9 +2,12 @@
 
 A plain ``Window.partitionBy(record)`` puts a whole recording into one task;
 a recording that holds a large share of the data would then be processed
-by a single core.  Here a series is cut into *chunks* that are contiguous
-in the order (a bucket of the leading order column), and
+by a single core.  Here a series is cut into *chunks* by row count:
 
+0. all samples are range-partitioned by record and all order columns and
+   written once (``spread``): partitions hold like numbers of rows, however
+   they are shared out among records and however many have the same leading order
+   value.  A chunk is what one partition holds of a record;
 1. every window function runs per (record, chunk) - one exchange + sort,
    spread over all chunks of a long recording;
 2. a small per-chunk summary table (one row per chunk: row count, column
@@ -17,14 +20,18 @@ in the order (a bucket of the leading order column), and
 4. summary and halo are joined back on (record, chunk) - the partitioning
    the window already produced, so the large side is not shuffled again.
 
-Results equal those of the plain per-record window for any chunk width;
-the width only controls parallelism (about rows-per-chunk samples in one
-window task).  ``width=None`` puts each record in a single chunk.
+Results equal those of the plain per-record window for any cut; ``rows``, the
+rows a chunk should hold, only controls parallelism (by default it follows
+from Spark's shuffle settings).  ``bounded=True`` is for series whose length is
+bounded by construction, such as fixed windows: a plain window per record.
+
+The write runs when the function is called, so a series is evaluated twice (range
+sampling, write) however many results it feeds, and its plan ends there.
 
 Record and chunk travel as one struct column, ``__key``: a struct is never
 NULL itself and its fields compare null-safely, so rows with a NULL record key
-or a NULL order value (their own chunk, first in the order) meet their summary
-in a plain equi-join on the window's partitioning.
+or a NULL order value (first in the order) meet their summary in a plain
+equi-join on the window's partitioning.
 """
 
 from __future__ import annotations
@@ -35,29 +42,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.session import written
+
 
+def spread(df: DataFrame, by: Sequence[str], rows: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by ``by`` and written; ``__chunk`` numbers the partitions in that order.
 
-def chunk_of(df: DataFrame, order0: str, width: float | None) -> Column:
-    """Chunk number: ``floor(order0 / width)``; timestamps in seconds, dates in days."""
-    if width is None:
-        return F.lit(0).cast("bigint")
-    t = dict(df.dtypes).get(order0, "double")
-    c = as_col(order0)
-    if t.startswith("timestamp"):
-        base = F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
-    elif t == "date":
-        base = F.unix_date(c).cast("double")
+    A frame spread by a record's keys and order can feed several calls of
+    ``segmented`` with these keys and order, which then don't write it again;
+    their results keep the column for further ones.
+
+    Rows equal in all of ``by`` stay together.  ``rows``: how many rows a
+    partition should hold (counted first); by default Spark's shuffle
+    partitions, joined and split by size by adaptive execution.
+    """
+    cols = [as_col(c) for c in by]
+    if rows is None:
+        d = df.repartitionByRange(*cols)
     else:
-        base = c.cast("double")
-    return F.floor(base / F.lit(float(width)))
+        d = df.repartitionByRange(max(1, -(-df.count() // rows)), *cols)
+    return written(d.withColumn("__chunk", F.spark_partition_id().cast("bigint")), "series")
 
 
 def segmented(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    width: float | None,
     *,
+    rows: int | None = None,
+    bounded: bool = False,
     position: str | None = None,
     length: str | None = None,
     lags: Mapping[str, Sequence[int]] | None = None,
@@ -81,9 +94,9 @@ def segmented(
     * ``means``: ``{column: out}`` record mean of the non-NULL values;
     * ``totals``: ``{column: out}`` record sum of the column.
 
-    ``df`` is referenced twice in the plan (per-chunk summary, final join),
-    so nesting calls grows the plan as 2^depth: request everything a series
-    needs in one call.
+    ``df`` is written with all its columns, unless it comes from ``spread``:
+    select what is needed before.  ``rows`` and ``bounded``:
+    see the module.
     """
     lags, leads = dict(lags or {}), dict(leads or {})
     running, running2, means = dict(running or {}), dict(running2 or {}), dict(means or {})
@@ -92,16 +105,19 @@ def segmented(
     L = max([max(v) for v in leads.values() if v] or [0])
     halo_cols = sorted(set(lags) | set(leads))
     kc = [as_col(k) for k in keys]
-    reserved = {"__key", "__chunk", "__ic", "__cn", "__off", "__len", "__halo", "__bnd"}
+    reserved = {"__key", "__ic", "__cn", "__off", "__len", "__halo", "__bnd"}
     clash = reserved & set(df.columns)
     if clash:
         raise ValueError(f"input uses reserved column names {sorted(clash)}")
+    if bounded and "__chunk" in df.columns:
+        df = df.drop("__chunk")
     sums = sorted(set(running) | set(running2))
-    if width is None:
+    if bounded:
         return _whole_record(df, kc, order, position, length, lags, leads, running, running2, means, totals)
 
     named = [k.alias(f"k{i}") for i, k in enumerate(kc)]
-    d = df.withColumn("__key", F.struct(*named, chunk_of(df, order[0], width).alias("chunk")))
+    d = df if "__chunk" in df.columns else spread(df, [*keys, *order], rows)
+    d = d.withColumn("__key", F.struct(*named, F.col("__chunk").alias("chunk")))
     wc = Window.partitionBy("__key").orderBy(*[as_col(o) for o in order])
     wcp = Window.partitionBy("__key")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -138,8 +154,8 @@ def segmented(
 
     # windows over the chunks of a record (small table, one exchange)
     record = [f"__k{i}" for i in range(len(kc))]
-    summ = summ.withColumns({"__chunk": F.col("__key.chunk"), **{r: F.col(f"__key.{r[2:]}") for r in record}})
-    wr = Window.partitionBy(*record).orderBy("__chunk")
+    summ = summ.withColumns({"__at": F.col("__key.chunk"), **{r: F.col(f"__key.{r[2:]}") for r in record}})
+    wr = Window.partitionBy(*record).orderBy("__at")
     before = wr.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*record)
     summ = summ.withColumn("__off", F.coalesce(F.sum("__n_c").over(before), F.lit(0)))
@@ -200,14 +216,14 @@ def segmented(
     if length:
         new[length] = F.col("__len")
     d = d.withColumns(new)
-    internal = reserved | {c for c in d.columns if c.startswith(("__wl", "__wd", "__wr_", "__wrn_", "__wq_", "__so_",
+    internal = reserved | {"__chunk"} | {c for c in d.columns if c.startswith(("__wl", "__wd", "__wr_", "__wrn_", "__wq_", "__so_",
                                                                   "__son_", "__qo_"))}
     keep_out = set(new) | set(means.values()) | set(totals.values())
     return d.drop(*[n for n in d.columns if n in internal and n not in keep_out and n not in df.columns])
 
 
 def _whole_record(df, kc, order, position, length, lags, leads, running, running2, means, totals) -> DataFrame:
-    """``width=None``: every record is one window partition (one exchange + sort)."""
+    """``bounded``: every record is one window partition (one exchange + sort)."""
     w = Window.partitionBy(*kc).orderBy(*[as_col(o) for o in order])
     part = Window.partitionBy(*kc)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

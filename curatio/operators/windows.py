@@ -1,10 +1,9 @@
 """Ordered-series operators inside one entity (a recording, a participant).
 
-Each operator takes a chunk ``width`` (units of the leading order column;
-seconds for timestamps).  With a width, the work runs per (entity, chunk)
-through ``curatio.operators.segmented`` - exact results, and an entity
-with a huge share of the rows is spread over many tasks.  ``width=None``
-keeps each entity in one window partition.
+The work runs per (entity, chunk of rows) through
+``curatio.operators.segmented`` - exact results, and an entity with a huge
+share of the rows is spread over many tasks.  ``rows``: rows of a chunk, by
+default as Spark's shuffle settings have it.
 """
 
 from __future__ import annotations
@@ -19,18 +18,18 @@ from curatio.operators.segmented import segmented
 
 
 def lag_diff(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, lag: int = 1,
-             width: float | None = None) -> DataFrame:
+             rows: int | None = None) -> DataFrame:
     """``diff(x)``: x_i - x_{i-lag}; NULL for the first ``lag`` samples (H3)."""
-    s = segmented(df, part, order, width, lags={col: [lag]})
+    s = segmented(df, part, order, rows=rows, lags={col: [lag]})
     return s.withColumn(out, as_col(col) - F.col(f"lag{lag}_{col}")).drop(f"lag{lag}_{col}")
 
 
 def running_sum(
     df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str, scale: Column | float | None = None,
-    width: float | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Cumulative sum (rectangle-rule integration when ``scale`` = 1/fs) (H4)."""
-    s = segmented(df, part, order, width, running={col: "cum__"})
+    s = segmented(df, part, order, rows=rows, running={col: "cum__"})
     v = F.col("cum__")
     if scale is not None:
         v = v * (scale if isinstance(scale, Column) else F.lit(scale))
@@ -38,21 +37,22 @@ def running_sum(
 
 
 def with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], pos: str = "i", n: str = "n",
-                  width: float | None = None) -> DataFrame:
+                  rows: int | None = None) -> DataFrame:
     """1-based sample position and series length."""
-    s = segmented(df, part, order, width, position="p0__", length=n)
+    s = segmented(df, part, order, rows=rows, position="p0__", length=n)
     return s.withColumn(pos, F.col("p0__") + 1).drop("p0__")
 
 
 def percent_slice_means(
     df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, fractions: Sequence[float],
-    width: float | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Mean of the first and last ``ceil(n * p)`` samples for every fraction p (H5).
 
     Output per entity: ``first_<pct>``, ``last_<pct>`` columns.
     """
-    pos = with_position(df.where(as_col(col).isNotNull()), part, order, "__i", "__n", width)
+    need = [c for c in dict.fromkeys([*part, *order, col, "__chunk"]) if c in df.columns]
+    pos = with_position(df.where(as_col(col).isNotNull()).select(*need), part, order, "__i", "__n", rows)
     aggs = []
     for p in fractions:
         k = F.ceil(F.col("__n") * F.lit(p))
@@ -64,7 +64,7 @@ def percent_slice_means(
 
 def fixed_windows(
     df: DataFrame, part: Sequence[str], order: Sequence[str], size: int, step: int | None = None, out: str = "window_id",
-    width: float | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Assign samples to fixed-length windows within a series.
 
@@ -75,14 +75,14 @@ def fixed_windows(
     with ``step <= size`` no sample is left out.
     """
     step = step or size
-    pos = with_position(df, part, order, "__i", "__n", width)
+    pos = with_position(df, part, order, "__i", "__n", rows)
     i0 = F.col("__i") - 1
     # windows w with w*step <= i0 < w*step + size, up to the first that reaches the series' end
     last = F.greatest(F.ceil((F.col("__n") - F.lit(size)) / F.lit(step)), F.lit(0))
     lo = F.greatest(F.ceil((i0 - F.lit(size) + 1) / F.lit(step)), F.lit(0))
     hi = F.least(F.floor(i0 / F.lit(step)), last)
     ids = F.when(lo <= hi, F.sequence(lo.cast("int"), hi.cast("int"))).otherwise(F.array().cast("array<int>"))
-    return pos.withColumn(out, F.explode(ids)).drop("__i", "__n")
+    return pos.withColumn(out, F.explode(ids)).drop("__i", "__n", "__chunk")
 
 
 def time_windows(df: DataFrame, ts: str, duration: str, slide: str | None = None, out: str = "window_id") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ PROVENANCE_SCHEMA = T.StructType(
         T.StructField("target", T.StringType(), False),
         T.StructField("used", T.ArrayType(T.StringType(), False), False),
         T.StructField("executed", T.StringType(), True),
+        T.StructField("n_rows", T.LongType(), False),
         T.StructField("as_of", T.TimestampType(), False),
     ]
 )
@@ -51,22 +52,19 @@ def publish_typed(df: DataFrame, target: T.StructType, path: str, drop: Iterable
     return report
 
 
-def provenance_row(spark: SparkSession, target: str, used: Sequence[str], executed: str | None,
-                   as_of=None) -> DataFrame:
-    """One lineage row ``(target, used[], executed, as_of)``."""
-    df = spark.createDataFrame([(target, list(used), executed)], "target string, used array<string>, executed string")
-    ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return df.withColumn("as_of", ts)
+def provenance_with_count(df: DataFrame, target: str, used: Sequence[str], executed: str | None, as_of=None) -> DataFrame:
+    """One lineage row of ``PROVENANCE_SCHEMA`` (B6); the row count is one global aggregate of ``df``.
 
-
-def provenance_with_count(df: DataFrame, target: str, used: Sequence[str], executed: str | None) -> DataFrame:
-    """Lineage row plus the published row count, computed by one global aggregate of ``df``."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+    ``as_of``: the time the table holds for, by default now.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(target).alias("target"),
-        F.array(*[F.lit(u) for u in used]).alias("used"),
-        F.lit(executed).alias("executed"),
+        F.array(*[F.lit(u) for u in used]).cast("array<string>").alias("used"),
+        F.lit(executed).cast("string").alias("executed"),
         "n_rows",
+        (F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")).alias("as_of"),
     )
+    return row.select(*[f.name for f in PROVENANCE_SCHEMA])
 
 
 def append_provenance(row: DataFrame, path: str) -> None:

@@ -3,25 +3,15 @@
 from __future__ import annotations
 
 
-def all_queries() -> dict:
-    from curatio.queries import curation
+def _modules():
+    from curatio.queries import curation, jobs, sensors
+
+    return curation, jobs, sensors
 
-    out = dict(curation.QUERIES)
-    try:
-        from curatio.queries import sensors
-    except ImportError:  # pragma: no cover - during bring-up
-        return out
-    out.update(sensors.QUERIES)
-    return out
+
+def all_queries() -> dict:
+    return {k: v for m in _modules() for k, v in m.QUERIES.items()}
 
 
 def all_oracles() -> dict:
-    from curatio.queries import curation
-
-    out = dict(curation.ORACLE)
-    try:
-        from curatio.queries import sensors
-    except ImportError:  # pragma: no cover
-        return out
-    out.update(sensors.ORACLE)
-    return out
+    return {k: v for m in _modules() for k, v in m.ORACLE.items()}

@@ -7,10 +7,6 @@ semantics independently in DuckDB.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +20,10 @@ from curatio.operators import reshape as G
 from curatio.operators import windows as H
 from curatio.operators.sets import union_versions
 from curatio.plans import attachments as ATT
+from curatio.plans import manifest as MF
 from curatio.plans import publish as PUB
 from curatio.plans.curate import Source, TableSpec, curate
+from curatio.plans.release import ReleaseJob, release_set
 from curatio.plans.trials import trial_summary
 from curatio.queries.common import (
     AS_OF,
@@ -39,8 +37,8 @@ from curatio.queries.common import (
     standin,
     table,
 )
-from curatio.session import checkpoint_dir
-from curatio.sources.catalog import inline_table, read_side_list
+from curatio.session import scratch
+from curatio.sources.catalog import attachment_files, inline_table, read_side_list
 from curatio.sources.testtables import duck
 
 QUERIES: dict = {}
@@ -57,13 +55,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def scratch(spark, tag: str) -> str:
-    """Fresh folder under the shared checkpoint directory (a local temp
-    folder only when the session names none, as in tests)."""
-    base = checkpoint_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "curatio-scratch"))
-    return os.path.join(base, f"{tag}-{uuid.uuid4().hex}")
-
-
 # --------------------------------------------------------------------------
 # A. scans, sources
 # --------------------------------------------------------------------------
@@ -680,17 +671,13 @@ def map_to_rows(spark, d):
 # H. ordered series on events (participant = user)
 # --------------------------------------------------------------------------
 
-# Chunk width (seconds) of the segmented series: a user's events are
-# processed in 2-day chunks, exact and spread over tasks.
-EVENT_WIDTH = 2 * 86400.0
-
 @query(
     "lag_diff",
     "SELECT event_id, user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d_value FROM events",
 )
 def lag_diff(spark, d):
     ev = table(spark, d, "events")
-    out = H.lag_diff(ev, ["user_id"], ["ts", "event_id"], "value", "d_value", width=EVENT_WIDTH)
+    out = H.lag_diff(ev, ["user_id"], ["ts", "event_id"], "value", "d_value")
     return out.select("event_id", "user_id", present(F.col("d_value")).alias("d_value"))
 
 
@@ -708,8 +695,7 @@ ORACLE["lag_diff"] = (
     + " AS integral FROM events",
 )
 def running_integral(spark, d):
-    out = H.running_sum(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "integral", 0.5,
-                        width=EVENT_WIDTH)
+    out = H.running_sum(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "integral", 0.5)
     return out.select("event_id", "user_id", present(F.col("integral"), 4).alias("integral"))
 
 
@@ -727,8 +713,7 @@ SELECT user_id, """
     + " FROM p GROUP BY user_id",
 )
 def percent_slices(spark, d):
-    out = H.percent_slice_means(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", [0.1, 0.25, 0.5],
-                                width=EVENT_WIDTH)
+    out = H.percent_slice_means(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", [0.1, 0.25, 0.5])
     return out.select("user_id", *[present(F.col(c)).alias(c) for c in out.columns if c != "user_id"])
 
 
@@ -745,7 +730,7 @@ GROUP BY user_id, window_id
 """,
 )
 def fixed_windows(spark, d):
-    out = H.fixed_windows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 16, 8, width=EVENT_WIDTH)
+    out = H.fixed_windows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 16, 8)
     return out.groupBy("user_id", "window_id").agg(F.count(F.lit(1)).alias("n_samples"))
 
 
@@ -1253,11 +1238,15 @@ def publish_typed(spark, d):
     return spark.read.parquet(path)
 
 
+# Every document is a file; the payloads of those without a label are missing.
 ATTACH_SQL = (
-    "SELECT CAST(d.doc_id AS STRING) AS handle, d.text AS content FROM documents d "
-    "WHERE d.doc_id IN (SELECT doc_id FROM labels)"
+    "SELECT CAST(d.doc_id AS STRING) AS handle, CASE WHEN l.doc_id IS NOT NULL THEN d.text END AS content "
+    "FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id"
+)
+REFS_SQL = (
+    "SELECT CAST(doc_id AS STRING) AS recordId, CAST(doc_id AS STRING) AS `file.json`, "
+    "CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id + 1 AS STRING) END AS `second.json`, lang FROM documents"
 )
-REFS_SQL = "SELECT CAST(doc_id AS STRING) AS recordId, CAST(doc_id AS STRING) AS `file.json`, lang FROM documents"
 
 
 @query(
@@ -1270,32 +1259,91 @@ def rehome_attachments(spark, d):
 
 @query(
     "substitute_handles",
-    f"SELECT r.recordId, a.new_handle AS \"file.json\", r.lang FROM ({duck(REFS_SQL)}) r LEFT JOIN "
-    f"(SELECT handle AS old_handle, sha256(content) AS new_handle FROM ({duck(ATTACH_SQL)})) a ON r.\"file.json\" = a.old_handle",
+    f"WITH a AS (SELECT handle AS old_handle, sha256(content) AS new_handle FROM ({duck(ATTACH_SQL)})) "
+    f"SELECT r.recordId, a1.new_handle AS \"file.json\", a2.new_handle AS \"second.json\", r.lang FROM ({duck(REFS_SQL)}) r "
+    "LEFT JOIN a a1 ON r.\"file.json\" = a1.old_handle LEFT JOIN a a2 ON r.\"second.json\" = a2.old_handle",
 )
 def substitute_handles(spark, d):
     mapping = ATT.rehome(standin(spark, d, ATTACH_SQL))
-    return ATT.substitute_handles(standin(spark, d, REFS_SQL), mapping, ["file.json"])
+    return ATT.substitute_handles(standin(spark, d, REFS_SQL), mapping, ["file.json", "second.json"])
 
 
 @query(
     "json_documents",
-    f"SELECT DISTINCT sha256(content) AS handle, content FROM ({duck(ATTACH_SQL)}) "
-    f"WHERE handle IN (SELECT \"file.json\" FROM ({duck(REFS_SQL)}) WHERE lang = 'en')",
+    "SELECT DISTINCT sha256(doc) AS handle, doc AS document FROM (SELECT to_json(CAST(answers AS JSON)::VARCHAR[])::VARCHAR AS doc "
+    f"FROM ({duck(CHOICE_SQL)}) WHERE json_valid(answers))",
 )
 def json_documents(spark, d):
-    refs = standin(spark, d, REFS_SQL).where(F.col("lang") == "en")
-    return ATT.release_payloads(standin(spark, d, ATTACH_SQL), refs.select(F.col("`file.json`").alias("handle")))
+    """The choice documents of all answer cells in their store; the second run adds none."""
+    store = scratch(spark, "documents")
+    for _ in range(2):
+        ATT.store_documents(ATT.choice_documents(standin(spark, d, CHOICE_SQL), "answers", record="event_id"), store)
+    return spark.read.parquet(store)
 
 
 @query(
-    "provenance_rows",
-    f"SELECT 'Survey' AS target, ['survey', 'excluded', 'withdrew'] AS used, 'curate_standard' AS executed, "
-    f"(SELECT count(*) FROM ({_curate_oracle(_S, ORDERS_START)})) AS n_rows",
+    "attachment_store",
+    "SELECT DISTINCT sha256(text || chr(10)) AS handle, CAST(strlen(text) + 1 AS BIGINT) AS n_bytes FROM documents "
+    "WHERE text IS NOT NULL AND doc_id IS NOT NULL",
 )
+def attachment_store(spark, d):
+    """Every document as a file of its own, read as payloads into the content-addressed store; the second run adds none."""
+    files, store = scratch(spark, "files"), scratch(spark, "store")
+    docs = table(spark, d, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL")
+    docs.select(F.col("doc_id").cast("string").alias("handle"), F.col("text").alias("value")).write.partitionBy("handle").text(files)
+    payloads = attachment_files(spark, files, "*.txt", r"handle=([^/]+)/[^/]*$")
+    for _ in range(2):
+        ATT.store_payloads(payloads, payloads.select("handle").distinct(), store)
+    return spark.read.parquet(store).select("handle", F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
+PROVENANCE_SQL = (
+    "SELECT '{target}' AS target, {used} AS used, 'curate_standard' AS executed, "
+    "(SELECT count(*) FROM ({rows})) AS n_rows, TIMESTAMP '" + AS_OF + " 00:00:00' AS as_of"
+)
+_USED = "['survey', 'excluded', 'withdrew']"
+
+
+@query("provenance_rows", PROVENANCE_SQL.format(target="Survey", used=_USED, rows=_curate_oracle(_S, ORDERS_START)))
 def provenance_rows(spark, d):
     out = curate_standard(spark, d)
-    return PUB.provenance_with_count(out, "Survey", ["survey", "excluded", "withdrew"], "curate_standard")
+    return PUB.provenance_with_count(out, "Survey", ["survey", "excluded", "withdrew"], "curate_standard", AS_OF)
+
+
+def _release_runs(spark, d) -> str:
+    """A release folder with two committed runs of two tables and a run that was killed between its tables."""
+    root = scratch(spark, "release")
+    lists = (standin(spark, d, EXCLUDED_SQL), standin(spark, d, WITHDREW_SQL))
+    jobs = {"survey": ReleaseJob(SURVEY_SPEC, {"survey": standin(spark, d, SURVEY_SQL)}),
+            "symptoms": ReleaseJob(SYMPTOMS_SPEC, {"symptoms": standin(spark, d, SYMPTOMS_SQL)})}
+    early = {"survey": ReleaseJob(SURVEY_SPEC, {"survey": standin(spark, d, SURVEY_SQL + " WHERE o_orderkey % 2 = 0")})}
+    release_set(early, *lists, root, "run-1", "curate_standard", AS_OF, start=ORDERS_START)
+    PUB.publish(curate_standard(spark, d).limit(1), f"{root}/runs/run-2/survey")  # what a killed job leaves
+    release_set(jobs, *lists, root, "run-2", "curate_standard", AS_OF, start=ORDERS_START)
+    release_set(early, *lists, root, "run-2", "curate_standard", AS_OF, start=ORDERS_START)  # committed: nothing happens
+    return root
+
+
+SYMPTOMS_SPEC = TableSpec(name="symptoms", sources=[Source("symptoms")], date_col="createdOn", json_columns=["answer"])
+SYMPTOMS_SQL = SURVEY_SQL.replace("o_orderpriority AS answer", "concat('[\"', o_orderpriority, '\"]') AS answer")
+_SYMPTOMS = (f"SELECT * REPLACE (sha256(to_json(CAST(answer AS JSON)::VARCHAR[])::VARCHAR) AS answer) "
+             f"FROM ({_curate_oracle(duck(SYMPTOMS_SQL), ORDERS_START)})")
+
+
+@query(
+    "release_manifest",
+    PROVENANCE_SQL.format(target="survey", used="['survey']", rows=_curate_oracle(_S, ORDERS_START)) + ", 'run-2' AS run UNION ALL "
+    + PROVENANCE_SQL.format(target="symptoms", used="['symptoms']", rows=_SYMPTOMS) + ", 'run-2'",
+)
+def release_manifest(spark, d):
+    """Lineage rows of the current release, after an older run and one that was killed and run again."""
+    return MF.current(spark, _release_runs(spark, d)).drop("path", "committed")
+
+
+@query("release_table", f"SELECT recordId, healthCode, createdOn, answer, score FROM ({_SYMPTOMS})")
+def release_table(spark, d):
+    """A table of the current release, found by the manifest."""
+    return MF.read_current(spark, _release_runs(spark, d), "symptoms")
 
 
 # --------------------------------------------------------------------------

@@ -9,8 +9,8 @@ Lomb-Scargle peak into the wide table a study releases:
   AA, AJ, plus ``corXY``, ``corXZ``, ``corYZ``;
 * ``rest_features``    - the 19 balance features on the AA series.
 
-All ordered work goes through the segmented series primitive (``width``),
-quantiles through the value histogram when ``value_width`` is given.
+Each series is spread over tasks by rows and written once; order, box and
+trigonometric statistics, quantiles and moments all read that.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from curatio.functions.expr import as_col
 from curatio.operators.joins import same_keys
 from curatio.operators.reshape import unpivot
+from curatio.operators.segmented import segmented, spread
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
 from curatio.sensors.fractal import dfa
@@ -44,6 +45,18 @@ REST_NAMES = ["meanAA", "sdAA", "modeAA", "skewAA", "kurAA", "q1AA", "medianAA",
               "zcrAA", "dfaAA", "turningTime", "Postpeak", "Postpower", "Alpha", "dVol", "ddVol"]
 
 
+def tapping_names() -> list[str]:
+    """Names of the 42 tapping features."""
+    return ([f"{s}TapInter" for s in TAP_STATS + TAP_INTER_EXTRA]
+            + [f"{s}{ser}" for ser in TAP_SERIES[1:] for s in TAP_STATS]
+            + ["numberTaps", "buttonNoneFreq", "corXY"])
+
+
+def walk_names() -> list[str]:
+    """Names of the walking features: 17 on five axes, and three correlations."""
+    return [f"{s}{a}" for s in WALK_STATS for a in WALK_AXES] + ["corXY", "corXZ", "corYZ"]
+
+
 def _pivot_wide(long: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """(keys, name, value) -> one column per name, explicit list (no discovery job)."""
     return long.groupBy(*[as_col(k) for k in keys]).pivot("name", list(names)).agg(F.first("value"))
@@ -57,8 +70,7 @@ def tapping_features(
     x: str = "x",
     y: str = "y",
     button: str = "button",
-    width: float | None = None,
-    value_width: float | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """The 42 tapping features per record.
 
@@ -66,20 +78,19 @@ def tapping_features(
     the button hit (``left``/``right``/``none``).
     """
     order = list(order)
-    inter = SR.tap_intervals(taps, [record], order, t, "v", width=width).select(
+    inter = SR.tap_intervals(taps, [record], order, t, "v", rows=rows).select(
         record, *order, F.lit("TapInter").alias("series"), "v")
-    drift = SR.button_drift(taps, [record], order, button, x, y, "v", width=width).select(
+    drift = SR.button_drift(taps, [record], order, button, x, y, "v", rows=rows).select(
         record, *order, F.when(F.col(button) == "left", "DriftLeft").otherwise("DriftRight").alias("series"), "v")
-    s = inter.unionByName(drift)
-    st = FT.series_stats(s, [record, "series"], order, width=width, value_width=value_width)
+    s = spread(inter.unionByName(drift), [record, "series", *order], rows)
+    st = FT.series_stats(s, [record, "series"], order)
     stat_cols = {"mean": "mean", "median": "median", "iqr": "iqr", "min": "min", "max": "max", "skew": "skew",
                  "kur": "kur", "sd": "sd", "mad": "mad", "cv": "cv", "range": "range", "tkeo": "tkeo",
                  "ar1": "acf1", "ar2": "acf2"}
     long = unpivot(st.select(record, "series", *[F.col(v).alias(k) for k, v in stat_cols.items()]),
                    [record, "series"], list(stat_cols), "stat", "value")
-    fat = FT.fatigue(inter, [record], order, "v", width=width)
-    fat_long = unpivot(fat, [record], ["fatigue10", "fatigue25", "fatigue50"], "stat", "value").withColumn(
-        "series", F.lit("TapInter"))
+    fat = FT.fatigue(s.where(F.col("series") == "TapInter"), [record, "series"], order, "v")
+    fat_long = unpivot(fat, [record, "series"], ["fatigue10", "fatigue25", "fatigue50"], "stat", "value")
     long = long.unionByName(fat_long.select(record, "series", "stat", "value"))
     long = long.withColumn("name", F.concat("stat", "series"))
     counts = taps.groupBy(record).agg(
@@ -88,9 +99,7 @@ def tapping_features(
         FT.correlation(x, y).alias("corXY"),
     )
     counts_long = unpivot(counts, [record], ["numberTaps", "buttonNoneFreq", "corXY"], "name", "value")
-    names = ([f"{s}TapInter" for s in TAP_STATS + TAP_INTER_EXTRA]
-             + [f"{s}{ser}" for ser in TAP_SERIES[1:] for s in TAP_STATS]
-             + ["numberTaps", "buttonNoneFreq", "corXY"])
+    names = tapping_names()
     all_long = long.select(record, "name", "value").unionByName(counts_long.select(record, "name", "value"))
     return _pivot_wide(all_long, [record], names)
 
@@ -101,8 +110,7 @@ def walk_features(
     order: Sequence[str] = ("t",),
     t: str = "t",
     axes: Sequence[str] = ("X", "Y", "Z"),
-    width: float | None = None,
-    value_width: float | None = None,
+    rows: int | None = None,
     f_min: float = 0.2,
     f_max: float = 20.0,
     n_freq: int = 100,
@@ -113,11 +121,11 @@ def walk_features(
     ids = [record, *dict.fromkeys([*order, t])]
     w = accel.select(*ids, F.col(X).alias("X"), F.col(Y).alias("Y"), F.col(Z).alias("Z"))
     w = w.withColumn("AA", SR.magnitude(["X", "Y", "Z"]))
-    w = SR.with_jerk(w, [record], order, ["X", "Y", "Z"], "AJ", width=width)
-    long = unpivot(w, ids, WALK_AXES, "axis", "v").where(F.col("v").isNotNull())
+    w = SR.with_jerk(w, [record], order, ["X", "Y", "Z"], "AJ", rows=rows)
     keys = [record, "axis"]
-    st = FT.series_stats(long, keys, order, width=width, value_width=value_width)
-    d = dfa(long, keys, order, width=width)
+    long = spread(unpivot(w, ids, WALK_AXES, "axis", "v").where(F.col("v").isNotNull()), [*keys, *order], rows)
+    st = FT.series_stats(long, keys, order)
+    d = dfa(long, keys, order)
     ls = lomb_scargle_peak(long, keys, t, "v", f_min, f_max, n_freq)
     per_axis = same_keys(same_keys(st, d, keys), ls, keys).select(
         *keys, "mean", "sd", "mode", "skew", "kur", "q1", "median", "q3", "iqr", "range",
@@ -126,7 +134,7 @@ def walk_features(
     cors = w.groupBy(record).agg(FT.correlation("X", "Y").alias("corXY"), FT.correlation("X", "Z").alias("corXZ"),
                                  FT.correlation("Y", "Z").alias("corYZ"))
     cors_long = unpivot(cors, [record], ["corXY", "corXZ", "corYZ"], "name", "value")
-    names = [f"{s}{a}" for s in WALK_STATS for a in WALK_AXES] + ["corXY", "corXZ", "corYZ"]
+    names = walk_names()
     return _pivot_wide(long_stats.select(record, "name", "value").unionByName(cors_long), [record], names)
 
 
@@ -137,25 +145,24 @@ def rest_features(
     t: str = "t",
     axes: Sequence[str] = ("X", "Y", "Z"),
     fs: float = 100.0,
-    width: float | None = None,
-    value_width: float | None = None,
+    rows: int | None = None,
     f_min: float = 0.2,
     f_max: float = 20.0,
     n_freq: int = 100,
 ) -> DataFrame:
     """The 19 balance features (see the README for the conventions of turning
     time, posture peak/power and the displacement volumes)."""
-    from curatio.operators.segmented import segmented
-
     order = list(order)
     X, Y, Z = axes
-    aa = accel.select(record, *dict.fromkeys([*order, t]), SR.magnitude([X, Y, Z]).alias("v"))
-    st = FT.series_stats(aa, [record], order, width=width, value_width=value_width)
-    d = dfa(aa, [record], order, width=width)
+    s = accel.select(record, *dict.fromkeys([*order, t]), X, Y, Z, SR.magnitude([X, Y, Z]).alias("v"))
+    s = spread(s, [record, *order], rows)
+    aa = s.drop(X, Y, Z)
+    st = FT.series_stats(aa, [record], order)
+    d = dfa(aa, [record], order)
     tt = aa.groupBy(record).agg((F.max_by(t, F.struct(F.col("v"), -F.col(t))) - F.min(t)).alias("turningTime"))
     ls = lomb_scargle_peak(aa, [record], t, "v", f_min, f_max, n_freq)
     inv2 = 1.0 / (fs * fs)
-    disp = segmented(accel.select(record, *dict.fromkeys([*order, t]), X, Y, Z), [record], order, width,
+    disp = segmented(s.drop("v"), [record], order,
                      position="pos__", running={a: f"{a}_v" for a in (X, Y, Z)},
                      running2={a: f"{a}_d" for a in (X, Y, Z)})
     vol = None

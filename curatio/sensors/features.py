@@ -3,8 +3,9 @@
 Input is long: ``(keys..., order, v)``.  Statistics split into
 * algebraic ones (moments, extremes, energy, correlations): one ``groupBy``
   with partial aggregation;
-* holistic ones (quantiles, mode): Spark's exact ``percentile`` / ``mode``
-  aggregates, whose buffers hold one count per distinct value of a group;
+* holistic ones (quantiles, mode): ``curatio.operators.quantiles``, or for
+  ``bounded`` series Spark's exact ``percentile`` / ``mode`` aggregates, whose
+  buffers hold one count per distinct value of a group;
 * order-dependent ones (acf, zcr, tkeo, mobility, complexity, roughness):
   ``lag``/``lead`` over the record window, then an algebraic ``groupBy``.
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
 from curatio.operators.joins import same_keys
-from curatio.operators.segmented import segmented
+from curatio.operators.quantiles import group_mode, group_quantiles
+from curatio.operators.segmented import segmented, spread
 
 
 def _keys(keys: Sequence[str]) -> list[Column]:
@@ -59,10 +61,15 @@ def _quantile_cols() -> list[Column]:
     return [q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), (q[2] - q[0]).alias("iqr")]
 
 
+def _narrow(df: DataFrame, keys: Sequence[str], v: str) -> DataFrame:
+    """Only the columns that a series' statistics read."""
+    return df.select(*dict.fromkeys([*keys, v, *(c for c in ("__chunk",) if c in df.columns)]))
+
+
 def _ordered_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str, fs: float,
-                   width: float | None = None) -> DataFrame:
-    """Per-sample lag/lead terms from one segmented pass (skew-safe with a width)."""
-    s = segmented(df, keys, order, width, means={v: "m__"}, lags={v: [1, 2]}, leads={v: [1, 2]})
+                   rows: int | None = None, bounded: bool = False) -> DataFrame:
+    """Per-sample lag/lead terms from one segmented pass."""
+    s = segmented(df, keys, order, rows=rows, bounded=bounded, means={v: "m__"}, lags={v: [1, 2]}, leads={v: [1, 2]})
     x = as_col(v)
     m = F.col("m__")
     prev, nxt, nxt2, prev2 = F.col(f"lag1_{v}"), F.col(f"lead1_{v}"), F.col(f"lead2_{v}"), F.col(f"lag2_{v}")
@@ -103,8 +110,8 @@ def series_stats(
     v: str = "v",
     fs: float = 1.0,
     groups: Sequence[str] = ("moments", "quantiles", "ordered"),
-    width: float | None = None,
-    value_width: float | None = None,
+    rows: int | None = None,
+    bounded: bool = False,
     mode_digits: int | None = None,
 ) -> DataFrame:
     """All requested statistics of every series in one aggregation.
@@ -113,8 +120,7 @@ def series_stats(
       min, max, range, cv, energy, rmsmag (T1, T4-T8, T10, T11, W1, W2, W4, W5,
       W10, W14, X4, X12, X14, X15, X20, X22, X23, X26, X30);
     * ``quantiles``: q1, median, q3, iqr (type-7) and mode, smallest on a tie
-      (T2, T3, W3, W6-W9, X11, X13, X17, X21) - exact, one count per distinct
-      value of a group in the aggregation buffer;
+      (T2, T3, W3, W6-W9, X11, X13, X17, X21) - exact;
     * ``ordered`` (needs ``order``): acf1/acf2 about the series mean (T13,
       W11); zcr, the share of successive pairs whose mean-centred values have
       opposite signs (W12; a zero is never a crossing); tkeo, mean of
@@ -124,14 +130,13 @@ def series_stats(
       (X16, X2); rough, sum of squared second differences (X24, our
       convention); rugo, sqrt(mean squared first difference) (X25, ours).
 
-    With ``ordered``, the lag terms come from one window pass over the record
-    and feed the same aggregate as the other statistics (no join).
+    With ``ordered``, the lag terms come from one pass over the series and feed
+    the same aggregate as the moments (no join); the series is written once
+    (``segmented.spread``) and the quantiles read it from there.
 
-    ``width`` chunks the lag pass (time units), ``value_width`` switches the
-    quantiles and mode to the skew-safe histogram path of
-    ``curatio.operators.quantiles`` (value units; joined on the keys).
-    Without ``value_width`` they come from Spark's ``percentile``/``mode``
-    buffers in the same aggregate - fine for groups bounded by construction.
+    ``rows``: rows of a chunk, see ``segmented``.  ``bounded``: the series are
+    short by construction (fixed windows), so plain windows and Spark's
+    ``percentile``/``mode`` buffers in the same aggregate do.
     ``mode_digits`` takes the mode of the values rounded (half-even) to that
     many decimals.
     """
@@ -139,11 +144,14 @@ def series_stats(
     if "ordered" in want:
         if not order:
             raise ValueError("ordered statistics need an order")
-        base, x = _ordered_frame(df, keys, order, v, fs, width), F.col("x")
+        df = _narrow(df, [*keys, *order], v)
+        if not bounded and "__chunk" not in df.columns:
+            df = spread(df, [*keys, *order], rows)
+        base, x = _ordered_frame(df, keys, order, v, fs, rows, bounded), F.col("x")
     else:
         base, x = df, as_col(v)
     aggs: list[Column] = []
-    hist_q = "quantiles" in want and value_width is not None
+    hist_q = "quantiles" in want and not bounded
     if "moments" in want:
         aggs += _moment_aggs(x)
     if "quantiles" in want and not hist_q:
@@ -155,13 +163,9 @@ def series_stats(
         cols = [n for n in out.columns if n != "__q"]
         out = out.select(*[F.col(n) for n in cols], *_quantile_cols())
     if hist_q:
-        from curatio.operators.quantiles import group_quantiles
-
-        q = group_quantiles(df, keys, v, [0.25, 0.5, 0.75], ["q1", "median", "q3"], value_width,
-                            mode=None if mode_digits is not None else "mode")
+        q = group_quantiles(df, keys, v, [0.25, 0.5, 0.75], ["q1", "median", "q3"],
+                            mode=None if mode_digits is not None else "mode", rows=rows)
         if mode_digits is not None:
-            from curatio.operators.quantiles import group_mode
-
             q = same_keys(q, group_mode(df, keys, v, mode_digits), keys)
         q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
         out = q if out is None else same_keys(out, q, keys)
@@ -172,21 +176,21 @@ def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
     return series_stats(df, keys, v=v, groups=("moments",))
 
 
-def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v", value_width: float | None = None) -> DataFrame:
-    return series_stats(df, keys, v=v, groups=("quantiles",), value_width=value_width).select(*keys, *QUANTILES)
+def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
+    return series_stats(df, keys, v=v, groups=("quantiles",)).select(*keys, *QUANTILES)
 
 
 def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
-                fs: float = 1.0, width: float | None = None) -> DataFrame:
-    return series_stats(df, keys, order, v, fs, groups=("ordered",), width=width)
+                fs: float = 1.0, rows: int | None = None, bounded: bool = False) -> DataFrame:
+    return series_stats(df, keys, order, v, fs, groups=("ordered",), rows=rows, bounded=bounded)
 
 
 def fatigue(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
-            fractions: Sequence[float] = (0.1, 0.25, 0.5), width: float | None = None) -> DataFrame:
+            fractions: Sequence[float] = (0.1, 0.25, 0.5), rows: int | None = None) -> DataFrame:
     """mean(first p%) - mean(last p%) with ``ceil(n p)`` samples each."""
     from curatio.operators.windows import percent_slice_means
 
-    s = percent_slice_means(df, keys, order, v, fractions, width)
+    s = percent_slice_means(df, keys, order, v, fractions, rows)
     cols = []
     for p in fractions:
         tag = int(round(p * 100))

@@ -137,98 +137,171 @@ def band_energies(spec: DataFrame, keys: Sequence[str], band_width: float = 1.0,
 # --------------------------------------------------------------------------
 
 
-def _natural_spline(xk: np.ndarray, yk: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Natural cubic spline through (xk, yk) evaluated at x (numpy only)."""
-    n = len(xk)
-    if n == 1:
-        return np.full_like(x, yk[0], dtype=float)
-    if n == 2:
-        return np.interp(x, xk, yk)
-    h = np.diff(xk)
-    alpha = 3 * (np.diff(yk[1:]) / h[1:] - np.diff(yk[:-1]) / h[:-1])
-    # tridiagonal system for the second-derivative coefficients c[1..n-2]
-    lower = h[1:-1]
-    diag = 2 * (h[:-1] + h[1:])
-    c = np.zeros(n)
-    m = n - 2
-    cp, dp = np.zeros(m), np.zeros(m)
-    cp[0], dp[0] = (h[1] / diag[0] if m > 1 else 0.0), alpha[0] / diag[0]
-    for i in range(1, m):
-        den = diag[i] - lower[i - 1] * cp[i - 1]
-        cp[i] = (h[i + 1] / den) if i < m - 1 else 0.0
-        dp[i] = (alpha[i] - lower[i - 1] * dp[i - 1]) / den
-    for i in range(m - 1, -1, -1):
-        c[i + 1] = dp[i] - (cp[i] * c[i + 2] if i < m - 1 else 0.0)
-    b = np.diff(yk) / h - h * (c[1:] + 2 * c[:-1]) / 3
-    d = np.diff(c) / (3 * h)
-    idx = np.clip(np.searchsorted(xk, x, side="right") - 1, 0, n - 2)
-    dx = x - xk[idx]
-    return yk[idx] + b[idx] * dx + c[idx] * dx ** 2 + d[idx] * dx ** 3
-
-
-def _extrema(x: np.ndarray):
-    d = np.diff(x)
-    maxima = np.where((np.hstack([d, 0]) < 0) & (np.hstack([0, d]) > 0))[0]
-    minima = np.where((np.hstack([d, 0]) > 0) & (np.hstack([0, d]) < 0))[0]
-    return maxima, minima
-
-
-def emd_imfs(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3, max_sift: int = 50) -> list[np.ndarray]:
-    """Intrinsic mode functions of ``x``; the residue is ``x`` less their sum.
-
-    Sifting stops when the normalised squared change is below ``tol`` or after
-    ``max_sift`` rounds; the decomposition stops when the residue has fewer than
-    2 maxima or minima, or after ``max_imf`` modes if that is given.
+def tridiagonal(lower: np.ndarray, diag: np.ndarray, upper: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solutions of many tridiagonal systems, one a row, by parallel cyclic reduction.
+
+    Each step eliminates the neighbours at twice the distance in all equations
+    at once, so the number of steps is the logarithm of the systems' size.
+    ``lower[:, 0]`` and ``upper[:, -1]`` must be 0.  For diagonally dominant systems.
+    """
+    def moved(x: np.ndarray, by: int, fill: float) -> np.ndarray:
+        out = np.full_like(x, fill)
+        if by > 0:
+            out[:, by:] = x[:, :-by]
+        else:
+            out[:, :by] = x[:, -by:]
+        return out
+
+    step = 1
+    while step < diag.shape[1]:
+        left, beyond = -lower / moved(diag, step, 1.0), -upper / moved(diag, -step, 1.0)
+        diag, right, lower, upper = (
+            diag + left * moved(upper, step, 0.0) + beyond * moved(lower, -step, 0.0),
+            right + left * moved(right, step, 0.0) + beyond * moved(right, -step, 0.0),
+            left * moved(lower, step, 0.0), beyond * moved(upper, -step, 0.0))
+        step *= 2
+    return right / diag
+
+
+def envelopes(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
+    """Natural cubic spline of every row through its values at ``knots`` (a mask) at every sample.
+
+    The first and the last sample become knots with the value of the nearest
+    one.  Rows have different numbers of knots: the systems are padded with
+    equations of their own that say 0 = 0.  A row needs two knots or more
+    between its ends.
+    """
+    w, n = x.shape
+    count = knots.sum(axis=1) + 2
+    size = int(count.max())
+    row, at = np.nonzero(knots)
+    start = np.concatenate(([0], np.cumsum(count - 2)[:-1]))
+    place = np.arange(len(at)) - start[row] + 1
+    xk = np.zeros((w, size))
+    xk[row, place] = at
+    yk = np.zeros((w, size))
+    yk[row, place] = x[row, at]
+    yk[:, 0] = yk[:, 1]
+    every = np.arange(w)
+    xk[every, count - 1] = n - 1
+    yk[every, count - 1] = yk[every, count - 2]
+    inside = np.arange(size - 1) < (count - 1)[:, None]  # intervals that exist
+    h = np.where(inside, np.diff(xk, axis=1), 1.0)
+    slope = np.where(inside, np.diff(yk, axis=1) / h, 0.0)
+    free = np.zeros((w, size), dtype=bool)  # knots between two intervals
+    free[:, 1:-1] = inside[:, 1:]
+    diag, lower, upper, right = np.ones((w, size)), np.zeros((w, size)), np.zeros((w, size)), np.zeros((w, size))
+    diag[:, 1:-1] = np.where(free[:, 1:-1], 2 * (h[:, :-1] + h[:, 1:]), 1.0)
+    lower[:, 1:-1] = np.where(free[:, 1:-1] & free[:, :-2], h[:, :-1], 0.0)
+    upper[:, 1:-1] = np.where(free[:, 1:-1] & free[:, 2:], h[:, 1:], 0.0)
+    right[:, 1:-1] = np.where(free[:, 1:-1], 3 * (slope[:, 1:] - slope[:, :-1]), 0.0)
+    c = tridiagonal(lower, diag, upper, right)
+    b = slope - h * (c[:, 1:] + 2 * c[:, :-1]) / 3
+    d = np.diff(c, axis=1) / (3 * h)
+    # interval of each sample: how many knots lie at or before it
+    seen = 1 + np.cumsum(knots, axis=1)
+    k = np.minimum(seen, (count - 1)[:, None]) - 1
+    take = lambda a: np.take_along_axis(a, k, axis=1)
+    dx = np.arange(n) - take(xk)
+    return take(yk) + dx * (take(b) + dx * (take(c) + dx * take(d)))
+
+
+def extrema(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Masks of strict local maxima and minima of every row."""
+    up, down = np.zeros(x.shape, dtype=bool), np.zeros(x.shape, dtype=bool)
+    d = np.diff(x, axis=1)
+    up[:, 1:-1] = (d[:, :-1] > 0) & (d[:, 1:] < 0)
+    down[:, 1:-1] = (d[:, :-1] < 0) & (d[:, 1:] > 0)
+    return up, down
+
+
+def _oscillates(x: np.ndarray) -> np.ndarray:
+    """Rows with at least two maxima and two minima."""
+    up, down = extrema(x)
+    return (up.sum(axis=1) >= 2) & (down.sum(axis=1) >= 2)
+
+
+def sift(x: np.ndarray, tol: float, max_sift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One mode of every row, the rounds it took, and whether it converged.
+
+    A row leaves the work when the normalised squared change of a round is below
+    ``tol`` or it has too few extrema for envelopes; rows that still change
+    after ``max_sift`` rounds have not converged.
+    """
+    mode, rounds, converged = x.copy(), np.zeros(len(x), dtype=int), np.zeros(len(x), dtype=bool)
+    active = np.arange(len(x))
+    for _ in range(max_sift):
+        h = mode[active]
+        up, down = extrema(h)
+        ok = (up.sum(axis=1) >= 2) & (down.sum(axis=1) >= 2)
+        converged[active[~ok]] = True
+        active, h, up, down = active[ok], h[ok], up[ok], down[ok]
+        if not len(active):
+            break
+        new = h - (envelopes(h, up) + envelopes(h, down)) / 2
+        change = ((h - new) ** 2).sum(axis=1) / np.maximum((h ** 2).sum(axis=1), 1e-300)
+        mode[active] = new
+        rounds[active] += 1
+        done = change < tol
+        converged[active[done]] = True
+        active = active[~done]
+    return mode, rounds, converged
+
+
+def emd_batch(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3,
+              max_sift: int = 1000) -> tuple[list[list[np.ndarray]], list[list[int]], list[list[bool]], np.ndarray]:
+    """Modes, rounds and convergence of every row, and the residues.
+
+    A row's decomposition ends when its residue has fewer than two maxima or
+    minima, or after ``max_imf`` modes if that is given.
     """
-    t = np.arange(len(x), dtype=float)
     residue = x.astype(float).copy()
-    imfs = []
-    for _ in range(len(x) if max_imf is None else max_imf):
-        mx, mn = _extrema(residue)
-        if len(mx) < 2 or len(mn) < 2:
+    modes: list[list[np.ndarray]] = [[] for _ in x]
+    rounds: list[list[int]] = [[] for _ in x]
+    converged: list[list[bool]] = [[] for _ in x]
+    for _ in range(x.shape[1] if max_imf is None else max_imf):
+        active = np.flatnonzero(_oscillates(residue)) if x.shape[1] > 2 else np.empty(0, dtype=int)
+        if not len(active):
             break
-        h = residue.copy()
-        for _ in range(max_sift):
-            mx, mn = _extrema(h)
-            if len(mx) < 2 or len(mn) < 2:
-                break
-            ix = np.concatenate([[0], mx, [len(h) - 1]])
-            iy = np.concatenate([[0], mn, [len(h) - 1]])
-            upper = _natural_spline(t[ix], np.concatenate([[h[mx[0]]], h[mx], [h[mx[-1]]]]), t)
-            lower = _natural_spline(t[iy], np.concatenate([[h[mn[0]]], h[mn], [h[mn[-1]]]]), t)
-            new = h - (upper + lower) / 2
-            sd = np.sum((h - new) ** 2) / max(np.sum(h ** 2), 1e-300)
-            h = new
-            if sd < tol:
-                break
-        imfs.append(h)
-        residue = residue - h
-    return imfs
+        mode, took, ended = sift(residue[active], tol, max_sift)
+        residue[active] -= mode
+        for i, m, r, c in zip(active, mode, took, ended):
+            modes[i].append(m)
+            rounds[i].append(int(r))
+            converged[i].append(bool(c))
+    return modes, rounds, converged, residue
+
+
+def emd_imfs(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3, max_sift: int = 1000) -> list[np.ndarray]:
+    """Intrinsic mode functions of one series; the residue is ``x`` less their sum."""
+    return emd_batch(np.asarray(x, dtype=float)[None, :], max_imf, tol, max_sift)[0][0]
 
 
 def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int | None = None,
         residue: bool = False) -> DataFrame:
-    """EMD per window (N10): rows ``(keys..., imf, i, value)``; ``imf`` is 1-based.
+    """EMD per window (N10): rows ``(keys..., imf, i, value, rounds, converged)``; ``imf`` is 1-based.
 
-    With ``residue``, rows of ``imf`` 0 hold what the modes leave, so that the
-    values of a sample add up to the input.
+    ``rounds`` of sifting the mode took, and whether they ``converged`` before
+    the limit of ``emd_batch``.  With ``residue``, rows of ``imf`` 0 hold what
+    the modes leave, so that the values of a sample add up to the input.
     """
 
-    @F.pandas_udf("array<array<double>>")
-    def modes(batch: pd.Series) -> pd.Series:
-        out = []
-        for a in batch:
-            x = np.asarray(a, dtype=float)
-            imfs = emd_imfs(x, max_imf)
-            rest = x - np.sum(imfs, axis=0) if imfs else x
-            out.append([rest.tolist(), *[m.tolist() for m in imfs]])
-        return pd.Series(out, dtype=object)
+    def block(x: np.ndarray) -> list:
+        modes, rounds, converged, rest = emd_batch(x, max_imf)
+        return [[(r.tolist(), 0, True), *zip((m.tolist() for m in ms), n, c)] for ms, n, c, r in zip(modes, rounds, converged, rest)]
+
+    fields = ("value", "rounds", "converged")
+
+    @F.pandas_udf("array<struct<value:array<double>,rounds:int,converged:boolean>>")
+    def decompose(batch: pd.Series) -> pd.Series:
+        return _by_length(batch, lambda x: [[dict(zip(fields, m)) for m in row] for row in block(x)])
 
     kc = [as_col(k) for k in keys]
-    got = _packed(df, keys, order, v).select(*kc, modes("__x").alias("__m"))
+    got = _packed(df, keys, order, v).select(*kc, decompose("__x").alias("__m"))
     rows = got.select(*kc, F.posexplode("__m").alias("imf", "__v"))
     rows = rows if residue else rows.where(F.col("imf") > 0)
-    return rows.select(*kc, "imf", F.posexplode("__v").alias("i", "value"))
+    return rows.select(*kc, "imf", F.posexplode("__v.value").alias("i", "value"), F.col("__v.rounds").alias("rounds"),
+                       F.col("__v.converged").alias("converged"))
 
 
 # --------------------------------------------------------------------------

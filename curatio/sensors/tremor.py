@@ -7,7 +7,9 @@ Pipeline (all keyed by recording; Python only inside the grouped transforms):
    -> ``uad``, ``uaa`` - through the segmented series primitive;
 2. fixed windows (``window`` samples, ``step`` apart) per recording;
 3. the ACF axis (``uaacf`` / ``uavacf``) per window by FFT;
-4. EMD of every (window, axis) series -> IMF1..IMFn;
+4. EMD of every (window, axis) series -> IMF1..IMFn, all of them unless ``n_imf``
+   says otherwise; beside them stays the series itself, whose names have no IMF part;
+   all that is written once, and every statistic reads it from there;
 5. per (window, axis, IMF): time-domain statistics (``tm``: mean, median/md,
    mn = min, mx, sd, skewness/skew, kurtosis/kurt, Q25, Q75, IQR, range,
    rmsmag, energy, mode, mtkeo, mobility, complexity, rough, rugo, dfa) and
@@ -23,14 +25,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatio.operators.joins import same_keys
 from curatio.operators.quantiles import group_quantiles
 from curatio.operators.reshape import unpivot
-from curatio.operators.joins import same_keys
+from curatio.operators.segmented import spread
 from curatio.operators.windows import fixed_windows
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
 from curatio.sensors import spectral as SP
 from curatio.sensors.fractal import dfa
+from curatio.session import written
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -68,34 +72,40 @@ def tremor_window_features(
     fs: float = 100.0,
     window: int = 256,
     step: int = 128,
-    n_imf: int = 4,
-    width: float | None = None,
+    n_imf: int | None = None,
+    rows: int | None = None,
     band_width: float = 1.0,
     n_bands: int = 25,
 ) -> DataFrame:
-    """Long table ``(record, window_id, axis, imf, domain, feature, value)``, one value per window."""
+    """Long table ``(record, window_id, axis, imf, domain, feature, value)``, one value per window.
+
+    ``imf`` is NULL for the series itself.
+    """
     names = ACCEL_AXES if sensor == "accelerometer" else GYRO_AXES
     s = series.select(record, order, F.col(value).cast("double").alias(names["value"]))
-    s = SR.derived_axes(s, [record], [order], names["value"], fs, prefix="__d", width=width)
+    s = SR.derived_axes(spread(s, [record, order], rows), [record], [order], names["value"], fs, prefix="__d")
     axes = {names["value"]: F.col(names["value"]), names["integral"]: F.col("__dv"),
             names["derivative"]: F.col("__dj")}
     if "integral2" in names:
         axes[names["integral2"]] = F.col("__dd")
-    s = s.select(record, order, *[c.alias(a) for a, c in axes.items()])
-    win = fixed_windows(s, [record], [order], window, step, width=width)
+    s = s.select(record, order, "__chunk", *[c.alias(a) for a, c in axes.items()])
+    win = fixed_windows(s, [record], [order], window, step)
     keys = [record, "window_id"]
     long = unpivot(win, [*keys, order], list(axes), "axis", "v").where(F.col("v").isNotNull())
     # ACF axis of the recorded series, per window; its lag is the order
     acf = SP.acf_windows(long.where(F.col("axis") == names["value"]), keys, order, "v")
     acf_long = acf.select(*keys, F.col("lag").cast(long.schema[order].dataType).alias(order),
                           F.lit(names["acf"]).alias("axis"), F.col("acf").alias("v")).where(F.col("v").isNotNull())
-    long = long.unionByName(acf_long)
+    long = written(long.unionByName(acf_long), "windows")
     # intrinsic mode functions of every (window, axis) series
     imfs = SP.emd(long, [*keys, "axis"], order, "v", max_imf=n_imf)
-    imfs = imfs.withColumn("imf", F.concat(F.lit("IMF"), F.col("imf").cast("string"))).withColumnRenamed("value", "v")
+    imfs = imfs.select(*keys, "axis", F.concat(F.lit("IMF"), F.col("imf").cast("string")).alias("imf"),
+                       F.col("i").cast("bigint").alias("i"), F.col("value").alias("v"))
+    raw = long.select(*keys, "axis", F.lit(None).cast("string").alias("imf"), F.col(order).cast("bigint").alias("i"), "v")
+    imfs = written(raw.unionByName(imfs), "modes")
     gk = [*keys, "axis", "imf"]
     # time domain (windows are bounded: plain windows and percentile buffers are fine here)
-    st = same_keys(FT.series_stats(imfs, gk, ["i"], "v", fs=fs), dfa(imfs, gk, ["i"], "v"), gk)
+    st = same_keys(FT.series_stats(imfs, gk, ["i"], "v", fs=fs, bounded=True), dfa(imfs, gk, ["i"], "v", bounded=True), gk)
     tm = _renamed_long(st, gk, TM_FEATURES, "tm")
     # frequency domain
     spec = SP.spectrum(imfs, gk, "i", "v", fs)
@@ -117,7 +127,6 @@ def tremor_features(
     sensor: str = "accelerometer",
     individual: DataFrame | None = None,
     participant: str = "healthCode",
-    value_width: float = 1.0,
     **kw,
 ) -> DataFrame:
     """Record-level table ``(record, name, value)`` with ``<stat>`` roll-ups across
@@ -125,7 +134,7 @@ def tremor_features(
     ``(participant, name, value)`` across that participant's records instead."""
     wf = tremor_window_features(series, record, order, value, sensor, **kw).where(F.col("value").isNotNull())
     gk = [record, "axis", "imf", "domain", "feature", "sensor"]
-    rec = group_quantiles(wf, gk, "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], value_width, mode=None)
+    rec = group_quantiles(wf, gk, "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], mode=None)
     rec = rec.withColumn("iqr", F.col("q3") - F.col("q1"))
     rec_long = unpivot(rec.select(*gk, "md", "iqr"), gk, ["md", "iqr"], "stat", "value")
     name = F.concat_ws("_", F.concat_ws(".", "feature", "domain", "imf", "stat"), "axis", "sensor")
@@ -133,8 +142,7 @@ def tremor_features(
     if individual is None:
         return rec_long.select(record, "name", "value")
     per = same_keys(rec_long, individual.select(record, participant), [record], "inner")
-    ind = group_quantiles(per, [participant, "name"], "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], value_width,
-                          mode=None)
+    ind = group_quantiles(per, [participant, "name"], "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], mode=None)
     ind = ind.select(participant, "name", F.col("md").alias("md"), (F.col("q3") - F.col("q1")).alias("IQR"))
     out = unpivot(ind, [participant, "name"], ["md", "IQR"], "STAT", "value")
     return out.select(participant, F.concat_ws(".", "name", "STAT").alias("name"), "value")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,3 +143,20 @@ def ship_package(spark: SparkSession) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, stem: str) -> str:
+    """A new path in the shared checkpoint folder; only where none is configured (tests) in a temporary one."""
+    base = checkpoint_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "curatio-scratch"))
+    return f"{base.rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, stem: str = "part") -> DataFrame:
+    """``df`` written as Parquet into the shared folder and reread: evaluated once, its files survive lost executors.
+
+    Unlike a checkpoint the result is columnar, so each later use reads only
+    the columns it needs.
+    """
+    path = scratch(df.sparkSession, stem)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,12 +66,13 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Str
     return spark.createDataFrame(list(rows), schema)
 
 
-def attachment_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Payload files as ``(handle, content)``: the file name (without
-    extension) is the handle (A6).  Reads are distributed over executors.
+def attachment_files(spark: SparkSession, path: str, glob: str = "*", named: str = r"([^/]+?)(\.[^./]*)?$") -> DataFrame:
+    """Payload files as ``(handle, content)``: by default the file name (without
+    extension) is the handle, else the first group of ``named`` in the file's
+    path (A6).  Reads are distributed over executors.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     return files.select(
-        F.regexp_extract(F.col("path"), r"([^/]+?)(\.[^./]*)?$", 1).alias("handle"),
+        F.regexp_extract(F.col("path"), named, 1).alias("handle"),
         F.col("content"),
     )

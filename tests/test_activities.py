@@ -20,8 +20,7 @@ def close(a, b, tol=1e-5):
 
 
 def test_tapping_table_matches_queries(spark):
-    tab = tapping_features(S.taps(spark, SF), "record_id", S.TAP_ORDER, "t", width=S.TAP_WIDTH,
-                           value_width=S.TAP_VALUE_WIDTH)
+    tab = tapping_features(S.taps(spark, SF), "record_id", S.TAP_ORDER, "t")
     assert len(tab.columns) == 43  # record + 42 features
     got = {r.record_id: r for r in tab.collect()}
     basic = Q["tap_basic_stats"](spark, SF).collect()
@@ -39,7 +38,7 @@ def test_tapping_table_matches_queries(spark):
 
 def test_walk_table_matches_queries(spark):
     w = S.walk(spark, SF)
-    tab = walk_features(w, "record_id", S.WALK_ORDER, "t", width=S.WALK_WIDTH, value_width=S.WALK_VALUE_WIDTH,
+    tab = walk_features(w, "record_id", S.WALK_ORDER, "t",
                         f_min=S.LS_GRID[0], f_max=S.LS_GRID[1], n_freq=S.LS_GRID[2])
     assert len(tab.columns) == 1 + 17 * 5 + 3
     got = {r.record_id: r for r in tab.collect()}
@@ -57,8 +56,7 @@ def test_walk_table_matches_queries(spark):
 
 def test_rest_table_matches_queries(spark):
     w = S.walk(spark, SF)
-    tab = rest_features(w, "record_id", S.WALK_ORDER, "t", fs=1.0, width=S.WALK_WIDTH,
-                        value_width=S.WALK_VALUE_WIDTH, f_min=S.LS_GRID[0], f_max=S.LS_GRID[1], n_freq=S.LS_GRID[2])
+    tab = rest_features(w, "record_id", S.WALK_ORDER, "t", fs=1.0, f_min=S.LS_GRID[0], f_max=S.LS_GRID[1], n_freq=S.LS_GRID[2])
     assert tab.columns == ["record_id", *REST_NAMES]
     got = {r.record_id: r for r in tab.collect()}
     for r in Q["rest_features"](spark, SF).collect():

@@ -9,7 +9,7 @@ from curatio.sensors import features as FT
 from curatio.sensors import series as SR
 from curatio.sensors import spectral as SP
 from curatio.sensors.fractal import dfa
-from curatio.sensors.periodogram import lomb_scargle_peak
+from curatio.sensors.periodogram import lomb_scargle_peak, lomb_scargle_power, phase_moments
 
 
 def series(spark, values, rec="r"):
@@ -91,8 +91,45 @@ def test_native_features_have_no_python_eval(spark):
     df = series(spark, range(50))
     plan = FT.series_stats(df, ["record_id"], ["i"])._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    plan = lomb_scargle_peak(df, ["record_id"], "t", "v")._jdf.queryExecution().executedPlan().toString()
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    # no row per sample and frequency, and no sample passes through Python
+    plan = lomb_scargle_peak(df, ["record_id"], "t", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Cross" not in plan
+    moments = phase_moments(df, ["record_id"], "t", "v", 0.2, 20.0, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in moments and "Python" not in moments
+
+
+def brute_lomb(t, y, freqs):
+    """The periodogram frequency by frequency."""
+    y, out = y - np.mean(y), []
+    for f in freqs:
+        w = 2 * np.pi * f
+        tau = np.arctan2(np.sin(2 * w * t).sum(), np.cos(2 * w * t).sum()) / (2 * w)
+        c, s = np.cos(w * (t - tau)), np.sin(w * (t - tau))
+        out.append(((y @ c) ** 2 / (c @ c) + (y @ s) ** 2 / (s @ s)) / (2 * y.var(ddof=1)))
+    return np.array(out)
+
+
+def test_lomb_scargle_equals_brute_force_far_from_the_origin(spark):
+    r = np.random.default_rng(5)
+    recs = {"near": (np.sort(r.uniform(0, 30, 200)), r.normal(size=200)),
+            "far": (1.7e9 + np.sort(r.uniform(0, 5000, 300)), 1e5 + r.normal(size=300)),
+            None: (np.sort(r.uniform(0, 9, 40)), r.normal(size=40)), "flat": (np.arange(9.0), np.full(9, 3.0))}
+    df = spark.createDataFrame([(k, float(a), float(b)) for k, (t, y) in recs.items() for a, b in zip(t, y)] + [("near", None, 1.0), ("near", 2.0, None)],
+                               "r string, t double, v double")
+    grid = (0.13, 3.7, 37)
+    freqs = grid[0] + np.arange(grid[2]) * (grid[1] - grid[0]) / (grid[2] - 1)
+    power = {x.r: x.power for x in lomb_scargle_power(df, ["r"], "t", "v", *grid).collect()}
+    peak = {x.r: (x.F0, x.P0) for x in lomb_scargle_peak(df, ["r"], "t", "v", *grid).collect()}
+    assert power.pop("flat") is None and peak.pop("flat") == (None, None)
+    assert set(power) == {"near", "far", None}
+    for k, got in power.items():
+        t, y = recs[k]
+        want = brute_lomb(t - t.min(), y, freqs)
+        assert np.allclose(got, want, rtol=1e-7, atol=1e-9)
+        assert math.isclose(peak[k][0], freqs[want.argmax()]) and math.isclose(peak[k][1], want.max(), rel_tol=1e-7)
+    one = lomb_scargle_peak(df.where("r = 'near'"), ["r"], "t", "v", 0.4, 0.4, 1).first()
+    t, y = recs["near"]
+    assert math.isclose(one.P0, brute_lomb(t, y, [0.4])[0], rel_tol=1e-9) and one.F0 == 0.4
 
 
 def test_meyer_filter_bank_is_a_tight_frame():
@@ -107,8 +144,8 @@ def test_mode_rounding_and_sampling_rate(spark):
     df = spark.createDataFrame([("r", i, float(i) / 50.0, v) for i, v in enumerate([1.01, 1.02, 2.0, 1.04, 3.0])],
                                "record_id string, i int, t double, v double")
     exact = FT.series_stats(df, ["record_id"], groups=("quantiles",)).collect()[0]["mode"]
-    rounded = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1).collect()[0]["mode"]
-    hist = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1, value_width=0.5).collect()[0]
+    rounded = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1, bounded=True).collect()[0]["mode"]
+    hist = FT.series_stats(df, ["record_id"], groups=("quantiles",), mode_digits=1, rows=2).collect()[0]
     assert exact == 1.01 and rounded == 1.0 and hist["mode"] == 1.0
-    fs = SR.sampling_rate(df, ["record_id"], ["i"], "t", width=2.0).collect()[0].fs
+    fs = SR.sampling_rate(df, ["record_id"], ["i"], "t", rows=2).collect()[0].fs
     assert abs(fs - 50.0) < 1e-9

@@ -52,7 +52,7 @@ def test_emd_query_matches_direct_numpy(spark):
     from curatio.queries import sensors as S
     from curatio.sensors.spectral import emd_imfs
 
-    got = entry.queries()["emd_imf"](spark, SF).where("vec_id < 5").collect()
+    got = entry.queries()["emd_imf"](spark, SF).where("vec_id < 5 AND axis = 'ua'").collect()
     by = {}
     for r in got:
         by.setdefault((r.vec_id, r.window_id, r.imf), {})[r.i] = r.value

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    from curatio.operators.segmented import segmented
+    from curatio.operators.segmented import segmented, spread
     from curatio.session import get_spark
     from curatio.sensors import features as FT
     from curatio.sources.testtables import table
@@ -47,13 +47,13 @@ def main() -> None:
     lines = ["", f"rows {total}, hot recording {hot} ({hot / total:.0%})", "",
              "| mode | wall s (warm) | max rows per task after the series step | tasks holding the hot recording |",
              "|---|---|---|---|"]
-    for label, width in [("whole-record windows (width=None)", None), ("segmented, 60-day chunks", 60 * 86400.0)]:
-        stats = FT.series_stats(series, ["record_id"], order, width=width, groups=("ordered",))
+    for label, cut in [("whole-record windows", {"bounded": True}), ("chunks by rows", {"rows": total // 16})]:
+        stats = FT.series_stats(series, ["record_id"], order, **cut, groups=("ordered",))
         for _ in range(2):
             t0 = time.perf_counter()
             stats.write.format("noop").mode("overwrite").save()
             wall = time.perf_counter() - t0
-        seg = segmented(series, ["record_id"], order, width, lags={"v": [1]}).withColumn("pid", F.spark_partition_id())
+        seg = segmented(series, ["record_id"], order, **cut, lags={"v": [1]}).withColumn("pid", F.spark_partition_id())
         # consume the lag so Catalyst keeps the series step (and the partition id is read after it)
         per = seg.groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.sum("lag1_v").alias("s"),
                                      F.sum(F.when(F.col("record_id") == 0, 1).otherwise(0)).alias("h"))
@@ -66,8 +66,8 @@ def main() -> None:
     # prices: nearly every value distinct, so a percentile buffer holds the whole recording
     lines += ["", "| quantiles of the prices | wall s (warm) | largest unit of work in one task |", "|---|---|---|"]
     pct = series.groupBy("record_id").agg(F.percentile("p", [0.25, 0.5, 0.75]).alias("q"))
-    hist = group_quantiles(series, ["record_id"], "p", [0.25, 0.5, 0.75], ["q1", "md", "q3"], 1000.0, mode=None)
-    for label, df in [("percentile (one buffer per recording)", pct), ("value histogram, chunked counts", hist)]:
+    hist = group_quantiles(series, ["record_id"], "p", [0.25, 0.5, 0.75], ["q1", "md", "q3"], mode=None)
+    for label, df in [("percentile (one buffer per recording)", pct), ("value histogram, cells by rows", hist)]:
         for _ in range(2):
             t0 = time.perf_counter()
             df.write.format("noop").mode("overwrite").save()
@@ -77,10 +77,8 @@ def main() -> None:
             unit = f"{n} distinct values of the hot recording merged by one task"
         else:
             h = series.groupBy("record_id", "p").count()
-            seg = segmented(h, ["record_id"], ["p"], 1000.0, running={"count": "c"}).withColumn("pid", F.spark_partition_id())
-            r = seg.groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s")).agg(
-                F.max("n").alias("mx"), F.sum("s").alias("s")).first()
-            unit = f"{r.mx} histogram rows (all recordings) in the largest task"
+            r = spread(h, ["record_id", "p"], h.count() // 16).groupBy("__chunk").count().agg(F.max("count").alias("mx")).first()
+            unit = f"{r.mx} histogram rows (all recordings) in the largest cell"
         lines.append(f"| {label} | {wall:.2f} | {unit} |")
     print("\n".join(lines))
     spark.stop()
