@@ -116,7 +116,7 @@ def nearest_seed(space: Space, seeds: np.ndarray):
     return F.pandas_udf(run, "seed int, d double")
 
 
-def build(space: Space, seeds: np.ndarray):
+def build(space: Space, seeds: np.ndarray, leaf: int = LEAF, fan: int = FAN):
     """applyInPandas: the objects of one subtree to its pages; page 0 is its root."""
 
     def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
@@ -128,17 +128,17 @@ def build(space: Space, seeds: np.ndarray):
         def page(members: np.ndarray, routing: np.ndarray, up: np.ndarray) -> int:
             at = len(pages)
             pages.append(None)
-            if len(members) <= LEAF:
+            if len(members) <= leaf:
                 flat = lambda lists, kind: np.concatenate([np.asarray(lists[m], dtype=kind) for m in members]).tobytes()
                 sizes = np.array([len(ids[m]) for m in members], dtype=np.int32).tobytes()
                 pages[at] = (seed, part, at, True, len(members), x[members].astype(np.int64).tobytes(), up.tobytes(), b"", b"", flat(ids, np.int64), flat(none, np.bool_), flat(rows, np.int64), sizes)
                 return at
-            fan = min(FAN, math.ceil(len(members) / LEAF))
-            chosen = members[np.linspace(0, len(members) - 1, fan).astype(int)]
+            ways = min(fan, math.ceil(len(members) / leaf))
+            chosen = members[np.linspace(0, len(members) - 1, ways).astype(int)]
             d = np.stack([space.distance(x[members], x[c]) for c in chosen])
             group = d.argmin(axis=0)
             if np.bincount(group).max() == len(members):  # nothing is parted by distance: cut evenly
-                group = np.arange(len(members)) * fan // len(members)
+                group = np.arange(len(members)) * ways // len(members)
             parts = [(c, np.flatnonzero(group == g), d[g]) for g, c in enumerate(chosen) if (group == g).any()]
             children = [page(members[w], x[c], own[w]) for c, w, own in parts]
             radius = np.array([own[w].max() for _, w, own in parts])
@@ -245,10 +245,14 @@ def excluded_by_root(space: Space, seeds: np.ndarray, radius: np.ndarray, parts:
     return run
 
 
-def top_products(table: DataFrame, queries: Column, *, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 64, most: int = 20) -> DataFrame:
+def top_products(
+    table: DataFrame, queries: Column, *, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 64, most: int = 20,
+    leaf: int = LEAF, fan: int = FAN,
+) -> DataFrame:
     """query_id, rank, vec_id, score: the ``most`` largest products of each query row, largest first.
 
-    ``queries``: condition on the rows of ``table`` that are queried.
+    ``queries``: condition on the rows of ``table`` that are queried.  ``leaf``,
+    ``fan``: entries of a leaf page and of an inner page.
     """
     spark = table.sparkSession
     prepare(spark)
@@ -292,7 +296,7 @@ def top_products(table: DataFrame, queries: Column, *, vec_id: str = "vec_id", v
     radius = np.array([sizes[s]["r"] if s in sizes else 0.0 for s in range(len(seeds))]) * (1 + SLACK) + SLACK
     part = F.pmod(F.xxhash64("z", F.lit(1)), F.element_at(F.array(*[F.lit(max(1, p)) for p in parts]), F.col("seed") + 1)).cast("int")
     placed = placed.withColumn("part", part)
-    pages = durable(placed.select("seed", "part", "z", "ids", "none", "rows").groupBy("seed", "part").applyInPandas(build(space, seeds), PAGES))
+    pages = durable(placed.select("seed", "part", "z", "ids", "none", "rows").groupBy("seed", "part").applyInPandas(build(space, seeds, leaf, fan), PAGES))
 
     blocks = max(1, math.ceil(sum(r["q"] for r in sizes.values()) / BLOCK))
     block = F.pmod(F.xxhash64("e"), F.lit(blocks)).cast("int")
