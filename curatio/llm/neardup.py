@@ -12,11 +12,13 @@ every representative is paired with the bucket's leader, the member that
 meets most others in all its buckets; pairs are confirmed on full sets and
 contracted to components.  Two members of one component need no further
 check, so only members of buckets that still span several components go on:
-they are hashed again, with ``FINE_PERMS`` permutations into long bands of
-``FINE_ROWS`` values, which part families of half-similar texts, and paired
-across components in those buckets if their bit sketches are close enough (a
-pair at 0.75 is missed with probability 1e-5).  Buckets are aggregated and joined, never collected, so a
-bucket may hold any share of the documents.
+they are hashed again, with ``FINE_PERMS`` permutations.  ``FINE_BANDS`` bands of
+``FINE_ROWS`` of these values part families of half-similar texts; members that
+meet there are paired across components if their sketches, ``BITS`` bits of every
+value, differ in few enough bits.  The sketches are long, so that a pair has to come
+close to the limit to be confirmed on full sets (a pair at 0.75 is missed with
+probability 1.1e-5).  Buckets are aggregated, joined and compared block by block, never
+collected, so a bucket may hold any share of the documents.
 
 Defined results: texts without words have an empty set and no links; rows that
 share an id are one node; a null id takes no part, its component is null and
@@ -38,8 +40,9 @@ from curatio.llm.links import components
 
 SHINGLE = 5
 PERMS, ROWS = 64, 4
-FINE_PERMS, FINE_ROWS = 2160, 12
-BITS = 2048  # one bit of so many values makes a sketch
+FINE_PERMS, FINE_ROWS, FINE_BANDS = 2160, 8, 112
+BITS = 2  # of each value in a sketch
+BLOCK = 1024  # members of a bucket that are compared at a time
 PERCENT = 75
 DDL = "n long, cls binary, bands array<long>"
 FIELDS = ["n", "cls", "bands"]
@@ -88,18 +91,49 @@ def describe(text: bytes | None) -> tuple:
 
 def fine(z: bytes | None) -> tuple:
     sig = signature(shingles(unpacked(z)), FINE_PERMS)
-    bits = np.packbits((mix(sig[:BITS]) & np.uint64(1)).astype(np.uint8))
-    return bands(sig, FINE_ROWS), bits.view(np.int64)
+    v = mix(sig)
+    bits = np.packbits(((v[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8))
+    return bands(sig[: FINE_BANDS * FINE_ROWS], FINE_ROWS), bits.tobytes()
 
 
-def close(a: Column, b: Column, percent: int) -> Column:
-    """Do two sketches differ in no more bits than a similar enough pair's do, but for one in 300,000 at the limit?
+def differing(percent: int) -> float:
+    """Bits in which the sketches of a similar enough pair differ at most, but for one in 300,000 at the limit.
 
-    Values of a pair of similarity j agree with probability j, and else their bits do by half.
+    Values of a pair of similarity j agree with probability j, and else each of their bits does by half.
     """
-    p = (1 - percent / 100) / 2
-    most = BITS * p + 4.5 * (BITS * p * (1 - p)) ** 0.5
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= most
+    q, values = 1 - percent / 100, 2 * FINE_PERMS
+    mean, square = q * BITS / 2, q * (BITS / 4 + BITS * BITS / 4)
+    return values * mean + 4.5 * (values * (square - mean * mean)) ** 0.5
+
+
+def across(percent: int):
+    """mapInPandas over members sorted by bucket and pair of blocks: pairs of two components with close sketches."""
+    most = differing(percent)
+
+    def pairs(f: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        ids, n, c, block = (f[x].to_numpy() for x in ("id", "n", "c", "block"))
+        bits = np.frombuffer(b"".join(f["bits"]), dtype=np.uint64).reshape(len(f), -1)
+        one = f["i"].iloc[0] == f["j"].iloc[0]
+        for r in range(len(f) - 1):
+            ok = (c[r + 1 :] != c[r]) & (percent * np.maximum(n[r + 1 :], n[r]) <= 100 * np.minimum(n[r + 1 :], n[r]))
+            at = r + 1 + np.flatnonzero(ok if one else ok & (block[r + 1 :] != block[r]))
+            if len(at):
+                at = at[np.bitwise_count(bits[at] ^ bits[r]).sum(axis=1, dtype=np.int64) <= most]
+                yield from ((max(ids[r], x), min(ids[r], x)) for x in ids[at].tolist())
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for f in it:
+            rest = f if rest is None else pd.concat([rest, f], ignore_index=True)
+            cut = np.flatnonzero((rest[["key", "i", "j"]].to_numpy()[1:] != rest[["key", "i", "j"]].to_numpy()[:-1]).any(axis=1)) + 1
+            edges = [0, *cut.tolist()]
+            out = [p for a, b in zip(edges, edges[1:]) for p in pairs(rest.iloc[a:b])]
+            yield pd.DataFrame(out, columns=["a", "b"])
+            rest = rest.iloc[edges[-1] :].reset_index(drop=True)  # the last group may go on
+        if rest is not None and len(rest):
+            yield pd.DataFrame(list(pairs(rest)), columns=["a", "b"])
+
+    return run
 
 
 def linked(percent: int):
@@ -170,15 +204,18 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     span = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     rest = durable(named.join(durable(span), "key", "left_semi").select("id", "n", "c").distinct())
     if not rest.isEmpty():
-        cut = per_text(lambda: fine, "keys array<long>, bits array<long>", ["keys", "bits"])
+        cut = per_text(lambda: fine, "keys array<long>, bits binary", ["keys", "bits"])
         rest = durable(rest.join(texts, "id").select("id", "n", "c", cut(F.col("z")).alias("r")).select("id", "n", "c", "r.*"))
         keys = rest.select("id", "n", "c", F.explode("keys").alias("key"))
-        span = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        keys = keys.join(durable(span), "key", "left_semi").join(rest.select("id", "bits"), "id")
-        keys = durable(keys.select("key", "id", "n", "c", "bits"))
-        r = keys.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("bits").alias("bb"))
-        more = keys.join(r, "key").where((F.col("id") > F.col("b")) & (F.col("c") != F.col("bc")) & near(F.col("n"), F.col("bn"), percent) & close(F.col("bits"), F.col("bb"), percent))
-        more = durable(more.select(F.col("id").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti"))
+        span = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi")
+        span = durable(span.select("key", F.ceil(F.col("m") / F.lit(BLOCK)).alias("blocks")))
+        keys = keys.join(span, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+        # a member meets its own block and each of the others once: no task holds more than two blocks
+        keys = keys.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        keys = keys.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "c")
+        keys = durable(keys.join(rest.select("id", "bits"), "id"))
+        more = keys.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(across(percent), "a long, b long")
+        more = durable(more.distinct().join(star, ["a", "b"], "left_anti"))
         links = links.unionByName(confirm(more, texts, percent))
         comp = durable(components(links))
 
