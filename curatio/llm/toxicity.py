@@ -4,19 +4,23 @@ Each word (a run of letters) is a bag of its hashed n-grams (3 to 5 letters,
 word edges included).  The bag's mean embedding goes through a linear softmax; both
 are trained jointly in numpy, so an unseen misspelling shares the vectors of
 the n-grams it has in common with known words.  Labels mark documents, not
-words: all words of clean documents are clean, and the words of a toxic
-document that look most toxic are taken as its toxic ones, first by how often
-they occur in toxic and in clean documents, then by the model itself, in
-``ROUNDS`` rounds.  A document's score is a logistic function of the logits of
-its two most toxic words, fitted on a part of the sample that the words were
+words: all words of clean documents are clean, and words that occur in toxic
+documents more often than chance allows are toxic, first in all documents, then
+in those that hold none of the words found; in a second round also those that the
+model itself takes for toxic in toxic documents without such a word.
+A document's score is the softmax of its two most toxic words' logits, with
+temperature and prior fitted on a part of the sample that the words were
 not trained on.
 
 The sample has at most ``MOST`` labelled ids of each label, drawn among those
 whose text has letters; of a text over ``LONGEST`` characters it reads as many,
-in pieces spread over the text (the documented bound).  Scores read whole texts.
+in pieces spread over the text (the documented bound).  Only the drawn ids are
+broadcast; texts stay where they are.  Scores read whole texts.
 
 Defined results: an empty or null text has the score of a document without
-toxic words; without labels of both kinds every score is 0.
+toxic words; without labels of both kinds every score is 0; an id that is
+labelled both toxic and clean is not learned from; of rows that share a drawn id
+one text is read, the smallest.
 """
 
 from __future__ import annotations
@@ -28,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatio.llm.common import per_text, prepare, put, remainder
-from curatio.llm.subword import MeanSoftmax, bag, excerpt, gram_buckets, has_letters, labelled_sample, letters, word_grams
+from curatio.llm.common import durable, per_text, prepare, put, remainder
+from curatio.llm.subword import MeanSoftmax, excerpt, has_letters, labelled_sample, letters, word_grams
 
 SIZES = (3, 4, 5)
 MOST, LONGEST = 700, 6_000
-ROUNDS, EPOCHS, RATE = 2, 4, 0.1
+ROUNDS, STEPS, BATCH, RATE = 2, 160, 256, 0.1
 BITS = 18
-STRAY = 0.05  # a toxic word may be in so many clean documents for each toxic one
+STRAY = 0.05  # share of clean documents a toxic word may be in, to that of toxic ones
 FLOOR = -12.0  # logit of a missing word
 BLOCK = 1 << 18
 DDL = "score double, words array<string>"
@@ -82,33 +86,70 @@ def top_two(z: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([z, [FLOOR, FLOOR]]))[-2:].clip(FLOOR, -FLOOR)
 
 
-def train_words(docs: list[tuple[int, list[str]]]) -> np.ndarray:
-    """Logit of each bucket, from (label, distinct words) documents."""
+def bags(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and shares of each word's n-grams."""
+    c = letters(" ".join(words))
+    word = np.cumsum(np.concatenate(([0], np.diff((c > 0).astype(np.int8)) == 1))) - 1
+    keys = []
+    for size in SIZES:
+        bucket, at = word_grams(c, size, BITS)
+        keys.append(word[at] << BITS | bucket)
+    key, n = np.unique(np.concatenate(keys), return_counts=True)
+    end = np.searchsorted(key, np.arange(len(words) + 1) << BITS)
+    return [(key[i:j] & (1 << BITS) - 1, n[i:j] / max(1, n[i:j].sum())) for i, j in zip(end[:-1], end[1:])]
+
+
+def telling(docs: list[tuple[int, list[str]]]) -> tuple[Counter, Counter]:
+    """Words that occur in toxic documents too often for chance, with their counts, and the words of clean ones.
+
+    If labels said nothing about words, a word of n documents would be in toxic
+    ones only with a chance of the toxic share to the power n; a word counts
+    if less than one of all words was to be expected to do as well.
+    """
     bad, good = Counter(), Counter()
     for y, words in docs:
         (bad if y else good).update(words)
-    bags = {w: bag(gram_buckets(letters(w), SIZES, BITS)) for w in {*bad, *good}}
-    odd = {w for w in bad if good[w] <= STRAY * bad[w]}  # may be toxic
-    look = {w: float(np.log((bad[w] + 0.1) / (good[w] + 0.5))) for w in odd}
-    least, diff = 1.5, None
+    toxic = sum(y for y, _ in docs)
+    share, clean = toxic / len(docs), len(docs) - toxic
+    if not 0 < toxic < len(docs):
+        return Counter(), good
+    several = sum(n + good[w] >= 3 for w, n in bad.items()) + sum(n >= 3 and w not in bad for w, n in good.items())
+    least = max(2, np.log(max(2, several)) / -np.log(share))
+    found = {w: n for w, n in bad.items() if n - 3 * good[w] >= least and good[w] * toxic <= STRAY * n * clean}
+    return Counter(found), good
+
+
+def train_words(docs: list[tuple[int, list[str]]]) -> np.ndarray:
+    """What each bucket adds to a word's logit, from (label, distinct words) documents."""
+    toxic, good = telling(docs)
+    while True:  # among the toxic documents that are left, rarer words tell
+        rest = [(y, words) for y, words in docs if not y or not any(w in toxic for w in words)]
+        more, _ = telling(rest)
+        if not more:
+            break
+        toxic.update(more)
+    diff = np.full(1 << BITS, FLOOR)
     for _ in range(ROUNDS):
-        toxic = Counter()
-        for y, words in docs:
-            z = {w: look[w] for w in words if w in odd} if y else {}
-            high = max(z.values(), default=-np.inf)
-            # those that look most toxic; a text's highest counts only above the threshold
-            toxic.update(w for w, v in z.items() if v >= least and (v >= high - 3.0))
         if not toxic:
-            return np.full(1 << BITS, FLOOR)
+            break
         clean = [w for w in good if w not in toxic]
-        target = np.array([[0, 1]] * len(toxic) + [[1, 0]] * len(clean), dtype=np.float32)
-        up = np.array([min(8, n) for n in toxic.values()], dtype=np.float32)
-        down = np.array([min(4, good[w]) for w in clean], dtype=np.float32)
-        up *= 0.3 * down.sum() / up.sum()
-        weight = np.minimum(np.concatenate([up, down]), 20)
-        t = MeanSoftmax(2, BITS, 12).fit([bags[w] for w in [*toxic, *clean]], target, weight, EPOCHS, RATE, 256).table()
-        diff, least = (t[:, 1] - t[:, 0]).astype(np.float64), 2.0
-        look = {w: float((diff[bags[w][0]] * bags[w][1]).sum()) for w in odd}
+        rng = np.random.default_rng(5)
+        # as many examples of either kind at every size of the sample, drawn by how many documents hold a word
+        names, n = list(toxic), STEPS * BATCH
+        up, down = np.array([min(50, toxic[w]) for w in names]), np.array([min(4, good[w]) for w in clean])
+        pick = [names[i] for i in rng.choice(len(names), n // 5, p=up / up.sum())]
+        pick += [clean[i] for i in rng.choice(len(clean), n - n // 5, p=down / down.sum())] if clean else []
+        some = sorted(set(pick))
+        of = dict(zip(some, bags(some)))
+        target = np.array([[0, 1]] * (n // 5) + [[1, 0]] * (len(pick) - n // 5), dtype=np.float32)
+        t = MeanSoftmax(2, BITS, 12).fit([of[w] for w in pick], target, np.ones(len(pick), dtype=np.float32), 1, RATE, BATCH).table()
+        diff = (t[:, 1] - t[:, 0]).astype(np.float64)
+        # toxic documents without such a word: what the model takes for one
+        rest = sorted({w for y, words in docs if y and not any(w in toxic for w in words) for w in words if not good[w]})
+        fresh_words = [w for w, (b, share) in zip(rest, bags(rest) if rest else []) if (diff[b] * share).sum() > 0]
+        if not fresh_words:
+            break
+        toxic.update({w: 2 for w in fresh_words})
     return diff
 
 
@@ -137,9 +178,9 @@ def train(rows: list[tuple[int, str]], share: float = 0.5) -> Model | None:
     rows = sorted(rows, key=lambda r: xxhash.xxh3_64_intdigest(repr(r)))
     if {y for y, _ in rows} != {0, 1}:
         return None
-    fit = [(y, vocabulary(t)) for i, (y, t) in enumerate(rows) if i % 4 != 3]
+    docs = [(y, vocabulary(t)) for y, t in rows]
     held = [r for i, r in enumerate(rows) if i % 4 == 3]
-    diff = train_words(fit)
+    diff = train_words([d for i, d in enumerate(docs) if i % 4 != 3])
     if {y for y, _ in held} != {0, 1}:
         held = rows
     x = np.array([text_logits(t, diff)[0] for _, t in held])
@@ -148,7 +189,8 @@ def train(rows: list[tuple[int, str]], share: float = 0.5) -> Model | None:
     # the sample holds more toxic documents than the corpus
     share = min(max(share, 1e-6), 1 - 1e-6)
     w[-1] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return Model(diff, w)
+    # temperature and prior are those of words not seen; the words come from all documents in the end
+    return Model(train_words(docs), w)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, out: str = "toxicity", *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MOST, longest: int = LONGEST) -> DataFrame:
@@ -159,10 +201,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, out: str = "toxicity", *, doc_i
     spark = docs.sparkSession
     prepare(spark)
     known = labels.select(F.col(doc_id).alias("i"), F.col(label).cast("int").alias("y")).where((remainder("i", 3) != 1) & F.col("y").isin(0, 1))
+    known = known.groupBy("i").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("i", "y")
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where((remainder("i", 3) != 1) & has_letters(F.col("t")))
     # a bounded set of labelled ids with a text first, so that only their texts travel
-    few = labelled_sample(known.distinct().join(rows.select("i"), "i", "left_semi"), "y", F.xxhash64("i"), most)
-    rows = rows.join(few, "i").select("y", excerpt(F.col("t"), longest).alias("t"))
+    few = durable(labelled_sample(known.join(rows.select("i"), "i", "left_semi"), "y", F.xxhash64("i"), most))
+    # at most twice ``most`` ids, so a broadcast of a proven size
+    rows = rows.join(F.broadcast(few), "i").groupBy("i", "y").agg(F.min(excerpt(F.col("t"), longest)).alias("t")).select("y", "t")
     share = known.agg(F.avg("y")).first()[0] or 0.5
     held = spark.sparkContext.broadcast(train([(r["y"], r["t"]) for r in rows.collect()], share))
 
