@@ -31,6 +31,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = r"""
+WITH w AS (SELECT CAST(item_id AS VARCHAR) AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+           FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+pat AS MATERIALIZED (SELECT DISTINCT id, least(len(ws), 13) AS n, array_to_string(ws[p:p + least(len(ws), 13) - 1], ' ') AS win
+        FROM w, range(1, 100000) r(p) WHERE len(ws) > 0 AND p <= greatest(1, len(ws) - 12)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS h, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+pos AS (SELECT h, ws, unnest(range(1, len(ws) + 1)) AS p FROM d),
+hit AS MATERIALIZED (SELECT a.h, a.p, n.n, pat.id FROM pos a, (SELECT DISTINCT n FROM pat) n, pat
+        WHERE a.p + n.n - 1 <= len(a.ws) AND pat.n = n.n AND pat.win = array_to_string(a.ws[a.p:a.p + n.n - 1], ' ')),
+c AS (SELECT h, count(DISTINCT k) AS n_hit FROM (SELECT h, unnest(range(p, p + n)) AS k FROM hit) GROUP BY h),
+i AS (SELECT h, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT h, id FROM hit) GROUP BY h)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(i.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN c USING (h) LEFT JOIN i USING (h)"""
+
 # Fixed values of the contract.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -48,6 +64,16 @@ def op4_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("page_id", "r.host", "r.path", "r.rule", "r.verdict")
 
 
+OP4_SQL = f"""
+WITH r(host, path, verdict) AS (VALUES {', '.join(map(str, URL_RULES))}),
+u AS (SELECT row_number() OVER () AS h, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+v AS (SELECT h, page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(coalesce(rest, ''), length(regexp_extract(coalesce(rest, ''), '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+m AS (SELECT v.h, r.host || r.path AS rule, r.verdict FROM v JOIN r ON (v.host = r.host OR v.host LIKE '%.' || r.host) AND starts_with(v.path, r.path)
+      QUALIFY row_number() OVER (PARTITION BY v.h ORDER BY length(r.host || r.path) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM v LEFT JOIN m USING (h)"""
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     d = mx.taken(mx.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
@@ -59,6 +85,33 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nd.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS p FROM d WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS both
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))),
+l AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(doc_id, other) AS (SELECT a, b FROM l UNION SELECT reach.doc_id, l.b FROM reach JOIN l ON reach.other = l.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) USING (doc_id)"""
+
+OP6_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS h, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT h, p, hash(array_to_string(ws[p:p + 34], ' ')) AS a, md5(array_to_string(ws[p:p + 34], ' ')) AS b
+      FROM (SELECT h, ws, unnest(range(1, len(ws) - 33)) AS p FROM d WHERE len(ws) >= 35)),
+r AS (SELECT h, p FROM w QUALIFY count(*) OVER (PARTITION BY a, b) > 1),
+c AS MATERIALIZED (SELECT DISTINCT h, unnest(range(p, p + 35)) AS k FROM r),
+t AS (SELECT h, list(k) AS gone FROM c GROUP BY h)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(CASE WHEN gone IS NULL THEN array_to_string(ws, ' ') ELSE k.kept END, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (h) LEFT JOIN (
+  SELECT h, string_agg(ws[p], ' ' ORDER BY p) AS kept FROM (SELECT h, ws, unnest(range(1, len(ws) + 1)) AS p FROM d) x
+  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.h = x.h AND c.k = x.p) GROUP BY h) k USING (h)"""
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document outside repeated 35-word windows."""
     d = ss.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "r")
@@ -200,4 +253,4 @@ FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY score DESC, vec_id) A
 
 
 QUERIES = {"op11_audit": op11_audit, "op12_centroids": op12_centroids, "op13_products": op13_products, "op8_toolcalls": op8_toolcalls, "op3_neighbours": op3_neighbours, "op1_quality": op1_quality, "op5_langid": op5_langid, "op10_toxicity": op10_toxicity, "op6_substrings": op6_substrings, "op7_neardup": op7_neardup, "op9_mixing": op9_mixing, "op4_urlfilter": op4_urlfilter, "op2_decontaminate": op2_decontaminate}
-ORACLE: dict[str, str] = {"op11_audit": OP11_SQL, "op12_centroids": OP12_SQL, "op13_products": OP13_SQL}
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op4_urlfilter": OP4_SQL, "op6_substrings": OP6_SQL, "op7_neardup": OP7_SQL, "op11_audit": OP11_SQL, "op12_centroids": OP12_SQL, "op13_products": OP13_SQL}
