@@ -17,8 +17,8 @@ documents are judged alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from operator import and_, eq
 
 import numpy as np
 import xxhash
@@ -50,7 +50,6 @@ LABELLERS = [
 SHAPE = bytes(
     120 if 97 <= b <= 122 or b >= 128 else 88 if 65 <= b <= 90 else 57 if 48 <= b <= 57 else b for b in range(256)
 )
-_RUN = re.compile(rb"(.)\1+")
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
@@ -63,17 +62,18 @@ def measure(text: bytes, words: list[bytes]) -> dict[str, float]:
     nan = float("nan")
     count = Counter(words)
     many = n >= 20
+    same = list(map(eq, words, words[1:]))
     return {
         "words": n,
         "marks": (chars - low - up - num - space) / max(1, chars),
         "capitals": up / max(1, low + up),
         "distinct": -len(count) / n if many and n <= 1000 else nan,
         "most_common": max(count.values()) / n if many else nan,
-        "doubled": sum(a == b for a, b in zip(words, words[1:])) / n if many else nan,
+        "doubled": sum(same) / n if many else nan,
         "pairs": -len(set(zip(words, words[1:]))) / (n - 1) if many else nan,
-        "runs": sum(a == b == c for a, b, c in zip(words, words[1:], words[2:])) / n if many else nan,
-        "bars": sum(not w.strip(_MARKS) for w in words) / n,
-        "framed": sum(len(w) - len(w.rstrip(_MARKS)) >= 2 for w in words) / n,
+        "runs": sum(map(and_, same, same[1:])) / n if many else nan,
+        "bars": sum(k for w, k in count.items() if not w.strip(_MARKS)) / n,
+        "framed": sum(k for w, k in count.items() if len(w) - len(w.rstrip(_MARKS)) >= 2) / n,
         "lengths": sum(map(len, words)) / n,
     }
 
@@ -88,10 +88,13 @@ def votes(m: dict[str, float]) -> list[int]:
 
 def features(words: list[bytes], m: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed shares of token shapes and shape pairs, and binned measurements."""
-    shapes = [s[:12] for s in _RUN.sub(rb"\1", b" ".join(words).translate(SHAPE)).split(b" ")]
+    line = np.frombuffer(b" ".join(words).translate(SHAPE), dtype=np.uint8)
+    # of a run of one shape one is left
+    shapes = [s[:12] for s in line[np.concatenate(([True], line[1:] != line[:-1]))].tobytes().split(b" ")]
     n = len(shapes)
     share: dict[int, float] = {}
-    repeats = Counter(b"=" if a == b else b"/" for a, b in zip(words, words[1:]))
+    same = sum(map(eq, words, words[1:]))
+    repeats = {k: c for k, c in ((b"=", same), (b"/", n - 1 - same)) if c}
     for kind, counted in ((b"1", Counter(shapes)), (b"2", Counter(zip(shapes, shapes[1:]))), (b"3", repeats)):
         for s, c in counted.items():
             key = kind + (b" ".join(s) if isinstance(s, tuple) else s)
