@@ -44,7 +44,7 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 def current(spark: SparkSession, root: str) -> DataFrame:
     """The manifest rows of the run that was committed last (equal times: the greater run id)."""
     m = manifest(spark, root)
-    last = m.agg(F.max(F.struct("committed", "run")).alias("l")).select("l.*")
+    last = m.orderBy(F.col("committed").desc(), F.col("run").desc()).limit(1).select("committed", "run")
     return m.join(last, ["committed", "run"], "left_semi")
 
 
