@@ -17,13 +17,17 @@ documents times shards, so shards are keyed by content:
    the shard, and the segments are streamed through it: the matching statistic
    at a word is the length of the longest match that ends there and occurs
    twice.  Where it reaches ``WINDOW``, the window that ends there is repeated.
+   A shard in which no window's hash occurs twice has nothing to find and gets no automaton.
 4. Anchors with more than ``MAX_SEGMENTS`` different segments would make a
    shard too large for a task.  Their windows are counted by hash instead, with
    partial aggregation, which is exact as well and spreads over all tasks.
-5. The spans go back to the documents, merged to maximal spans of words.
+5. The spans, a set for each different text, go back to the documents, merged to
+   maximal spans of words.
 
-Copies meet as counts, never as pairs.  Hashes have 64 bits and are compared
-within an anchor, so 128 bits stand for a segment or a window.
+Copies meet as counts, never as pairs: a text is known by 128 bits of hashes, its
+words are read once and its spans are kept once, however many rows hold it.  Hashes
+of segments and windows have 64 bits and are compared within an anchor, so 128 bits
+stand for them as well.
 
 Defined results: a null or empty text has no words; repeated rows are
 occurrences of their own; a null id is like any other value; an empty table
@@ -134,15 +138,27 @@ class Automaton:
         return out
 
 
-def repeated(group: dict[int, tuple[int, list[int]]], window: int) -> list[tuple[int, list[tuple[int, int]]]]:
+def any_twice(group: dict[int, tuple[int, np.ndarray]], window: int) -> bool:
+    """May a window occur twice in the group?  By hash: no means no."""
+    h = [window_hashes(seq.view(np.uint64), window) for _, seq in group.values()]
+    times = np.repeat([t for t, _ in group.values()], [len(x) for x in h])
+    if (times > 1).any():
+        return True
+    h = np.sort(np.concatenate(h))
+    return bool((h[1:] == h[:-1]).any())
+
+
+def repeated(group: dict[int, tuple[int, np.ndarray]], window: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """For {segment: (times, words)} of one anchor: the word spans of each segment that repeated windows cover."""
+    if not any_twice(group, window):
+        return []
     a = Automaton()
     for times, seq in group.values():
-        a.add(seq, times)
+        a.add(seq.tolist(), times)
     a.close()
     out = []
     for seg, (_, seq) in group.items():
-        spans = merged([(i - window + 1, i + 1) for i, m in enumerate(a.statistics(seq)) if m >= window])
+        spans = merged([(i - window + 1, i + 1) for i, m in enumerate(a.statistics(seq.tolist())) if m >= window])
         if spans:
             out.append((seg, spans))
     return out
@@ -164,7 +180,7 @@ def shard(window: int):
                     done.append(found(anchor, group))
                     group = {}
                 anchor = a
-                group[seg] = (times, np.frombuffer(words, dtype=np.int64).tolist())
+                group[seg] = (times, np.frombuffer(words, dtype=np.int64))
             if done:
                 yield pd.concat(done)
         if group:
@@ -253,27 +269,26 @@ def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram
     wide = some.groupBy("anchor").agg((F.count(F.lit(1)) > max_segments).alias("big"))
     want = some.join(wide, "anchor").groupBy(*key).agg(F.collect_list(F.struct("anchor", "seg", "at", "n", "times", "big")).alias("want"))
     want = want.select(*[F.col(k).alias(f"w{k}") for k in key], "want")
-    z = docs.select(*key, packed()(F.col(text)).alias("z"))
+    # one row a text: rows that repeat it go before the shuffle
+    z = docs.where(F.length(text) >= 2 * window - 1).select(*key, packed()(F.col(text)).alias("z")).dropDuplicates(key)
     z = z.join(want, [F.col(k).eqNullSafe(F.col(f"w{k}")) for k in key])
     cut = durable(z.select(F.explode(slices(window)("z", "want")).alias("x")).select("x.*"))
 
     small = cut.where("NOT big").select("anchor", "seg", "times", "words")
     spans = "array<struct<b:int,e:int>>"
     hits = small.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(shard(window), f"anchor long, seg long, w {spans}")
-    # equal rows of the table are read once each: one of them counts
-    each = cut.where("big").dropDuplicates(["anchor", "seg"])
-    each = each.select("anchor", "seg", "times", F.posexplode(hashes_of(window)(F.col("words"))["h"]).alias("w", "hash"))
+    each = cut.where("big").select("anchor", "seg", "times", F.posexplode(hashes_of(window)(F.col("words"))["h"]).alias("w", "hash"))
     often = each.groupBy("anchor", "hash").agg(F.sum("times").alias("t")).where("t > 1").select("anchor", "hash")
     span = F.struct(F.col("w").alias("b"), (F.col("w") + window).alias("e"))
     more = each.join(often, ["anchor", "hash"]).groupBy("anchor", "seg").agg(F.collect_list(span).cast(spans).alias("w"))
     back = mixed.select(*key, "anchor", "seg", "at").join(hits.union(more), ["anchor", "seg"])
     back = back.select(*key, "at", F.explode("w").alias("w"))
     part = back.select(*key, (F.col("at") + F.col("w.b")).alias("b"), (F.col("at") + F.col("w.e")).alias("e"))
-    return whole.union(part).groupBy(*key).agg(F.collect_list(F.struct("b", "e")).alias("spans"))
+    return whole.union(part).groupBy(*key).agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
 
 def remove_repeats(
-    docs: DataFrame, out: str = "repeats", *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
+    docs: DataFrame, out: str = "repeats", *, text: str = "text", window: int = WINDOW,
     gram: int = GRAM, max_segments: int = MAX_SEGMENTS,
 ) -> DataFrame:
     """``docs`` with the struct ``out``: n_words, n_removed, kept (the text without the removed words), spans (of words).
@@ -282,14 +297,15 @@ def remove_repeats(
     stays as it is, and a text without repeats is unchanged.
     """
     prepare(docs.sparkSession)
-    d = docs.select(F.col(doc_id).alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
-    s = repeated_spans(d, "t", ["k", "h"], window, gram, max_segments)
-    names = [fresh(docs, n) for n in ("__k", "__h", "__z", "__spans")]
-    k, h, z, sp = names
-    s = s.select(F.col("k").alias(k), F.col("h").alias(h), F.col("spans").alias(sp))
+    # two hashes of the text, chained to different beginnings
+    one, two = F.xxhash64(F.col(text)), F.xxhash64(F.lit(1), F.col(text))
+    d = docs.select(one.alias("g"), two.alias("h"), F.col(text).alias("t"))
+    s = repeated_spans(d, "t", ["g", "h"], window, gram, max_segments)
+    g, h, z, sp = [fresh(docs, n) for n in ("__g", "__h", "__z", "__spans")]
+    s = s.select(F.col("g").alias(g), F.col("h").alias(h), F.col("spans").alias(sp))
     rest = [c for c in docs.columns if c not in (text,)]
-    d = docs.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(F.col(text)).alias(f"{h}_"), packed()(F.col(text)).alias(z))
-    d = d.join(s, F.col(doc_id).eqNullSafe(F.col(k)) & (F.col(f"{h}_") == F.col(h)), "left")
+    d = docs.select(*[F.col(f"`{c}`") for c in rest], one.alias(g), two.alias(h), packed(1)(F.col(text)).alias(z))
+    d = d.join(s, [g, h], "left")
     r = F.pandas_udf(removal, REMOVAL)(z, sp)
     d = d.select(*[F.col(f"`{c}`") for c in rest], r.alias(fresh(docs, "__r")))
     r = F.col(fresh(docs, "__r"))

@@ -217,3 +217,52 @@ def test_tree_search_leaves_out_what_is_far():
         best, computed = mtree.best_first(pages, q, space, rows[0], 21, -np.inf)
         want = sorted((-int(s), False, i) for i, s in enumerate(rows @ q))[:21]
         assert [b[:3] for b in best] == want and computed < len(x) / 2
+
+
+def test_many_equal_rows_lose_their_words_once(spark):
+    from pyspark.sql import functions as F
+
+    from curatio.llm import substrings
+
+    text = " ".join(f"w{i * 7919 % 1000}" for i in range(500))
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    other = spark.createDataFrame([(1, " ".join(f"v{i}" for i in range(90))), (2, " ".join(text.split()[:40])), (3, None)], "doc_id long, text string")
+    got = substrings.remove_repeats(rows.unionByName(other), "r").groupBy("doc_id", "r.n_words", "r.n_removed").count().collect()
+    assert sorted(tuple(r) for r in got if r.doc_id) == [(1, 90, 0, 1), (2, 40, 40, 1), (3, 0, 0, 1)]
+    assert [tuple(r) for r in got if r.doc_id is None] == [(None, 500, 500, 5000)]
+
+
+def test_toxic_words_are_learned_from_few_documents():
+    from curatio.llm import toxicity
+
+    r = random.Random(3)
+    syllables = ["ta", "lo", "mi", "re", "so", "un", "ke", "vi", "pa", "od"]
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
+    bad = ["grubby", "zilch", "frumpy", "wretch"]
+
+    def doc(y):
+        w = [word() for _ in range(r.choice([15, 80, 400]))]
+        for _ in range(2 * y):
+            w[r.randrange(len(w))] = r.choice(bad)
+        return y, " ".join(w)
+
+    rows = [doc(int(i % 8 == 0)) for i in range(280)]
+    model = toxicity.train(rows, 0.125)
+    held = [doc(int(i % 5 == 0)) for i in range(200)]
+    marked = [(y, model.score(t)[0] >= 0.7) for y, t in held]
+    assert sum(m for y, m in marked if y) >= 38 and not any(m for y, m in marked if not y)
+    # letters that were never seen in this order share n-grams with words that were
+    assert model.score("ta lo wretchh mi")[0] > model.score("ta lo remiso mi")[0]
+    assert set(toxicity.telling([(y, toxicity.vocabulary(t)) for y, t in rows])[0]) == set(bad)
+
+
+def test_ids_with_both_labels_teach_nothing(spark):
+    from curatio.llm import toxicity
+
+    docs = [(i, "good plain words here" if i % 2 else "nasty plain words here") for i in range(60)]
+    labels = [(i, int(i % 2 == 0)) for i in range(60)]
+    df = spark.createDataFrame(docs + docs[:3], "doc_id long, text string")
+    scores = lambda lab: {(r.doc_id, r.t["score"]) for r in toxicity.toxicity(df, spark.createDataFrame(lab, "doc_id long, toxic int"), "t").collect()}
+    both = [(i, 1 - y) for i, y in labels[:4]]
+    without = scores([x for x in labels if x[0] >= 4])
+    assert scores(labels + both) == without and len({s for _, s in without}) == 2
