@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.sources.testtables import standin, table  # noqa: F401  (re-export)
@@ -46,6 +46,11 @@ FROM orders
 ROUND_OFFSET = 0.5 - 1.0 / (1000.0 * 3.141592653589793)
 
 
+def without_zone(df: DataFrame) -> DataFrame:
+    """Instants as UTC wall-clock times, the type the test tables and the oracles have."""
+    return df.withColumns({n: F.col(f"`{n}`").cast("timestamp_ntz") for n, t in df.dtypes if t == "timestamp"})
+
+
 def present(col: Column, digits: int = 6) -> Column:
     """Presentation rounding applied identically by Spark and the oracle
     (``floor(x * 10^d + offset) / 10^d`` in IEEE doubles), so both engines

@@ -36,6 +36,7 @@ from curatio.queries.common import (
     present_sql,
     standin,
     table,
+    without_zone,
 )
 from curatio.session import scratch
 from curatio.sources.catalog import attachment_files, inline_table, read_side_list
@@ -1307,7 +1308,7 @@ _USED = "['survey', 'excluded', 'withdrew']"
 @query("provenance_rows", PROVENANCE_SQL.format(target="Survey", used=_USED, rows=_curate_oracle(_S, ORDERS_START)))
 def provenance_rows(spark, d):
     out = curate_standard(spark, d)
-    return PUB.provenance_with_count(out, "Survey", ["survey", "excluded", "withdrew"], "curate_standard", AS_OF)
+    return without_zone(PUB.provenance_with_count(out, "Survey", ["survey", "excluded", "withdrew"], "curate_standard", AS_OF))
 
 
 def _release_runs(spark, d) -> str:
@@ -1337,7 +1338,7 @@ _SYMPTOMS = (f"SELECT * REPLACE (sha256(to_json(CAST(answer AS JSON)::VARCHAR[])
 )
 def release_manifest(spark, d):
     """Lineage rows of the current release, after an older run and one that was killed and run again."""
-    return MF.current(spark, _release_runs(spark, d)).drop("path", "committed")
+    return without_zone(MF.current(spark, _release_runs(spark, d)).drop("path", "committed"))
 
 
 @query("release_table", f"SELECT recordId, healthCode, createdOn, answer, score FROM ({_SYMPTOMS})")

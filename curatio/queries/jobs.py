@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from curatio.plans.curate import SPECS
 from curatio.plans.release import released_frame
-from curatio.queries.common import EXCLUDED_SQL, ORDERS_START, WITHDREW_SQL
+from curatio.queries.common import EXCLUDED_SQL, ORDERS_START, WITHDREW_SQL, without_zone
 from curatio.queries.curation import ATTACH_SQL
 from curatio.sources.testtables import duck, standin
 
@@ -112,8 +112,9 @@ def _register(name: str, job: dict) -> None:
 
     def run(spark, d) -> DataFrame:
         frames = {t: standin(spark, d, source_sql(job, v)) for v, t in enumerate(job["versions"])}
-        return released_frame(SPECS[name], frames, standin(spark, d, EXCLUDED_SQL), standin(spark, d, WITHDREW_SQL),
-                              attachments=standin(spark, d, ATTACH_SQL), handle_columns=tuple(handles), start=ORDERS_START)
+        out = released_frame(SPECS[name], frames, standin(spark, d, EXCLUDED_SQL), standin(spark, d, WITHDREW_SQL),
+                             attachments=standin(spark, d, ATTACH_SQL), handle_columns=tuple(handles), start=ORDERS_START)
+        return without_zone(out)
 
     run.__name__, run.__doc__ = f"job_{name}", f"The {SPECS[name].name} release table."
     QUERIES[run.__name__], ORACLE[run.__name__] = run, oracle(job)
