@@ -15,12 +15,15 @@ from curatio.session import written
 
 
 def unpivot(
-    df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None, name: str, value: str, as_text: bool = False
+    df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None, name: str, value: str, as_text: bool = False,
+    in_place: bool = False,
 ) -> DataFrame:
     """``gather``: wide to long (G1, G2).  ``cols=None`` means all but ``ids``.
 
     With ``as_text`` every value is cast to STRING first (R's gather of mixed
-    types), numbers printed without a trailing ``.0``.
+    types), numbers printed without a trailing ``.0``.  ``in_place``: for columns
+    of one type; the long rows keep the partitioning of ``df``, which Spark's
+    ``unpivot`` gives up, so windows by its keys and ``name`` need no shuffle.
     """
     cols = [n for n in df.columns if n not in set(ids)] if cols is None else list(cols)
     if as_text:
@@ -33,6 +36,10 @@ def unpivot(
                 conv[n] = c(n).cast("string")
         if conv:
             df = df.withColumns(conv)
+    if in_place:
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias("k"), c(n).alias("v")) for n in cols])).alias("__cell")
+        keys = [c(i) for i in ids]
+        return df.select(*keys, cells).select(*keys, F.col("__cell.k").alias(name), F.col("__cell.v").alias(value))
     tmp = {n: f"__u{i}" for i, n in enumerate(cols)}
     renamed = df.select(*[c(i) for i in ids], *[c(n).alias(tmp[n]) for n in cols])
     long = renamed.unpivot([c(i) for i in ids], list(tmp.values()), name, value)

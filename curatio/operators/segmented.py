@@ -23,7 +23,8 @@ by a single core.  Here a series is cut into *chunks* by row count:
 Results equal those of the plain per-record window for any cut; ``rows``, the
 rows a chunk should hold, only controls parallelism (by default it follows
 from Spark's shuffle settings).  ``bounded=True`` is for series whose length is
-bounded by construction, such as fixed windows: a plain window per record.
+bounded, by construction, such as fixed windows, or by count (``by_length``): a
+plain window per record.
 
 The write runs when the function is called, so a series is evaluated twice (range
 sampling, write) however many results it feeds, and its plan ends there.
@@ -36,14 +37,32 @@ equi-join on the window's partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
+from curatio.operators.joins import exclude, retain
 from curatio.session import written
 
+# Samples up to which a record is one window of one task; longer ones are cut into chunks.
+LONG_RECORD = 1 << 16
+
+
+def by_length(df: DataFrame, keys: Sequence[str], apply: Callable[[DataFrame, bool], DataFrame],
+              rows: int = LONG_RECORD) -> DataFrame:
+    """``apply(part, bounded)`` to the records of at most ``rows`` samples (bounded) and to the longer ones, united.
+
+    ``apply`` works record by record.  Records are counted first, on their keys alone; where
+    none is long, as usual, all take one shuffle by record instead of the spread.
+    """
+    n = df.groupBy(*[as_col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    long = written(n.where(F.col("__n") > F.lit(rows)).drop("__n"), "long")
+    if long.isEmpty():
+        return apply(df, True)
+    return apply(exclude(df, long, keys), True).unionByName(apply(retain(df, long, keys), False))
+
 
 def spread(df: DataFrame, by: Sequence[str], rows: int | None = None) -> DataFrame:
     """``df`` range-partitioned by ``by`` and written; ``__chunk`` numbers the partitions in that order.

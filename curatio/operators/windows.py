@@ -37,9 +37,9 @@ def running_sum(
 
 
 def with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], pos: str = "i", n: str = "n",
-                  rows: int | None = None) -> DataFrame:
+                  rows: int | None = None, bounded: bool = False) -> DataFrame:
     """1-based sample position and series length."""
-    s = segmented(df, part, order, rows=rows, position="p0__", length=n)
+    s = segmented(df, part, order, rows=rows, bounded=bounded, position="p0__", length=n)
     return s.withColumn(pos, F.col("p0__") + 1).drop("p0__")
 
 
@@ -64,7 +64,7 @@ def percent_slice_means(
 
 def fixed_windows(
     df: DataFrame, part: Sequence[str], order: Sequence[str], size: int, step: int | None = None, out: str = "window_id",
-    rows: int | None = None,
+    rows: int | None = None, bounded: bool = False,
 ) -> DataFrame:
     """Assign samples to fixed-length windows within a series.
 
@@ -75,7 +75,7 @@ def fixed_windows(
     with ``step <= size`` no sample is left out.
     """
     step = step or size
-    pos = with_position(df, part, order, "__i", "__n", rows)
+    pos = with_position(df, part, order, "__i", "__n", rows, bounded)
     i0 = F.col("__i") - 1
     # windows w with w*step <= i0 < w*step + size, up to the first that reaches the series' end
     last = F.greatest(F.ceil((F.col("__n") - F.lit(size)) / F.lit(step)), F.lit(0))

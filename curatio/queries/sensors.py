@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import epoch_seconds
 from curatio.operators.reshape import unpivot
-from curatio.operators.segmented import segmented, spread
+from curatio.operators.segmented import by_length, segmented, spread
 from curatio.operators.windows import fixed_windows
 from curatio.queries.common import present, present_sql, table
 from curatio.sensors import activities as AC
@@ -26,7 +26,7 @@ from curatio.sensors import series as SR
 from curatio.sensors import spectral as SP
 from curatio.sensors.fractal import dfa
 from curatio.sensors.periodogram import lomb_scargle_peak
-from curatio.session import scratch
+from curatio.session import bucketed, scratch
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -136,17 +136,22 @@ WALK_LONG_DUCK = (
 )
 
 
-def walk_axes(spark, d) -> DataFrame:
-    w = walk(spark, d).withColumn("AA", SR.magnitude(["X", "Y", "Z"]))
-    return SR.with_jerk(w, ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ")
+def walk_axes(w: DataFrame, bounded: bool) -> DataFrame:
+    w = w.withColumn("AA", SR.magnitude(["X", "Y", "Z"]))
+    return SR.with_jerk(w, ["record_id"], WALK_ORDER, ["X", "Y", "Z"], "AJ", bounded=bounded)
 
 
-def walk_long(spark, d) -> DataFrame:
+def walk_long(w: DataFrame, bounded: bool) -> DataFrame:
     """(record_id, order..., t, axis, v) for the axes X, Y, Z, AA, AJ; AJ's first sample has no value."""
-    long = unpivot(walk_axes(spark, d), ["record_id", *WALK_ORDER, "t"], ["X", "Y", "Z", "AA", "AJ"], "axis", "v")
+    long = unpivot(walk_axes(w, bounded), ["record_id", *WALK_ORDER, "t"], ["X", "Y", "Z", "AA", "AJ"], "axis", "v", in_place=True)
     return long.where(F.col("v").isNotNull())
 
 
+def of_walks(spark, d, stats) -> DataFrame:
+    """``stats(long, bounded)`` of the long frames of all records."""
+    return by_length(walk(spark, d), ["record_id"], lambda w, bounded: stats(walk_long(w, bounded), bounded))
+
+
 FS = 100.0
 
 
@@ -592,13 +597,13 @@ W_KEYS_SQL = "record_id, axis"
     f"SELECT record_id, axis, n, mean, sd, skew, kur, \"range\", cv FROM ({sql_moments(WALK_LONG_DUCK + ' WHERE v IS NOT NULL', W_KEYS_SQL)})",
 )
 def walk_moments(spark, d):
-    m = FT.moment_stats(walk_long(spark, d), W_KEYS).select(*W_KEYS, "n", "mean", "sd", "skew", "kur", "range", "cv")
+    m = of_walks(spark, d, lambda long, _: FT.moment_stats(long, W_KEYS)).select(*W_KEYS, "n", "mean", "sd", "skew", "kur", "range", "cv")
     return rounded(m, W_KEYS)
 
 
 @query("walk_quantiles", sql_quantiles(WALK_LONG_DUCK + " WHERE v IS NOT NULL", W_KEYS_SQL))
 def walk_quantiles(spark, d):
-    return rounded(FT.quantile_stats(walk_long(spark, d), W_KEYS), W_KEYS)
+    return rounded(of_walks(spark, d, lambda long, bounded: FT.quantile_stats(long, W_KEYS, bounded=bounded)), W_KEYS)
 
 
 @query(
@@ -606,13 +611,13 @@ def walk_quantiles(spark, d):
     f"SELECT record_id, axis, acf1 AS acf, zcr, tkeo FROM ({sql_order_stats(WALK_LONG_DUCK + ' WHERE v IS NOT NULL', W_KEYS_SQL, WALK_ORDER_SQL)})",
 )
 def walk_acf_zcr(spark, d):
-    o = FT.order_stats(walk_long(spark, d), W_KEYS, WALK_ORDER)
+    o = of_walks(spark, d, lambda long, bounded: FT.order_stats(long, W_KEYS, WALK_ORDER, bounded=bounded))
     return rounded(o.select(*W_KEYS, F.col("acf1").alias("acf"), "zcr", "tkeo"), W_KEYS)
 
 
 @query("walk_dfa", sql_dfa(WALK_LONG_DUCK + " WHERE v IS NOT NULL", W_KEYS_SQL, WALK_ORDER_SQL))
 def walk_dfa(spark, d):
-    return rounded(dfa(walk_long(spark, d), W_KEYS, WALK_ORDER), W_KEYS)
+    return rounded(of_walks(spark, d, lambda long, bounded: dfa(long, W_KEYS, WALK_ORDER, bounded=bounded)), W_KEYS)
 
 
 LS_GRID = (0.01, 0.5, 50)
@@ -620,7 +625,8 @@ LS_GRID = (0.01, 0.5, 50)
 
 @query("walk_lomb_scargle", sql_lomb(WALK_LONG_DUCK + " WHERE v IS NOT NULL", W_KEYS_SQL, *LS_GRID))
 def walk_lomb_scargle(spark, d):
-    return rounded(lomb_scargle_peak(walk_long(spark, d), W_KEYS, "t", "v", *LS_GRID), W_KEYS)
+    peaks = of_walks(spark, d, lambda long, bounded: lomb_scargle_peak(long, W_KEYS, "t", "v", *LS_GRID, bounded=bounded))
+    return rounded(peaks, W_KEYS)
 
 
 @query(
@@ -662,15 +668,20 @@ JOIN ({sql_lomb(AA_DUCK, 'record_id', *LS_GRID)}) ls USING (record_id)
 )
 def rest_features(spark, d):
     w = walk(spark, d).withColumn("v", SR.magnitude(["X", "Y", "Z"]))
+    out = by_length(w.select("record_id", *WALK_ORDER, "t", "v"), ["record_id"], _rest_features)
+    return rounded(out, ["record_id"])
+
+
+def _rest_features(aa: DataFrame, bounded: bool) -> DataFrame:
     k = ["record_id"]
     # written once; every statistic reads it
-    aa = spread(w.select("record_id", *WALK_ORDER, "t", "v"), [*k, *WALK_ORDER])
-    st = FT.series_stats(aa, k, WALK_ORDER)
-    f = dfa(aa, k, WALK_ORDER)
+    aa = bucketed(aa, k, "series") if bounded else spread(aa, [*k, *WALK_ORDER])
+    st = FT.series_stats(aa, k, WALK_ORDER, bounded=bounded)
+    f = dfa(aa, k, WALK_ORDER, bounded=bounded)
     tt = aa.groupBy("record_id").agg(
         (F.max_by("t", F.struct(F.col("v"), -F.col("t"))) - F.min("t")).alias("turningTime"))
-    ls = lomb_scargle_peak(aa, k, "t", "v", *LS_GRID)
-    out = (
+    ls = lomb_scargle_peak(aa, k, "t", "v", *LS_GRID, bounded=bounded)
+    return (
         st.join(f, k, "left").join(tt, k).join(ls, k)
         .select(
             "record_id", F.col("mean").alias("meanAA"), F.col("sd").alias("sdAA"), F.col("mode").alias("modeAA"),
@@ -681,7 +692,6 @@ def rest_features(spark, d):
             F.col("F0").alias("Postpeak"), F.col("P0").alias("Postpower"),
         )
     )
-    return rounded(out, k)
 
 
 def _vol(cols_sql: str) -> str:

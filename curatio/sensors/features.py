@@ -52,7 +52,8 @@ def _moment_aggs(x: Column) -> list[Column]:
 
 
 def _quantile_aggs(x: Column, mode_digits: int | None = None) -> list[Column]:
-    m = x if mode_digits is None else F.bround(x, mode_digits)
+    # + 0.0: -0.0 and 0.0 are one value
+    m = x.cast("double") + F.lit(0.0) if mode_digits is None else F.bround(x, mode_digits)
     return [F.percentile(x, [0.25, 0.5, 0.75]).alias("__q"), F.mode(m, True).alias("mode")]
 
 
@@ -135,7 +136,7 @@ def series_stats(
     (``segmented.spread``) and the quantiles read it from there.
 
     ``rows``: rows of a chunk, see ``segmented``.  ``bounded``: the series are
-    short by construction (fixed windows), so plain windows and Spark's
+    short by construction (fixed windows) or by count (``by_length``), so plain windows and Spark's
     ``percentile``/``mode`` buffers in the same aggregate do.
     ``mode_digits`` takes the mode of the values rounded (half-even) to that
     many decimals.
@@ -176,8 +177,8 @@ def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
     return series_stats(df, keys, v=v, groups=("moments",))
 
 
-def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
-    return series_stats(df, keys, v=v, groups=("quantiles",)).select(*keys, *QUANTILES)
+def quantile_stats(df: DataFrame, keys: Sequence[str], v: str = "v", bounded: bool = False) -> DataFrame:
+    return series_stats(df, keys, v=v, groups=("quantiles",), bounded=bounded).select(*keys, *QUANTILES)
 
 
 def order_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",

@@ -22,6 +22,11 @@ through their moments: ``ORDER`` sums of each of the three terms.
 3. a record's cells, whose number does not depend on its length, in one array;
    one batch of FFTs over the cells gives the sums at all frequencies.
 
+Moments by cell pay for records with many more samples than cells.  ``bounded``
+records, of so few samples that they fit a task as one array, have their sums taken
+sample by sample instead (``sample_sums``): a row's two numbers are all
+that is shuffled.
+
 The power series' rest is below 1e-11 of the sums (``OVERSAMPLING``, ``ORDER``).
 """
 
@@ -104,6 +109,21 @@ def trig_sums(moments: np.ndarray, cell: np.ndarray, cells: int, n_freq: int) ->
     return out
 
 
+def sample_sums(t: np.ndarray, y: np.ndarray, f_min: float, step: float, n_freq: int, piece: int = 4096) -> np.ndarray:
+    """The three sums of ``trig_sums`` from the samples; memory for ``piece`` samples at all frequencies at a time."""
+    out = np.zeros((3, n_freq), dtype=complex)
+    for i in range(0, len(t), piece):
+        s = t[i : i + piece]
+        turn = np.empty((n_freq, len(s)), dtype=complex)
+        turn[0] = np.exp(2j * np.pi * f_min * s)
+        turn[1:] = np.exp(2j * np.pi * step * s)
+        np.multiply.accumulate(turn, axis=0, out=turn)
+        out[0] += turn.sum(axis=1)
+        out[1] += turn @ y[i : i + piece]
+        out[2] += np.einsum("kn,kn->k", turn, turn)
+    return out
+
+
 def power_from_sums(sums: np.ndarray, n: int, var: float) -> np.ndarray:
     """Normalised power at every frequency."""
     e1, ey, e2 = sums
@@ -117,9 +137,36 @@ def power_from_sums(sums: np.ndarray, n: int, var: float) -> np.ndarray:
     return (parts[0] + parts[1]) / (2 * var)
 
 
+def _whole_power(df: DataFrame, keys: Sequence[str], t: str, v: str, f_min: float, f_max: float, n_freq: int) -> DataFrame:
+    """``lomb_scargle_power`` of records that fit a task: their samples as arrays of one row."""
+    kc = [as_col(k) for k in keys]
+    step = (f_max - f_min) / (n_freq - 1) if n_freq > 1 else 0.0
+
+    def spectrum(it: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for times, values, first, mean, var in it:
+            out = []
+            for a, b, t0, mu, spread in zip(times, values, first, mean, var):
+                if spread is None or not spread > 0:
+                    out.append(None)
+                    continue
+                sums = sample_sums(np.asarray(a, dtype=float) - t0, np.asarray(b, dtype=float) - mu, f_min, step, n_freq)
+                out.append(power_from_sums(sums, len(a), float(spread)).tolist())
+            yield pd.Series(out, dtype=object)
+
+    spectrum.__annotations__ = {"it": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    power = F.pandas_udf(spectrum, "array<double>")
+    x, y = as_col(t).cast("double"), as_col(v).cast("double")
+    per = df.where(as_col(v).isNotNull() & as_col(t).isNotNull()).groupBy(*kc).agg(
+        F.collect_list(x).alias("__t"), F.collect_list(y).alias("__y"), F.min(x).alias("__t0"), F.avg(y).alias("__mu"),
+        F.var_samp(y).alias("__v"))
+    return per.select(*kc, power("__t", "__y", "__t0", "__mu", "__v").alias("power"))
+
+
 def lomb_scargle_power(df: DataFrame, keys: Sequence[str], t: str, v: str, f_min: float, f_max: float,
-                       n_freq: int) -> DataFrame:
+                       n_freq: int, bounded: bool = False) -> DataFrame:
     """Per record ``power``: an array with the power at each frequency of the grid; NULL for a constant series."""
+    if bounded:
+        return _whole_power(df, keys, t, v, f_min, f_max, n_freq)
     kc = [as_col(k) for k in keys]
     cells = cells_of(n_freq)
     width = 1 + 6 * ORDER
@@ -145,11 +192,11 @@ def lomb_scargle_power(df: DataFrame, keys: Sequence[str], t: str, v: str, f_min
 
 
 def lomb_scargle_peak(df: DataFrame, keys: Sequence[str], t: str, v: str, f_min: float = 0.2,
-                      f_max: float = 20.0, n_freq: int = 100) -> DataFrame:
+                      f_max: float = 20.0, n_freq: int = 100, bounded: bool = False) -> DataFrame:
     """Per record: ``F0`` (frequency of the highest peak; lowest frequency on a
     tie) and ``P0`` (its power).  NULL for a constant series."""
     step = (f_max - f_min) / (n_freq - 1) if n_freq > 1 else 0.0
-    p = lomb_scargle_power(df, keys, t, v, f_min, f_max, n_freq)
+    p = lomb_scargle_power(df, keys, t, v, f_min, f_max, n_freq, bounded)
     at = F.array_position("power", F.array_max("power")) - 1
     return p.select(*[as_col(k) for k in keys],
                     F.when(F.col("power").isNotNull(), F.lit(f_min) + at * F.lit(step)).alias("F0"),

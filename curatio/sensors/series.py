@@ -26,9 +26,9 @@ def magnitude(cols: Sequence[str | Column]) -> Column:
 
 
 def with_jerk(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], out: str = "AJ",
-              rows: int | None = None) -> DataFrame:
+              rows: int | None = None, bounded: bool = False) -> DataFrame:
     """Average jerk ``AJ = sqrt(dX^2 + dY^2 + dZ^2)``; NULL at the first sample."""
-    s = segmented(df, keys, order, rows=rows, lags={c: [1] for c in cols})
+    s = segmented(df, keys, order, rows=rows, bounded=bounded, lags={c: [1] for c in cols})
     diffs = [as_col(c) - F.col(f"lag1_{c}") for c in cols]
     return s.withColumn(out, magnitude(diffs)).drop(*[f"lag1_{c}" for c in cols])
 
@@ -55,12 +55,12 @@ def button_drift(taps: DataFrame, keys: Sequence[str], order: Sequence[str], but
 
 
 def derived_axes(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, fs: float,
-                 prefix: str = "u", rows: int | None = None) -> DataFrame:
+                 prefix: str = "u", rows: int | None = None, bounded: bool = False) -> DataFrame:
     """From acceleration ``ua``: velocity ``uv`` and displacement ``ud`` by running
     sums / fs, jerk ``uj`` = diff x fs (N5).  For a gyroscope series the same
     three give rotational displacement/acceleration (``uad``, ``uaa``)."""
     inv = 1.0 / fs
-    s = segmented(df, keys, order, rows=rows, running={value: "cum__"}, running2={value: "cum2__"}, lags={value: [1]})
+    s = segmented(df, keys, order, rows=rows, bounded=bounded, running={value: "cum__"}, running2={value: "cum2__"}, lags={value: [1]})
     return s.select(
         *[n for n in s.columns if n not in ("cum__", "cum2__", f"lag1_{value}")],
         (F.col("cum__") * F.lit(inv)).alias(f"{prefix}v"),

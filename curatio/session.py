@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: UTC so that ``to_date`` of a timestamp is the
 # calendar day of the recorded instant, AQE for runtime partition coalescing
@@ -160,3 +162,18 @@ def written(df: DataFrame, stem: str = "part") -> DataFrame:
     path = scratch(df.sparkSession, stem)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, by: Sequence[str], stem: str = "part", placed: bool = False) -> DataFrame:
+    """``df`` written once into the shared folder, the rows of one ``by`` in one bucket, and reread as a table.
+
+    Readers know the buckets: windows, aggregates and joins by ``by``, with or
+    without further columns, need no shuffle, however many results read the
+    table.  ``placed``: ``df`` has the rows of one ``by`` in one partition already.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"curatio_{stem}_{uuid.uuid4().hex}"
+    d = df if placed else df.repartition(n, *[F.col(f"`{k}`") for k in by])
+    d.write.bucketBy(n, *by).option("path", scratch(spark, stem)).format("parquet").saveAsTable(name)
+    return spark.table(name)
