@@ -9,8 +9,10 @@ Lomb-Scargle peak into the wide table a study releases:
   AA, AJ, plus ``corXY``, ``corXZ``, ``corYZ``;
 * ``rest_features``    - the 19 balance features on the AA series.
 
-Each series is spread over tasks by rows and written once; order, box and
-trigonometric statistics, quantiles and moments all read that.
+Each series is written once; order, box and trigonometric statistics, quantiles
+and moments all read that.  Walks and rests are written into buckets by record
+(``session.bucketed``), so that none of the readers shuffles them again; records longer
+than a task's window (``by_length``) and taps are spread over tasks by rows.
 """
 
 from __future__ import annotations
@@ -23,11 +25,12 @@ from pyspark.sql import functions as F
 from curatio.functions.expr import as_col
 from curatio.operators.joins import same_keys
 from curatio.operators.reshape import unpivot
-from curatio.operators.segmented import segmented, spread
+from curatio.operators.segmented import by_length, segmented, spread
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
 from curatio.sensors.fractal import dfa
 from curatio.sensors.periodogram import lomb_scargle_peak
+from curatio.session import bucketed
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -120,13 +123,25 @@ def walk_features(
     X, Y, Z = axes
     ids = [record, *dict.fromkeys([*order, t])]
     w = accel.select(*ids, F.col(X).alias("X"), F.col(Y).alias("Y"), F.col(Z).alias("Z"))
+    if rows is not None:
+        return _walk_features(w, record, order, t, rows, f_min, f_max, n_freq, False)
+    return by_length(w, [record], lambda part, bounded: _walk_features(part, record, order, t, rows, f_min, f_max, n_freq, bounded))
+
+
+def _walk_features(w: DataFrame, record: str, order: list[str], t: str, rows: int | None, f_min: float, f_max: float,
+                   n_freq: int, bounded: bool) -> DataFrame:
+    ids = [record, *dict.fromkeys([*order, t])]
     w = w.withColumn("AA", SR.magnitude(["X", "Y", "Z"]))
-    w = SR.with_jerk(w, [record], order, ["X", "Y", "Z"], "AJ", rows=rows)
+    w = SR.with_jerk(w, [record], order, ["X", "Y", "Z"], "AJ", rows=rows, bounded=bounded)
     keys = [record, "axis"]
-    long = spread(unpivot(w, ids, WALK_AXES, "axis", "v").where(F.col("v").isNotNull()), [*keys, *order], rows)
-    st = FT.series_stats(long, keys, order)
-    d = dfa(long, keys, order)
-    ls = lomb_scargle_peak(long, keys, t, "v", f_min, f_max, n_freq)
+    if bounded:
+        w = bucketed(w, [record], "series", placed=True)
+    long = unpivot(w, ids, WALK_AXES, "axis", "v", in_place=True).where(F.col("v").isNotNull())
+    if not bounded:
+        long = spread(long, [*keys, *order], rows)
+    st = FT.series_stats(long, keys, order, bounded=bounded)
+    d = dfa(long, keys, order, bounded=bounded)
+    ls = lomb_scargle_peak(long, keys, t, "v", f_min, f_max, n_freq, bounded=bounded)
     per_axis = same_keys(same_keys(st, d, keys), ls, keys).select(
         *keys, "mean", "sd", "mode", "skew", "kur", "q1", "median", "q3", "iqr", "range",
         F.col("acf1").alias("acf"), "zcr", "dfa", "cv", "tkeo", "F0", "P0")
@@ -155,14 +170,22 @@ def rest_features(
     order = list(order)
     X, Y, Z = axes
     s = accel.select(record, *dict.fromkeys([*order, t]), X, Y, Z, SR.magnitude([X, Y, Z]).alias("v"))
-    s = spread(s, [record, *order], rows)
+    if rows is not None:
+        return _rest_features(s, record, order, t, axes, fs, rows, f_min, f_max, n_freq, False)
+    return by_length(s, [record], lambda part, bounded: _rest_features(part, record, order, t, axes, fs, rows, f_min, f_max, n_freq, bounded))
+
+
+def _rest_features(s: DataFrame, record: str, order: list[str], t: str, axes: Sequence[str], fs: float, rows: int | None,
+                   f_min: float, f_max: float, n_freq: int, bounded: bool) -> DataFrame:
+    X, Y, Z = axes
+    s = bucketed(s, [record], "series") if bounded else spread(s, [record, *order], rows)
     aa = s.drop(X, Y, Z)
-    st = FT.series_stats(aa, [record], order)
-    d = dfa(aa, [record], order)
+    st = FT.series_stats(aa, [record], order, bounded=bounded)
+    d = dfa(aa, [record], order, bounded=bounded)
     tt = aa.groupBy(record).agg((F.max_by(t, F.struct(F.col("v"), -F.col(t))) - F.min(t)).alias("turningTime"))
-    ls = lomb_scargle_peak(aa, [record], t, "v", f_min, f_max, n_freq)
+    ls = lomb_scargle_peak(aa, [record], t, "v", f_min, f_max, n_freq, bounded=bounded)
     inv2 = 1.0 / (fs * fs)
-    disp = segmented(s.drop("v"), [record], order,
+    disp = segmented(s.drop("v"), [record], order, bounded=bounded,
                      position="pos__", running={a: f"{a}_v" for a in (X, Y, Z)},
                      running2={a: f"{a}_d" for a in (X, Y, Z)})
     vol = None
