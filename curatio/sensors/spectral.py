@@ -6,6 +6,8 @@ of work is a *window* of a recording: a native aggregate packs its samples into
 one array (the window's length is the bound), a pandas UDF maps arrays to
 arrays in Arrow batches of bounded size, and the result is exploded natively,
 so the keys never pass through Python and no task holds more than one batch.
+(Outer, as Spark would filter empty results before a plain explode and run the
+function a second time for that.)
 Everything computed *from* a transform's output (spectral statistics, band
 energies, entropies) is native.
 """
@@ -76,7 +78,7 @@ def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float)
 
     kc = [as_col(k) for k in keys]
     got = _packed(df, keys, order, v).select(*kc, F.size("__x").alias("__n"), power("__x").alias("__p"))
-    rows = got.select(*kc, "__n", F.posexplode("__p").alias("bin", "power"))
+    rows = got.select(*kc, "__n", F.posexplode_outer("__p").alias("bin", "power")).where(F.col("bin").isNotNull())
     return rows.select(*kc, "bin", (F.col("bin") * (F.lit(1.0) / (F.col("__n") * F.lit(1.0 / fs)))).alias("freq"), "power")
 
 
@@ -94,7 +96,7 @@ def acf_windows(df: DataFrame, keys: Sequence[str], order: str, v: str) -> DataF
 
     kc = [as_col(k) for k in keys]
     got = _packed(df, keys, order, v).select(*kc, acf("__x").alias("__a"))
-    return got.select(*kc, F.posexplode("__a").alias("lag", "acf"))
+    return got.select(*kc, F.posexplode_outer("__a").alias("lag", "acf")).where(F.col("lag").isNotNull())
 
 
 def spectral_stats(spec: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -298,7 +300,8 @@ def emd(df: DataFrame, keys: Sequence[str], order: str, v: str, max_imf: int | N
 
     kc = [as_col(k) for k in keys]
     got = _packed(df, keys, order, v).select(*kc, decompose("__x").alias("__m"))
-    rows = got.select(*kc, F.posexplode("__m").alias("imf", "__v"))
+    # a window has its residue at least, so none is empty
+    rows = got.select(*kc, F.posexplode_outer("__m").alias("imf", "__v"))
     rows = rows if residue else rows.where(F.col("imf") > 0)
     return rows.select(*kc, "imf", F.posexplode("__v.value").alias("i", "value"), F.col("__v.rounds").alias("rounds"),
                        F.col("__v.converged").alias("converged"))
@@ -379,7 +382,7 @@ def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands
 
     kc = [as_col(k) for k in keys]
     got = _packed(df, keys, order, v).select(*kc, energies("__x").alias("__e"))
-    return got.select(*kc, F.posexplode("__e").alias("band", "energy"))
+    return got.select(*kc, F.posexplode_outer("__e").alias("band", "energy")).where(F.col("band").isNotNull())
 
 
 def energy_entropies(energies: DataFrame, keys: Sequence[str], q: float = 2.0, perm_order: int = 3) -> DataFrame:

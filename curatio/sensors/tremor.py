@@ -18,23 +18,31 @@ Pipeline (all keyed by recording; Python only inside the grouped transforms):
 6. ``<stat>``: median (md) and IQR (iqr) across the windows of a recording;
    optional ``[STAT]``: md / IQR across the recordings of an individual
    (skew-safe histogram quantiles).
+
+Recordings that fit a task (``by_length``) are shuffled once, by recording: windows and
+modes are written into buckets by recording (``session.bucketed``), each table of
+statistics is rolled up across a recording's windows as it stands, wide, and only the
+rolled-up values become rows.  Longer recordings are spread by rows, and their
+window values take the histogram quantiles.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatio.operators.joins import same_keys
 from curatio.operators.quantiles import group_quantiles
 from curatio.operators.reshape import unpivot
-from curatio.operators.segmented import spread
+from curatio.operators.segmented import by_length, spread
 from curatio.operators.windows import fixed_windows
 from curatio.sensors import features as FT
 from curatio.sensors import series as SR
 from curatio.sensors import spectral as SP
 from curatio.sensors.fractal import dfa
-from curatio.session import written
+from curatio.session import bucketed, written
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -81,42 +89,76 @@ def tremor_window_features(
 
     ``imf`` is NULL for the series itself.
     """
+    tables = _window_tables(series, record, order, value, sensor, fs, window, step, n_imf, rows, band_width, n_bands, False)
+    gk = [record, "window_id", "axis", "imf"]
+    out = reduce(DataFrame.unionByName, [_renamed_long(t, gk, names, domain) for t, names, domain in tables])
+    return out.withColumn("sensor", F.lit(sensor))
+
+
+def _window_tables(series: DataFrame, record: str, order: str, value: str, sensor: str, fs: float, window: int, step: int,
+                   n_imf: int | None, rows: int | None, band_width: float, n_bands: int,
+                   bounded: bool) -> list[tuple[DataFrame, dict[str, list[str]], str]]:
+    """Wide tables of the statistics of every (window, axis, IMF), each with the names of its columns and their domain."""
     names = ACCEL_AXES if sensor == "accelerometer" else GYRO_AXES
+
+    def kept(df: DataFrame, stem: str) -> DataFrame:
+        return bucketed(df, [record], stem, placed=True) if bounded else written(df, stem)
+
     s = series.select(record, order, F.col(value).cast("double").alias(names["value"]))
-    s = SR.derived_axes(spread(s, [record, order], rows), [record], [order], names["value"], fs, prefix="__d")
+    s = s if bounded else spread(s, [record, order], rows)
+    s = SR.derived_axes(s, [record], [order], names["value"], fs, prefix="__d", bounded=bounded)
     axes = {names["value"]: F.col(names["value"]), names["integral"]: F.col("__dv"),
             names["derivative"]: F.col("__dj")}
     if "integral2" in names:
         axes[names["integral2"]] = F.col("__dd")
-    s = s.select(record, order, "__chunk", *[c.alias(a) for a, c in axes.items()])
-    win = fixed_windows(s, [record], [order], window, step)
+    s = s.select(record, order, *([] if bounded else ["__chunk"]), *[c.alias(a) for a, c in axes.items()])
+    win = fixed_windows(s, [record], [order], window, step, bounded=bounded)
     keys = [record, "window_id"]
-    long = unpivot(win, [*keys, order], list(axes), "axis", "v").where(F.col("v").isNotNull())
+    long = unpivot(win, [*keys, order], list(axes), "axis", "v", in_place=True).where(F.col("v").isNotNull())
     # ACF axis of the recorded series, per window; its lag is the order
     acf = SP.acf_windows(long.where(F.col("axis") == names["value"]), keys, order, "v")
     acf_long = acf.select(*keys, F.col("lag").cast(long.schema[order].dataType).alias(order),
                           F.lit(names["acf"]).alias("axis"), F.col("acf").alias("v")).where(F.col("v").isNotNull())
-    long = written(long.unionByName(acf_long), "windows")
+    long = kept(long.unionByName(acf_long), "windows")
     # intrinsic mode functions of every (window, axis) series
     imfs = SP.emd(long, [*keys, "axis"], order, "v", max_imf=n_imf)
     imfs = imfs.select(*keys, "axis", F.concat(F.lit("IMF"), F.col("imf").cast("string")).alias("imf"),
                        F.col("i").cast("bigint").alias("i"), F.col("value").alias("v"))
     raw = long.select(*keys, "axis", F.lit(None).cast("string").alias("imf"), F.col(order).cast("bigint").alias("i"), "v")
-    imfs = written(raw.unionByName(imfs), "modes")
+    imfs = kept(raw.unionByName(imfs), "modes")
     gk = [*keys, "axis", "imf"]
     # time domain (windows are bounded: plain windows and percentile buffers are fine here)
-    st = same_keys(FT.series_stats(imfs, gk, ["i"], "v", fs=fs, bounded=True), dfa(imfs, gk, ["i"], "v", bounded=True), gk)
-    tm = _renamed_long(st, gk, TM_FEATURES, "tm")
+    st = FT.series_stats(imfs, gk, ["i"], "v", fs=fs, bounded=True)
+    fractal = dfa(imfs, gk, ["i"], "v", bounded=True)
     # frequency domain
     spec = SP.spectrum(imfs, gk, "i", "v", fs)
-    fr = _renamed_long(SP.spectral_stats(spec, gk), gk, FR_FEATURES, "fr")
-    bands = SP.band_energies(spec, gk, band_width, n_bands)
     band_names = [f"EnergyBand{b}" for b in range(n_bands)] + ["EnergyBandAbove"]
-    fr_bands = unpivot(bands, gk, band_names, "feature", "value").withColumn("domain", F.lit("fr"))
-    ent = SP.energy_entropies(SP.ewt_energies(imfs, gk, "i", "v"), gk)
-    ewt = _renamed_long(ent, gk, EWT_FEATURES, "fr")
-    out = tm.unionByName(fr).unionByName(fr_bands).unionByName(ewt)
-    return out.withColumn("sensor", F.lit(sensor))
+    return [(st, {k: v for k, v in TM_FEATURES.items() if k != "dfa"}, "tm"), (fractal, {"dfa": TM_FEATURES["dfa"]}, "tm"),
+            (SP.spectral_stats(spec, gk), FR_FEATURES, "fr"),
+            (SP.band_energies(spec, gk, band_width, n_bands), {b: [b] for b in band_names}, "fr"),
+            (SP.energy_entropies(SP.ewt_energies(imfs, gk, "i", "v"), gk), EWT_FEATURES, "fr")]
+
+
+def _rolled(wide: DataFrame, keys: list[str], mapping: dict[str, list[str]], domain: str) -> DataFrame:
+    """Rows ``(keys..., domain, feature, q1, md, q3)``: quartiles of every column of ``wide`` across the windows of ``keys``."""
+    q = wide.groupBy(*keys).agg(*[F.percentile(F.col(f"`{src}`").cast("double"), [0.25, 0.5, 0.75]).alias(src) for src in mapping])
+    cells = [F.struct(F.lit(n).alias("f"), F.col(f"`{src}`").alias("q")) for src, names in mapping.items() for n in names]
+    rows = q.select(*keys, F.explode(F.array(*cells)).alias("c")).where(F.col("c.q").isNotNull())
+    return rows.select(*keys, F.lit(domain).alias("domain"), F.col("c.f").alias("feature"),
+                       *[F.col("c.q")[i].alias(n) for i, n in enumerate(("q1", "md", "q3"))])
+
+
+def _record_quartiles(series: DataFrame, bounded: bool, record: str, order: str, value: str, sensor: str = "accelerometer",
+                      fs: float = 100.0, window: int = 256, step: int = 128, n_imf: int | None = None,
+                      rows: int | None = None, band_width: float = 1.0, n_bands: int = 25) -> DataFrame:
+    """Quartiles of every feature across the windows of a recording."""
+    gk = [record, "axis", "imf", "domain", "feature", "sensor"]
+    if not bounded:
+        wf = tremor_window_features(series, record, order, value, sensor, fs, window, step, n_imf, rows, band_width, n_bands)
+        return group_quantiles(wf.where(F.col("value").isNotNull()), gk, "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], mode=None)
+    tables = _window_tables(series, record, order, value, sensor, fs, window, step, n_imf, rows, band_width, n_bands, True)
+    out = reduce(DataFrame.unionByName, [_rolled(t, [record, "axis", "imf"], names, domain) for t, names, domain in tables])
+    return out.select(record, "axis", "imf", "domain", "feature", F.lit(sensor).alias("sensor"), "q1", "md", "q3")
 
 
 def tremor_features(
@@ -132,9 +174,12 @@ def tremor_features(
     """Record-level table ``(record, name, value)`` with ``<stat>`` roll-ups across
     windows; with ``individual`` (record -> participant) the ``[STAT]`` roll-up
     ``(participant, name, value)`` across that participant's records instead."""
-    wf = tremor_window_features(series, record, order, value, sensor, **kw).where(F.col("value").isNotNull())
     gk = [record, "axis", "imf", "domain", "feature", "sensor"]
-    rec = group_quantiles(wf, gk, "value", [0.25, 0.5, 0.75], ["q1", "md", "q3"], mode=None)
+
+    def quartiles(part: DataFrame, bounded: bool) -> DataFrame:
+        return _record_quartiles(part, bounded, record, order, value, sensor, **kw)
+
+    rec = quartiles(series, False) if kw.get("rows") is not None else by_length(series, [record], quartiles)
     rec = rec.withColumn("iqr", F.col("q3") - F.col("q1"))
     rec_long = unpivot(rec.select(*gk, "md", "iqr"), gk, ["md", "iqr"], "stat", "value")
     name = F.concat_ws("_", F.concat_ws(".", "feature", "domain", "imf", "stat"), "axis", "sensor")
