@@ -1291,7 +1291,9 @@ def attachment_store(spark, d):
     """Every document as a file of its own, read as payloads into the content-addressed store; the second run adds none."""
     files, store = scratch(spark, "files"), scratch(spark, "store")
     docs = table(spark, d, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL")
-    docs.select(F.col("doc_id").cast("string").alias("handle"), F.col("text").alias("value")).write.partitionBy("handle").text(files)
+    one = docs.select(F.col("doc_id").cast("string").alias("handle"), F.col("text").alias("value"))
+    # a folder a file: the tasks move their own into place, instead of the driver all of them, one by one
+    one.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("handle").text(files)
     payloads = attachment_files(spark, files, "*.txt", r"handle=([^/]+)/[^/]*$")
     for _ in range(2):
         ATT.store_payloads(payloads, payloads.select("handle").distinct(), store)
