@@ -17,7 +17,8 @@ documents times shards, so shards are keyed by content:
    the shard, and the segments are streamed through it: the matching statistic
    at a word is the length of the longest match that ends there and occurs
    twice.  Where it reaches ``WINDOW``, the window that ends there is repeated.
-   A shard in which no window's hash occurs twice has nothing to find and gets no automaton.
+   Only runs of windows whose hash occurs twice in the shard enter it, equal runs as one
+   with their count: other windows have nothing to find.
 4. Anchors with more than ``MAX_SEGMENTS`` different segments would make a
    shard too large for a task.  Their windows are counted by hash instead, with
    partial aggregation, which is exact as well and spreads over all tasks.
@@ -36,47 +37,136 @@ gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from curatio.llm.common import _powers, durable, fresh, mix, packed, per_text, prepare, unpacked, window_hashes, word_hashes
+from curatio.llm.common import _powers, durable, fresh, mix, packed, per_text, prepare, window_hashes
 
 WINDOW = 35
 GRAM = 6
 MAX_SEGMENTS = 256
-WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+# Texts are read together up to so many bytes, so that their arrays stay small.
+PIECE = 1 << 20
+# Longer words are hashed one by one: sums of powers modulo 2^64 are weak for very long strings.
+LONG_WORD = 64
 SEGMENTS = "anchor array<long>, seg array<long>, at array<int>, n array<int>"
-FIELDS = ["anchor", "seg", "at", "n"]
-
-
-def segments(text: bytes | None, window: int = WINDOW, gram: int = GRAM) -> tuple:
-    """(anchor, segment hash, first window, number of windows) for each run of windows with one anchor."""
-    words = (text or b"").split()
-    n = len(words) - window + 1
-    if n < 1:
-        return [], [], [], []
-    h = word_hashes(words)
+SPACE = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
+SALT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def offsets(a: pa.Array) -> np.ndarray:
+    """Offsets of a list or (large) binary array into its buffer of values."""
+    wide = pa.types.is_large_binary(a.type) or pa.types.is_large_list(a.type)
+    o = np.frombuffer(a.buffers()[1], dtype=np.int64 if wide else np.int32)
+    return o[a.offset : a.offset + len(a) + 1].astype(np.int64)
+
+
+def pieces(size: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive items of at most ``most`` in all, or one item."""
+    at = np.concatenate(([0], np.cumsum(size)))
+    i = 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
+        yield i, j
+        i = j
+
+
+def bounds(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of each word of the texts ``buf[at[i]:at[i + 1]]``, and the number of each text's first word."""
+    solid = ~SPACE[buf]
+    edge = np.zeros(len(buf) + 1, dtype=bool)
+    edge[at] = True
+    first = solid.copy()
+    first[1:] &= ~solid[:-1] | edge[1:-1]
+    end = solid.copy()
+    end[:-1] &= ~solid[1:] | edge[1:-1]
+    first, end = np.flatnonzero(first), np.flatnonzero(end) + 1
+    return first, end, np.searchsorted(first, at)
+
+
+def text_words(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of the texts ``buf[at[i]:at[i + 1]]``, and the number of each text's first word."""
+    first, end, off = bounds(buf, at)
+    h = np.empty(len(first), dtype=np.uint64)
+    w = 0
+    while w < len(h):
+        b = first[w]
+        n = int(np.searchsorted(end, b + PIECE, "right"))
+        if n > w:
+            part = buf[b : end[n - 1]]
+            up, dn = _powers(len(part))
+            pre = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(SALT[part] * up, out=pre[1:])
+            f = first[w:n] - b
+            h[w:n] = mix((pre[end[w:n] - b] - pre[f]) * dn[f])
+        w = max(n, w + 1)
+    for i in np.flatnonzero(end - first > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(buf[first[i] : end[i]])
+    return h, off
+
+
+def first_smallest(g: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first smallest of each ``width`` consecutive values."""
+    at, have = np.arange(len(g)), 1
+    while have < width:
+        step = min(have, width - have)
+        a, b = at[:-step], at[step:]
+        at = np.where(g[b] < g[a], b, a)
+        have += step
+    return at
+
+
+def segments(h: np.ndarray, off: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple:
+    """(text, anchor, segment hash, first window, number of windows) for each run of windows with one anchor.
+
+    Text i has the words ``h[off[i]:off[i + 1]]``.
+    """
+    size = np.diff(off)
+    text = np.repeat(np.arange(len(size)), size)
+    start = np.flatnonzero(np.arange(len(h)) + window <= off[1:][text])
+    if not len(start):
+        none = np.empty(0, dtype=np.int64)
+        return none, none, none, none, none
     g = window_hashes(h, gram)
-    width = window - gram + 1
-    place = np.empty(n, dtype=np.int64)
-    for i in range(0, n, 65536):  # bounded memory for very long texts
-        part = g[i : min(i + 65536, n) + width - 1]
-        place[i : i + 65536] = np.lib.stride_tricks.sliding_window_view(part, width).argmin(axis=1)
-    place += np.arange(n)
-    first = np.flatnonzero(np.concatenate(([True], np.diff(place) != 0)))
-    count = np.diff(np.concatenate((first, [n])))
+    place = first_smallest(g, window - gram + 1)[start]
+    run = np.flatnonzero(np.concatenate(([True], np.diff(place) != 0)))
+    count = np.diff(np.concatenate((run, [len(start)])))
+    first, place = start[run], place[run]
     up, dn = _powers(len(h))
     pre = np.zeros(len(h) + 1, dtype=np.uint64)
     np.cumsum(h * up, out=pre[1:])
     end = first + count + window - 1
     # the anchor's place in the segment is part of the hash, so equal hashes are aligned alike
-    seg = mix((pre[end] - pre[first]) * dn[first] + (place[first] - first).astype(np.uint64) * np.uint64(0x100000001B3) + count.astype(np.uint64))
-    return g[place[first]].view(np.int64), seg.view(np.int64), first.astype(np.int32), count.astype(np.int32)
+    seg = mix((pre[end] - pre[first]) * dn[first] + (place - first).astype(np.uint64) * np.uint64(0x100000001B3) + count.astype(np.uint64))
+    text = text[first]
+    return text, g[place].view(np.int64), seg.view(np.int64), first - off[text], count
+
+
+def describe(window: int, gram: int):
+    """mapInArrow over (keys, text as bytes): the segments of each text that has any."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            col = batch.column(batch.num_columns - 1)
+            at = offsets(col)
+            buf = np.frombuffer(col.buffers()[2] or b"", dtype=np.uint8)
+            for i, j in pieces(np.diff(at)):
+                h, off = text_words(buf[at[i] : at[j]], at[i : j + 1] - at[i])
+                text, *found = segments(h, off, window, gram)
+                have, first = np.unique(text, return_index=True)
+                ends = pa.array(np.append(first, len(text)).astype(np.int32))
+                keys = batch.select(list(range(batch.num_columns - 1))).take(pa.array(have + i))
+                types = [np.int64, np.int64, np.int32, np.int32]
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(t))) for x, t in zip(found, types)]
+                yield pa.RecordBatch.from_arrays(keys.columns + lists, names=keys.schema.names + ["anchor", "seg", "at", "n"])
+
+    return run
 
 
 class Automaton:
@@ -138,73 +228,125 @@ class Automaton:
         return out
 
 
-def any_twice(group: dict[int, tuple[int, np.ndarray]], window: int) -> bool:
-    """May a window occur twice in the group?  By hash: no means no."""
-    h = [window_hashes(seq.view(np.uint64), window) for _, seq in group.values()]
-    times = np.repeat([t for t, _ in group.values()], [len(x) for x in h])
-    if (times > 1).any():
-        return True
-    h = np.sort(np.concatenate(h))
-    return bool((h[1:] == h[:-1]).any())
-
+def often(seq: np.ndarray, at: np.ndarray, group: np.ndarray, times: np.ndarray, window: int) -> tuple:
+    """(sequence, first window, number of windows) of each run of windows whose hash occurs twice in its group.
 
-def repeated(group: dict[int, tuple[int, np.ndarray]], window: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """For {segment: (times, words)} of one anchor: the word spans of each segment that repeated windows cover."""
-    if not any_twice(group, window):
-        return []
+    Sequence i, of group ``group[i]``, has the words ``seq[at[i]:at[i + 1]]`` and occurs ``times[i]`` times.
+    A window of another hash is not repeated, so none is missed here; a chance match only adds one to read.
+    """
+    row = np.repeat(np.arange(len(group)), np.diff(at))
+    start = np.flatnonzero(np.arange(len(seq)) + window <= at[1:][row])
+    row = row[start]
+    h = window_hashes(seq, window)[start] + mix(group.astype(np.uint64))[row]
+    _, same = np.unique(h, return_inverse=True)
+    twice = np.bincount(same, weights=np.minimum(times, 2)[row])[same] > 1
+    start, row = start[twice], row[twice]
+    run = np.flatnonzero(np.concatenate(([True], (np.diff(start) != 1) | (np.diff(row) != 0)))[: len(start)])
+    count = np.diff(np.concatenate((run, [len(start)])))
+    return row[run], start[run] - at[row[run]], count
+
+
+def repeated(runs: dict[bytes, int], window: int) -> dict[bytes, list[tuple[int, int]]]:
+    """For {words: times} of one anchor: the word spans of each sequence that repeated windows cover."""
     a = Automaton()
-    for times, seq in group.values():
-        a.add(seq.tolist(), times)
+    read = {words: np.frombuffer(words, dtype=np.int64).tolist() for words in runs}
+    for words, times in runs.items():
+        a.add(read[words], times)
     a.close()
-    out = []
-    for seg, (_, seq) in group.items():
-        spans = merged([(i - window + 1, i + 1) for i, m in enumerate(a.statistics(seq.tolist())) if m >= window])
-        if spans:
-            out.append((seg, spans))
-    return out
+    return {words: covered(a.statistics(seq), window) for words, seq in read.items()}
+
+
+def covered(matches: list[int], window: int) -> list[tuple[int, int]]:
+    """Spans of the windows that end where a match of at least ``window`` words ends."""
+    out: list[list[int]] = []
+    for e, m in enumerate(matches, 1):
+        if m >= window:
+            if out and e - window <= out[-1][1]:
+                out[-1][1] = e
+            else:
+                out.append([e - window, e])
+    return [(b, e) for b, e in out]
 
 
 def shard(window: int):
-    """mapInPandas over rows sorted by anchor: the repeated spans of each segment."""
-
-    def found(anchor: int, group: dict) -> pd.DataFrame:
-        hits = [(anchor, seg, [{"b": b, "e": e} for b, e in spans]) for seg, spans in repeated(group, window)]
-        return pd.DataFrame(hits, columns=["anchor", "seg", "w"])
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        anchor, group = None, {}
-        for f in it:
-            done = []
-            for a, seg, times, words in zip(f["anchor"], f["seg"], f["times"], f["words"]):
-                if a != anchor and group:
-                    done.append(found(anchor, group))
-                    group = {}
-                anchor = a
-                group[seg] = (times, np.frombuffer(words, dtype=np.int64))
-            if done:
-                yield pd.concat(done)
-        if group:
-            yield found(anchor, group)
+    """mapInArrow over rows sorted by anchor: the repeated spans of each segment."""
+
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        anchor, times = rows["anchor"].to_numpy(), rows["times"].to_numpy()
+        group = np.cumsum(np.concatenate(([0], np.diff(anchor) != 0)))
+        col = rows["words"].combine_chunks()
+        at = offsets(col)
+        seq = np.frombuffer(col.buffers()[2], dtype=np.uint64)[at[0] // 8 : at[-1] // 8]
+        at = (at - at[0]) // 8
+        shards: dict[int, dict[bytes, int]] = {}
+        places = []
+        r, b, n = often(seq, at, group, times, window)
+        begin = at[r] + b
+        end = begin + n + window - 1
+        for k, t, r, b, x, y in zip(*(x.tolist() for x in (group[r], times[r], r, b, begin, end))):
+            words = seq[x:y].tobytes()
+            runs = shards.setdefault(k, {})
+            runs[words] = runs.get(words, 0) + t
+            places.append((r, b, runs, words))
+        # each shard's counts give way to its spans
+        for runs in shards.values():
+            runs.update(repeated(runs, window))
+        hits = [(r, b + x, b + y) for r, b, runs, words in places for x, y in runs[words]]
+        r, b, e = np.array(hits, dtype=np.int64).reshape(-1, 3).T
+        have, first = np.unique(r, return_index=True)
+        w = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (b, e)], names=["b", "e"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(r)).astype(np.int32)), w)
+        seg = rows["seg"].to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(anchor[have]), pa.array(seg[have]), lists], names=["anchor", "seg", "w"])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # their last anchor may go on in the next batch
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            anchor = batch.column("anchor").to_numpy()
+            if held[0].column("anchor")[0].as_py() == anchor[-1]:
+                continue
+            begun = int(np.searchsorted(anchor, anchor[-1]))
+            held[-1] = batch.slice(0, begun)
+            yield found(pa.Table.from_batches(held))
+            held = [batch.slice(begun)]
+        if held:
+            yield found(pa.Table.from_batches(held))
 
     return run
 
 
 def slices(window: int):
-    """UDF: the words of the wanted segments of each compressed text, as packed 64-bit hashes."""
-
-    def run(it):
-        for texts, wanted in it:
-            out = []
-            for t, w in zip(texts, wanted):
-                h = word_hashes(unpacked(t).split()).view(np.int64)
-                out.append([
-                    {"anchor": x["anchor"], "seg": x["seg"], "times": x["times"], "big": x["big"],
-                     "words": h[x["at"] : x["at"] + x["n"] + window - 1].tobytes()} for x in w
-                ])
-            yield pd.Series(out)
+    """mapInArrow over (compressed text, wanted segments): the words of each, as packed 64-bit hashes."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
+        for batch in it:
+            texts, wanted = batch.column("z"), batch.column("want")
+            have = offsets(wanted)
+            x = dict(zip([f.name for f in wanted.type.value_type], wanted.values.flatten()))
+            first, count = (x[c].to_numpy().astype(np.int64) for c in ("at", "n"))
+            for i, j in pieces(np.array([zstandard.frame_content_size(t) for t in texts.to_pylist()], dtype=np.int64)):
+                read = [z.decompress(t) for t in texts.slice(i, j - i).to_pylist()]
+                at = np.concatenate(([0], np.cumsum([len(t) for t in read]))).astype(np.int64)
+                h, off = text_words(np.frombuffer(b"".join(read), dtype=np.uint8), at)
+                rows = slice(have[i], have[j])
+                begin = first[rows] + np.repeat(off[:-1], np.diff(have[i : j + 1]))
+                size = count[rows] + window - 1
+                for k, m in pieces(size):
+                    b, n = begin[k:m], size[k:m]
+                    end = np.cumsum(n)
+                    words = h[np.arange(end[-1]) + np.repeat(b - end + n, n)]
+                    ends = pa.py_buffer(np.append(0, end * 8).astype(np.int32))
+                    words = pa.Array.from_buffers(pa.binary(), m - k, [None, ends, pa.py_buffer(words)])
+                    same = [x[c].slice(have[i] + k, m - k) for c in ("anchor", "seg", "times", "big")]
+                    yield pa.RecordBatch.from_arrays([*same, words], names=["anchor", "seg", "times", "big", "words"])
 
-    run.__annotations__ = {"it": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "array<struct<anchor:long,seg:long,times:long,big:boolean,words:binary>>")
+    return run
 
 
 def hashes_of(window: int):
@@ -215,47 +357,61 @@ def hashes_of(window: int):
     )
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for b, e in sorted(spans):
-        if out and b <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([b, e])
-    return [(b, e) for b, e in out]
+def cuts(off: np.ndarray, text: np.ndarray, b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end) of the maximal spans of words b to e of their texts, in order; ``off``: first word of each text."""
+    b, e = b + off[text], e + off[text]
+    order = np.lexsort((b, text))
+    b, e, text = b[order], e[order], text[order]
+    reach = np.maximum.accumulate(e)
+    new = np.flatnonzero(np.concatenate(([True], (b[1:] > reach[:-1]) | (np.diff(text) != 0)))[: len(b)])
+    end = reach[np.append(new[1:], len(b)) - 1] if len(b) else e
+    return text[new], b[new], end
 
 
-def removal(it):
+def removal(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """(n_words, n_removed, kept, spans) of compressed texts and the word spans to remove."""
-    for texts, spans in it:
-        out = []
-        for t, sp in zip(texts, spans):
-            t = unpacked(t) if t is not None else None
-            if sp is None or t is None:
-                out.append((len(t.split()) if t else 0, 0, t, []))
-                continue
-            at = [m.start() for m in WORD.finditer(t)] + [len(t)]
-            cut = merged([(x["b"], x["e"]) for x in sp])
-            kept, pos = [], 0
-            for b, e in cut:
-                kept.append(t[pos : at[b]])
-                pos = at[e]
-            kept.append(t[pos:])
-            out.append((len(at) - 1, sum(e - b for b, e in cut), b"".join(kept), [{"begin": b, "end": e} for b, e in cut]))
-        yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept", "spans"])
-
-
-removal.__annotations__ = {"it": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    import zstandard
+
+    z = zstandard.ZstdDecompressor()
+    have = offsets(spans)
+    sb, se = (x.to_numpy().astype(np.int64) for x in spans.values.flatten())
+    zs = texts.to_pylist()
+    out = []
+    size = np.array([0 if t is None else zstandard.frame_content_size(t) for t in zs], dtype=np.int64)
+    for i, j in list(pieces(size)) or [(0, 0)]:
+        read = [b"" if t is None else z.decompress(t) for t in zs[i:j]]
+        at = np.concatenate(([0], np.cumsum([len(t) for t in read]))).astype(np.int64)
+        buf = np.frombuffer(b"".join(read), dtype=np.uint8)
+        first, _, off = bounds(buf, at)
+        rows = slice(have[i], have[j])
+        text, b, e = cuts(off, np.repeat(np.arange(j - i), np.diff(have[i : j + 1])), sb[rows], se[rows])
+        # a span takes the bytes up to the next word, or to the end of its text
+        step = np.zeros(len(buf) + 1, dtype=np.int8)
+        step[first[b]] = 1
+        until = np.where(e == off[text + 1], at[text + 1], np.append(first, len(buf))[e])
+        step[until] -= 1
+        stays = np.cumsum(step[:-1], dtype=np.int8) == 0
+        kept = np.concatenate(([0], np.cumsum(stays)))[at]
+        valid = np.packbits(np.array([t is not None for t in zs[i:j]], dtype=bool), bitorder="little")
+        kept = pa.Array.from_buffers(pa.binary(), j - i, [pa.py_buffer(valid), pa.py_buffer(kept.astype(np.int32)), pa.py_buffer(buf[stays])])
+        removed = np.bincount(text, weights=e - b, minlength=j - i).astype(np.int64)
+        ends = pa.array(np.searchsorted(text, np.arange(j - i + 1)).astype(np.int32))
+        cut = pa.StructArray.from_arrays([pa.array(b - off[text]), pa.array(e - off[text])], names=["begin", "end"])
+        cut = pa.ListArray.from_arrays(ends, cut)
+        out.append(pa.StructArray.from_arrays([pa.array(np.diff(off)), pa.array(removed), kept, cut], names=["n_words", "n_removed", "kept", "spans"]))
+    return pa.concat_arrays(out)
+
+
 REMOVAL = "n_words long, n_removed long, kept binary, spans array<struct<begin:long,end:long>>"
 
 
 def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram: int, max_segments: int) -> DataFrame:
-    """key columns, spans: the word spans that repeated windows cover, one row a key."""
-    find = per_text(lambda: lambda t: segments(t, window, gram), SEGMENTS, FIELDS)
+    """key columns (hashes, never null), spans: the word spans that repeated windows cover, one row a key."""
     # ``window`` words need at least 2 * window - 1 characters
-    rows = docs.where(F.length(text) >= 2 * window - 1).select(*key, find(F.col(text)).alias("s")).select(*key, "s.*")
-    rows = durable(rows.where(F.size("at") > 0))
-    occ = rows.select(*key, F.explode(F.arrays_zip(*FIELDS)).alias("x")).select(*key, "x.*")
+    docs = docs.where(F.length(text) >= 2 * window - 1)
+    schema = StructType(docs.select(*key).schema.fields + StructType.fromDDL(SEGMENTS).fields)
+    rows = durable(docs.select(*key, F.col(text).cast("binary").alias("t")).mapInArrow(describe(window, gram), schema))
+    occ = rows.select(*key, F.explode(F.arrays_zip("anchor", "seg", "at", "n")).alias("x")).select(*key, "x.*")
     anchors = occ.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
     # written first, so that the join deals out both sides anew and can split a hot anchor
     anchors = durable(anchors.where("c > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("same")))
@@ -268,19 +424,17 @@ def repeated_spans(docs: DataFrame, text: str, key: list[str], window: int, gram
     some = durable(some.select("anchor", "seg", "times", "p.*"))
     wide = some.groupBy("anchor").agg((F.count(F.lit(1)) > max_segments).alias("big"))
     want = some.join(wide, "anchor").groupBy(*key).agg(F.collect_list(F.struct("anchor", "seg", "at", "n", "times", "big")).alias("want"))
-    want = want.select(*[F.col(k).alias(f"w{k}") for k in key], "want")
     # one row a text: rows that repeat it go before the shuffle
-    z = docs.where(F.length(text) >= 2 * window - 1).select(*key, packed()(F.col(text)).alias("z")).dropDuplicates(key)
-    z = z.join(want, [F.col(k).eqNullSafe(F.col(f"w{k}")) for k in key])
-    cut = durable(z.select(F.explode(slices(window)("z", "want")).alias("x")).select("x.*"))
+    z = docs.select(*key, packed()(F.col(text)).alias("z")).dropDuplicates(key).join(want, key)
+    cut = durable(z.select("z", "want").mapInArrow(slices(window), "anchor long, seg long, times long, big boolean, words binary"))
 
     small = cut.where("NOT big").select("anchor", "seg", "times", "words")
     spans = "array<struct<b:int,e:int>>"
-    hits = small.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(shard(window), f"anchor long, seg long, w {spans}")
+    hits = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(shard(window), f"anchor long, seg long, w {spans}")
     each = cut.where("big").select("anchor", "seg", "times", F.posexplode(hashes_of(window)(F.col("words"))["h"]).alias("w", "hash"))
-    often = each.groupBy("anchor", "hash").agg(F.sum("times").alias("t")).where("t > 1").select("anchor", "hash")
+    counted = each.groupBy("anchor", "hash").agg(F.sum("times").alias("t")).where("t > 1").select("anchor", "hash")
     span = F.struct(F.col("w").alias("b"), (F.col("w") + window).alias("e"))
-    more = each.join(often, ["anchor", "hash"]).groupBy("anchor", "seg").agg(F.collect_list(span).cast(spans).alias("w"))
+    more = each.join(counted, ["anchor", "hash"]).groupBy("anchor", "seg").agg(F.collect_list(span).cast(spans).alias("w"))
     back = mixed.select(*key, "anchor", "seg", "at").join(hits.union(more), ["anchor", "seg"])
     back = back.select(*key, "at", F.explode("w").alias("w"))
     part = back.select(*key, (F.col("at") + F.col("w.b")).alias("b"), (F.col("at") + F.col("w.e")).alias("e"))
@@ -306,7 +460,7 @@ def remove_repeats(
     rest = [c for c in docs.columns if c not in (text,)]
     d = docs.select(*[F.col(f"`{c}`") for c in rest], one.alias(g), two.alias(h), packed(1)(F.col(text)).alias(z))
     d = d.join(s, [g, h], "left")
-    r = F.pandas_udf(removal, REMOVAL)(z, sp)
+    r = F.arrow_udf(removal, REMOVAL)(z, sp)
     d = d.select(*[F.col(f"`{c}`") for c in rest], r.alias(fresh(docs, "__r")))
     r = F.col(fresh(docs, "__r"))
     value = F.struct(r["n_words"].alias("n_words"), r["n_removed"].alias("n_removed"), r["kept"].cast("string").alias("kept"), r["spans"].alias("spans"))
