@@ -39,7 +39,7 @@ from curatio.queries.common import (
     without_zone,
 )
 from curatio.session import scratch
-from curatio.sources.catalog import attachment_files, inline_table, read_side_list
+from curatio.sources.catalog import ATTACHMENT, attachment_files, inline_table, read_side_list, write_attachments
 from curatio.sources.testtables import duck
 
 QUERIES: dict = {}
@@ -1292,9 +1292,8 @@ def attachment_store(spark, d):
     files, store = scratch(spark, "files"), scratch(spark, "store")
     docs = table(spark, d, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL")
     one = docs.select(F.col("doc_id").cast("string").alias("handle"), F.col("text").alias("value"))
-    # a folder a file: the tasks move their own into place, instead of the driver all of them, one by one
-    one.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("handle").text(files)
-    payloads = attachment_files(spark, files, "*.txt", r"handle=([^/]+)/[^/]*$")
+    write_attachments(one, files)
+    payloads = attachment_files(spark, files, "*.txt", ATTACHMENT)
     for _ in range(2):
         ATT.store_payloads(payloads, payloads.select("handle").distinct(), store)
     return spark.read.parquet(store).select("handle", F.octet_length("content").cast("bigint").alias("n_bytes"))

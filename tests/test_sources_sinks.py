@@ -161,3 +161,34 @@ def test_ordered_parts_spread_the_hot_key(spark):
     assert got == {k: ",".join(v) for k, v in want.items()}
     assert {r.k: r.t for r in ordered_distinct_concat(df, ["k"], "v", ["o"], "t").collect()} == got
     assert ordered_distinct_concat(df.where(F.lit(False)), ["k"], "v", ["o"], "t").count() == 0
+
+
+def test_attachments_are_files_of_their_own_by_either_writer(spark, tmp_path, monkeypatch):
+    from curatio.sources import catalog as CT
+
+    texts = {-1: "", **{i: f"text\n{i} é" for i in range(700)}}
+    df = spark.createDataFrame(list(texts.items()), "handle bigint, value string").repartition(3)
+    want = {str(h): (t + "\n").encode() for h, t in texts.items()}
+    for plain in (True, False):
+        with monkeypatch.context() as m:
+            if not plain:
+                m.setattr(CT, "local_folder", lambda *_: None)
+            at = f"file://{tmp_path}/{plain}"
+            some = df if plain else df.where("handle < 20")
+            CT.write_attachments(some, at)
+        got = CT.attachment_files(spark, at, "*.txt", CT.ATTACHMENT)
+        assert {r.handle: bytes(r.content) for r in got.collect()} == {h: t for h, t in want.items() if plain or int(h) < 20}
+    # a process for each file's mode is what took the time: Hadoop's writer leaves a checksum file beside each
+    files = [f for _, _, names in os.walk(tmp_path / "True") for f in names]
+    assert len(files) == len(texts) and all(f.startswith("handle=") for f in files)
+    # 701 files are 22 tasks as Spark deals them
+    assert CT.attachment_files(spark, f"file://{tmp_path}/True", "*.txt", CT.ATTACHMENT).rdd.getNumPartitions() <= 16
+
+
+def test_rows_of_a_handle_in_one_task_are_one_file(spark, tmp_path):
+    from curatio.sources import catalog as CT
+
+    df = spark.createDataFrame([("7", "a"), ("8", "b"), ("7", "c")], "handle string, value string")
+    CT.write_attachments(df.coalesce(1), str(tmp_path / "one"))
+    got = CT.attachment_files(spark, str(tmp_path / "one"), "*.txt", CT.ATTACHMENT).collect()
+    assert sorted((r.handle, bytes(r.content)) for r in got) == [("7", b"a\nc\n"), ("8", b"b\n")]
