@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -173,6 +174,86 @@ def series_stats(
     return out
 
 
+def quartiles_sorted(s: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Type-7 quartiles along axis 1 of the first ``n`` values of ``s``, sorted; ``n`` has no axis 1 and is 1 at least."""
+    out = []
+    for p in (0.25, 0.5, 0.75):
+        at = p * (n - 1)
+        lo, hi = np.floor(at), np.ceil(at)
+        a, b = (np.take_along_axis(s, np.expand_dims(k.astype(int), 1), axis=1).squeeze(1) for k in (lo, hi))
+        out.append(np.where(a == b, a, (hi - at) * a + (at - lo) * b))
+    return out
+
+
+def _modes(x: np.ndarray) -> np.ndarray:
+    """The most frequent value of every row of ``x``, sorted by row; the smallest on a tie."""
+    mode, equal = x[:, 0].copy(), x[:, 1:] == x[:, :-1]
+    some = np.flatnonzero(equal.any(axis=1))
+    run, best = np.ones(len(some), dtype=int), np.ones(len(some), dtype=int)
+    for j in range(equal.shape[1]):
+        run = np.where(equal[some, j], run + 1, 1)
+        more = run > best
+        best[more] = run[more]
+        mode[some[more]] = x[some[more], j + 1]
+    return mode
+
+
+def moments(x: np.ndarray, order: int = 2) -> list[np.ndarray]:
+    """Sums of the 2nd to ``order``-th (4th at most) powers about the mean of every row.
+
+    Sample by sample as Spark's aggregates do: exactly 0 for a flat row, and where little but
+    rounding is left of the samples, the same of it.
+    """
+    avg, m2, m3, m4 = (np.zeros(len(x)) for _ in range(4))
+    for j, v in enumerate(np.ascontiguousarray(x.T)):
+        delta = v - avg
+        part = delta / (j + 1.0)
+        avg = avg + part
+        m2 = m2 + delta * (delta - part)
+        if order > 2:
+            delta2, part2 = delta * delta, part * part
+            m3 = m3 - 3.0 * part * m2 + delta * (delta2 - part2)
+            m4 = m4 - 4.0 * part * m3 - 6.0 * part2 * m2 + delta * (delta * delta2 - part * part2)
+    return [m2, m3, m4][: order - 1]
+
+
+def variances(x: np.ndarray) -> np.ndarray:
+    """Sample variance of every row, of two values or more."""
+    return moments(x)[0] / (x.shape[1] - 1)
+
+
+def series_block(x: np.ndarray, fs: float) -> dict[str, tuple[np.ndarray, np.ndarray | bool]]:
+    """``series_stats`` of every row of ``x``, series of one length: values, and where they are not NULL.
+
+    The statistics are those of the tremor table (no ``cv``, ``acf1``, ``acf2``, ``zcr`` and ``mad``).
+    """
+    n = x.shape[1]
+    none = np.zeros(len(x)), False
+    with np.errstate(all="ignore"):
+        m2, m3, m4 = moments(x, 4)
+        s = np.sort(x + 0.0, axis=1)  # + 0.0: -0.0 and 0.0 are one value
+        q1, median, q3 = quartiles_sorted(s, np.full(len(x), n))
+        low, high, square = s[:, 0], s[:, -1], x * x
+        out = {"mean": (x.mean(axis=1), True), "median": (median, True), "min": (low, True), "max": (high, True),
+               "sd": (np.sqrt(m2 / (n - 1)), True) if n > 1 else none,
+               "skew": (np.sqrt(n) * m3 / np.sqrt(m2 * m2 * m2), m2 != 0), "kur": (n * m4 / (m2 * m2) - 3.0, m2 != 0),
+               "q1": (q1, True), "q3": (q3, True), "iqr": (q3 - q1, True), "range": (high - low, True),
+               "rmsmag": (np.sqrt(square.mean(axis=1)), True), "energy": (square.sum(axis=1), True), "mode": (_modes(s), True)}
+        out |= dict.fromkeys(("tkeo", "mobility", "complexity", "rough", "rugo"), none)
+        if n > 1:
+            dx = x[:, 1:] - x[:, :-1]
+            out["rugo"] = np.sqrt((dx * dx).mean(axis=1)), True
+        if n > 2:
+            v, v1 = m2 / (n - 1), variances(dx * fs)
+            d2 = (x[:, 2:] - 2.0 * x[:, 1:-1] + x[:, :-2]) * (fs * fs)
+            out["tkeo"] = (square[:, 1:-1] - x[:, :-2] * x[:, 2:]).mean(axis=1), True
+            out["mobility"] = np.sqrt(v1 / v), v != 0
+            out["rough"] = (d2 * d2 / fs ** 4).sum(axis=1), True
+        if n > 3:
+            out["complexity"] = np.sqrt(variances(d2) / v1), v1 != 0
+    return out
+
+
 def moment_stats(df: DataFrame, keys: Sequence[str], v: str = "v") -> DataFrame:
     return series_stats(df, keys, v=v, groups=("moments",))
 

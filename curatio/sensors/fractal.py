@@ -127,3 +127,45 @@ def dfa(df: DataFrame, keys: Sequence[str], order: Sequence[str], v: str = "v",
     per_n = levels.groupBy(*kc, "size").agg(F.sqrt(F.sum("msq") / F.sum("boxes")).alias("__fluct"))
     fluct = F.when(F.col("__fluct") > 0, F.col("__fluct"))
     return per_n.groupBy(*kc).agg(F.regr_slope(F.log(fluct), F.log(F.col("size").cast("double"))).alias(out))
+
+
+def dfa_block(x: np.ndarray, min_box: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """``dfa`` of every row of ``x``, series of one length: exponents, and where they are not NULL."""
+    w, n = x.shape
+    size = 1 << (int(min_box).bit_length() - 1)
+    total = np.cumsum(x, axis=1)
+    y = total - np.arange(1.0, n + 1) * (total[:, -1:] / n)
+    y = y[:, : n // size * size].reshape(w, -1, size)
+    mean = y.sum(axis=2) / size
+    # sample by sample, as Spark's regression aggregates
+    avg, at, m2, c = np.zeros(mean.shape), 0.0, np.zeros(mean.shape), np.zeros(mean.shape)
+    for k in range(size):
+        delta = y[:, :, k] - avg
+        part = delta / (k + 1.0)
+        avg, at = avg + part, at + (k - at) / (k + 1.0)
+        m2 = m2 + delta * (delta - part)
+        c = c + delta * (k - at)
+    logs, fluct = [], []
+    while size <= n // 4:
+        msq = np.maximum(m2 - c * c / (size * (size * size - 1) / 12.0), 0.0) / size
+        logs.append(np.log(float(size)))
+        fluct.append(np.sqrt(msq.sum(axis=1) / msq.shape[1]))
+        # pairs of neighbours, as in ``merged``
+        k = m2.shape[1] // 2 * 2
+        left, right = np.s_[:, 0:k:2], np.s_[:, 1:k:2]
+        d = mean[right] - mean[left]
+        m2 = m2[left] + m2[right] + d * d * size / 2
+        c = c[left] + c[right] + d * (float(size) * size / 2)
+        mean = (mean[left] + mean[right]) / 2
+        size *= 2
+    if not logs:
+        return np.zeros(w), np.zeros(w, dtype=bool)
+    f = np.stack(fluct, axis=1)
+    use = f > 0
+    count = use.sum(axis=1)
+    with np.errstate(all="ignore"):
+        lx = np.where(use, np.array(logs), 0.0)
+        ly = np.where(use, np.log(np.where(use, f, 1.0)), 0.0)
+        dx = np.where(use, lx - (lx.sum(axis=1) / count)[:, None], 0.0)
+        dy = np.where(use, ly - (ly.sum(axis=1) / count)[:, None], 0.0)
+        return (dx * dy).sum(axis=1) / (dx * dx).sum(axis=1), count > 1

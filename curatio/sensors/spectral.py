@@ -15,7 +15,7 @@ energies, entropies) is native.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
 from curatio.operators.joins import same_keys
+from curatio.sensors.features import variances
 
 # --------------------------------------------------------------------------
 # FFT spectrum
@@ -57,11 +58,17 @@ def _power(x: np.ndarray) -> np.ndarray:
     return (spec.real ** 2 + spec.imag ** 2) / n
 
 
-def _acf(x: np.ndarray) -> list:
+def acf_block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Autocorrelation functions of the rows, and which rows are not flat (flat ones have none)."""
     n = x.shape[1]
     spec = np.fft.rfft(x - x.mean(axis=1, keepdims=True), n=2 * n, axis=1)
     ac = np.fft.irfft(spec.real ** 2 + spec.imag ** 2, n=2 * n, axis=1)[:, :n]
-    return [(a / a[0]).tolist() if a[0] > 1e-300 else [None] * n for a in ac]
+    some = ac[:, 0] > 1e-300
+    return ac / np.where(some, ac[:, 0], 1.0)[:, None], some
+
+
+def _acf(x: np.ndarray) -> list:
+    return [a.tolist() if some else [None] * len(a) for a, some in zip(*acf_block(x))]
 
 
 def spectrum(df: DataFrame, keys: Sequence[str], order: str, v: str, fs: float) -> DataFrame:
@@ -134,6 +141,36 @@ def band_energies(spec: DataFrame, keys: Sequence[str], band_width: float = 1.0,
     return s.groupBy(*[as_col(k) for k in keys]).pivot("band_name", names).agg(F.sum("power"))
 
 
+def spectral_block(power: np.ndarray, n: int, fs: float, band_width: float,
+                   n_bands: int) -> dict[str, tuple[np.ndarray, np.ndarray | bool]]:
+    """``spectral_stats`` and ``band_energies`` of every row of ``power``, spectra of series of ``n`` samples."""
+    w, bins = power.shape
+    none = np.zeros(w), False
+    out: dict = dict.fromkeys(("cent", "mn", "mod", "sem", "sfm", "sh"), none)
+    out |= dict.fromkeys([f"EnergyBand{b}" for b in range(n_bands)] + ["EnergyBandAbove"], none)
+    if not bins:
+        return out
+    freq = np.arange(bins) * (1.0 / (n * (1.0 / fs)))
+    band = np.minimum(np.floor(freq / band_width), n_bands).astype(int)
+    for b in np.unique(band):
+        out[f"EnergyBand{b}" if b < n_bands else "EnergyBandAbove"] = power[:, band == b].sum(axis=1), True
+    p, f, k = power[:, 1:], freq[1:], bins - 1
+    if not k:
+        return out
+    with np.errstate(all="ignore"):
+        total, some = p.sum(axis=1), p > 0
+        logs, count = np.log(np.where(some, p, 1.0)), some.sum(axis=1)
+        mean = np.where(some, p, 0.0).sum(axis=1) / count
+        out["cent"] = (f * p).sum(axis=1) / total, total != 0
+        out["mn"] = p.mean(axis=1), True
+        out["mod"] = f[p.argmax(axis=1)], True
+        if k > 1:
+            out["sem"] = np.sqrt(variances(p)) / np.sqrt(k), True
+        out["sfm"] = np.exp(logs.sum(axis=1) / count) / mean, count > 0
+        out["sh"] = np.log(total) - (p * logs).sum(axis=1) / total, total > 0
+    return out
+
+
 # --------------------------------------------------------------------------
 # Empirical mode decomposition (Huang et al. 1998)
 # --------------------------------------------------------------------------
@@ -250,6 +287,18 @@ def sift(x: np.ndarray, tol: float, max_sift: int) -> tuple[np.ndarray, np.ndarr
     return mode, rounds, converged
 
 
+def emd_block(residue: np.ndarray, max_imf: int | None = None, tol: float = 0.3,
+              max_sift: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Mode by mode: the rows that have it, the mode of each, its rounds and convergence; ``residue`` loses the modes."""
+    for _ in range(residue.shape[1] if max_imf is None else max_imf):
+        active = np.flatnonzero(_oscillates(residue)) if residue.shape[1] > 2 else np.empty(0, dtype=int)
+        if not len(active):
+            return
+        mode, took, ended = sift(residue[active], tol, max_sift)
+        residue[active] -= mode
+        yield active, mode, took, ended
+
+
 def emd_batch(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3,
               max_sift: int = 1000) -> tuple[list[list[np.ndarray]], list[list[int]], list[list[bool]], np.ndarray]:
     """Modes, rounds and convergence of every row, and the residues.
@@ -261,12 +310,7 @@ def emd_batch(x: np.ndarray, max_imf: int | None = None, tol: float = 0.3,
     modes: list[list[np.ndarray]] = [[] for _ in x]
     rounds: list[list[int]] = [[] for _ in x]
     converged: list[list[bool]] = [[] for _ in x]
-    for _ in range(x.shape[1] if max_imf is None else max_imf):
-        active = np.flatnonzero(_oscillates(residue)) if x.shape[1] > 2 else np.empty(0, dtype=int)
-        if not len(active):
-            break
-        mode, took, ended = sift(residue[active], tol, max_sift)
-        residue[active] -= mode
+    for active, mode, took, ended in emd_block(residue, max_imf, tol, max_sift):
         for i, m, r, c in zip(active, mode, took, ended):
             modes[i].append(m)
             rounds[i].append(int(r))
@@ -372,6 +416,64 @@ def ewt_band_energies_np(x: np.ndarray, n_bands: int = 5) -> np.ndarray:
     return meyer_filter_bank(omega, bounds) @ p
 
 
+def ewt_block(x: np.ndarray, n_bands: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``ewt_band_energies_np`` of every row of ``x``, by number of components: row numbers and their energies."""
+    w, n = x.shape
+    if n < 2:
+        return []
+    mag = np.abs(np.fft.rfft(x - x.mean(axis=1, keepdims=True), axis=1))
+    p = mag ** 2
+    peak = np.zeros(mag.shape, dtype=bool)
+    peak[:, 1:-1] = (mag[:, 1:-1] > mag[:, :-2]) & (mag[:, 1:-1] >= mag[:, 2:])
+    count = np.minimum(peak.sum(axis=1), n_bands)
+    few = np.flatnonzero(count < 2)
+    out = [(few, p[few].sum(axis=1, keepdims=True))] if len(few) else []
+    omega = np.linspace(0.0, np.pi, p.shape[1]) if n % 2 == 0 else 2 * np.pi * np.arange(p.shape[1]) / n
+    first = np.argsort(np.where(peak, -mag, np.inf), axis=1, kind="stable")[:, :n_bands]
+    for k in range(2, n_bands + 1):
+        rows = np.flatnonzero(count == k)
+        if not len(rows):
+            continue
+        at = omega[np.sort(first[rows, :k], axis=1)]
+        bounds = (at[:, :-1] + at[:, 1:]) / 2
+        upper = np.concatenate([bounds[:, 1:], np.full((len(rows), 1), np.pi)], axis=1)
+        gamma = (0.9 * ((upper - bounds) / (upper + bounds)).min(axis=1))[:, None]
+        energies, low = np.empty((len(rows), k)), 1.0
+        for j in range(k):
+            if j < k - 1:
+                wn = bounds[:, j : j + 1]
+                high = np.where(omega <= (1 - gamma) * wn, 0.0, np.where(
+                    omega >= (1 + gamma) * wn, 1.0, np.sin(np.pi / 2 * _beta((omega - (1 - gamma) * wn) / (2 * gamma * wn))) ** 2))
+            energies[:, j] = ((low * (1.0 - high) if j < k - 1 else low) * p[rows]).sum(axis=1)
+            low = high
+        out.append((rows, energies))
+    return out
+
+
+def entropy_block(energies: np.ndarray, q: float = 2.0, perm_order: int = 3) -> dict[str, tuple[np.ndarray, np.ndarray | bool]]:
+    """``energy_entropies`` of every row of ``energies``, rows of one number of bands."""
+    total = energies.sum(axis=1)
+    with np.errstate(all="ignore"):
+        p = energies / total[:, None]
+        power = (p ** q).sum(axis=1)
+        out = {"shannonEnt": -np.where(p > 0, p * np.log(np.where(p > 0, p, 1.0)), 0.0).sum(axis=1), "simpsonEnt": 1.0 - (p * p).sum(axis=1),
+               "renyiEnt": np.log(power) / (1.0 - q), "tsallisEnt": (1.0 - power) / (q - 1.0)}
+    found = {name: (v, total != 0) for name, v in out.items()}
+    m = energies.shape[1] - perm_order + 1
+    if m < 1:
+        return found | {"permEnt": (np.zeros(len(energies)), False)}
+    leads = [energies[:, j : j + m] for j in range(perm_order)]
+    pattern = np.zeros((len(energies), m), dtype=int)
+    for a in range(perm_order):
+        rank = sum((leads[b] < leads[a]) | ((leads[b] == leads[a]) & (b < a)) for b in range(perm_order) if b != a)
+        pattern = pattern * perm_order + rank
+    s = np.zeros(len(energies))
+    for code in np.unique(pattern):
+        pp = (pattern == code).sum(axis=1) / m
+        s += pp * np.log(np.where(pp > 0, pp, 1.0))
+    return found | {"permEnt": (-s / math.log(math.factorial(perm_order)), True)}
+
+
 def ewt_energies(df: DataFrame, keys: Sequence[str], order: str, v: str, n_bands: int = 5) -> DataFrame:
     """Rows ``(keys..., band, energy)`` per window of two samples or more."""
 
