@@ -198,6 +198,11 @@ def _modes(x: np.ndarray) -> np.ndarray:
     return mode
 
 
+def sums(x: np.ndarray) -> np.ndarray:
+    """Sum of every row, from left to right as in Spark's aggregates (numpy's own order differs in the last bits)."""
+    return np.cumsum(x, axis=1)[:, -1]
+
+
 def moments(x: np.ndarray, order: int = 2) -> list[np.ndarray]:
     """Sums of the 2nd to ``order``-th (4th at most) powers about the mean of every row.
 
@@ -234,21 +239,21 @@ def series_block(x: np.ndarray, fs: float) -> dict[str, tuple[np.ndarray, np.nda
         s = np.sort(x + 0.0, axis=1)  # + 0.0: -0.0 and 0.0 are one value
         q1, median, q3 = quartiles_sorted(s, np.full(len(x), n))
         low, high, square = s[:, 0], s[:, -1], x * x
-        out = {"mean": (x.mean(axis=1), True), "median": (median, True), "min": (low, True), "max": (high, True),
+        out = {"mean": (sums(x) / n, True), "median": (median, True), "min": (low, True), "max": (high, True),
                "sd": (np.sqrt(m2 / (n - 1)), True) if n > 1 else none,
                "skew": (np.sqrt(n) * m3 / np.sqrt(m2 * m2 * m2), m2 != 0), "kur": (n * m4 / (m2 * m2) - 3.0, m2 != 0),
                "q1": (q1, True), "q3": (q3, True), "iqr": (q3 - q1, True), "range": (high - low, True),
-               "rmsmag": (np.sqrt(square.mean(axis=1)), True), "energy": (square.sum(axis=1), True), "mode": (_modes(s), True)}
+               "rmsmag": (np.sqrt(sums(square) / n), True), "energy": (sums(square), True), "mode": (_modes(s), True)}
         out |= dict.fromkeys(("tkeo", "mobility", "complexity", "rough", "rugo"), none)
         if n > 1:
             dx = x[:, 1:] - x[:, :-1]
-            out["rugo"] = np.sqrt((dx * dx).mean(axis=1)), True
+            out["rugo"] = np.sqrt(sums(dx * dx) / (n - 1)), True
         if n > 2:
             v, v1 = m2 / (n - 1), variances(dx * fs)
             d2 = (x[:, 2:] - 2.0 * x[:, 1:-1] + x[:, :-2]) * (fs * fs)
-            out["tkeo"] = (square[:, 1:-1] - x[:, :-2] * x[:, 2:]).mean(axis=1), True
+            out["tkeo"] = sums(square[:, 1:-1] - x[:, :-2] * x[:, 2:]) / (n - 2), True
             out["mobility"] = np.sqrt(v1 / v), v != 0
-            out["rough"] = (d2 * d2 / fs ** 4).sum(axis=1), True
+            out["rough"] = sums(d2 * d2 / fs ** 4), True
         if n > 3:
             out["complexity"] = np.sqrt(variances(d2) / v1), v1 != 0
     return out

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from curatio.functions.expr import as_col
 from curatio.operators.joins import same_keys
-from curatio.sensors.features import variances
+from curatio.sensors.features import sums, variances
 
 # --------------------------------------------------------------------------
 # FFT spectrum
@@ -153,21 +153,21 @@ def spectral_block(power: np.ndarray, n: int, fs: float, band_width: float,
     freq = np.arange(bins) * (1.0 / (n * (1.0 / fs)))
     band = np.minimum(np.floor(freq / band_width), n_bands).astype(int)
     for b in np.unique(band):
-        out[f"EnergyBand{b}" if b < n_bands else "EnergyBandAbove"] = power[:, band == b].sum(axis=1), True
+        out[f"EnergyBand{b}" if b < n_bands else "EnergyBandAbove"] = sums(power[:, band == b]), True
     p, f, k = power[:, 1:], freq[1:], bins - 1
     if not k:
         return out
     with np.errstate(all="ignore"):
-        total, some = p.sum(axis=1), p > 0
+        total, some = sums(p), p > 0
         logs, count = np.log(np.where(some, p, 1.0)), some.sum(axis=1)
-        mean = np.where(some, p, 0.0).sum(axis=1) / count
-        out["cent"] = (f * p).sum(axis=1) / total, total != 0
-        out["mn"] = p.mean(axis=1), True
+        mean = sums(np.where(some, p, 0.0)) / count
+        out["cent"] = sums(f * p) / total, total != 0
+        out["mn"] = total / k, True
         out["mod"] = f[p.argmax(axis=1)], True
         if k > 1:
             out["sem"] = np.sqrt(variances(p)) / np.sqrt(k), True
-        out["sfm"] = np.exp(logs.sum(axis=1) / count) / mean, count > 0
-        out["sh"] = np.log(total) - (p * logs).sum(axis=1) / total, total > 0
+        out["sfm"] = np.exp(sums(logs) / count) / mean, count > 0
+        out["sh"] = np.log(total) - sums(p * logs) / total, total > 0
     return out
 
 
@@ -452,11 +452,11 @@ def ewt_block(x: np.ndarray, n_bands: int = 5) -> list[tuple[np.ndarray, np.ndar
 
 def entropy_block(energies: np.ndarray, q: float = 2.0, perm_order: int = 3) -> dict[str, tuple[np.ndarray, np.ndarray | bool]]:
     """``energy_entropies`` of every row of ``energies``, rows of one number of bands."""
-    total = energies.sum(axis=1)
+    total = sums(energies)
     with np.errstate(all="ignore"):
         p = energies / total[:, None]
-        power = (p ** q).sum(axis=1)
-        out = {"shannonEnt": -np.where(p > 0, p * np.log(np.where(p > 0, p, 1.0)), 0.0).sum(axis=1), "simpsonEnt": 1.0 - (p * p).sum(axis=1),
+        power = sums(p ** q)
+        out = {"shannonEnt": -sums(np.where(p > 0, p * np.log(np.where(p > 0, p, 1.0)), 0.0)), "simpsonEnt": 1.0 - sums(p * p),
                "renyiEnt": np.log(power) / (1.0 - q), "tsallisEnt": (1.0 - power) / (q - 1.0)}
     found = {name: (v, total != 0) for name, v in out.items()}
     m = energies.shape[1] - perm_order + 1
