@@ -248,13 +248,16 @@ def _rolled(xs: pa.Array, ys: pa.Array, with_acf: np.ndarray, names: list[str],
             blocks[n].append((acf[some], acf[some], row[own][ask][some], np.ones(int(some.sum()), dtype=int)))
     values, some, group, most = [], [], [], max(blocks, default=0) + 1  # a series has fewer modes than samples
     for n, parts in blocks.items():
-        x, y, own, acf = (np.concatenate(p) for p in zip(*parts))
-        base = (own * 2 + acf) * most
-        v, ok = window_block(x, y, stats, fs, band_width, n_bands)
-        values.append(v), some.append(ok), group.append(base)
-        for j, (active, mode, _, _) in enumerate(SP.emd_block(x.copy(), n_imf), start=1):
-            v, ok = window_block(mode, mode, stats, fs, band_width, n_bands)
-            values.append(v), some.append(ok), group.append(base[active] + j)
+        every = [np.concatenate(p) for p in zip(*parts)]
+        per = max(1, BLOCK // max(n, 1))
+        for at in range(0, len(every[0]), per):
+            x, y, own, acf = (p[at : at + per] for p in every)
+            base = (own * 2 + acf) * most
+            v, ok = window_block(x, y, stats, fs, band_width, n_bands)
+            values.append(v), some.append(ok), group.append(base)
+            for j, (active, mode, _, _) in enumerate(SP.emd_block(x.copy(), n_imf), start=1):
+                v, ok = window_block(mode, mode, stats, fs, band_width, n_bands)
+                values.append(v), some.append(ok), group.append(base[active] + j)
     if not values:
         return pa.array([[]] * len(xs), pa.list_(QUARTILES))
     groups, q, any_ = _quartiles(np.concatenate(values), np.concatenate(some), np.concatenate(group))
